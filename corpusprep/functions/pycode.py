@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusprep.functions.text import _c, filter_wide, snake_case, split_words
+from corpusprep.functions.text import _c, filter_wide, let, snake_case, split_words
 
 # Patterns that must equal the reference's variable heuristics.
 ASSIGN_TARGETS = r"^(\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)(,\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)*="
@@ -39,7 +39,8 @@ def _names(csv: Column) -> Column:
 
 def _without_last(s: Column, head: int, tail: int) -> Column:
     """Drop ``head`` leading and ``tail`` trailing characters of a (possibly empty) match."""
-    return F.when(F.length(s) > 0, s.substr(F.lit(head + 1), F.length(s) - head - tail)).otherwise(F.lit(""))
+    return let(s, lambda m: F.when(F.length(m) > 0, m.substr(F.lit(head + 1), F.length(m) - head - tail))
+               .otherwise(F.lit("")))
 
 
 def assign_targets(clean) -> Column:
@@ -78,17 +79,18 @@ def python_code_tokens(col, append_newline: bool = True, all_matches: bool = Fal
     Strings and numbers become ``string``/``number``, assigned names ``var``, comments are
     dropped, and a final ``newline`` closes any line with code (S60, S64, S48, S17).
     """
-    clean = python_clean(col)
-    names = python_vars(clean, all_matches)
-    lex = python_lexemes(clean)
-    kinds = F.transform(lex, lambda t: (
-        F.when(t.startswith("#"), F.lit(None))
-        .when(t.rlike(r"""^('.*'|".*")$"""), F.lit("STRING"))
-        .when(t.rlike(r"^\d"), F.lit("NUMBER"))
-        .when(F.array_contains(names, t), F.lit("VAR"))
-        .otherwise(t)))
-    body = F.filter(kinds, lambda t: t.isNotNull())
-    if append_newline:
-        body = F.when(F.size(body) > 0, F.concat(body, F.array(F.lit("NEWLINE")))).otherwise(body)
-    words = F.split(snake_case(F.array_join(body, " ")), " ")
-    return F.filter(words, lambda w: F.trim(w) != "")
+    def tokens(s: Column) -> Column:
+        kinds = F.transform(s["lex"], lambda t: (
+            F.when(t.startswith("#"), F.lit(None))
+            .when(t.rlike(r"""^('.*'|".*")$"""), F.lit("STRING"))
+            .when(t.rlike(r"^\d"), F.lit("NUMBER"))
+            .when(F.array_contains(s["names"], t), F.lit("VAR"))
+            .otherwise(t)))
+        body = F.filter(kinds, lambda t: t.isNotNull())
+        if append_newline:
+            body = F.when(F.size(body) > 0, F.concat(body, F.array(F.lit("NEWLINE")))).otherwise(body)
+        words = F.split(snake_case(F.array_join(body, " ")), " ")
+        return F.filter(words, lambda w: F.trim(w) != "")
+
+    return let(python_clean(col), lambda clean: let(
+        F.struct(python_vars(clean, all_matches).alias("names"), python_lexemes(clean).alias("lex")), tokens))

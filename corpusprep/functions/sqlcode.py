@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusprep.functions.text import _c, filter_wide, snake_case, split_words, strip_ws
+from corpusprep.functions.text import _c, filter_wide, let, snake_case, split_words, strip_ws
 
 FAILED_CODE = "-1000"
 
@@ -70,14 +70,16 @@ def sql_sanitise(clean) -> Column:
     Returns NULL for empty input (the reference raises there and reports a failed parse).
     The end-of-text suffix rule of the reference can never fire after the ``;`` is added.
     """
-    s = F.lower(strip_ws(clean))
-    s = F.when(s.endswith(";"), s).otherwise(F.concat(s, F.lit(";")))
-    s = F.regexp_replace(s, r"\(", " ( ")
-    s = F.regexp_replace(s, r"\)", " ) ")
-    for word in SUFFIXED_WORDS:
-        s = F.regexp_replace(s, rf"([^\w]){word}([^\w])", rf"$1{word}1$2")
-    s = F.translate(s, "#", "")
-    return F.when(strip_ws(clean) == "", F.lit(None)).otherwise(s)
+    def body(t: Column) -> Column:
+        s = F.when(t.endswith(";"), t).otherwise(F.concat(t, F.lit(";")))
+        s = F.regexp_replace(s, r"\(", " ( ")
+        s = F.regexp_replace(s, r"\)", " ) ")
+        for word in SUFFIXED_WORDS:
+            s = F.regexp_replace(s, rf"([^\w]){word}([^\w])", rf"$1{word}1$2")
+        s = F.translate(s, "#", "")
+        return F.when(t == "", F.lit(None)).otherwise(s)
+
+    return let(F.lower(strip_ws(clean)), body)
 
 
 def subquery_count(col) -> Column:
@@ -122,55 +124,69 @@ def _kind(t: Column, nxt: Column, in_from: Column) -> Column:
             .otherwise(F.lit("COLUMN")))
 
 
-def sql_kinds(sanitised) -> Column:
-    """Array of ``struct(tok, kind)`` for the sanitised text."""
-    lex = sql_lexemes(sanitised)
+def _switches(lex: Column) -> Column:
     # Switch points: 2*pos+1 for ``from``, 2*pos for a closing keyword; the largest switch
     # point before a position tells whether that position is inside FROM.
-    switches = F.filter(F.transform(lex, lambda t, i: (
+    return F.filter(F.transform(lex, lambda t, i: (
         F.when(t == FROM_ON, i * 2 + 1).when(t.isin(FROM_OFF), i * 2))), lambda x: x.isNotNull())
-    return F.transform(lex, lambda t, i: F.struct(
-        t.alias("tok"),
-        _kind(t, F.get(lex, i + 1),
-              F.coalesce(F.array_max(F.filter(switches, lambda s: s < i * 2)) % 2, F.lit(0)) == 1
-              ).alias("kind")))
+
+
+def _inside_from(switches: Column, i: Column) -> Column:
+    return F.coalesce(F.array_max(F.filter(switches, lambda s: s < i * 2)) % 2, F.lit(0)) == 1
+
+
+def sql_kinds(sanitised) -> Column:
+    """Array of ``struct(tok, kind)`` for the sanitised text."""
+    return let(sql_lexemes(sanitised), lambda lex: let(_switches(lex), lambda sw: F.transform(
+        lex, lambda t, i: F.struct(t.alias("tok"), _kind(t, F.get(lex, i + 1), _inside_from(sw, i)).alias("kind")))))
 
 
 def sql_from_region(sanitised) -> Column:
     """Per lexeme, whether it lies inside a FROM region."""
-    lex = sql_lexemes(sanitised)
-    switches = F.filter(F.transform(lex, lambda t, i: (
-        F.when(t == FROM_ON, i * 2 + 1).when(t.isin(FROM_OFF), i * 2))), lambda x: x.isNotNull())
-    return F.transform(lex, lambda t, i: F.coalesce(
-        F.array_max(F.filter(switches, lambda s: s < i * 2)) % 2, F.lit(0)) == 1)
+    return let(sql_lexemes(sanitised), lambda lex: let(_switches(lex), lambda sw: F.transform(
+        lex, lambda t, i: _inside_from(sw, i))))
 
 
-def sql_rename(kinds: Column, regex: bool = True) -> Column:
+def sql_rename(kinds, regex: bool = True) -> Column:
     """S32 + S73 + S74: output text of every lexeme.
 
     Columns and tables are numbered by first appearance with separate counters; literals
     become ``CODINT`` / ``CODHEX`` / ``CODFLO``; strings become pattern tokens.
     """
-    def names_of(kind: str) -> Column:
-        return F.array_distinct(F.transform(F.filter(kinds, lambda x: x["kind"] == kind), lambda x: x["tok"]))
+    def names_of(k: Column, kind: str) -> Column:
+        return F.array_distinct(F.transform(F.filter(k, lambda x: x["kind"] == kind), lambda x: x["tok"]))
+
+    def rename(k: Column, names: Column) -> Column:
+        return F.transform(k, lambda x: (
+            F.when(x["kind"] == "COLUMN",
+                   F.concat(F.lit("col"), (F.array_position(names["cols"], x["tok"]) - 1).cast("string")))
+            .when(x["kind"] == "TABLE",
+                  F.concat(F.lit("tab"), (F.array_position(names["tabs"], x["tok"]) - 1).cast("string")))
+            .when(x["kind"] == "INTEGER", F.lit("CODINT"))
+            .when(x["kind"] == "HEX", F.lit("CODHEX"))
+            .when(x["kind"] == "FLOAT", F.lit("CODFLO"))
+            .when(x["kind"] == "STRING", string_pattern_tokens(x["tok"], regex))
+            .otherwise(x["tok"])))
+
+    return let(_c(kinds), lambda k: let(
+        F.struct(names_of(k, "COLUMN").alias("cols"), names_of(k, "TABLE").alias("tabs")),
+        lambda names: rename(k, names)))
+
+
+def sql_code_parse(col, regex: bool = True) -> Column:
+    """S79 + S20: ``struct(tokens, ok)``; tokens are ``array('-1000')`` when nothing is left after cleaning."""
+    def parse(s: Column) -> Column:
+        words = F.split(snake_case(F.array_join(sql_rename(sql_kinds(s), regex), " ")), " ")
+        tokens = F.filter(words, lambda w: F.trim(w) != "")
+        return F.struct(F.when(s.isNull(), F.array(F.lit(FAILED_CODE))).otherwise(tokens).alias("tokens"),
+                        s.isNotNull().alias("ok"))
 
-    cols, tabs = names_of("COLUMN"), names_of("TABLE")
-    return F.transform(kinds, lambda x: (
-        F.when(x["kind"] == "COLUMN", F.concat(F.lit("col"), (F.array_position(cols, x["tok"]) - 1).cast("string")))
-        .when(x["kind"] == "TABLE", F.concat(F.lit("tab"), (F.array_position(tabs, x["tok"]) - 1).cast("string")))
-        .when(x["kind"] == "INTEGER", F.lit("CODINT"))
-        .when(x["kind"] == "HEX", F.lit("CODHEX"))
-        .when(x["kind"] == "FLOAT", F.lit("CODFLO"))
-        .when(x["kind"] == "STRING", string_pattern_tokens(x["tok"], regex))
-        .otherwise(x["tok"])))
+    return let(sql_sanitise(sql_clean(col)), parse)
 
 
 def sql_code_tokens(col, regex: bool = True) -> Column:
     """Raw SQL code to tokens; ``array('-1000')`` when nothing is left after cleaning."""
-    sanitised = sql_sanitise(sql_clean(col))
-    words = F.split(snake_case(F.array_join(sql_rename(sql_kinds(sanitised), regex), " ")), " ")
-    tokens = F.filter(words, lambda w: F.trim(w) != "")
-    return F.when(sanitised.isNull(), F.array(F.lit(FAILED_CODE))).otherwise(tokens)
+    return sql_code_parse(col, regex)["tokens"]
 
 
 def sql_code_ok(col) -> Column:

@@ -97,6 +97,15 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` as a lambda variable.
+
+    An expression referenced inside an array lambda is otherwise re-evaluated for every
+    element; binding it first keeps a regular-expression chain to one evaluation per row.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip_ws(col) -> Column:
     """Remove leading and trailing whitespace (spaces, tabs, newlines)."""
     return F.regexp_replace(_c(col), r"^\s+|\s+$", "")

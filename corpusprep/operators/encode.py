@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.functions.text import let
 from corpusprep.operators.vectors import PAD, UNK
 
 # Encoded lengths of ctx1, ctx2, code, query; the code cap and the code
@@ -30,8 +31,8 @@ def fit_length(arr, n: int, pad: int = PAD) -> Column:
 
 def text_ids(ids, unk: int = UNK) -> Column:
     """Prepend 0 when the id list is empty or starts with UNK."""
-    a = _c(ids)
-    return F.when((F.size(a) == 0) | (F.get(a, 0) == unk), F.concat(F.array(F.lit(0)), a)).otherwise(a)
+    return let(_c(ids), lambda a: F.when((F.size(a) == 0) | (F.get(a, 0) == unk),
+                                         F.concat(F.array(F.lit(0)), a)).otherwise(a))
 
 
 def code_ids(ids, cap: int = CODE_CAP, start: int = CODE_START, end: int = CODE_END) -> Column:
@@ -55,6 +56,23 @@ def lookup_ids(tokens_long: DataFrame, dictionary: DataFrame, token: str = "toke
     return joined.drop("word").withColumn("idx", F.coalesce(F.col("idx"), F.lit(unk)).cast("int"))
 
 
+def encode_tokens(df: DataFrame, key: str, tokens: str, dictionary: DataFrame, keep: int | None = None,
+                  unk: int = UNK, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """``(key, ids)``: the dictionary ids of one token-array column, in token order.
+
+    With ``keep`` only the first ``keep`` tokens are looked up (callers that truncate the
+    result anyway); without it the whole array is encoded. ``key`` must identify a row.
+    """
+    arr = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+    if keep is not None:
+        arr = F.slice(arr, 1, keep)
+    long = df.select(key, F.posexplode_outer(arr).alias("pos", "token"))
+    looked = lookup_ids(long, dictionary, "token", unk, limit_bytes)
+    entry = F.when(F.col("token").isNotNull(), F.struct("pos", "idx"))
+    folded = looked.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    return folded.select(key, F.col("_e.idx").alias("ids"))
+
+
 def encode_corpus(df: DataFrame, dictionary: DataFrame, lengths: dict | None = None, cap: int = CODE_CAP,
                   block_length: int = BLOCK_LENGTH, label: int = LABEL, unk: int = UNK,
                   limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.functions.text import strip_ws
+from corpusprep.functions.text import let, strip_ws
 
 # Prompt patterns 1..5 (reference order), matched at the start of a line and
 # removed wherever they occur in a prompt line.
@@ -55,10 +55,10 @@ def repl_flags(code) -> Column:
 
 def repl_layout(code) -> Column:
     """``none`` (no prompt), ``typical`` (first prompt is ``In [n]:`` or ``>>>``), else ``atypical``."""
-    flags = repl_flags(code)
-    return (F.when(~flags.rlike("[1-5]"), F.lit("none"))
-            .when(flags.rlike("^0*[14]"), F.lit("typical"))
-            .otherwise(F.lit("atypical")))
+    return let(repl_flags(code), lambda flags: (
+        F.when(~flags.rlike("[1-5]"), F.lit("none"))
+        .when(flags.rlike("^0*[14]"), F.lit("typical"))
+        .otherwise(F.lit("atypical"))))
 
 
 def repl_lines(df: DataFrame, id_col: str, code_col: str) -> DataFrame:

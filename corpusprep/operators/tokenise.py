@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.pycode import python_code_tokens
-from corpusprep.functions.sqlcode import sql_code_ok, sql_code_tokens
+from corpusprep.functions.sqlcode import sql_code_parse
 from corpusprep.functions.text import context_tokens, query_tokens
 
 TOKEN_FIELDS = ["ctx1_tokens", "ctx2_tokens", "code_tokens", "query_tokens"]
@@ -15,20 +15,22 @@ TOKEN_FIELDS = ["ctx1_tokens", "ctx2_tokens", "code_tokens", "query_tokens"]
 def tokenise_fields(df: DataFrame, lang: str) -> DataFrame:
     """Token arrays for one language; one projection, no shuffle."""
     if lang == "python":
-        code, ok = python_code_tokens("code"), F.lit(True)
+        code = F.struct(python_code_tokens("code").alias("tokens"), F.lit(True).alias("ok"))
     elif lang == "sql":
-        code, ok = sql_code_tokens("code"), sql_code_ok("code")
+        code = sql_code_parse("code")
     else:
         raise ValueError(f"unknown language {lang!r}")
-    return df.select(
+    staged = df.select(
         "qid",
         F.lit(lang).alias("lang"),
         context_tokens("ctx1", lang).alias("ctx1_tokens"),
         context_tokens("ctx2", lang).alias("ctx2_tokens"),
-        code.alias("code_tokens"),
+        code.alias("_code"),
         query_tokens("query", lang).alias("query_tokens"),
-        ok.alias("code_ok"),
     )
+    # Two references to ``_code`` keep Catalyst from inlining (and so repeating) the code rules.
+    return staged.select("qid", "lang", "ctx1_tokens", "ctx2_tokens", F.col("_code.tokens").alias("code_tokens"),
+                         "query_tokens", F.col("_code.ok").alias("code_ok"))
 
 
 def tokenise_corpus(df: DataFrame, lang: str | None = None) -> DataFrame:

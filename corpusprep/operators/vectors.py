@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusprep.functions.text import let
 from corpusprep.operators.numbering import dense_number
 
 # Special entries at the head of every dictionary, in id order, and the
@@ -19,7 +20,8 @@ def unit_vector(vec) -> Column:
     """L2-normalise an ``array<float>`` column; an all-zero vector stays zero."""
     v = F.col(vec) if isinstance(vec, str) else vec
     norm = F.sqrt(F.aggregate(v, F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x))
-    return F.transform(v, lambda x: F.when(norm > 0, (x / norm)).otherwise(F.lit(0.0)).cast("float"))
+    return let(F.struct(v.alias("v"), norm.alias("n")), lambda s: F.transform(
+        s["v"], lambda x: F.when(s["n"] > 0, x / s["n"]).otherwise(F.lit(0.0)).cast("float")))
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
