@@ -201,8 +201,9 @@ def q_new_words(spark, sf_dir):
 
 
 def q_roundtrip_diff(spark, sf_dir):
-    py = _docs(spark, sf_dir).select("doc_id", _j(text.query_tokens("text", "python")).alias("tokens"))
-    sq = _docs(spark, sf_dir).select("doc_id", _j(text.query_tokens("text", "sql")).alias("tokens"))
+    t = derive.contraction_text(spark, sf_dir)
+    py = t.select("id", _j(text.query_tokens("text", "python")).alias("tokens"))
+    sq = t.select("id", _j(text.query_tokens("text", "sql")).alias("tokens"))
     return vocab.roundtrip_diff(py, sq)
 
 
