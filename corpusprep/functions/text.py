@@ -129,22 +129,34 @@ def filter_wide(col, dialect: str = "python") -> Column:
 
 def expand_contractions(col, dialect: str = "python", quote: str = '"') -> Column:
     """Expand contractions written with ``quote`` as the apostrophe."""
-    c = _c(col)
-    for pattern, repl in CONTRACTIONS[_check(dialect)]:
-        c = F.regexp_replace(c, pattern.replace("{q}", quote), repl)
-    if dialect == "python":
+    def rules(src: Column) -> Column:
+        c = src
+        for pattern, repl in CONTRACTIONS[dialect]:
+            c = F.regexp_replace(c, pattern.replace("{q}", quote), repl)
+        return c
+
+    def forms(src: Column) -> Column:
+        c = src
         for short, full in PY_APOSTROPHE_FORMS:
-            c = F.regexp_replace(c, short, full)
-    return c
+            c = F.replace(c, F.lit(short), F.lit(full))
+        return c
+
+    # Every rule needs the quote character (every form an apostrophe): text without one
+    # skips the passes. ``let`` keeps the input to one evaluation.
+    _check(dialect)
+    out = let(_c(col), lambda v: F.when(F.instr(v, quote) > 0, rules(v)).otherwise(v))
+    if dialect == "python":
+        out = let(out, lambda v: F.when(F.instr(v, "'s") > 0, forms(v)).otherwise(v))
+    return out
 
 
 def squeeze_space(col, dialect: str = "python") -> Column:
     """Collapse tab/newline/space runs and trim the ends."""
     c = _c(col)
     if _check(dialect) == "python":
-        c = F.regexp_replace(c, r"\t+", "\t")
-        c = F.regexp_replace(c, r"\n+", " ")
-        c = F.regexp_replace(c, r" +", " ")
+        c = let(c, lambda v: F.when(F.instr(v, "\t") > 0, F.regexp_replace(v, r"\t+", "\t")).otherwise(v))
+        # newline runs -> one space, then space runs -> one space == [ newline]+ -> one space
+        c = F.regexp_replace(c, r"[ \n]+", " ")
     else:
         c = F.regexp_replace(c, r"[\t\n]+", " ")
     return strip_ws(c)
@@ -212,8 +224,16 @@ def tag_digit_words(col) -> Column:
 
 
 def tag_all(col) -> Column:
-    """S52-S55 in rule order."""
-    return tag_digit_words(tag_integers(tag_hex(tag_strings(tag_decimals(col)))))
+    """S52-S55 in rule order.
+
+    All rules but the quoted-text one need a digit, and that one needs a double quote, so
+    text without digits runs one pass at most.
+    """
+    def no_digits(v: Column) -> Column:
+        return F.when(F.instr(v, '"') > 0, tag_strings(v)).otherwise(v)
+
+    return let(_c(col), lambda v: F.when(v.rlike("[0-9]"), tag_digit_words(tag_integers(tag_hex(tag_strings(
+        tag_decimals(v)))))).otherwise(no_digits(v)))
 
 
 def lower_split(col) -> Column:

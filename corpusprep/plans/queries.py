@@ -51,21 +51,34 @@ def _doc_query_tokens(spark, sf_dir, dialect="python"):
     return _docs(spark, sf_dir).select("doc_id", text.query_tokens("text", dialect).alias("t"))
 
 
-def _vector_table(spark, sf_dir):
-    """Word vectors over the documents + benchmark vocabulary (first words by rank get embeddings)."""
-    words = derive.document_vocab(spark, sf_dir).unionByName(derive.benchmark_vocab(spark, sf_dir)).distinct()
-    return derive.word_vectors(words, table(spark, sf_dir, "embeddings"))
+class _DocStage:
+    """Document tokens, vocabulary, word vectors and dictionary of one query run.
 
+    The token table is checkpointed once (the reference writes its token file once, too),
+    so vocabulary, vector pairing, numbering and lookup all start from it instead of
+    re-running the text rules.
+    """
 
-def _doc_dictionary(spark, sf_dir):
-    return vectors.build_dictionary(derive.document_vocab(spark, sf_dir), _vector_table(spark, sf_dir), seed=7)
+    def __init__(self, spark, sf_dir):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.tokens = _doc_query_tokens(spark, sf_dir).checkpoint(eager=True)
+        self.vocab = vocab.build_vocab(self.tokens, fields=["t"]).checkpoint(eager=True)
+        words = self.vocab.unionByName(derive.benchmark_vocab(spark, sf_dir)).distinct()
+        self.vectors = derive.word_vectors(words, table(spark, sf_dir, "embeddings"))
+        self._dictionary = None
+
+    @property
+    def dictionary(self):
+        if self._dictionary is None:
+            self._dictionary = vectors.build_dictionary(self.vocab, self.vectors, seed=7)
+        return self._dictionary
 
 
 # -- queries --------------------------------------------------------------------------------------
 
 def q_lemma_join(spark, sf_dir):
-    toks = _doc_query_tokens(spark, sf_dir)
-    table_ = lemma.plural_lemmas(derive.document_vocab(spark, sf_dir))
+    toks = _doc_query_tokens(spark, sf_dir).checkpoint(eager=True)
+    table_ = lemma.plural_lemmas(vocab.build_vocab(toks, fields=["t"]))
     return lemma.lemma_join(toks, table_, "doc_id", "t").select("doc_id", _j("t").alias("tokens"))
 
 
@@ -208,13 +221,13 @@ def q_roundtrip_diff(spark, sf_dir):
 
 
 def q_word_vectors(spark, sf_dir):
-    v = _vector_table(spark, sf_dir)
+    v = _DocStage(spark, sf_dir).vectors
     return v.select("word", F.col("vec_id").cast("long").alias("vec_id"), F.size("vec").cast("long").alias("dim"),
                     F.round(F.aggregate("vec", F.lit(0.0).cast("double"), lambda a, x: a + x), 4).alias("vec_sum"))
 
 
 def q_unit_vectors(spark, sf_dir):
-    v = vectors.unit_vectors(_vector_table(spark, sf_dir))
+    v = vectors.unit_vectors(_DocStage(spark, sf_dir).vectors)
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x))
     return v.select("word", F.round(norm, 4).alias("norm"),
                     F.round(F.get("vec", 0).cast("double"), 4).alias("first"),
@@ -222,52 +235,54 @@ def q_unit_vectors(spark, sf_dir):
 
 
 def q_found_words(spark, sf_dir):
-    f = vectors.found_words(derive.document_vocab(spark, sf_dir), _vector_table(spark, sf_dir))
-    return f.select("word", F.size("vec").cast("long").alias("dim"))
+    st = _DocStage(spark, sf_dir)
+    return vectors.found_words(st.vocab, st.vectors).select("word", F.size("vec").cast("long").alias("dim"))
 
 
 def q_failed_words(spark, sf_dir):
-    return vectors.failed_words(derive.document_vocab(spark, sf_dir), _vector_table(spark, sf_dir))
+    st = _DocStage(spark, sf_dir)
+    return vectors.failed_words(st.vocab, st.vectors)
 
 
 def q_dictionary_numbering(spark, sf_dir):
-    d = _doc_dictionary(spark, sf_dir)
-    return d.select(F.col("idx").cast("long").alias("idx"), "word")
+    return _DocStage(spark, sf_dir).dictionary.select(F.col("idx").cast("long").alias("idx"), "word")
 
 
 def q_append_numbering(spark, sf_dir):
-    vt = _vector_table(spark, sf_dir)
-    old = vectors.build_dictionary(derive.benchmark_vocab(spark, sf_dir), vt, seed=7)
-    ext = vectors.append_dictionary(old, derive.document_vocab(spark, sf_dir), vt)
+    st = _DocStage(spark, sf_dir)
+    old = vectors.build_dictionary(derive.benchmark_vocab(spark, sf_dir), st.vectors, seed=7)
+    ext = vectors.append_dictionary(old, st.vocab, st.vectors)
     return ext.select(F.col("idx").cast("long").alias("idx"), "word")
 
 
 def q_verify_dictionary(spark, sf_dir):
-    return vectors.verify_dictionary(_doc_dictionary(spark, sf_dir), _vector_table(spark, sf_dir))
+    st = _DocStage(spark, sf_dir)
+    return vectors.verify_dictionary(st.dictionary, st.vectors)
 
 
 def q_lookup_ids(spark, sf_dir):
-    toks = _doc_query_tokens(spark, sf_dir)
-    ids = encode.encode_tokens(toks, "doc_id", "t", _doc_dictionary(spark, sf_dir), keep=None)
+    st = _DocStage(spark, sf_dir)
+    ids = encode.encode_tokens(st.tokens, "doc_id", "t", st.dictionary, keep=None)
     return ids.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
 
 
 def q_encode_text(spark, sf_dir):
-    toks = _doc_query_tokens(spark, sf_dir)
-    ids = encode.encode_tokens(toks, "doc_id", "t", _doc_dictionary(spark, sf_dir), keep=100)
+    st = _DocStage(spark, sf_dir)
+    ids = encode.encode_tokens(st.tokens, "doc_id", "t", st.dictionary, keep=100)
     out = encode.fit_length(encode.text_ids("ids"), 100)
     return ids.select("doc_id", F.array_join(out.cast("array<string>"), " ").alias("ids"))
 
 
 def q_fit_length(spark, sf_dir):
+    st = _DocStage(spark, sf_dir)
     toks = _docs(spark, sf_dir).select("doc_id", text.context_tokens("text", "python").alias("t"))
-    ids = encode.encode_tokens(toks, "doc_id", "t", _doc_dictionary(spark, sf_dir), keep=50)
+    ids = encode.encode_tokens(toks, "doc_id", "t", st.dictionary, keep=50)
     return ids.select("doc_id", F.array_join(encode.fit_length("ids", 50).cast("array<string>"), " ").alias("ids"))
 
 
 def q_encode_code(spark, sf_dir):
     code = derive.python_snippets(spark, sf_dir).select("id", pycode.python_code_tokens("code").alias("t"))
-    code = code.checkpoint()
+    code = code.checkpoint(eager=True)
     words = vocab.build_vocab(code, fields=["t"])
     dictionary = vectors.build_dictionary(words, derive.word_vectors(words, table(spark, sf_dir, "embeddings")),
                                           seed=7)
