@@ -179,13 +179,23 @@ def strip_dots(col) -> Column:
     return F.regexp_replace(_c(col), r"\.+$", "")
 
 
-def normalize_line(col, dialect: str = "python", quote: str = '"') -> Column:
-    """S46-S50 in the order of the line rule."""
+def normalize_line(col, dialect: str = "python", quote: str = '"', for_tokens: bool = False) -> Column:
+    """S46-S50 in the order of the line rule.
+
+    ``for_tokens=True`` is for callers that split the result into words next (S51 drops all
+    whitespace): the Python dialect then skips squeezing and trimming, and the SQL dialect
+    keeps only the trim that decides which trailing dots S50 sees. The tokens are the same.
+    """
     c = expand_contractions(col, dialect, quote)
-    c = squeeze_space(c, dialect)
+    if not for_tokens:
+        c = squeeze_space(c, dialect)
+    elif dialect == "sql":
+        c = strip_ws(c)
     c = snake_case(c)
     c = strip_brackets(c, dialect)
-    return strip_ws(c) if dialect == "python" else strip_dots(c)
+    if dialect == "sql":
+        return strip_dots(c)
+    return c if for_tokens else strip_ws(c)
 
 
 def split_words(col, unicode: bool = False) -> Column:
@@ -223,6 +233,19 @@ def tag_digit_words(col) -> Column:
     return F.regexp_replace(_c(col), DIGIT_WORD, "TAGOER")
 
 
+def _tag_lower_case(col) -> Column:
+    """S52-S55 on lower-case text, writing the tags lower-case (same tokens as tag + lower)."""
+    def digits(v: Column) -> Column:
+        v = F.regexp_replace(v, DECIMAL, "tagint")
+        v = F.regexp_replace(v, QUOTED, "tagstr")
+        v = F.regexp_replace(v, HEX, "tagint")
+        v = F.regexp_replace(v, INTEGER, " tagint ")
+        return F.regexp_replace(v, DIGIT_WORD, "tagoer")
+
+    return let(_c(col), lambda v: F.when(v.rlike("[0-9]"), digits(v)).otherwise(
+        F.when(F.instr(v, '"') > 0, F.regexp_replace(v, QUOTED, "tagstr")).otherwise(v)))
+
+
 def tag_all(col) -> Column:
     """S52-S55 in rule order.
 
@@ -256,14 +279,20 @@ def drop_parens(arr) -> Column:
     return F.filter(_c(arr), lambda w: ~w.rlike(r"[()]"))
 
 
+def _line_words(col, dialect: str, quote: str) -> Column:
+    """S46-S56 for text that is split into tokens: the line rule yields lower-case text."""
+    line = normalize_line(col, dialect, quote, for_tokens=True)
+    return F.split(_tag_lower_case(split_words(line)), " ")
+
+
 def query_tokens(col, dialect: str = "python", quote: str = '"') -> Column:
     """Query text to tokens (pre-lemma)."""
-    words = sentence_words(normalize_line(filter_strict(col, dialect), dialect, quote))
+    words = _line_words(filter_strict(col, dialect), dialect, quote)
     return F.filter(words, lambda w: (F.trim(w) != "") & ~w.rlike(r"[()]"))
 
 
 def context_tokens(col, dialect: str = "python", quote: str = '"') -> Column:
     """S58 + S19: context text to tokens; the missing-context marker passes through."""
     c = _c(col)
-    words = drop_blank(sentence_words(normalize_line(filter_wide(c, dialect), dialect, quote)))
+    words = drop_blank(_line_words(filter_wide(c, dialect), dialect, quote))
     return F.when(c == MISSING_CONTEXT, F.array(F.lit(MISSING_CONTEXT))).otherwise(words)

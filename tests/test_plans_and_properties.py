@@ -141,3 +141,20 @@ def test_appended_dictionary_keeps_old_prefix(spark):
     ext = {r["word"]: r["idx"] for r in vectors.append_dictionary(old, new, vecs).collect()}
     assert {k: v for k, v in ext.items() if v <= 5} == {"PAD": 0, "UNK": 1, "SOS": 2, "EOS": 3, "b": 4, "d": 5}
     assert [ext[w] for w in "acef"] == [6, 7, 8, 9]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET + "ABCxyz019", max_size=160), min_size=1, max_size=25))
+def test_composite_shortcuts_equal_rule_by_rule_chain(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for dialect in ("python", "sql"):
+        fast_q = text.query_tokens("t", dialect)
+        slow_q = F.filter(text.sentence_words(text.normalize_line(text.filter_strict("t", dialect), dialect)),
+                          lambda w: (F.trim(w) != "") & ~w.rlike(r"[()]"))
+        fast_c = text.context_tokens("t", dialect)
+        slow_c = text.drop_blank(text.sentence_words(text.normalize_line(text.filter_wide("t", dialect), dialect)))
+        for r in df.select(fast_q.alias("a"), slow_q.alias("b"), fast_c.alias("c"), slow_c.alias("d"),
+                           "t").collect():
+            assert r["a"] == r["b"], (dialect, r["t"])
+            if r["t"] != "-10000":
+                assert r["c"] == r["d"], (dialect, r["t"])
