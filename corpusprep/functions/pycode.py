@@ -16,6 +16,9 @@ from corpusprep.functions.text import _c, filter_wide, let, snake_case, split_wo
 # Patterns that must equal the reference's variable heuristics.
 ASSIGN_TARGETS = r"^(\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)(,\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)*="
 FOR_TARGETS = r"for\s+[_a-zA-Z][_a-zA-Z0-9]*\s*(,\s*[_a-zA-Z][_a-zA-Z0-9]*)*\s+in"
+# The same for-pattern with the target list captured as group 1.
+FOR_TARGETS_GROUPED = r"for\s+([_a-zA-Z][_a-zA-Z0-9]*\s*(?:,\s*[_a-zA-Z][_a-zA-Z0-9]*)*)\s+in"
+IDENTIFIER = r"[_a-zA-Z][_a-zA-Z0-9]*"
 
 # Lexer over the cleaned one-line form; alternatives are tried left to right.
 CODE_LEXEME = r"""'[^']*'|"[^"]*"|#.*|\d\w*|\w+|[^\s\w]"""
@@ -25,37 +28,33 @@ def python_clean(col) -> Column:
     """Wide filter, collapse dots, drop ``>>`` runs, split words and punctuation.
 
     Tab/newline/space squeezing and trimming of the reference are implied by the final
-    word/punctuation split, which discards all whitespace.
+    word/punctuation split, which discards all whitespace. The dot and ``>>`` passes only
+    run on text that contains ``..`` / ``>>``.
     """
-    c = filter_wide(col, "python")
-    c = F.regexp_replace(c, r"\.+", ".")
-    c = F.regexp_replace(c, r">>+", "")
-    return split_words(c)
+    def dots(v: Column) -> Column:
+        return F.when(F.instr(v, "..") > 0, F.regexp_replace(v, r"\.+", ".")).otherwise(v)
 
+    def prompts(v: Column) -> Column:
+        return split_words(F.when(F.instr(v, ">>") > 0, F.regexp_replace(v, r">>+", "")).otherwise(v))
 
-def _names(csv: Column) -> Column:
-    return F.filter(F.transform(F.split(csv, ","), lambda x: F.trim(x)), lambda x: x != "")
+    return let(let(filter_wide(col, "python"), dots), prompts)
 
 
-def _without_last(s: Column, head: int, tail: int) -> Column:
-    """Drop ``head`` leading and ``tail`` trailing characters of a (possibly empty) match."""
-    return let(s, lambda m: F.when(F.length(m) > 0, m.substr(F.lit(head + 1), F.length(m) - head - tail))
-               .otherwise(F.lit("")))
+def _identifiers(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(IDENTIFIER), 0)
 
 
 def assign_targets(clean) -> Column:
     """Names assigned at the start of the line (``a , b =``)."""
-    return _names(_without_last(F.regexp_extract(_c(clean), ASSIGN_TARGETS, 0), 0, 1))
+    return _identifiers(F.regexp_extract(_c(clean), ASSIGN_TARGETS, 0))
 
 
 def for_targets(clean, all_matches: bool = False) -> Column:
     """Targets of the first ``for ... in`` (of every one with ``all_matches``)."""
     c = _c(clean)
     if all_matches:
-        found = F.regexp_extract_all(c, F.lit(FOR_TARGETS), 0)
-    else:
-        found = F.array(F.regexp_extract(c, FOR_TARGETS, 0))
-    return F.flatten(F.transform(found, lambda m: _names(_without_last(m, 3, 2))))
+        return _identifiers(F.array_join(F.regexp_extract_all(c, F.lit(FOR_TARGETS_GROUPED), 1), " "))
+    return _identifiers(F.regexp_extract(c, FOR_TARGETS_GROUPED, 1))
 
 
 def python_vars(clean, all_matches: bool = False) -> Column:
@@ -65,7 +64,8 @@ def python_vars(clean, all_matches: bool = False) -> Column:
     the targets of the first ``for ... in``. ``all_matches=True`` also takes every later
     ``for ... in`` target.
     """
-    return F.array_sort(F.array_distinct(F.concat(assign_targets(clean), for_targets(clean, all_matches))))
+    return let(_c(clean), lambda c: F.array_sort(F.array_distinct(
+        F.concat(assign_targets(c), for_targets(c, all_matches)))))
 
 
 def python_lexemes(clean) -> Column:
@@ -80,17 +80,21 @@ def python_code_tokens(col, append_newline: bool = True, all_matches: bool = Fal
     dropped, and a final ``newline`` closes any line with code (S60, S64, S48, S17).
     """
     def tokens(s: Column) -> Column:
+        # The lexer makes every other punctuation mark a one-character lexeme, so a lexeme
+        # that starts with a quote and is longer than one character is a whole string.
         kinds = F.transform(s["lex"], lambda t: (
             F.when(t.startswith("#"), F.lit(None))
-            .when(t.rlike(r"""^('.*'|".*")$"""), F.lit("STRING"))
-            .when(t.rlike(r"^\d"), F.lit("NUMBER"))
+            .when(F.substring(t, 1, 1).isin("'", '"') & (F.length(t) > 1), F.lit("STRING"))
+            .when(F.substring(t, 1, 1).between("0", "9"), F.lit("NUMBER"))
             .when(F.array_contains(s["names"], t), F.lit("VAR"))
             .otherwise(t)))
-        body = F.filter(kinds, lambda t: t.isNotNull())
-        if append_newline:
-            body = F.when(F.size(body) > 0, F.concat(body, F.array(F.lit("NEWLINE")))).otherwise(body)
-        words = F.split(snake_case(F.array_join(body, " ")), " ")
-        return F.filter(words, lambda w: F.trim(w) != "")
+        def finish(body: Column) -> Column:
+            if append_newline:
+                body = F.when(F.size(body) > 0, F.concat(body, F.array(F.lit("NEWLINE")))).otherwise(body)
+            words = F.split(snake_case(F.array_join(body, " ")), " ")
+            return F.filter(words, lambda w: F.trim(w) != "")
+
+        return let(F.filter(kinds, lambda t: t.isNotNull()), finish)
 
     return let(python_clean(col), lambda clean: let(
         F.struct(python_vars(clean, all_matches).alias("names"), python_lexemes(clean).alias("lex")), tokens))

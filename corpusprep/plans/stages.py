@@ -50,3 +50,18 @@ def corpus_report(stage: dict) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def convert_vectors(spark, text_path: str, out_path: str, dim: int | None = None) -> DataFrame:
+    """word2vec text -> unit-length vectors -> parquet; returns the written table."""
+    from corpusprep.sources import io
+
+    io.write_vectors(vectors.unit_vectors(io.read_word_vectors(spark, text_path, dim)), out_path)
+    return io.read_vectors(spark, out_path)
+
+
+def dictionary_job(vocab_df: DataFrame, vectors_df: DataFrame, seed: int = 7) -> dict:
+    """Dictionary (specials first, words ascending), failed words, and the stored-vector check."""
+    dictionary = vectors.build_dictionary(vocab_df, vectors_df, seed=seed)
+    return {"dictionary": dictionary, "failed": vectors.failed_words(vocab_df, vectors_df),
+            "check": vectors.verify_dictionary(dictionary, vectors_df)}

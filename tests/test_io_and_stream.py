@@ -114,3 +114,19 @@ def test_streaming_tokenise_and_encode_match_batch(spark):
     enc = io.read_encoded(spark, f"{root}/encoded")
     assert enc.exceptAll(encode_corpus(batch, d)).count() == 0
     assert enc.count() == batch.count()
+
+
+def test_convert_vectors_and_dictionary_job(spark):
+    from corpusprep.plans import stages
+
+    root = _fresh()
+    path = os.path.join(root, "v.txt")
+    with open(path, "w") as f:
+        f.write("2 3\nx 3 0 4\ny 0 0 0\n")
+    out = {r["word"]: r["vec"] for r in stages.convert_vectors(spark, path, f"{root}/unit", 3).collect()}
+    assert np.allclose(out["x"], [0.6, 0.0, 0.8]) and out["y"] == [0.0, 0.0, 0.0]
+    vocab = spark.createDataFrame([("x",), ("q",)], "word string")
+    job = stages.dictionary_job(vocab, io.read_vectors(spark, f"{root}/unit"))
+    assert {r["word"]: r["idx"] for r in job["dictionary"].collect()}["x"] == 4
+    assert [r["word"] for r in job["failed"].collect()] == ["q"]
+    assert job["check"].first()["mismatched"] == 0
