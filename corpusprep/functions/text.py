@@ -114,9 +114,12 @@ def strip_ws(col) -> Column:
 def filter_chars(col, dialect: str = "python", wide: bool = False) -> Column:
     """Strict (S44) or wide (S45) character filter, then squeeze ``-`` and ``_`` runs and blank bars."""
     pattern = (WIDE_FILTER if wide else STRICT_FILTER)[_check(dialect)]
-    c = F.regexp_replace(_c(col), pattern, " ")
-    c = F.regexp_replace(c, r"([-_])\1+", "$1")
-    return F.translate(c, "|\u00a6", "  ")
+
+    def squeeze_runs(v: Column) -> Column:
+        has_run = (F.instr(v, "--") > 0) | (F.instr(v, "__") > 0)
+        return F.translate(F.when(has_run, F.regexp_replace(v, r"([-_])\1+", "$1")).otherwise(v), "|\u00a6", "  ")
+
+    return let(F.regexp_replace(_c(col), pattern, " "), squeeze_runs)
 
 
 def filter_strict(col, dialect: str = "python") -> Column:
@@ -171,7 +174,8 @@ def snake_case(col) -> Column:
 
 def strip_brackets(col, dialect: str = "python") -> Column:
     """Remove innermost non-empty bracketed text (one pass)."""
-    return F.regexp_replace(_c(col), BRACKETS[_check(dialect)], "")
+    pattern = BRACKETS[_check(dialect)]
+    return let(_c(col), lambda v: F.when(F.instr(v, "(") > 0, F.regexp_replace(v, pattern, "")).otherwise(v))
 
 
 def strip_dots(col) -> Column:
@@ -288,7 +292,7 @@ def _line_words(col, dialect: str, quote: str) -> Column:
 def query_tokens(col, dialect: str = "python", quote: str = '"') -> Column:
     """Query text to tokens (pre-lemma)."""
     words = _line_words(filter_strict(col, dialect), dialect, quote)
-    return F.filter(words, lambda w: (F.trim(w) != "") & ~w.rlike(r"[()]"))
+    return F.filter(words, lambda w: (F.trim(w) != "") & (F.instr(w, "(") == 0) & (F.instr(w, ")") == 0))
 
 
 def context_tokens(col, dialect: str = "python", quote: str = '"') -> Column:

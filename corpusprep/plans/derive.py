@@ -16,7 +16,10 @@ from corpusprep.operators.vocab import build_vocab
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A provided table, spread over the cores when its file has fewer splits than that."""
+    from corpusprep.sources.io import spread_input
+
+    return spread_input(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _s(name: str) -> Column:

@@ -14,10 +14,30 @@ ENCODED_SCHEMA = ("qid struct<question_id:string,cand:int>, ctx1_ids array<int>,
 DICTIONARY_SCHEMA = "idx int, word string, vec array<float>"
 
 
-def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", nested: bool = False) -> DataFrame:
+MIN_PARTITIONS_CONF = "corpusprep.minInputPartitions"
+
+
+def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` tasks when the scan yields fewer splits.
+
+    The text rules are CPU-bound per row. A large input (many files or row groups) already
+    has more splits than cores and is returned unchanged, without a shuffle; a small file
+    with one row group would otherwise be tokenised by a single task. The default target is
+    ``corpusprep.minInputPartitions`` or else the default parallelism.
+    """
+    spark = df.sparkSession
+    target = min_partitions or int(spark.conf.get(MIN_PARTITIONS_CONF, "0") or 0) \
+        or spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
+
+
+def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", nested: bool = False,
+                spread: bool = True) -> DataFrame:
     """Raw records with an explicit schema (flat, or the nested reference layout flattened by S10)."""
     schema = NESTED_SCHEMA if nested else RAW_SCHEMA
     df = spark.read.schema(schema).format(fmt).load(path)
+    if spread:
+        df = spread_input(df)
     return flatten_record(df) if nested else df
 
 
