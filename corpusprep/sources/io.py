@@ -15,20 +15,28 @@ DICTIONARY_SCHEMA = "idx int, word string, vec array<float>"
 
 
 MIN_PARTITIONS_CONF = "corpusprep.minInputPartitions"
+SPREAD_MIN_BYTES_CONF = "corpusprep.spreadMinBytes"
+SPREAD_MIN_BYTES = 1024 * 1024
 
 
 def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread rows over at least ``min_partitions`` tasks when the scan yields fewer splits.
 
     The text rules are CPU-bound per row. A large input (many files or row groups) already
-    has more splits than cores and is returned unchanged, without a shuffle; a small file
-    with one row group would otherwise be tokenised by a single task. The default target is
+    has more splits than cores and is returned unchanged, without a shuffle; a file with one
+    row group would otherwise be tokenised by a single task. Inputs below
+    ``corpusprep.spreadMinBytes`` (Catalyst's size estimate, 1 MB by default) stay as they
+    are: one task handles them faster than a shuffle. The default target is
     ``corpusprep.minInputPartitions`` or else the default parallelism.
     """
     spark = df.sparkSession
     target = min_partitions or int(spark.conf.get(MIN_PARTITIONS_CONF, "0") or 0) \
         or spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    floor = int(spark.conf.get(SPREAD_MIN_BYTES_CONF, str(SPREAD_MIN_BYTES)))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if size < floor else df.repartition(target)
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", nested: bool = False,
