@@ -37,7 +37,8 @@ def python_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("# order "), k, F.lit("\nsumPrice = 0x1F\nwhile sumPrice < "), c,
                  F.lit(":\n    sumPrice = sumPrice + 1.5\nprint('done for x in it', sumPrice)")),
         F.concat(F.lit("def f(a, b="), c, F.lit("):\n    return a->b >> "), k,
-                 F.lit("\n>>> f(1)\nresult = [x for x in range("), k, F.lit(") if x != '"), pr, F.lit("']")),
+                 F.lit("\n>>> f(1)\nresult = [x for x in range("), k, F.lit(") if x != '"), pr,
+                 F.lit("'] + [y for y in range("), c, F.lit(")]")),
         F.concat(F.lit("customer_id, order_id = "), c, F.lit(", "), k,
                  F.lit("\nprint(\"it's \" + '"), st, F.lit("')")),
     ]

@@ -156,6 +156,15 @@ def py_vars(clean):
     return f"list_sort(list_distinct(list_concat({eq_names}, {fo_names})))"
 
 
+def py_vars_all(clean):
+    eq = f"regexp_extract({clean}, {L(r'^(\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)(,\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)*=')}, 0)"
+    eq_names = _names(f"(CASE WHEN length({eq}) > 0 THEN left({eq}, length({eq}) - 1) ELSE '' END)")
+    grouped = r"for\s+([_a-zA-Z][_a-zA-Z0-9]*\s*(?:,\s*[_a-zA-Z][_a-zA-Z0-9]*)*)\s+in"
+    fo_names = (f"flatten(list_transform(regexp_extract_all({clean}, {L(grouped)}, 1), "
+                f"lambda m: {_names('m')}))")
+    return f"list_sort(list_distinct(list_concat({eq_names}, {fo_names})))"
+
+
 PY_LEX = r"""'[^']*'|"[^"]*"|#.*|\d\w*|\w+|[^\s\w]"""
 
 
@@ -258,7 +267,8 @@ PY_SNIPPETS = f"""SELECT o_orderkey AS id, CASE o_orderkey % 4
   WHEN 1 THEN '# order ' || o_orderkey || {NL} || 'sumPrice = 0x1F' || {NL} || 'while sumPrice < ' || o_custkey
        || ':' || {NL} || '    sumPrice = sumPrice + 1.5' || {NL} || 'print(''done for x in it'', sumPrice)'
   WHEN 2 THEN 'def f(a, b=' || o_custkey || '):' || {NL} || '    return a->b >> ' || o_orderkey || {NL}
-       || '>>> f(1)' || {NL} || 'result = [x for x in range(' || o_orderkey || ') if x != ''' || o_orderpriority || ''']'
+       || '>>> f(1)' || {NL} || 'result = [x for x in range(' || o_orderkey || ') if x != ''' || o_orderpriority
+       || '''] + [y for y in range(' || o_custkey || ')]'
   ELSE 'customer_id, order_id = ' || o_custkey || ', ' || o_orderkey || {NL} || 'print("it''s " + ''' || o_orderstatus
        || ''')'
 END AS code FROM orders"""
@@ -489,6 +499,8 @@ SELECT dt.doc_id, coalesce(string_agg(j.w, ' ' ORDER BY j.pos), '') AS tokens
 FROM dt LEFT JOIN j ON j.doc_id = dt.doc_id GROUP BY dt.doc_id""",
     "python_clean": f"SELECT id, {py_clean('code')} AS clean FROM ({PY_SNIPPETS})",
     "python_vars": f"SELECT id, {J(py_vars('c'))} AS vars FROM (SELECT id, {py_clean('code')} AS c FROM ({PY_SNIPPETS}))",
+    "python_vars_all": f"SELECT id, {J(py_vars_all('c'))} AS vars FROM (SELECT id, {py_clean('code')} AS c "
+                       f"FROM ({PY_SNIPPETS}))",
     "python_code_tokens": f"SELECT id, {J('toks')} AS tokens FROM ({py_token_select(PY_SNIPPETS)})",
     "sql_clean": f"SELECT id, {sql_clean('code')} AS clean FROM ({SQL_SNIPPETS})",
     "sql_sanitise": f"SELECT id, coalesce({sql_sanitise(sql_clean('code'))}, '-1000') AS sanitised FROM ({SQL_SNIPPETS})",

@@ -91,6 +91,11 @@ def q_python_vars(spark, sf_dir):
     return s.select("id", _j(pycode.python_vars(pycode.python_clean("code"))).alias("vars"))
 
 
+def q_python_vars_all(spark, sf_dir):
+    s = derive.python_snippets(spark, sf_dir)
+    return s.select("id", _j(pycode.python_vars(pycode.python_clean("code"), all_matches=True)).alias("vars"))
+
+
 def q_python_code_tokens(spark, sf_dir):
     return derive.python_snippets(spark, sf_dir).select("id", _j(pycode.python_code_tokens("code")).alias("tokens"))
 
@@ -331,6 +336,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lemma_join": q_lemma_join,
     "python_clean": q_python_clean,
     "python_vars": q_python_vars,
+    "python_vars_all": q_python_vars_all,
     "python_code_tokens": q_python_code_tokens,
     "sql_clean": q_sql_clean,
     "sql_sanitise": q_sql_sanitise,

@@ -158,3 +158,23 @@ def test_composite_shortcuts_equal_rule_by_rule_chain(spark, texts):
             assert r["a"] == r["b"], (dialect, r["t"])
             if r["t"] != "-10000":
                 assert r["c"] == r["d"], (dialect, r["t"])
+
+
+def test_split_with_a_hot_question_uses_aggregate_and_join(spark):
+    # One question holds a third of all records.
+    rows = [(("hot", i), i) for i in range(3000)] + [((f"q{i // 2}", i), i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "qid struct<question_id:string,cand:int>, n int").repartition(8)
+    single, multiple = corpus.split_candidates(df)
+    plan = _executed(multiple)
+    assert "Window" not in plan and "HashAggregate" in plan
+    assert multiple.count() == 9000 and single.count() == 0
+
+
+def test_vocab_with_a_hot_word_combines_before_the_shuffle(spark):
+    from corpusprep.operators.vocab import build_vocab
+
+    df = spark.createDataFrame([(["the"] * 50 + [f"w{i}"],) for i in range(2000)], "t array<string>").repartition(8)
+    v = build_vocab(df, fields=["t"])
+    plan = _executed(v)
+    assert plan.count("HashAggregate") >= 2  # partial (map-side) and final
+    assert v.count() == 2001
