@@ -43,7 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder must be shared storage named by ``spark.checkpoint.dir``; a
     machine-local temporary folder is used only in local mode (tests, laptops).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+        return ""
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()

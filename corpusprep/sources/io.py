@@ -30,12 +30,16 @@ def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     ``corpusprep.minInputPartitions`` or else the default parallelism.
     """
     spark = df.sparkSession
-    target = min_partitions or int(spark.conf.get(MIN_PARTITIONS_CONF, "0") or 0) \
-        or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or int(spark.conf.get(MIN_PARTITIONS_CONF, "0") or 0) \
+            or spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session exposes no plan internals
+        return df
+    if splits >= target:
         return df
     floor = int(spark.conf.get(SPREAD_MIN_BYTES_CONF, str(SPREAD_MIN_BYTES)))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df if size < floor else df.repartition(target)
 
 

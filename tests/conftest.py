@@ -20,6 +20,7 @@ def spark():
                .config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.adaptive.enabled", "true")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(session)
