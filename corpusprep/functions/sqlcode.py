@@ -27,10 +27,21 @@ FAILED_CODE = "-1000"
 # Words that get a "1" suffix during sanitising (reference rule).
 SUFFIXED_WORDS = ["index", "table", "day", "year", "user", "text"]
 
-# Pattern-token names for characters inside string literals (reference rule).
-STRING_SYMBOLS = {"+": "REGPLU", "*": "REGAST", "%": "REGCOL", "^": "REGSTA", "$": "REGEND", "?": "REGQUE"}
-STRING_PIECE = r"\[[^\]]*\]|[+*%^$?]|[.~`;_a-zA-Z0-9\s=:{}\\-]+|."
-STRING_RUN = r"^[.~`;_a-zA-Z0-9\s=:{}\\-]+$"
+# Scanner rules for the text of a string literal, in the reference's order.
+# At each position the first rule that matches wins; KEEP keeps the matched text, None drops it.
+KEEP = object()
+STRING_SCANNER = [
+    (r"\[[^\]]*\]", KEEP),
+    (r"\+", "REGPLU"),
+    (r"\*", "REGAST"),
+    (r"%", "REGCOL"),
+    (r"\^", "REGSTA"),
+    (r"\$", "REGEND"),
+    (r"\?", "REGQUE"),
+    (r"[\.~``;_a-zA-Z0-9\s=:\{\}\-\\]+", "REFRE"),
+    (r".", None),
+]
+STRING_PIECE = "|".join(f"(?:{pattern})" for pattern, _ in STRING_SCANNER)
 
 # Keywords and built-in type names that are neither renamed nor classified as names.
 # Public SQL vocabulary (ANSI reserved words and common dialect keywords and types).
@@ -92,16 +103,17 @@ def string_pattern_tokens(lit: Column, regex: bool = True) -> Column:
     if not regex:
         return F.lit("CODSTR")
     pieces = F.regexp_extract_all(lit, F.lit(STRING_PIECE), 0)
-    named = F.transform(pieces, lambda p: (
-        F.when(p.startswith("[") & (F.length(p) > 1), p)
-        .when(p == "+", F.lit(STRING_SYMBOLS["+"]))
-        .when(p == "*", F.lit(STRING_SYMBOLS["*"]))
-        .when(p == "%", F.lit(STRING_SYMBOLS["%"]))
-        .when(p == "^", F.lit(STRING_SYMBOLS["^"]))
-        .when(p == "$", F.lit(STRING_SYMBOLS["$"]))
-        .when(p == "?", F.lit(STRING_SYMBOLS["?"]))
-        .when(p.rlike(STRING_RUN), F.lit("REFRE"))))
-    return F.array_join(named, " ")
+
+    def name(p: Column) -> Column:
+        # A piece came from the first rule that matches it whole.
+        expr = None
+        for pattern, out in STRING_SCANNER:
+            value = p if out is KEEP else F.lit(out)
+            cond = p.rlike(f"^(?:{pattern})$")
+            expr = F.when(cond, value) if expr is None else expr.when(cond, value)
+        return expr
+
+    return F.array_join(F.transform(pieces, name), " ")
 
 
 def sql_lexemes(sanitised) -> Column:

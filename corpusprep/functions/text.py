@@ -33,7 +33,9 @@ WIDE_FILTER = {
 }
 
 # Contraction rules, in application order. The reference writes the apostrophe as a double
-# quote; "{q}" below stands for that quote character (parameter ``quote``).
+# quote; "{q}" below stands for that quote character (parameter ``quote``). The Python
+# dialect's rule list also has ``(?<=[a-zA-Z]){q}s`` -> "" second; it can never match after
+# the first rule has replaced every ``{q}s``, so it is left out.
 CONTRACTIONS = {
     "python": [
         ("{q}s", " is"),
