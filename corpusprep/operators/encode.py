@@ -48,6 +48,15 @@ def dictionary_side(dictionary: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BY
     return F.broadcast(side) if estimate <= limit_bytes else side
 
 
+def _packed(order: Column, idx: Column) -> Column:
+    """``order * 2^32 + idx`` as a long: sorting the packed values sorts by ``order`` (ids are ints >= 0)."""
+    return F.shiftleft(order.cast("long"), 32) + idx.cast("long")
+
+
+def _unpacked(packed: Column) -> Column:
+    return F.transform(packed, lambda x: (x % F.lit(1 << 32)).cast("int"))
+
+
 def lookup_ids(tokens_long: DataFrame, dictionary: DataFrame, token: str = "token", unk: int = UNK,
                limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Add ``idx`` to a long token table; unknown tokens get ``unk``."""
@@ -68,9 +77,9 @@ def encode_tokens(df: DataFrame, key: str, tokens: str, dictionary: DataFrame, k
         arr = F.slice(arr, 1, keep)
     long = df.select(key, F.posexplode_outer(arr).alias("pos", "token"))
     looked = lookup_ids(long, dictionary, "token", unk, limit_bytes)
-    entry = F.when(F.col("token").isNotNull(), F.struct("pos", "idx"))
-    folded = looked.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
-    return folded.select(key, F.col("_e.idx").alias("ids"))
+    entry = F.when(F.col("token").isNotNull(), _packed(F.col("pos"), F.col("idx")))
+    folded = looked.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    return folded.select(key, _unpacked(F.col("_e")).alias("ids"))
 
 
 def encode_corpus(df: DataFrame, dictionary: DataFrame, lengths: dict | None = None, cap: int = CODE_CAP,
@@ -94,12 +103,14 @@ def encode_corpus(df: DataFrame, dictionary: DataFrame, lengths: dict | None = N
     long = stacked.select("qid", F.col("f.field").alias("field"),
                           F.posexplode_outer("f.toks").alias("pos", "token"))
     looked = lookup_ids(long, dictionary, "token", unk, limit_bytes)
-    looked = looked.withColumn("idx", F.when(F.col("token").isNull(), F.lit(None)).otherwise(F.col("idx")))
-    folded = looked.groupBy("qid").agg(F.array_sort(F.collect_list(
-        F.when(F.col("idx").isNotNull(), F.struct("field", "pos", "idx")))).alias("entries"))
+    # Sort key: field, then position (both small: positions are cut to at most 350 above).
+    order = F.col("field") * F.lit(1 << 20) + F.col("pos")
+    entry = F.when(F.col("token").isNotNull(), _packed(order, F.col("idx")))
+    folded = looked.groupBy("qid").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
 
     def ids_of(i: int) -> Column:
-        return F.transform(F.filter("entries", lambda e: e["field"] == i), lambda e: e["idx"])
+        lo, hi = i << 52, (i + 1) << 52
+        return _unpacked(F.filter("entries", lambda e: (e >= F.lit(lo)) & (e < F.lit(hi))))
 
     out = [F.col("qid")]
     for i, (name, _, _) in enumerate(fields):
