@@ -16,7 +16,7 @@ DICTIONARY_SCHEMA = "idx int, word string, vec array<float>"
 
 MIN_PARTITIONS_CONF = "corpusprep.minInputPartitions"
 SPREAD_MIN_BYTES_CONF = "corpusprep.spreadMinBytes"
-SPREAD_MIN_BYTES = 1024 * 1024
+SPREAD_MIN_BYTES = 64 * 1024
 
 
 def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -25,7 +25,7 @@ def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     The text rules are CPU-bound per row. A large input (many files or row groups) already
     has more splits than cores and is returned unchanged, without a shuffle; a file with one
     row group would otherwise be tokenised by a single task. Inputs below
-    ``corpusprep.spreadMinBytes`` (Catalyst's size estimate, 1 MB by default) stay as they
+    ``corpusprep.spreadMinBytes`` (Catalyst's size estimate, 64 KB by default) stay as they
     are: one task handles them faster than a shuffle. The default target is
     ``corpusprep.minInputPartitions`` or else the default parallelism.
     """
