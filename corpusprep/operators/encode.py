@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import let
+from corpusprep.operators.lookup import BROADCAST_LIMIT_BYTES, SALT_BUCKETS, left_lookup, measured_size
 from corpusprep.operators.vectors import PAD, UNK
 
 # Encoded lengths of ctx1, ctx2, code, query; the code cap and the code
@@ -15,11 +16,6 @@ CODE_CAP = 348
 CODE_START, CODE_END = 1, 2
 BLOCK_LENGTH, LABEL = 4, 0
 
-# Dictionaries up to this estimated size are broadcast to the lookup; larger ones use a
-# shuffle join whose skewed token partitions AQE splits.
-BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
-
-
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -43,9 +39,7 @@ def code_ids(ids, cap: int = CODE_CAP, start: int = CODE_START, end: int = CODE_
 def dictionary_side(dictionary: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """``(word, idx)`` of the dictionary, broadcast only when its measured size is within the limit."""
     side = dictionary.select("word", "idx")
-    stats = side.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("word")).alias("chars")).first()
-    estimate = int(stats["n"] or 0) * 48 + int(stats["chars"] or 0)
-    return F.broadcast(side) if estimate <= limit_bytes else side
+    return F.broadcast(side) if measured_size(side) <= limit_bytes else side
 
 
 def _packed(order: Column, idx: Column) -> Column:
@@ -58,11 +52,15 @@ def _unpacked(packed: Column) -> Column:
 
 
 def lookup_ids(tokens_long: DataFrame, dictionary: DataFrame, token: str = "token", unk: int = UNK,
-               limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Add ``idx`` to a long token table; unknown tokens get ``unk``."""
-    side = dictionary_side(dictionary, limit_bytes)
-    joined = tokens_long.join(side, tokens_long[token] == side["word"], "left")
-    return joined.drop("word").withColumn("idx", F.coalesce(F.col("idx"), F.lit(unk)).cast("int"))
+               limit_bytes: int = BROADCAST_LIMIT_BYTES, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Add ``idx`` to a long token table; unknown tokens get ``unk``.
+
+    The dictionary is broadcast when its measured size is within ``limit_bytes``, else joined
+    by a salted shuffle (see :func:`corpusprep.operators.lookup.left_lookup`).
+    """
+    side = dictionary.select(F.col("word").alias("_word"), "idx")
+    joined = left_lookup(tokens_long, side, token, "_word", limit_bytes, salt_buckets)
+    return joined.withColumn("idx", F.coalesce(F.col("idx"), F.lit(unk)).cast("int"))
 
 
 def encode_tokens(df: DataFrame, key: str, tokens: str, dictionary: DataFrame, keep: int | None = None,

@@ -5,30 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.operators.encode import BROADCAST_LIMIT_BYTES
-
-
-def _lemma_side(lemmas: DataFrame, limit_bytes: int) -> DataFrame:
-    side = lemmas.select(F.col("token").alias("_tok"), "lemma")
-    stats = side.agg(F.count(F.lit(1)).alias("n"),
-                     F.sum(F.length("_tok") + F.length("lemma")).alias("chars")).first()
-    estimate = int(stats["n"] or 0) * 48 + int(stats["chars"] or 0)
-    return F.broadcast(side) if estimate <= limit_bytes else side
+from corpusprep.operators.lookup import BROADCAST_LIMIT_BYTES, SALT_BUCKETS, left_lookup
 
 
 def lemma_join(df: DataFrame, lemmas: DataFrame | None, key: str, tokens: str,
-               limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+               limit_bytes: int = BROADCAST_LIMIT_BYTES, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Replace every token of the array column ``tokens`` by its lemma, keeping order.
 
     ``lemmas`` is a ``(token, lemma)`` table with unique tokens; without one the tokens are
     returned unchanged. ``key`` must identify a row. The table is broadcast when its
-    measured size is within ``limit_bytes``.
+    measured size is within ``limit_bytes``, else joined by a salted shuffle.
     """
     if lemmas is None:
         return df.select(key, tokens)
     long = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
-    side = _lemma_side(lemmas, limit_bytes)
-    joined = long.join(side, long["token"] == side["_tok"], "left")
+    side = lemmas.select(F.col("token").alias("_tok"), "lemma")
+    joined = left_lookup(long, side, "token", "_tok", limit_bytes, salt_buckets)
     entry = F.when(F.col("token").isNotNull(), F.struct("pos", F.coalesce("lemma", "token").alias("t")))
     folded = joined.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
     return folded.select(key, F.col("_e.t").alias(tokens))

@@ -178,3 +178,26 @@ def test_vocab_with_a_hot_word_combines_before_the_shuffle(spark):
     plan = _executed(v)
     assert plan.count("HashAggregate") >= 2  # partial (map-side) and final
     assert v.count() == 2001
+
+
+def test_salted_lookup_matches_broadcast_lookup(spark):
+    d = spark.createDataFrame([(4 + i, f"w{i}") for i in range(50)], "idx int, word string")
+    # "w0" is a third of all tokens.
+    toks = spark.createDataFrame([(i, ["w0"] * 20 + [f"w{(i * 7 + j) % 60}" for j in range(40)]) for i in range(60)],
+                                 "id long, t array<string>")
+    fast = {r["id"]: r["ids"] for r in encode.encode_tokens(toks, "id", "t", d).collect()}
+    salted_df = encode.encode_tokens(toks, "id", "t", d, limit_bytes=1)
+    salted = {r["id"]: r["ids"] for r in salted_df.collect()}
+    assert fast == salted
+    assert "xxhash64" in salted_df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_salted_lemma_join_matches_broadcast(spark):
+    from corpusprep.operators import lemma
+
+    lem = spark.createDataFrame([("cats", "cat"), ("dogs", "dog")], "token string, lemma string")
+    toks = spark.createDataFrame([(i, ["cats"] * 10 + ["dogs", "x", "cats"][: i % 4]) for i in range(30)],
+                                 "id long, t array<string>")
+    a = {r["id"]: r["t"] for r in lemma.lemma_join(toks, lem, "id", "t").collect()}
+    b = {r["id"]: r["t"] for r in lemma.lemma_join(toks, lem, "id", "t", limit_bytes=1).collect()}
+    assert a == b and a[3] == ["cat"] * 10 + ["dog", "x", "cat"]
