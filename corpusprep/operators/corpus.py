@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.operators.lookup import left_lookup
+
 # Raw record, reference layout: key, [[ctx1], [ctx2]], [[code]], [query].
 NESTED_SCHEMA = ("qid struct<question_id:string,cand:int>, ctx array<array<string>>, "
                  "code array<array<string>>, query array<string>")
@@ -43,12 +45,13 @@ def with_candidate_count(df: DataFrame, key: str = "qid.question_id") -> DataFra
 
     The count is a map-side-combined aggregate on the key alone, joined back on the key.
     A question holding a large share of all records cannot overload one task: the
-    aggregate combines before the shuffle, and AQE either broadcasts the small count table
-    or splits the skewed partition of the sort-merge join.
+    aggregate combines before the shuffle, and the count table is broadcast when its
+    measured size allows, else joined with salted keys (every record's question has a count).
     """
-    counts = candidate_counts(df, key)
-    return (df.withColumn("question_id", F.col(key))
-            .join(counts, "question_id", "inner"))
+    counts = candidate_counts(df, key).withColumnRenamed("question_id", "_qid")
+    records = df.withColumn("question_id", F.col(key))
+    record_key = key.split(".")[0]
+    return left_lookup(records, counts, "question_id", "_qid", salt_by=[record_key])
 
 
 def split_candidates(df: DataFrame, key: str = "qid.question_id") -> tuple[DataFrame, DataFrame]:

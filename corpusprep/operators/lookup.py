@@ -20,20 +20,22 @@ def measured_size(table: DataFrame) -> int:
 
 
 def left_lookup(long: DataFrame, table: DataFrame, left_key: str, right_key: str,
-                limit_bytes: int = BROADCAST_LIMIT_BYTES, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+                limit_bytes: int = BROADCAST_LIMIT_BYTES, salt_buckets: int = SALT_BUCKETS,
+                salt_by: list[str] | None = None) -> DataFrame:
     """``long`` left-joined with ``table`` on ``long[left_key] == table[right_key]`` (unique right keys).
 
     A table within ``limit_bytes`` (measured) is broadcast. A larger one is joined by shuffle
     on ``(key, salt)``: each row of ``long`` takes a salt from a hash of the whole row
     (deterministic on recomputation) and the table is repeated once per salt, so a key that
     makes up a third of all rows is spread over ``salt_buckets`` partitions instead of one.
-    The right key column is dropped from the result.
+    ``salt_by`` names the columns hashed for the salt (default: all); they must differ
+    between rows of one key. The right key column is dropped from the result.
     """
     if measured_size(table) <= limit_bytes:
         return long.join(F.broadcast(table), long[left_key] == table[right_key], "left").drop(table[right_key])
     if salt_buckets <= 1:
         return long.join(table, long[left_key] == table[right_key], "left").drop(table[right_key])
-    salted = long.withColumn("_salt", F.pmod(F.xxhash64(*long.columns), F.lit(salt_buckets)))
+    salted = long.withColumn("_salt", F.pmod(F.xxhash64(*(salt_by or long.columns)), F.lit(salt_buckets)))
     copies = table.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
     cond = (salted[left_key] == copies[right_key]) & (salted["_salt"] == copies["_s"])
     return salted.join(copies, cond, "left").drop("_salt", "_s").drop(copies[right_key])

@@ -201,3 +201,15 @@ def test_salted_lemma_join_matches_broadcast(spark):
     a = {r["id"]: r["t"] for r in lemma.lemma_join(toks, lem, "id", "t").collect()}
     b = {r["id"]: r["t"] for r in lemma.lemma_join(toks, lem, "id", "t", limit_bytes=1).collect()}
     assert a == b and a[3] == ["cat"] * 10 + ["dog", "x", "cat"]
+
+
+def test_salted_split_matches(spark):
+    from corpusprep.operators import lookup
+
+    rows = [(("hot", i), i) for i in range(300)] + [((f"q{i}", 0), 1000 + i) for i in range(50)]
+    df = spark.createDataFrame(rows, "qid struct<question_id:string,cand:int>, n int")
+    counts = corpus.candidate_counts(df).withColumnRenamed("question_id", "_qid")
+    salted = lookup.left_lookup(df.withColumn("question_id", F.col("qid.question_id")), counts, "question_id",
+                                "_qid", limit_bytes=1, salt_by=["qid"])
+    got = sorted((r["n"], r["n_candidates"]) for r in salted.collect())
+    assert got == sorted([(i, 300) for i in range(300)] + [(1000 + i, 1) for i in range(50)])
