@@ -12,21 +12,37 @@ from corpusprep.functions.text import context_tokens, query_tokens
 TOKEN_FIELDS = ["ctx1_tokens", "ctx2_tokens", "code_tokens", "query_tokens"]
 
 
-def tokenise_fields(df: DataFrame, lang: str) -> DataFrame:
-    """Token arrays for one language; one projection, no shuffle."""
+LANGS = ("python", "sql")
+
+
+def _code(lang: str):
     if lang == "python":
-        code = F.struct(python_code_tokens("code").alias("tokens"), F.lit(True).alias("ok"))
-    elif lang == "sql":
-        code = sql_code_parse("code")
+        return F.struct(python_code_tokens("code").alias("tokens"), F.lit(True).alias("ok"))
+    if lang == "sql":
+        return sql_code_parse("code")
+    raise ValueError(f"unknown language {lang!r}")
+
+
+def _per_language(rule) -> F.Column:
+    """``rule(lang)`` for the row's language; only the matching branch is evaluated per row."""
+    return F.when(F.col("lang") == "python", rule("python")).otherwise(rule("sql"))
+
+
+def tokenise_fields(df: DataFrame, lang: str | None) -> DataFrame:
+    """Token arrays; one projection, no shuffle. ``lang=None`` picks the rule set per row."""
+    if lang is None:
+        pick, lang_col = _per_language, F.col("lang")
+    elif lang in LANGS:
+        pick, lang_col = (lambda rule: rule(lang)), F.lit(lang)
     else:
         raise ValueError(f"unknown language {lang!r}")
     staged = df.select(
         "qid",
-        F.lit(lang).alias("lang"),
-        context_tokens("ctx1", lang).alias("ctx1_tokens"),
-        context_tokens("ctx2", lang).alias("ctx2_tokens"),
-        code.alias("_code"),
-        query_tokens("query", lang).alias("query_tokens"),
+        lang_col.alias("lang"),
+        pick(lambda d: context_tokens("ctx1", d)).alias("ctx1_tokens"),
+        pick(lambda d: context_tokens("ctx2", d)).alias("ctx2_tokens"),
+        pick(_code).alias("_code"),
+        pick(lambda d: query_tokens("query", d)).alias("query_tokens"),
     )
     # Two references to ``_code`` keep Catalyst from inlining (and so repeating) the code rules.
     return staged.select("qid", "lang", "ctx1_tokens", "ctx2_tokens", F.col("_code.tokens").alias("code_tokens"),
@@ -37,10 +53,9 @@ def tokenise_corpus(df: DataFrame, lang: str | None = None) -> DataFrame:
     """Raw records to token records.
 
     With ``lang`` the whole input uses one rule set (the reference's ``main(lang_type, ...)``);
-    without it, the ``lang`` column selects the rule set per row: each branch filters its
-    rows (pushed to the scan) and the two narrow branches are unioned.
+    without it, the ``lang`` column selects the rule set per row in the same projection
+    (rows of other languages are filtered out at the scan), so the input is read once.
     """
     if lang is not None:
         return tokenise_fields(df, lang)
-    return (tokenise_fields(df.filter(F.col("lang") == "python"), "python")
-            .unionByName(tokenise_fields(df.filter(F.col("lang") == "sql"), "sql")))
+    return tokenise_fields(df.filter(F.col("lang").isin(*LANGS)), None)
