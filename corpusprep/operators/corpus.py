@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,12 +56,17 @@ def with_candidate_count(df: DataFrame, key: str = "qid.question_id") -> DataFra
     return left_lookup(records, counts, "question_id", "_qid", salt_by=[record_key])
 
 
-def split_candidates(df: DataFrame, key: str = "qid.question_id") -> tuple[DataFrame, DataFrame]:
-    """S13 + S14 + S88: (single-candidate records, multi-candidate records)."""
+class Split(NamedTuple):
+    single: DataFrame
+    multiple: DataFrame
+
+
+def split_candidates(df: DataFrame, key: str = "qid.question_id") -> Split:
+    """S13 + S14 + S88: ``Split(single, multiple)`` — single- and multi-candidate records."""
     tagged = with_candidate_count(df, key)
     cols = df.columns
-    return (tagged.filter(F.col("n_candidates") == 1).select(*cols),
-            tagged.filter(F.col("n_candidates") > 1).select(*cols))
+    return Split(tagged.filter(F.col("n_candidates") == 1).select(*cols),
+                 tagged.filter(F.col("n_candidates") > 1).select(*cols))
 
 
 def candidate_kind(df: DataFrame, key: str = "qid.question_id") -> DataFrame:

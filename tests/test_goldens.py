@@ -126,6 +126,7 @@ def test_split_and_label_goldens(spark):
     df = spark.createDataFrame([((q, i), q) for i, q in enumerate(["q1", "q2", "q2", "q3"])],
                                "qid struct<question_id:string,cand:int>, query string")
     single, multiple = corpus.split_candidates(df)
+    assert corpus.split_candidates(df).single.count() == 2
     assert sorted(r["query"] for r in single.collect()) == ["q1", "q3"]
     assert sorted(r["query"] for r in multiple.collect()) == ["q2", "q2"]
     labels = [(r["qid"]["question_id"], r["label"]) for r in corpus.label_singles(single).collect()]
