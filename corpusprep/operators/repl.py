@@ -53,20 +53,28 @@ def repl_flags(code) -> Column:
     return F.array_join(F.transform(F.split(_c(code), "\n"), lambda l: prompt_flag(l).cast("string")), "")
 
 
+def layout_of_flags(flags) -> Column:
+    """S67 from a snippet's flag string."""
+    return let(_c(flags), lambda f: (
+        F.when(~f.rlike("[1-5]"), F.lit("none"))
+        .when(f.rlike("^0*[14]"), F.lit("typical"))
+        .otherwise(F.lit("atypical"))))
+
+
 def repl_layout(code) -> Column:
     """``none`` (no prompt), ``typical`` (first prompt is ``In [n]:`` or ``>>>``), else ``atypical``."""
-    return let(repl_flags(code), lambda flags: (
-        F.when(~flags.rlike("[1-5]"), F.lit("none"))
-        .when(flags.rlike("^0*[14]"), F.lit("typical"))
-        .otherwise(F.lit("atypical"))))
+    return layout_of_flags(repl_flags(code))
 
 
 def repl_lines(df: DataFrame, id_col: str, code_col: str) -> DataFrame:
     """Long line table with flags, layout, kept text and island number per line."""
-    records = df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code")).repartition("id")
-    lines = records.select("id", repl_layout("code").alias("layout"),
-                           F.posexplode(F.split("code", "\n")).alias("ln", "line"))
-    lines = lines.withColumn("flag", prompt_flag("line"))
+    records = df.select(F.col(id_col).alias("id"), F.split(F.col(code_col), "\n").alias("lines")).repartition("id")
+    # Flags once per line: the array feeds both the snippet's layout and the exploded lines.
+    flagged = records.select("id", "lines", F.transform("lines", prompt_flag).alias("flags"))
+    lines = flagged.select(
+        "id", layout_of_flags(F.array_join(F.col("flags").cast("array<string>"), "")).alias("layout"),
+        F.posexplode(F.arrays_zip(F.col("lines").alias("line"), F.col("flags").alias("flag"))).alias("ln", "_lf"))
+    lines = lines.select("id", "layout", "ln", F.col("_lf.line").alias("line"), F.col("_lf.flag").alias("flag"))
     w = Window.partitionBy("id").orderBy("ln")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
