@@ -78,7 +78,7 @@ class _DocStage:
 
 def q_lemma_join(spark, sf_dir):
     toks = _doc_query_tokens(spark, sf_dir).checkpoint(eager=True)
-    table_ = lemma.plural_lemmas(vocab.build_vocab(toks, fields=["t"]))
+    table_ = lemma.plural_lemmas(vocab.build_vocab(toks, fields=["t"]).checkpoint(eager=True))
     return lemma.lemma_join(toks, table_, "doc_id", "t").select("doc_id", _j("t").alias("tokens"))
 
 
