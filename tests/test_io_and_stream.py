@@ -130,3 +130,28 @@ def test_convert_vectors_and_dictionary_job(spark):
     assert {r["word"]: r["idx"] for r in job["dictionary"].collect()}["x"] == 4
     assert [r["word"] for r in job["failed"].collect()] == ["q"]
     assert job["check"].first()["mismatched"] == 0
+
+
+def test_end_to_end_stages_written_and_consistent(spark):
+    from corpusprep.plans import stages
+
+    root = _fresh()
+    raw = derive.raw_corpus(spark, SF_SMALL)
+    out = stages.encode_raw_corpus(raw, spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
+    io.write_split(corpus.candidate_kind(raw), f"{root}/split")
+    io.write_tokens(out["tokens"], f"{root}/tokens")
+    io.write_vocab(out["vocab"], f"{root}/vocab")
+    io.write_dictionary(out["dictionary"], f"{root}/dictionary")
+    io.write_encoded(out["encoded"], f"{root}/encoded")
+    io.write_labels(corpus.label_singles(out["single"]), f"{root}/labels")
+
+    tokens = io.read_tokens(spark, f"{root}/tokens")
+    vocab_n = io.read_vocab(spark, f"{root}/vocab").count()
+    dictionary = io.read_dictionary(spark, f"{root}/dictionary")
+    ids = sorted(r["idx"] for r in dictionary.select("idx").collect())
+    assert ids == list(range(len(ids)))                       # contiguous, specials first
+    assert vocab_n == (len(ids) - 4) + out["failed"].count()  # every word is found or failed
+    enc = io.read_encoded(spark, f"{root}/encoded")
+    assert enc.count() == tokens.count() == raw.count()
+    assert enc.filter(F.exists("code_ids", lambda x: x >= len(ids))).count() == 0
+    assert spark.read.parquet(f"{root}/labels").count() == io.read_split(spark, f"{root}/split", "single").count()
