@@ -181,8 +181,8 @@ def strip_brackets(col, dialect: str = "python") -> Column:
 
 
 def strip_dots(col) -> Column:
-    """Remove trailing dots."""
-    return F.regexp_replace(_c(col), r"\.+$", "")
+    """Remove trailing dots (at the very end of the text; ``$`` would also match before a final newline)."""
+    return F.regexp_replace(_c(col), r"\.+\z", "")
 
 
 def normalize_line(col, dialect: str = "python", quote: str = '"', for_tokens: bool = False) -> Column:

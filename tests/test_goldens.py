@@ -33,6 +33,15 @@ NL = [
 ]
 
 
+def test_trailing_dots_only_at_the_very_end(spark):
+    assert _one(spark, "abc.\n", text.strip_dots) == "abc.\n"
+    assert _one(spark, "abc..", text.strip_dots) == "abc"
+    # SQL line rule: newline -> space, trim, brackets removed, then trailing dots; "abc. " keeps its dot.
+    assert _one(spark, "abc.\n(x)", lambda c: text.query_tokens(c, "sql")) == ["abc"]  # strict filter drops "."
+    assert _one(spark, "abc.\n(x)", lambda c: text.context_tokens(c, "sql")) == ["abc", "."]
+    assert _one(spark, "abc.", lambda c: text.context_tokens(c, "sql")) == ["abc"]
+
+
 def test_natural_language_goldens(spark):
     for value, kind, dialect, expected in NL:
         fn = text.query_tokens if kind == "query" else text.context_tokens
