@@ -19,6 +19,10 @@ FOR_TARGETS = r"for\s+[_a-zA-Z][_a-zA-Z0-9]*\s*(,\s*[_a-zA-Z][_a-zA-Z0-9]*)*\s+i
 # The same for-pattern with the target list captured as group 1.
 FOR_TARGETS_GROUPED = r"for\s+([_a-zA-Z][_a-zA-Z0-9]*\s*(?:,\s*[_a-zA-Z][_a-zA-Z0-9]*)*)\s+in"
 IDENTIFIER = r"[_a-zA-Z][_a-zA-Z0-9]*"
+# ``all_matches``: every target list of a chained assignment at the start of the line
+# (``a = b = 1``); a ``=`` followed by another ``=`` is a comparison, not an assignment.
+CHAINED_TARGETS = (r"^((?:\s*[_a-zA-Z][_a-zA-Z0-9]*\s*(?:,\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)*=\s*)+)"
+                   r"(?:[^=\s]|$)")
 
 # Lexer over the cleaned one-line form; alternatives are tried left to right.
 CODE_LEXEME = r"""'[^']*'|"[^"]*"|#.*|\d\w*|\w+|[^\s\w]"""
@@ -44,8 +48,11 @@ def _identifiers(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(IDENTIFIER), 0)
 
 
-def assign_targets(clean) -> Column:
-    """Names assigned at the start of the line (``a , b =``)."""
+def assign_targets(clean, all_matches: bool = False) -> Column:
+    """Names assigned at the start of the line (``a , b =``); with ``all_matches`` every
+    target of a chained assignment (``a = b = 1``)."""
+    if all_matches:
+        return _identifiers(F.regexp_extract(_c(clean), CHAINED_TARGETS, 1))
     return _identifiers(F.regexp_extract(_c(clean), ASSIGN_TARGETS, 0))
 
 
@@ -61,11 +68,16 @@ def python_vars(clean, all_matches: bool = False) -> Column:
     """S38 + S61 + S62 (+ S63 with ``all_matches``): sorted unique variable names.
 
     Default is the reference heuristic: the assignment targets at the start of the line and
-    the targets of the first ``for ... in``. ``all_matches=True`` also takes every later
-    ``for ... in`` target.
+    the targets of the first ``for ... in``. ``all_matches=True`` also takes every target of
+    a chained assignment at the start and of every later ``for ... in``.
     """
-    return let(_c(clean), lambda c: F.array_sort(F.array_distinct(
-        F.concat(assign_targets(c), for_targets(c, all_matches)))))
+    def names(c: Column) -> Column:
+        found = [assign_targets(c), for_targets(c, all_matches)]
+        if all_matches:
+            found.append(assign_targets(c, True))
+        return F.array_sort(F.array_distinct(F.concat(*found)))
+
+    return let(_c(clean), names)
 
 
 def python_lexemes(clean) -> Column:

@@ -31,7 +31,7 @@ def python_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     k, c, st, pr = _s("o_orderkey"), _s("o_custkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
     shapes = [
-        F.concat(F.lit("total_"), c, F.lit(" = "), k, F.lit("\nfor item, qty in lines("), c,
+        F.concat(F.lit("total_"), c, F.lit(" = count_"), c, F.lit(" = "), k, F.lit("\nfor item, qty in lines("), c,
                  F.lit("):\n    status = \""), st, F.lit("\"  # "), pr,
                  F.lit("\n    print(item, qty * total_"), c, F.lit(")")),
         F.concat(F.lit("# order "), k, F.lit("\nsumPrice = 0x1F\nwhile sumPrice < "), c,

@@ -157,8 +157,12 @@ def py_vars(clean):
 
 
 def py_vars_all(clean):
+    ident = r"[_a-zA-Z][_a-zA-Z0-9]*"
+    chain = r"^((?:\s*" + ident + r"\s*(?:,\s*" + ident + r"\s*)*=\s*)+)(?:[^=\s]|$)"
     eq = f"regexp_extract({clean}, {L(r'^(\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)(,\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)*=')}, 0)"
-    eq_names = _names(f"(CASE WHEN length({eq}) > 0 THEN left({eq}, length({eq}) - 1) ELSE '' END)")
+    first_names = _names(f"(CASE WHEN length({eq}) > 0 THEN left({eq}, length({eq}) - 1) ELSE '' END)")
+    chain_names = f"regexp_extract_all(regexp_extract({clean}, {L(chain)}, 1), {L(ident)})"
+    eq_names = f"list_concat({first_names}, {chain_names})"
     grouped = r"for\s+([_a-zA-Z][_a-zA-Z0-9]*\s*(?:,\s*[_a-zA-Z][_a-zA-Z0-9]*)*)\s+in"
     fo_names = (f"flatten(list_transform(regexp_extract_all({clean}, {L(grouped)}, 1), "
                 f"lambda m: {_names('m')}))")
@@ -261,7 +265,8 @@ named AS (
 # -- derived inputs (mirror corpusprep.plans.derive) ---------------------------------------------
 
 PY_SNIPPETS = f"""SELECT o_orderkey AS id, CASE o_orderkey % 4
-  WHEN 0 THEN 'total_' || o_custkey || ' = ' || o_orderkey || {NL} || 'for item, qty in lines(' || o_custkey
+  WHEN 0 THEN 'total_' || o_custkey || ' = count_' || o_custkey || ' = ' || o_orderkey || {NL}
+       || 'for item, qty in lines(' || o_custkey
        || '):' || {NL} || '    status = "' || o_orderstatus || '"  # ' || o_orderpriority || {NL}
        || '    print(item, qty * total_' || o_custkey || ')'
   WHEN 1 THEN '# order ' || o_orderkey || {NL} || 'sumPrice = 0x1F' || {NL} || 'while sumPrice < ' || o_custkey

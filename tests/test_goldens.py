@@ -140,3 +140,16 @@ def test_split_and_label_goldens(spark):
     assert sorted(r["query"] for r in multiple.collect()) == ["q2", "q2"]
     labels = [(r["qid"]["question_id"], r["label"]) for r in corpus.label_singles(single).collect()]
     assert labels == [("q1", 1), ("q3", 1)]
+
+
+def test_python_variable_heuristics(spark):
+    cases = {
+        "a = b = 1": (["a"], ["a", "b"]),
+        "a = b == c": (["a"], ["a"]),
+        "a , b = c = d = 5 print ( a )": (["a", "b"], ["a", "b", "c", "d"]),
+        "print ( a = 1 )": ([], []),
+        "for x in y print ( x ) for z in w": (["x"], ["x", "z"]),
+    }
+    for code, (default, everything) in cases.items():
+        assert _one(spark, code, lambda c: pycode.python_vars(pycode.python_clean(c))) == default, code
+        assert _one(spark, code, lambda c: pycode.python_vars(pycode.python_clean(c), True)) == everything, code
