@@ -282,7 +282,7 @@ def drop_blank(arr) -> Column:
 
 def drop_parens(arr) -> Column:
     """Drop tokens that contain a parenthesis."""
-    return F.filter(_c(arr), lambda w: ~w.rlike(r"[()]"))
+    return F.filter(_c(arr), lambda w: (F.instr(w, "(") == 0) & (F.instr(w, ")") == 0))
 
 
 def _line_words(col, dialect: str, quote: str) -> Column:

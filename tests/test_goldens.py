@@ -33,6 +33,13 @@ NL = [
 ]
 
 
+def test_drop_blank_and_parens(spark):
+    df = spark.createDataFrame([(["a", "", " ", "(b", "c)", "()", "d"],)], "t array<string>")
+    r = df.select(text.drop_blank("t").alias("x"), text.drop_parens("t").alias("y")).first()
+    assert r["x"] == ["a", "(b", "c)", "()", "d"]
+    assert r["y"] == ["a", "", " ", "d"]
+
+
 def test_trailing_dots_only_at_the_very_end(spark):
     assert _one(spark, "abc.\n", text.strip_dots) == "abc.\n"
     assert _one(spark, "abc..", text.strip_dots) == "abc"

@@ -60,6 +60,10 @@ def test_word2vec_text_reader(spark):
         assert np.allclose(got[w], v)
     assert io.read_word_vectors(spark, path).count() == 3
 
+    io.write_word_vectors_text(io.read_word_vectors(spark, path), f"{root}/text_out")
+    again = {r["word"]: r["vec"] for r in io.read_word_vectors(spark, f"{root}/text_out", dim=5).collect()}
+    assert again == got
+
     unit = vectors.unit_vectors(io.read_word_vectors(spark, path))
     io.write_vectors(unit, f"{root}/unit")
     norms = [float(np.linalg.norm(r["vec"])) for r in io.read_vectors(spark, f"{root}/unit").collect()]
