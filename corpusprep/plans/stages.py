@@ -11,6 +11,19 @@ from corpusprep.plans import derive
 from corpusprep.session import ensure_checkpoint_dir
 
 
+class Stage(dict):
+    """Outputs of one run; ``single``, ``multiple`` and ``counted`` are built on first use."""
+
+    def __missing__(self, key):
+        if key in ("single", "multiple"):
+            self["single"], self["multiple"] = corpus.split_candidates(self["raw"])
+        elif key == "counted":
+            self["counted"] = corpus.with_candidate_count(self["raw"].select("qid"))
+        else:
+            raise KeyError(key)
+        return self[key]
+
+
 def encode_raw_corpus(raw: DataFrame, embeddings: DataFrame, seed: int = 7, lang: str | None = None) -> dict:
     """Run split, tokenise, vocabulary, dictionary and encode over one raw corpus.
 
@@ -25,27 +38,31 @@ def encode_raw_corpus(raw: DataFrame, embeddings: DataFrame, seed: int = 7, lang
     dictionary = vectors.build_dictionary(words, vecs, seed=seed)
     failed = vectors.failed_words(words, vecs)
     encoded = encode.encode_corpus(tokens, dictionary)
-    single, multiple = corpus.split_candidates(raw)
-    return {"tokens": tokens, "vocab": words, "vectors": vecs, "dictionary": dictionary, "failed": failed,
-            "encoded": encoded, "single": single, "multiple": multiple}
+    return Stage(raw=raw, tokens=tokens, vocab=words, vectors=vecs, dictionary=dictionary, failed=failed,
+                 encoded=encoded)
+
+
+def _metrics(df: DataFrame, **exprs) -> DataFrame:
+    """One aggregation pass over ``df``, returned as ``(metric, value)`` rows."""
+    row = df.agg(*[F.coalesce(e, F.lit(0)).cast("long").alias(k) for k, e in exprs.items()])
+    pairs = ", ".join(f"'{k}', `{k}`" for k in exprs)
+    return row.selectExpr(f"stack({len(exprs)}, {pairs}) as (metric, value)")
 
 
 def corpus_report(stage: dict) -> DataFrame:
-    """``(metric, value)`` counts of one run, as rows rather than prints."""
-    parts = []
-    for metric, key, expr in [
-        ("records", "tokens", F.count(F.lit(1))),
-        ("code_failed", "tokens", F.sum(F.when(~F.col("code_ok"), 1).otherwise(0))),
-        ("single", "single", F.count(F.lit(1))),
-        ("multiple", "multiple", F.count(F.lit(1))),
-        ("questions_multiple", "multiple", F.countDistinct("qid.question_id")),
-        ("vocab", "vocab", F.count(F.lit(1))),
-        ("dictionary", "dictionary", F.count(F.lit(1))),
-        ("failed_words", "failed", F.count(F.lit(1))),
-        ("encoded", "encoded", F.count(F.lit(1))),
-    ]:
-        parts.append(stage[key].agg(F.coalesce(expr, F.lit(0)).cast("long").alias("value"))
-                     .select(F.lit(metric).alias("metric"), "value"))
+    """``(metric, value)`` counts of one run, as rows rather than prints (one pass per table)."""
+    multi = F.col("n_candidates") > 1
+    parts = [
+        _metrics(stage["tokens"], records=F.count(F.lit(1)),
+                 code_failed=F.sum(F.when(~F.col("code_ok"), 1).otherwise(0))),
+        _metrics(stage["counted"], single=F.sum(F.when(F.col("n_candidates") == 1, 1).otherwise(0)),
+                 multiple=F.sum(F.when(multi, 1).otherwise(0)),
+                 questions_multiple=F.countDistinct(F.when(multi, F.col("question_id")))),
+        _metrics(stage["vocab"], vocab=F.count(F.lit(1))),
+        _metrics(stage["dictionary"], dictionary=F.count(F.lit(1))),
+        _metrics(stage["failed"], failed_words=F.count(F.lit(1))),
+        _metrics(stage["encoded"], encoded=F.count(F.lit(1))),
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
