@@ -44,7 +44,8 @@ STRING_SCANNER = [
 STRING_PIECE = "|".join(f"(?:{pattern})" for pattern, _ in STRING_SCANNER)
 
 # Keywords and built-in type names that are neither renamed nor classified as names.
-# Public SQL vocabulary (ANSI reserved words and common dialect keywords and types).
+# Public SQL vocabulary (ANSI reserved words and common dialect keywords and types); every
+# SQL rule takes ``keywords=`` to use another set (e.g. a dialect's reserved words).
 SQL_KEYWORDS = sorted(set("""
 add all alter and any as asc authorization begin between bigint binary bit boolean both break by
 cascade case cast char character check close coalesce collate column commit constraint continue
@@ -122,14 +123,14 @@ def sql_lexemes(sanitised) -> Column:
     return F.slice(lex, 1, F.greatest(F.size(lex) - 1, F.lit(0)))
 
 
-def _kind(t: Column, nxt: Column, in_from: Column) -> Column:
+def _kind(t: Column, nxt: Column, in_from: Column, keywords=SQL_KEYWORDS) -> Column:
     """Kind of one lexeme given the next lexeme and the FROM state."""
     return (F.when(t.rlike(r"""^('.*'|".*")$"""), F.lit("STRING"))
             .when(t.rlike(r"^0x[0-9a-f]+$"), F.lit("HEX"))
             .when(t.rlike(r"^\d+$"), F.lit("INTEGER"))
             .when(t.rlike(r"^\d+e\d+$"), F.lit("FLOAT"))
             .when(t == "*", F.lit("WILDCARD"))
-            .when(t.isin(SQL_KEYWORDS) | (t == "number"), F.lit("KEYWORD"))
+            .when(t.isin(list(keywords)) | (t == "number"), F.lit("KEYWORD"))
             .when(~t.rlike(r"^[a-z_]\w*$"), F.lit("OTHER"))
             .when(nxt == "(", F.lit("FUNCTION"))
             .when((nxt == ".") | in_from, F.lit("TABLE"))
@@ -147,10 +148,11 @@ def _inside_from(switches: Column, i: Column) -> Column:
     return F.coalesce(F.array_max(F.filter(switches, lambda s: s < i * 2)) % 2, F.lit(0)) == 1
 
 
-def sql_kinds(sanitised) -> Column:
+def sql_kinds(sanitised, keywords=SQL_KEYWORDS) -> Column:
     """Array of ``struct(tok, kind)`` for the sanitised text."""
     return let(sql_lexemes(sanitised), lambda lex: let(_switches(lex), lambda sw: F.transform(
-        lex, lambda t, i: F.struct(t.alias("tok"), _kind(t, F.get(lex, i + 1), _inside_from(sw, i)).alias("kind")))))
+        lex, lambda t, i: F.struct(t.alias("tok"), _kind(t, F.get(lex, i + 1), _inside_from(sw, i), keywords)
+                                   .alias("kind")))))
 
 
 def sql_from_region(sanitised) -> Column:
@@ -185,10 +187,10 @@ def sql_rename(kinds, regex: bool = True) -> Column:
         lambda names: rename(k, names)))
 
 
-def sql_code_parse(col, regex: bool = True) -> Column:
+def sql_code_parse(col, regex: bool = True, keywords=SQL_KEYWORDS) -> Column:
     """S79 + S20: ``struct(tokens, ok)``; tokens are ``array('-1000')`` when nothing is left after cleaning."""
     def parse(s: Column) -> Column:
-        words = F.split(snake_case(F.array_join(sql_rename(sql_kinds(s), regex), " ")), " ")
+        words = F.split(snake_case(F.array_join(sql_rename(sql_kinds(s, keywords), regex), " ")), " ")
         tokens = F.filter(words, lambda w: F.trim(w) != "")
         return F.struct(F.when(s.isNull(), F.array(F.lit(FAILED_CODE))).otherwise(tokens).alias("tokens"),
                         s.isNotNull().alias("ok"))
@@ -196,9 +198,9 @@ def sql_code_parse(col, regex: bool = True) -> Column:
     return let(sql_sanitise(sql_clean(col)), parse)
 
 
-def sql_code_tokens(col, regex: bool = True) -> Column:
+def sql_code_tokens(col, regex: bool = True, keywords=SQL_KEYWORDS) -> Column:
     """Raw SQL code to tokens; ``array('-1000')`` when nothing is left after cleaning."""
-    return sql_code_parse(col, regex)["tokens"]
+    return sql_code_parse(col, regex, keywords)["tokens"]
 
 
 def sql_code_ok(col) -> Column:

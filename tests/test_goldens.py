@@ -160,3 +160,10 @@ def test_python_variable_heuristics(spark):
     for code, (default, everything) in cases.items():
         assert _one(spark, code, lambda c: pycode.python_vars(pycode.python_clean(c))) == default, code
         assert _one(spark, code, lambda c: pycode.python_vars(pycode.python_clean(c), True)) == everything, code
+
+
+def test_sql_keywords_are_a_parameter(spark):
+    code = "select total from sales"
+    assert _one(spark, code, sqlcode.sql_code_tokens) == ["select", "col0", "from", "tab0"]
+    custom = sorted(set(sqlcode.SQL_KEYWORDS) | {"total"})
+    assert _one(spark, code, lambda c: sqlcode.sql_code_tokens(c, keywords=custom)) == ["select", "total", "from", "tab0"]
