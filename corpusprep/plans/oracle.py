@@ -546,9 +546,11 @@ b AS (SELECT id, {J(query_tokens('text', 'sql'))} AS tokens FROM ({CONTRACTION_T
 SELECT id, tokens, 'before' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
 UNION ALL SELECT id, tokens, 'after' AS side FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
     "word_vectors": f"""SELECT word, CAST(vec_id AS BIGINT) AS vec_id, CAST(len(vec) AS BIGINT) AS dim,
-  round(list_reduce(list_transform(vec, lambda x: CAST(x AS DOUBLE)), lambda a, b: a + b), 4) AS vec_sum FROM ({VT})""",
+  round(list_reduce(list_transform(vec, lambda x: CAST(x AS DOUBLE)), lambda a, b: a + b), 4) + 0.0 AS vec_sum
+FROM ({VT})""",
     "unit_vectors": f"""SELECT word, round(sqrt(list_reduce(list_transform(u, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)),
-  lambda a, b: a + b)), 4) AS norm, round(CAST(u[1] AS DOUBLE), 4) AS first, round(CAST(u[64] AS DOUBLE), 4) AS last
+  lambda a, b: a + b)), 4) + 0.0 AS norm, round(CAST(u[1] AS DOUBLE), 4) + 0.0 AS first,
+  round(CAST(u[64] AS DOUBLE), 4) + 0.0 AS last
 FROM (SELECT word, list_transform(vec, lambda x: CAST(CASE WHEN n > 0 THEN CAST(x AS DOUBLE) / n ELSE 0.0 END AS FLOAT)) AS u
       FROM (SELECT word, vec, sqrt(list_reduce(list_transform(vec, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)),
                                                lambda a, b: a + b)) AS n FROM ({VT})))""",

@@ -18,6 +18,11 @@ from corpusprep.plans import derive, stages
 from corpusprep.plans.derive import table
 
 
+def _round4(x: Column) -> Column:
+    """Round for cross-engine comparison; ``+ 0.0`` turns a rounded ``-0.0`` into ``0.0``."""
+    return F.round(x, 4) + F.lit(0.0)
+
+
 def _j(arr) -> Column:
     return F.array_join(F.col(arr) if isinstance(arr, str) else arr, " ")
 
@@ -228,15 +233,15 @@ def q_roundtrip_diff(spark, sf_dir):
 def q_word_vectors(spark, sf_dir):
     v = _DocStage(spark, sf_dir).vectors
     return v.select("word", F.col("vec_id").cast("long").alias("vec_id"), F.size("vec").cast("long").alias("dim"),
-                    F.round(F.aggregate("vec", F.lit(0.0).cast("double"), lambda a, x: a + x), 4).alias("vec_sum"))
+                    _round4(F.aggregate("vec", F.lit(0.0).cast("double"), lambda a, x: a + x)).alias("vec_sum"))
 
 
 def q_unit_vectors(spark, sf_dir):
     v = vectors.unit_vectors(_DocStage(spark, sf_dir).vectors)
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x))
-    return v.select("word", F.round(norm, 4).alias("norm"),
-                    F.round(F.get("vec", 0).cast("double"), 4).alias("first"),
-                    F.round(F.get("vec", 63).cast("double"), 4).alias("last"))
+    return v.select("word", _round4(norm).alias("norm"),
+                    _round4(F.get("vec", 0).cast("double")).alias("first"),
+                    _round4(F.get("vec", 63).cast("double")).alias("last"))
 
 
 def q_found_words(spark, sf_dir):
