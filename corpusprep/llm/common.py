@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusprep.session import ensure_checkpoint_dir
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
@@ -22,9 +26,11 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Partitions for a re-dealt wide table: as many as the session's shuffles have, and never fewer than the cores."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table in the shared checkpoint folder and read again: lineage ends, columns stay apart."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class BoundedCache(dict):

@@ -9,10 +9,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import chat_format, license_index, pii_bootstrap, sp_backtrack, token_count
+from corpusprep.llm import (
+    bm25_decontam,
+    chat_format,
+    html_wrapper,
+    kneser_ney,
+    license_index,
+    line_dedup,
+    ngram_jaccard,
+    pii_bootstrap,
+    sp_backtrack,
+    token_count,
+)
 from corpusprep.llm.common import table
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, percent=90)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = kneser_ney.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                         F.round("score", 6).alias("score"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_bootstrap.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long").alias(f"n_{kind}")
@@ -35,6 +56,17 @@ def op4_license(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("found", lambda m: m["score"])), F.lit(0.0)).alias("score"))
 
 
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a test item that it holds."""
+    pairs = bm25_decontam.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return pairs.select("doc_id", "item_id", *[F.round(c, 6).alias(c) for c in ("score", "question_overlap", "answer_overlap")])
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_wrapper.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_count.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text")
@@ -61,7 +93,15 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_pii, op4_license, op7_token_count, op8_chat, op9_sentencepiece)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its text after line dedup, its length and the number of lines taken out."""
+    docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), "n_removed_lines")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard, op2_quality, op3_pii, op4_license, op5_decontam, op6_html, op7_token_count, op8_chat, op9_sentencepiece,
+    op10_line_dedup)}
 
 ORACLE_SQL = {
     "op8_chat": r"""
