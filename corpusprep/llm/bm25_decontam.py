@@ -4,7 +4,7 @@ The test items are the indexed documents, every passage of the training texts is
 the longest item's words, and windows start at every such half, so that any item stands whole in one passage. Scores are
 divided by the score an item gives its own words, so one threshold serves all items. Postings are sorted by item and cut
 into blocks with their greatest weight; WAND skips items whose blocks cannot reach the threshold, and passages whose
-terms' greatest weights together cannot are never evaluated. Everything at or above the threshold is retrieved and
+essential terms cannot bring what the frequent ones leave open are never evaluated. Everything at or above the threshold is retrieved and
 verified: enough of the question's and of the answer's word pairs must stand in the passage. The answer is the last third of an item
 (or what follows an ``Answer:``).
 
@@ -78,6 +78,20 @@ class Index:
         self.most = {w: max(xs) for w, (_, xs) in self.postings.items()}
         self.blocks = {w: [max(xs[i:i + BLOCK]) for i in range(0, len(xs), BLOCK)] for w, (_, xs) in self.postings.items()}
 
+    def essential(self, threshold: float) -> tuple[dict[str, float], float]:
+        """(greatest weights of the essential terms, what they must bring): the terms of most items are left out as long as
+        together they give no item more than half the threshold, so a passage needs the other half from the rest."""
+        weak = np.zeros(max(1, len(self.ids)))
+        terms = sorted(self.postings, key=lambda w: (-len(self.postings[w][0]), w))
+        for i, w in enumerate(terms):
+            ids, weights = self.postings[w]
+            after = weak.copy()
+            after[ids] += weights
+            if after.max() > threshold / 2:
+                return {t: self.most[t] for t in terms[i:]}, threshold - weak.max()
+            weak = after
+        return {}, threshold - weak.max()
+
     def retrieve(self, terms: list[str], threshold: float) -> list[tuple[int, float]]:
         """All (place of item, score) at or above the threshold, by block-max WAND over the terms' postings."""
         slack = threshold - 1e-9
@@ -174,15 +188,16 @@ def _query(rows: DataFrame, index: Index, threshold: float, question_share: floa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
         step, most = max(1, ix.longest), ix.most
+        rare, needed = ix.essential(threshold)
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of(text)
-                bounds = np.fromiter(map(most.get, words, repeat(0.0)), float, len(words))
+                bounds = np.fromiter(map(rare.get, words, repeat(0.0)), float, len(words))
                 sums = np.concatenate([[0.0], np.cumsum(bounds)])
                 begins = np.arange(0, max(len(words) - step, 1), step)
                 ends = np.minimum(begins + 2 * step, len(words))
-                for i in np.flatnonzero(sums[ends] - sums[begins] >= threshold - 1e-9):
+                for i in np.flatnonzero(sums[ends] - sums[begins] >= needed - 1e-9):
                     passage = words[begins[i]:ends[i]]
                     terms = [w for w in dict.fromkeys(passage) if w in most]
                     if sum(most[w] for w in terms) < threshold - 1e-9:

@@ -305,7 +305,7 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
 
 
-def judge(docs: DataFrame, spread: float = 4.0, least: float = 0.05, **options) -> DataFrame:
+def judge(docs: DataFrame, spread: float = 10.0, least: float = 0.005, **options) -> DataFrame:
     """Scores with ``base_failed``, ``lower``, ``upper`` and ``kept``: within ``spread`` quartile distances of the median.
 
     ``least`` is the least quartile distance, so that a language of equal texts rejects nothing.

@@ -47,6 +47,7 @@ def load_pieces(model_file: str) -> tuple[dict[str, tuple[int, float]], list[str
 class BacktrackEncoder:
     def __init__(self, plain: dict[str, tuple[int, float]], names: list[str], byte0: int):
         self.plain, self.names, self.byte0 = plain, names, byte0
+        self.ids = {p: i for p, (i, _) in plain.items()}
         self.ranks = {p: -score for p, (_, score) in plain.items()}
         self.shorter = BoundedCache(self._prefix)
         self.chars = {p for p in plain if len(p) == 1}
@@ -96,10 +97,11 @@ class BacktrackEncoder:
             chunk = MARK + chunk  # the cache's key of the usual chunk leaves its one mark out
         body = chunk.lstrip(MARK)
         marks = len(chunk) - len(body)
+        if marks == 1 and self.chars.issuperset(body):
+            plain = self._known(chunk)
+            return array("i", [self.ids[p] for p in plain]).tobytes(), "".join(plain).replace(MARK, " ")
         pieces: list[str | int] = []
         known = MARK
-        if self.chars.issuperset(body):
-            known, body = MARK + body, ""
         for c in body:
             if c in self.chars:
                 known += c
@@ -113,7 +115,7 @@ class BacktrackEncoder:
         if marks > 1:  # all pieces of marks come after every other merge
             rest = pieces[0] == MARK
             pieces[:rest] = self._remerge(MARK * (marks - 1 + rest))
-        ids = array("i", [p if isinstance(p, int) else self.plain[p][0] for p in pieces])
+        ids = array("i", [p if isinstance(p, int) else self.ids[p] for p in pieces])
         return ids.tobytes(), self.decode_chunk(ids)
 
     def decode_chunk(self, ids) -> str:
