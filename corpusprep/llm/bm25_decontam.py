@@ -31,16 +31,17 @@ from corpusprep.session import ensure_checkpoint_dir
 
 from .common import text_or_empty
 
-WORD = re.compile(r"\w+")
+# Lower-case runs of ASCII letters, digits, underscores and characters above U+007F, as UTF-8: other bytes part words.
+PARTING = bytes(b if b >= 0x80 or chr(b).isalnum() or b == 0x5F else 0x20 for b in range(256))
 PAIRS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 BLOCK = 16
 
 
-def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+def words_of(text: str) -> list[bytes]:
+    return text.lower().encode("utf-8").translate(PARTING).split()
 
 
-def parts(item: str) -> tuple[list[str], list[str]]:
+def parts(item: str) -> tuple[list[bytes], list[bytes]]:
     """Words of the question and of the answer."""
     asked, mark, answered = re.split(r"(?i)(\banswer\s*:)", item, maxsplit=1) if re.search(r"(?i)\banswer\s*:", item) else (item, "", "")
     if mark and words_of(answered):
@@ -50,7 +51,7 @@ def parts(item: str) -> tuple[list[str], list[str]]:
     return words[:at], words[at:]
 
 
-def share(part: list[str], passage: set[tuple[str, str]], alone: set[str]) -> float:
+def share(part: list[bytes], passage: set[tuple[bytes, bytes]], alone: set[bytes]) -> float:
     """How much of the part's word pairs (its one word) stands in the passage; 1 for an empty part."""
     pairs = set(zip(part, part[1:]))
     if pairs:
@@ -61,12 +62,12 @@ def share(part: list[str], passage: set[tuple[str, str]], alone: set[str]) -> fl
 class Index:
     """Postings of one shard, with BM25 weights relative to the item's score for its own words."""
 
-    def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean: float, k1: float = 1.2, b: float = 0.75):
+    def __init__(self, items: list[tuple[int, str]], df: dict[bytes, int], n_items: int, mean: float, k1: float = 1.2, b: float = 0.75):
         self.ids = [i for i, t in items if words_of(t)]
         texts = [t for _, t in items if words_of(t)]
         self.parts = [parts(t) for t in texts]
         self.longest = max((len(words_of(t)) for t in texts), default=0)
-        postings: dict[str, list[tuple[int, float]]] = {}
+        postings: dict[bytes, list[tuple[int, float]]] = {}
         for at, text in enumerate(texts):
             words = words_of(text)
             norm = k1 * (1 - b + b * len(words) / mean)
@@ -78,21 +79,32 @@ class Index:
         self.most = {w: max(xs) for w, (_, xs) in self.postings.items()}
         self.blocks = {w: [max(xs[i:i + BLOCK]) for i in range(0, len(xs), BLOCK)] for w, (_, xs) in self.postings.items()}
 
-    def essential(self, threshold: float) -> tuple[dict[str, float], float]:
-        """(greatest weights of the essential terms, what they must bring): the terms of most items are left out as long as
-        together they give no item more than half the threshold, so a passage needs the other half from the rest."""
-        weak = np.zeros(max(1, len(self.ids)))
-        terms = sorted(self.postings, key=lambda w: (-len(self.postings[w][0]), w))
-        for i, w in enumerate(terms):
-            ids, weights = self.postings[w]
-            after = weak.copy()
-            after[ids] += weights
-            if after.max() > threshold / 2:
-                return {t: self.most[t] for t in terms[i:]}, threshold - weak.max()
-            weak = after
-        return {}, threshold - weak.max()
-
-    def retrieve(self, terms: list[str], threshold: float) -> list[tuple[int, float]]:
+    def essential(self, threshold: float, frequency: dict[bytes, int]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Essential postings: of each item the terms rarest in the texts, until the others give at most half the threshold.
+
+        Returns (place of each essential term, where its postings begin, items, weights, what an item needs from its
+        essential terms): a passage that scores the threshold has at least the needed sum for that item.
+        """
+        of: list[list[tuple[int, bytes, float]]] = [[] for _ in self.ids]
+        for w, (ids, weights) in self.postings.items():
+            for item, x in zip(ids, weights):
+                of[item].append((frequency.get(w, 0), w, x))
+        chosen: dict[bytes, list[tuple[int, float]]] = {}
+        needed = np.zeros(len(self.ids))
+        for item, terms in enumerate(of):
+            left = sum(x for _, _, x in terms)
+            for _, w, x in sorted(terms):
+                if left <= threshold / 2:
+                    break
+                chosen.setdefault(w, []).append((item, x))
+                left -= x
+            needed[item] = threshold - left - 1e-9
+        flat = [p for ps in chosen.values() for p in ps]
+        begins = np.cumsum([0, *map(len, chosen.values())])
+        return ({w: i for i, w in enumerate(chosen)}, begins, np.array([i for i, _ in flat], np.int64),
+                np.array([x for _, x in flat], float), needed)
+
+    def retrieve(self, terms: list[bytes], threshold: float) -> list[tuple[int, float]]:
         """All (place of item, score) at or above the threshold, by block-max WAND over the terms' postings."""
         slack = threshold - 1e-9
         cursors = [[self.postings[t][0][0], 0, t] for t in terms]
@@ -150,6 +162,12 @@ class Index:
         cursors[:] = [c for c in cursors if c[0] is not None]
 
 
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [w for t in batch.column(0).to_pylist() for w in sorted(set(words_of(t)))]
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary())], names=["w"])
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.5, question_share: float = 0.6, answer_share: float = 0.6,
                shard_chars: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap): the best verified passage of each document and item.
@@ -163,45 +181,76 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.5, questi
     size = test.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, ceil(size / shard_chars))
     found = []
-    term = test.select("item_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), F.lit(0)))).alias("w"))
-    counts = term.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    counts = test.select("text").mapInArrow(_distinct_words, "w binary").groupBy("w").agg(F.count(F.lit(1)).alias("df"))
     n_items = test.count()
     for shard in range(shards):
         part = test.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
         own = [(r["item_id"], r["text"]) for r in part.collect()]  # at most about shard_chars characters
-        words = spark.createDataFrame([(w,) for w in {w for _, t in own for w in words_of(t)}] or [("",)], "w string")
-        df = {r["w"]: r["df"] for r in counts.join(F.broadcast(words), "w").collect()}
+        words = spark.createDataFrame([(w,) for w in {w for _, t in own for w in words_of(t)}] or [(b"",)], "w binary")
+        df = {bytes(r["w"]): r["df"] for r in counts.join(F.broadcast(words), "w").collect()}
         lengths = [len(words_of(t)) for _, t in own]
         mean = sum(lengths) / max(1, len(lengths)) or 1.0
-        for _, t in own:
-            for w in words_of(t):
-                df.setdefault(w, 1)
-        found.append(_query(rows, Index(own, df, max(n_items, 1), mean), threshold, question_share, answer_share))
+        index = Index(own, df, max(n_items, 1), mean)
+        found.append(_query(rows, index, term_frequency(rows, list(index.postings)), threshold, question_share, answer_share))
     pairs = reduce(DataFrame.unionByName, found)
     best = F.max(F.struct("score", "question_overlap", "answer_overlap"))
     return pairs.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
 
 
-def _query(rows: DataFrame, index: Index, threshold: float, question_share: float, answer_share: float) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(index)
+def term_frequency(rows: DataFrame, terms: list[bytes]) -> dict[bytes, int]:
+    """How often each of the index's terms stands in all texts."""
+    shared = rows.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(terms)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, total = shared.value, np.zeros(len(shared.value) + 1, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                words = words_of(text)
+                at = np.fromiter(map(places.get, words, repeat(len(places))), np.int64, len(words))
+                total += np.bincount(at, minlength=len(total))
+        seen = np.flatnonzero(total[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["term", "n"])
+
+    counted = rows.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return {terms[r["term"]]: r["n"] for r in counted.collect()}  # at most one row for each term of the shard
+
+
+def _query(rows: DataFrame, index: Index, frequency: dict[bytes, int], threshold: float, question_share: float,
+           answer_share: float) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast((index, index.essential(threshold, frequency)))
+
+    def windows(words: list[bytes], step: int, places: dict, begins: np.ndarray, posted: np.ndarray, weight: np.ndarray,
+                needed: np.ndarray) -> np.ndarray:
+        """The windows, numbered by their first half, whose essential terms suffice for some item."""
+        at = np.fromiter(map(places.get, words, repeat(-1)), np.int64, len(words))
+        hits = np.flatnonzero(at >= 0)
+        if not len(hits):
+            return hits
+        low = begins[at[hits]]
+        many = begins[at[hits] + 1] - low
+        each = np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)
+        half, items, weights = np.repeat(hits // step, many), posted[each], weight[each]
+        halves = int(half[-1]) + 1
+        keys, where = np.unique(items * (halves + 1) + half, return_inverse=True)
+        sums = np.bincount(where, weights)
+        # a window is a half and the next one: add to each half what the item has in the following half, and alike before
+        after = np.searchsorted(keys, keys + 1)
+        both = sums + np.where((after < len(keys)) & (keys[np.minimum(after, len(keys) - 1)] == keys + 1), sums[np.minimum(after, len(keys) - 1)], 0.0)
+        enough = both >= needed[keys // (halves + 1)]
+        alone = sums >= needed[keys // (halves + 1)]
+        first = keys % (halves + 1)
+        return np.unique(np.concatenate([first[enough], np.maximum(first[alone] - 1, 0)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = shared.value
+        ix, essential = shared.value
         step, most = max(1, ix.longest), ix.most
-        rare, needed = ix.essential(threshold)
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of(text)
-                bounds = np.fromiter(map(rare.get, words, repeat(0.0)), float, len(words))
-                sums = np.concatenate([[0.0], np.cumsum(bounds)])
-                begins = np.arange(0, max(len(words) - step, 1), step)
-                ends = np.minimum(begins + 2 * step, len(words))
-                for i in np.flatnonzero(sums[ends] - sums[begins] >= needed - 1e-9):
-                    passage = words[begins[i]:ends[i]]
+                for i in windows(words, step, *essential):
+                    passage = words[i * step:(i + 2) * step]
                     terms = [w for w in dict.fromkeys(passage) if w in most]
-                    if sum(most[w] for w in terms) < threshold - 1e-9:
-                        continue
                     hits = ix.retrieve(terms, threshold)
                     if not hits:
                         continue
