@@ -107,19 +107,23 @@ def discounts(n: dict[int, int]) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts for counts 1, 2 and 3 or more, from the numbers of n-grams counted 1 to 4 times."""
     n1, n2, n3, n4 = (n.get(i, 0) for i in range(1, 5))
     if not n1 or not n2:
-        return 0.5, 0.75, 1.0
+        return 0.5, 0.75, 1.0  # too few n-grams to tell
     y = n1 / (n1 + 2 * n2)
     ds = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 1.5)
     return tuple(min(max(d, 0.05), i + 0.95) for i, d in enumerate(ds))
 
 
-def estimate(counts: DataFrame, order: int) -> list[DataFrame]:
-    """For each order 1..n: (lang, gram, logp, bow), interpolated; ``bow`` is the back-off weight after the gram."""
-    levels = {order: counts}
+def estimate(counts: DataFrame, order: int, min_count: int = 2) -> list[DataFrame]:
+    """For each order 0..n: (lang, gram, p, bow), interpolated; ``bow`` is the back-off weight after the gram.
+
+    N-grams of the highest order counted less than ``min_count`` times are left out, after they have entered the
+    discounts: what only one text says must not vouch for that text.
+    """
+    levels = {order: counts.filter(F.col("n") >= min_count)}
     for m in range(order - 1, 0, -1):  # continuation counts: distinct characters in front
         levels[m] = levels[m + 1].groupBy("lang", F.substring("gram", 2, m).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
     seen = None
-    for m, level in levels.items():
+    for m, level in (levels | {order: counts}).items():
         part = level.groupBy("lang", F.lit(m).alias("m"), F.least("n", F.lit(5)).alias("c")).agg(F.count(F.lit(1)).alias("k"))
         seen = part if seen is None else seen.union(part)
     of: dict[tuple[str, int], dict[int, int]] = {}
@@ -145,7 +149,7 @@ def estimate(counts: DataFrame, order: int) -> list[DataFrame]:
         lower = joined.select("lang", "gram", p.alias("p")).checkpoint()
         bows = context.select("lang", F.col("h").alias("gram"), (F.col("freed") / F.col("total")).alias("bow"))
         if m > 1:
-            out[-1] = out[-1].join(bows, ["lang", "gram"], "left")
+            out[-1] = out[-1].join(bows, ["lang", "gram"], "full")  # start marks are contexts, never predicted
         else:
             first = bows
         out.append(lower)
@@ -169,6 +173,10 @@ class HashArrays:
         at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
         return at, keys[at] == h
 
+    def predicted(self, m: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at, hit = self.find(m, h)
+        return at, hit & ~np.isnan(self.logp[m][at]) if len(self.logp[m]) else hit
+
 
 def hash_windows(codes: np.ndarray, m: int) -> np.ndarray:
     """Hash of the ``m`` code points that end at each place from ``m`` - 1 on."""
@@ -225,7 +233,7 @@ def score_words(model: HashArrays, order: int, words: list[str]) -> np.ndarray:
     total = np.zeros(len(at))
     open_ = np.arange(len(at))
     for m in range(order, 0, -1):
-        found, hit = model.find(m, hashes[m][at[open_] - (m - 1)])
+        found, hit = model.predicted(m, hashes[m][at[open_] - (m - 1)])
         total[open_[hit]] += model.logp[m][found[hit]]
         open_ = open_[~hit]
         if m > 1 and len(open_):
@@ -265,7 +273,7 @@ SCORES = ("doc_id long, h long, lang string, n_words long, word_chars long, n_sy
           "n_repeat_words long, score double")
 
 
-def score_documents(docs: DataFrame, order: int = 5, max_entries: int = 4_000_000, id_col: str = "doc_id",
+def score_documents(docs: DataFrame, order: int = 5, min_count: int = 2, max_entries: int = 4_000_000, id_col: str = "doc_id",
                     text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Counts of the base rule and the score of every row, with the id and a hash of the text."""
     ensure_checkpoint_dir(docs.sparkSession)
@@ -273,13 +281,13 @@ def score_documents(docs: DataFrame, order: int = 5, max_entries: int = 4_000_00
                        F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), text_or_empty(text_col).alias("text"))
     counts = count_grams(rows, order).checkpoint()
     held = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).count().orderBy(F.desc("n")).collect()  # 1000 rows at most
-    total, cutoff = 0, 1
+    total, cutoff = 0, min_count
     for r in held:
         total += r["count"]
         if total > max_entries:
-            cutoff = r["n"] + 1
+            cutoff = max(cutoff, r["n"] + 1)
             break
-    models = lay_out(estimate(counts.filter(F.col("n") >= cutoff) if cutoff > 1 else counts, order))
+    models = lay_out(estimate(counts, order, cutoff))
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
