@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 from corpusprep.functions.text import _c, filter_wide, let, snake_case, split_words
 
 # Patterns that must equal the reference's variable heuristics.
-ASSIGN_TARGETS = r"^(\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)(,\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)*="
-FOR_TARGETS = r"for\s+[_a-zA-Z][_a-zA-Z0-9]*\s*(,\s*[_a-zA-Z][_a-zA-Z0-9]*)*\s+in"
-# The same for-pattern with the target list captured as group 1.
-FOR_TARGETS_GROUPED = r"for\s+([_a-zA-Z][_a-zA-Z0-9]*\s*(?:,\s*[_a-zA-Z][_a-zA-Z0-9]*)*)\s+in"
+# The repeated groups are possessive: a row of any length is matched without recursion.
 IDENTIFIER = r"[_a-zA-Z][_a-zA-Z0-9]*"
+TARGET_LIST = r"\s*+[_a-zA-Z][_a-zA-Z0-9]*+\s*+(?:,\s*+[_a-zA-Z][_a-zA-Z0-9]*+\s*+)*+"
+ASSIGN_TARGETS = rf"^{TARGET_LIST}="
+# The target list of a for statement is captured as group 1.
+FOR_TARGETS_GROUPED = r"for\s+([_a-zA-Z][_a-zA-Z0-9]*+\s*(?:,\s*+[_a-zA-Z][_a-zA-Z0-9]*+)*+)\s+in"
 # ``all_matches``: every target list of a chained assignment at the start of the line
 # (``a = b = 1``); a ``=`` followed by another ``=`` is a comparison, not an assignment.
-CHAINED_TARGETS = (r"^((?:\s*[_a-zA-Z][_a-zA-Z0-9]*\s*(?:,\s*[_a-zA-Z][_a-zA-Z0-9]*\s*)*=\s*)+)"
-                   r"(?:[^=\s]|$)")
+CHAINED_TARGETS = rf"^((?:{TARGET_LIST}=(?!\s*+=)\s*+)++)"
 
 # Lexer over the cleaned one-line form; alternatives are tried left to right.
 CODE_LEXEME = r"""'[^']*'|"[^"]*"|#.*|\d\w*|\w+|[^\s\w]"""

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusprep.functions.text import _c, filter_wide, let, snake_case, split_words, strip_ws
+from corpusprep.functions.text import DECIMAL, _c, filter_wide, let, snake_case, split_words, strip_ws
 
 FAILED_CODE = "-1000"
 
@@ -64,7 +64,9 @@ FROM_ON = "from"
 FROM_OFF = ["where", "on", "group", "order", "union"]
 
 # Lexer over the sanitised text.
-SQL_LEXEME = r"""'[^']*'|"[^"]*"|\w+|[^\s\w]"""
+SQL_LEXEME = r"""'[^']*'|"[^"]*"|\[[^\[\]]+\]|\w+|[^\s\w]"""
+# The words that stay keywords in front of a dot; any other word there is a name.
+KEYWORD_BEFORE_DOT = ["case", "in", "values", "using", "from", "as"]
 
 
 def sql_clean(col) -> Column:
@@ -72,7 +74,7 @@ def sql_clean(col) -> Column:
     c = filter_wide(col, "sql")
     c = F.regexp_replace(c, r"\.+", ".")
     c = F.regexp_replace(c, r">>+", "")
-    c = F.regexp_replace(c, r"\d+(\.\d+)+", "number")
+    c = F.regexp_replace(c, DECIMAL, "number")
     return split_words(c)
 
 
@@ -124,14 +126,19 @@ def sql_lexemes(sanitised) -> Column:
 
 
 def _kind(t: Column, nxt: Column, in_from: Column, keywords=SQL_KEYWORDS) -> Column:
-    """Kind of one lexeme given the next lexeme and the FROM state."""
+    """Kind of one lexeme given the next lexeme and the FROM state.
+
+    A bracketed name is one name, a placeholder a column, and a keyword in front of a dot a table.
+    """
     return (F.when(t.rlike(r"""^('.*'|".*")$"""), F.lit("STRING"))
             .when(t.rlike(r"^0x[0-9a-f]+$"), F.lit("HEX"))
             .when(t.rlike(r"^\d+$"), F.lit("INTEGER"))
             .when(t.rlike(r"^\d+e\d+$"), F.lit("FLOAT"))
             .when(t == "*", F.lit("WILDCARD"))
+            .when((nxt == ".") & t.rlike(r"^[a-z_]\w*$") & ~t.isin(*KEYWORD_BEFORE_DOT, "number"), F.lit("TABLE"))
             .when(t.isin(list(keywords)) | (t == "number"), F.lit("KEYWORD"))
-            .when(~t.rlike(r"^[a-z_]\w*$"), F.lit("OTHER"))
+            .when(t == "?", F.lit("COLUMN"))
+            .when(~t.rlike(r"^([a-z_]\w*|\[.+\])$"), F.lit("OTHER"))
             .when(nxt == "(", F.lit("FUNCTION"))
             .when((nxt == ".") | in_from, F.lit("TABLE"))
             .otherwise(F.lit("COLUMN")))

@@ -79,7 +79,7 @@ BRACKETS = {
 WORD_OR_PUNCT = r"\w+|[^\s\w]"
 WORD_OR_PUNCT_UNICODE = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
 
-DECIMAL = r"\d+(\.\d+)+"
+DECIMAL = r"\d++(?:\.\d++)++"  # possessive: no recursion on long rows
 QUOTED = r'"[^"]+"'
 HEX = r"0[xX][A-Fa-f0-9]+"
 INTEGER = r"\s?\d+\s?"

@@ -62,15 +62,18 @@ def encode_tokens(df: DataFrame, key: str, tokens: str, dictionary: DataFrame, k
     """``(key, ids)``: the dictionary ids of one token-array column, in token order.
 
     With ``keep`` only the first ``keep`` tokens are looked up (callers that truncate the
-    result anyway); without it the whole array is encoded. ``key`` must identify a row.
+    result anyway); without it the whole array is encoded. Records are numbered before the
+    explode, so a repeated ``key`` merges nothing; the input should be a stored table.
     """
     arr = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
     if keep is not None:
         arr = F.slice(arr, 1, keep)
-    long = df.select(key, F.posexplode_outer(arr).alias("pos", "token"))
+    # The number comes first, in a projection of its own: beside the explode it would number tokens.
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    long = numbered.select("_row", key, F.posexplode_outer(arr).alias("pos", "token"))
     looked = lookup_ids(long, dictionary, "token", unk, limit_bytes)
     entry = F.when(F.col("token").isNotNull(), _packed(F.col("pos"), F.col("idx")))
-    folded = looked.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    folded = looked.groupBy("_row", key).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
     return folded.select(key, _unpacked(F.col("_e")).alias("ids"))
 
 
@@ -83,22 +86,23 @@ def encode_corpus(df: DataFrame, dictionary: DataFrame, lengths: dict | None = N
     them; arrays are cut to the positions that can reach the output before the explode
     (the text rule only prepends, so later tokens can never appear); ids are folded back by
     ``qid`` with a map-side-combined ``collect_list`` of at most 575 entries per record.
-    ``qid`` must identify a record.
+    Records are numbered first, so records that share a ``qid`` stay apart; the input should be
+    a stored table.
     """
     n = dict(LENGTHS, **(lengths or {}))
     fields = [("ctx1", "ctx1_tokens", n["ctx1"]), ("ctx2", "ctx2_tokens", n["ctx2"]),
               ("code", "code_tokens", min(cap, n["code"])), ("query", "query_tokens", n["query"])]
-    stacked = df.select("qid", F.explode(F.array(*[
+    stacked = df.withColumn("_row", F.monotonically_increasing_id()).select("_row", "qid", F.explode(F.array(*[
         F.struct(F.lit(i).alias("field"),
                  F.slice(F.coalesce(F.col(src), F.array().cast("array<string>")), 1, keep).alias("toks"))
         for i, (_, src, keep) in enumerate(fields)])).alias("f"))
-    long = stacked.select("qid", F.col("f.field").alias("field"),
+    long = stacked.select("_row", "qid", F.col("f.field").alias("field"),
                           F.posexplode_outer("f.toks").alias("pos", "token"))
     looked = lookup_ids(long, dictionary, "token", unk, limit_bytes)
     # Sort key: field, then position (both small: positions are cut to at most 350 above).
     order = F.col("field") * F.lit(1 << 20) + F.col("pos")
     entry = F.when(F.col("token").isNotNull(), _packed(order, F.col("idx")))
-    folded = looked.groupBy("qid").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    folded = looked.groupBy("_row", "qid").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
 
     def ids_of(i: int) -> Column:
         lo, hi = i << 52, (i + 1) << 52

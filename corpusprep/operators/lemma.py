@@ -13,16 +13,18 @@ def lemma_join(df: DataFrame, lemmas: DataFrame | None, key: str, tokens: str,
     """Replace every token of the array column ``tokens`` by its lemma, keeping order.
 
     ``lemmas`` is a ``(token, lemma)`` table with unique tokens; without one the tokens are
-    returned unchanged. ``key`` must identify a row. The table is broadcast when its
+    returned unchanged. Records are
+    numbered before the explode, so a repeated ``key`` merges nothing. The table is broadcast when its
     measured size is within ``limit_bytes``, else joined by a salted shuffle.
     """
     if lemmas is None:
         return df.select(key, tokens)
-    long = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    long = numbered.select("_row", key, F.posexplode_outer(tokens).alias("pos", "token"))
     side = lemmas.select(F.col("token").alias("_tok"), "lemma")
     joined = left_lookup(long, side, "token", "_tok", limit_bytes, salt_buckets)
     entry = F.when(F.col("token").isNotNull(), F.struct("pos", F.coalesce("lemma", "token").alias("t")))
-    folded = joined.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    folded = joined.groupBy("_row", key).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
     return folded.select(key, F.col("_e.t").alias(tokens))
 
 

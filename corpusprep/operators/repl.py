@@ -1,9 +1,9 @@
 """Interactive-prompt repair of code snippets.
 
-A snippet becomes a long line table ``(id, ln, line)``. The records are hash-partitioned by
-``id`` once, before the explode, so the line windows (partitioned by ``id``) and the fold
-back (grouped by ``id``) reuse that partitioning and add no further exchange. ``id`` is
-unique per snippet, so no window partition holds more than one snippet.
+A snippet becomes a long line table ``(_row, id, ln, line)``; ``_row`` numbers the records, so
+snippets that share an id stay apart. The records are hash-partitioned by ``_row`` once, before
+the explode, so the line windows (partitioned by ``_row``) and the fold back (grouped by it)
+reuse that partitioning and add no further exchange.
 """
 
 from __future__ import annotations
@@ -68,14 +68,15 @@ def repl_layout(code) -> Column:
 
 def repl_lines(df: DataFrame, id_col: str, code_col: str) -> DataFrame:
     """Long line table with flags, layout, kept text and island number per line."""
-    records = df.select(F.col(id_col).alias("id"), F.split(F.col(code_col), "\n").alias("lines")).repartition("id")
+    records = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"),
+                        F.split(F.col(code_col), "\n").alias("lines")).repartition("_row")
     # Flags once per line: the array feeds both the snippet's layout and the exploded lines.
-    flagged = records.select("id", "lines", F.transform("lines", prompt_flag).alias("flags"))
+    flagged = records.select("_row", "id", "lines", F.transform("lines", prompt_flag).alias("flags"))
     lines = flagged.select(
-        "id", layout_of_flags(F.array_join(F.col("flags").cast("array<string>"), "")).alias("layout"),
+        "_row", "id", layout_of_flags(F.array_join(F.col("flags").cast("array<string>"), "")).alias("layout"),
         F.posexplode(F.arrays_zip(F.col("lines").alias("line"), F.col("flags").alias("flag"))).alias("ln", "_lf"))
-    lines = lines.select("id", "layout", "ln", F.col("_lf.line").alias("line"), F.col("_lf.flag").alias("flag"))
-    w = Window.partitionBy("id").orderBy("ln")
+    lines = lines.select("_row", "id", "layout", "ln", F.col("_lf.line").alias("line"), F.col("_lf.flag").alias("flag"))
+    w = Window.partitionBy("_row").orderBy("ln")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     prompt = F.col("flag") != 0
@@ -85,7 +86,7 @@ def repl_lines(df: DataFrame, id_col: str, code_col: str) -> DataFrame:
     keep = (F.when(F.col("layout") == "typical", (F.col("ln") < first_prompt) | prompt)
             .otherwise(prompt | (F.coalesce(last_prompt_flag, F.lit(0)) != OUT_FLAG)))
     starts = F.when((F.col("ln") == 0) | (prompt != F.lag(prompt).over(w)), 1).otherwise(0)
-    return lines.select("id", "layout", "ln", "line", "flag", text.alias("text"), keep.alias("keep"),
+    return lines.select("_row", "id", "layout", "ln", "line", "flag", text.alias("text"), keep.alias("keep"),
                         F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("island"),
                         F.max(F.col("ln")).over(whole).alias("last_ln"))
 
@@ -94,7 +95,7 @@ def repl_repair(df: DataFrame, id_col: str = "id", code_col: str = "code") -> Da
     """``(id, layout, repaired)``; snippets without prompts are returned unchanged."""
     lines = repl_lines(df, id_col, code_col)
     kept = F.when(F.col("keep"), F.struct("ln", F.concat("text", F.lit("\n")).alias("t")))
-    folded = lines.groupBy("id", "layout").agg(
+    folded = lines.groupBy("_row", "id", "layout").agg(
         F.array_sort(F.collect_list(kept)).alias("parts"),
         F.array_sort(F.collect_list(F.struct("ln", "line"))).alias("raw"))
     repaired = F.when(F.col("layout") == "none", F.array_join(F.col("raw.line"), "\n")) \
@@ -110,7 +111,7 @@ def repl_blocks(df: DataFrame, id_col: str = "id", code_col: str = "code") -> Da
     dropped (the reference never flushes it). No prompts: one block, the code unchanged.
     """
     lines = repl_lines(df, id_col, code_col)
-    islands = lines.groupBy("id", "layout", "island").agg(
+    islands = lines.groupBy("_row", "id", "layout", "island").agg(
         F.array_sort(F.collect_list(F.struct("ln", "text"))).alias("rows"),
         F.min("ln").alias("first_ln"), F.max("ln").alias("end_ln"), F.first("last_ln").alias("last_ln"),
         F.min("flag").alias("min_flag"))
@@ -120,6 +121,6 @@ def repl_blocks(df: DataFrame, id_col: str = "id", code_col: str = "code") -> Da
     keep = (F.when(F.col("layout") == "none", F.lit(True))
             .when(F.col("layout") == "typical", leading | (block != ""))
             .otherwise((block != "") & (F.col("end_ln") < F.col("last_ln"))))
-    kept = islands.filter(keep).select("id", "island", block.alias("block"))
-    w = Window.partitionBy("id").orderBy("island")
+    kept = islands.filter(keep).select("_row", "id", "island", block.alias("block"))
+    w = Window.partitionBy("_row").orderBy("island")
     return kept.select("id", (F.row_number().over(w) - 1).alias("block_no"), "block")

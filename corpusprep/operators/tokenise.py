@@ -49,13 +49,27 @@ def tokenise_fields(df: DataFrame, lang: str | None) -> DataFrame:
                          "query_tokens", F.col("_code.ok").alias("code_ok"))
 
 
-def tokenise_corpus(df: DataFrame, lang: str | None = None) -> DataFrame:
+def unknown_languages(df: DataFrame) -> DataFrame:
+    """``(lang, records)`` of the languages without a rule set, NULL included."""
+    known = F.coalesce(F.col("lang").isin(*LANGS), F.lit(False))
+    return df.filter(~known).groupBy("lang").agg(F.count(F.lit(1)).alias("records"))
+
+
+def tokenise_corpus(df: DataFrame, lang: str | None = None, unknown: str = "error") -> DataFrame:
     """Raw records to token records.
 
     With ``lang`` the whole input uses one rule set (the reference's ``main(lang_type, ...)``);
-    without it, the ``lang`` column selects the rule set per row in the same projection
-    (rows of other languages are filtered out at the scan), so the input is read once.
+    without it, the ``lang`` column selects the rule set per row in the same projection, so the
+    input is read once. A record of another (or NULL) language fails the job with its language;
+    ``unknown="skip"`` leaves such records out, and ``unknown_languages`` counts them.
     """
     if lang is not None:
         return tokenise_fields(df, lang)
-    return tokenise_fields(df.filter(F.col("lang").isin(*LANGS)), None)
+    known = F.coalesce(F.col("lang").isin(*LANGS), F.lit(False))
+    if unknown == "skip":
+        return tokenise_fields(df.filter(known), None)
+    if unknown != "error":
+        raise ValueError(f"unknown must be 'error' or 'skip', got {unknown!r}")
+    message = F.concat(F.lit("no rule set for language "), F.coalesce(F.col("lang"), F.lit("NULL")))
+    return tokenise_fields(df.withColumn("lang", F.when(known, F.col("lang")).otherwise(
+        F.raise_error(message).cast("string"))), None)

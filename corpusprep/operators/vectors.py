@@ -17,11 +17,11 @@ SPECIAL_RANGE = 0.25
 
 
 def unit_vector(vec) -> Column:
-    """L2-normalise an ``array<float>`` column; an all-zero vector stays zero."""
+    """L2-normalise an ``array<float>`` column; an all-zero vector stays zero, one with a NULL element is NULL."""
     v = F.col(vec) if isinstance(vec, str) else vec
     norm = F.sqrt(F.aggregate(v, F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x))
-    return let(F.struct(v.alias("v"), norm.alias("n")), lambda s: F.transform(
-        s["v"], lambda x: F.when(s["n"] > 0, x / s["n"]).otherwise(F.lit(0.0)).cast("float")))
+    return let(F.struct(v.alias("v"), norm.alias("n")), lambda s: F.when(s["n"].isNotNull(), F.transform(
+        s["v"], lambda x: F.when(s["n"] > 0, x / s["n"]).otherwise(F.lit(0.0)).cast("float"))))
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
@@ -39,13 +39,13 @@ def special_vectors(spark: SparkSession, dim: int, seed: int = 0) -> DataFrame:
 
 
 def found_words(vocab: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Vocabulary words that have a vector (inner join on the unique word)."""
-    return vocab.select("word").join(vectors.select("word", "vec"), "word", "inner")
+    """Vocabulary words that have a vector (inner join on the unique word); a NULL vector is none."""
+    return vocab.select("word").join(vectors.select("word", "vec").filter(F.col("vec").isNotNull()), "word", "inner")
 
 
 def failed_words(vocab: DataFrame, vectors: DataFrame) -> DataFrame:
     """Vocabulary words without a vector (anti join; only the vector table's word column is read)."""
-    return vocab.select("word").join(vectors.select("word"), "word", "left_anti")
+    return vocab.select("word").join(vectors.filter(F.col("vec").isNotNull()).select("word"), "word", "left_anti")
 
 
 def build_dictionary(vocab: DataFrame, vectors: DataFrame, dim: int | None = None, seed: int = 0,
@@ -77,8 +77,9 @@ def append_dictionary(old: DataFrame, words: DataFrame, vectors: DataFrame) -> D
 def verify_dictionary(dictionary: DataFrame, vectors: DataFrame, first_idx: int = len(SPECIAL_TOKENS)) -> DataFrame:
     """One row ``(checked, mismatched)`` comparing stored vectors with the source vectors."""
     pairs = (dictionary.filter(F.col("idx") >= first_idx).select("word", F.col("vec").alias("stored"))
-             .join(vectors.select("word", F.col("vec").alias("source")), "word", "inner"))
-    differs = (F.size("stored") != F.size("source")) | F.exists(
-        F.arrays_zip("stored", "source"), lambda p: p["stored"] != p["source"])
+             .join(vectors.select("word", F.col("vec").alias("source")), "word", "left"))
+    same = (F.size("stored") == F.size("source")) & F.forall(
+        F.arrays_zip("stored", "source"), lambda p: p["stored"].eqNullSafe(p["source"]))
+    differs = ~F.coalesce(same, F.lit(False))  # no source vector is a mismatch
     return pairs.agg(F.count(F.lit(1)).alias("checked"),
                      F.coalesce(F.sum(differs.cast("long")), F.lit(0)).alias("mismatched"))

@@ -48,7 +48,7 @@ def python_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, code)``: one SQL snippet per part, four shapes by ``p_partkey % 4`` (one cleans to nothing)."""
+    """``(id, code)``: one SQL snippet per part, six shapes by ``p_partkey % 6`` (one cleans to nothing)."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     key, size = _s("p_partkey"), _s("p_size")
     shapes = [
@@ -59,10 +59,17 @@ def sql_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("SELECT t.id, MAX(o.total) FROM (SELECT * FROM stock s WHERE s.qty > "), key,
                  F.lit(") t JOIN orders o ON o.id = t.id WHERE o.note = \""), F.col("p_name"),
                  F.lit("\" UNION SELECT 1e5, ["), F.col("p_brand"), F.lit("]")),
+        F.concat(F.lit("SELECT order.id, key.name, [Unit Price] FROM [Order Details] d WHERE id = ? AND size = "), size,
+                 F.lit(" AND [Category] = c.category_name")),
+        F.concat(F.lit("SELECT a FROM t WHERE b REGEXP '^ab+[0-9]*c?$' AND d LIKE '%"), F.col("p_brand"),
+                 F.lit("@{x}%' AND e IN (SELECT 'it, all' FROM u)")),
         F.lit(":: @"),
     ]
-    m = F.col("p_partkey") % 4
-    code = F.when(m == 0, shapes[0]).when(m == 1, shapes[1]).when(m == 2, shapes[2]).otherwise(shapes[3])
+    m = F.col("p_partkey") % 6
+    code = F.when(m == 0, shapes[0])
+    for i in range(1, 5):
+        code = code.when(m == i, shapes[i])
+    code = code.otherwise(shapes[5])
     return p.select(F.col("p_partkey").alias("id"), code.alias("code"))
 
 
@@ -126,10 +133,13 @@ def raw_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_vectors(vocab: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """``(word, vec_id, vec)``: the ``vec_id``-th word of ``vocab`` (by word ascending) takes that embedding."""
-    ranked = dense_number(vocab.select("word").distinct(), "word", start=0, out="vec_id")
+    """``(word, vec_id, vec)``: four of five words of ``vocab`` (by word ascending) take the embedding of
+    their rank modulo the number of embeddings; every fifth word has no vector."""
+    ranked = dense_number(vocab.select("word").distinct(), "word", start=0, out="rank").filter(F.col("rank") % 5 != 4)
     emb = embeddings.select(F.col("vec_id").cast("int").alias("vec_id"), F.col("embedding").alias("vec"))
-    return ranked.join(emb, "vec_id", "inner").select("word", "vec_id", "vec")
+    number = embeddings.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    paired = ranked.withColumn("vec_id", (F.col("rank") % F.lit(max(number, 1))).cast("int"))
+    return paired.join(emb, "vec_id", "inner").select("word", "vec_id", "vec")
 
 
 def document_vocab(spark: SparkSession, sf_dir: str, dialect: str = "python") -> DataFrame:

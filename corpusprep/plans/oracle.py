@@ -8,7 +8,16 @@ instead of the array functions used on the Spark side.
 
 from __future__ import annotations
 
-from corpusprep.functions.sqlcode import SQL_KEYWORDS, SUFFIXED_WORDS
+# Written out here, so that a wrong word in the code under test shows.
+SUFFIXED_WORDS = ["index", "table", "day", "year", "user", "text"]
+SQL_KEYWORDS = """add all alter and any as asc authorization begin between bigint binary bit boolean both break by
+cascade case cast char character check close coalesce collate column commit constraint continue convert create cross
+current cursor database date datetime deallocate decimal declare default delete desc distinct double drop else end
+escape except exec execute exists fetch float for foreign from full function go goto grant group having identity if in
+index inner insert int integer intersect into is join key left like limit merge natural nchar not null numeric nvarchar
+of off offset on open option or order outer output over partition percent primary print procedure real references
+return returns revoke right rollback row rows schema select set smallint some table then tinyint to top transaction
+trigger truncate union unique update using values varchar view when where while with""".split()
 
 
 def L(s: str) -> str:
@@ -212,7 +221,7 @@ def sql_sanitise(clean):
     return f"(CASE WHEN {t} = '' THEN NULL ELSE {s} END)"
 
 
-SQL_LEX = r"""'[^']*'|"[^"]*"|\w+|[^\s\w]"""
+SQL_LEX = r"""'[^']*'|"[^"]*"|\[[^\[\]]+\]|\w+|[^\s\w]"""
 KW = ", ".join(L(k) for k in SQL_KEYWORDS)
 PIECE = r"\[[^\]]*\]|[+*%^$?]|[.~`;_a-zA-Z0-9\s=:{}\\-]+|."
 RUN = r"^[.~`;_a-zA-Z0-9\s=:{}\\-]+$"
@@ -234,8 +243,11 @@ def sql_token_ctes(src: str) -> str:
             f"WHEN regexp_matches(tok, '^[0-9]+$') THEN 'INTEGER' "
             f"WHEN regexp_matches(tok, '^[0-9]+e[0-9]+$') THEN 'FLOAT' "
             f"WHEN tok = '*' THEN 'WILDCARD' "
+            f"WHEN nxt = '.' AND regexp_matches(tok, '^[a-z_][a-z0-9_]*$') "
+            f"AND tok NOT IN ('case', 'in', 'values', 'using', 'from', 'as', 'number') THEN 'TABLE' "
             f"WHEN tok IN ({KW}) OR tok = 'number' THEN 'KEYWORD' "
-            f"WHEN NOT regexp_matches(tok, '^[a-z_][a-z0-9_]*$') THEN 'OTHER' "
+            f"WHEN tok = '?' THEN 'COLUMN' "
+            f"WHEN NOT regexp_matches(tok, '^[a-z_][a-z0-9_]*$') AND NOT regexp_matches(tok, '^\\[.+\\]$') THEN 'OTHER' "
             f"WHEN nxt = '(' THEN 'FUNCTION' "
             f"WHEN nxt = '.' OR in_from = 1 THEN 'TABLE' ELSE 'COLUMN' END")
     return f"""
@@ -278,13 +290,17 @@ PY_SNIPPETS = f"""SELECT o_orderkey AS id, CASE o_orderkey % 4
        || ''')'
 END AS code FROM orders"""
 
-SQL_SNIPPETS = """SELECT p_partkey AS id, CASE p_partkey % 4
+SQL_SNIPPETS = """SELECT p_partkey AS id, CASE p_partkey % 6
   WHEN 0 THEN 'SELECT p.p_name, COUNT(*) FROM part p WHERE p.p_size = ' || p_size || ' AND p.p_brand LIKE '''
        || p_brand || '%'' GROUP BY p.p_name'
   WHEN 1 THEN 'UPDATE Inventory SET retailPrice = 0x1F, qty = 2.5 WHERE p_type = ''' || p_type || ''' AND size >= '
        || p_size || ' ORDER BY day, year'
   WHEN 2 THEN 'SELECT t.id, MAX(o.total) FROM (SELECT * FROM stock s WHERE s.qty > ' || p_partkey
        || ') t JOIN orders o ON o.id = t.id WHERE o.note = "' || p_name || '" UNION SELECT 1e5, [' || p_brand || ']'
+  WHEN 3 THEN 'SELECT order.id, key.name, [Unit Price] FROM [Order Details] d WHERE id = ? AND size = ' || p_size
+       || ' AND [Category] = c.category_name'
+  WHEN 4 THEN 'SELECT a FROM t WHERE b REGEXP ''^ab+[0-9]*c?$'' AND d LIKE ''%' || p_brand
+       || '@{x}%'' AND e IN (SELECT ''it, all'' FROM u)'
   ELSE ':: @'
 END AS code FROM part"""
 
@@ -344,9 +360,10 @@ SPECIALS = "SELECT 0 AS idx, 'PAD' AS word UNION ALL SELECT 1, 'UNK' UNION ALL S
 
 
 def vectors_over(words_sql):
-    """``(word, vec_id, vec)``: rank-th word of the vocabulary takes embedding ``vec_id = rank``."""
-    return (f"SELECT r.word, r.vec_id, e.embedding AS vec FROM (SELECT word, row_number() OVER (ORDER BY word) - 1 "
-            f"AS vec_id FROM ({words_sql})) r JOIN embeddings e ON e.vec_id = r.vec_id")
+    """``(word, vec_id, vec)``: four of five words take the embedding of their rank modulo the embeddings' number."""
+    return (f"SELECT r.word, r.vec_id, e.embedding AS vec FROM (SELECT word, rank % (SELECT count(*) FROM embeddings) AS vec_id "
+            f"FROM (SELECT word, row_number() OVER (ORDER BY word) - 1 AS rank FROM ({words_sql})) WHERE rank % 5 <> 4) r "
+            f"JOIN embeddings e ON e.vec_id = r.vec_id")
 
 
 DOC_VOCAB = f"SELECT DISTINCT unnest({query_tokens('text', 'python')}) AS word FROM documents"

@@ -23,6 +23,11 @@ def _round4(x: Column) -> Column:
     return F.round(x, 4) + F.lit(0.0)
 
 
+def _paired(spark, sf_dir) -> Callable[[DataFrame], DataFrame]:
+    """Test vectors for a vocabulary, from the embeddings table."""
+    return lambda words: derive.word_vectors(words, table(spark, sf_dir, "embeddings"))
+
+
 def _j(arr) -> Column:
     return F.array_join(F.col(arr) if isinstance(arr, str) else arr, " ")
 
@@ -302,7 +307,7 @@ def q_encode_code(spark, sf_dir):
 
 
 def q_encode_corpus(spark, sf_dir):
-    enc = stages.encode_raw_corpus(derive.raw_corpus(spark, sf_dir), table(spark, sf_dir, "embeddings"))["encoded"]
+    enc = stages.encode_raw_corpus(derive.raw_corpus(spark, sf_dir), _paired(spark, sf_dir))["encoded"]
     return enc.select(*_qid_cols(), *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c)
                                       for c in ["ctx1_ids", "ctx2_ids", "code_ids", "query_ids"]],
                       F.col("block_length").cast("long").alias("block_length"),
@@ -310,7 +315,7 @@ def q_encode_corpus(spark, sf_dir):
 
 
 def q_corpus_report(spark, sf_dir):
-    out = stages.encode_raw_corpus(derive.raw_corpus(spark, sf_dir), table(spark, sf_dir, "embeddings"))
+    out = stages.encode_raw_corpus(derive.raw_corpus(spark, sf_dir), _paired(spark, sf_dir))
     return stages.corpus_report(out)
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.operators import corpus, encode, vectors, vocab
 from corpusprep.operators.tokenise import tokenise_corpus
-from corpusprep.plans import derive
 from corpusprep.session import ensure_checkpoint_dir
 
 
@@ -24,17 +25,20 @@ class Stage(dict):
         return self[key]
 
 
-def encode_raw_corpus(raw: DataFrame, embeddings: DataFrame, seed: int = 7, lang: str | None = None) -> dict:
+def encode_raw_corpus(raw: DataFrame, word_vectors: DataFrame | Callable[[DataFrame], DataFrame], seed: int = 7,
+                      lang: str | None = None) -> dict:
     """Run split, tokenise, vocabulary, dictionary and encode over one raw corpus.
 
+    ``word_vectors`` is a ``(word, vec)`` table, or a function that gives one for the vocabulary.
+
     The token records are checkpointed once (the reference writes them to a file between
     stages): the regular-expression chains run once, and later stages restart from the
     checkpoint rather than from the raw text after a lost executor.
     """
     ensure_checkpoint_dir(raw.sparkSession)
     tokens = tokenise_corpus(raw, lang).checkpoint(eager=True)
-    words = vocab.build_vocab(tokens)
-    vecs = derive.word_vectors(words, embeddings)
+    words = vocab.build_vocab(tokens).checkpoint(eager=True)  # read by the vectors, the dictionary and the report
+    vecs = word_vectors(words) if callable(word_vectors) else word_vectors
     dictionary = vectors.build_dictionary(words, vecs, seed=seed)
     failed = vectors.failed_words(words, vecs)
     encoded = encode.encode_corpus(tokens, dictionary)

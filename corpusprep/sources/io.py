@@ -72,18 +72,37 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOKEN_SCHEMA).parquet(path)
 
 
+def parse_word_vectors(lines: DataFrame, dim: int, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """word2vec lines to ``((word, vec), rejects)``; ``dim`` numbers from the right, the rest is the word.
+
+    A word may hold spaces. Lines with fewer fields, without a word or with a malformed number are the
+    rejects ``(line)``; blank lines and the header (two whole numbers, the second being ``dim``) are neither.
+    """
+    text = F.regexp_replace(F.col(value), r"\s+$", "")
+    parts = F.split(text, " ")
+    head = F.col("line").rlike(rf"^\d+ {dim}$") if dim != 1 else F.lit(False)
+    rows = lines.select(text.alias("line"), parts.alias("p")).filter((F.col("line") != "") & ~head)
+    numbers = F.expr(f"transform(slice(p, greatest(size(p) - {dim} + 1, 1), {dim}), x -> try_cast(x AS float))")
+    word = F.expr(f"array_join(slice(p, 1, greatest(size(p) - {dim}, 0)), ' ')")
+    rows = rows.select("line", word.alias("word"), numbers.alias("vec"))
+    good = F.coalesce((F.col("word") != "") & (F.size("vec") == dim) & F.forall("vec", lambda x: x.isNotNull()), F.lit(False))
+    return rows.filter(good).select("word", "vec"), rows.filter(~good).select("line")
+
+
 def read_word_vectors(spark: SparkSession, path: str, dim: int | None = None) -> DataFrame:
     """word2vec text (``count dim`` header, then ``word v1 ... vdim`` per line) to ``(word, vec)``.
 
-    The header is recognised as the line with two fields, so the file is read in parallel
-    splits without a first-line special case. Malformed numbers become NULL vectors rather
-    than failing the job.
+    Without ``dim`` the header's is used. The file is read in parallel splits; lines that are no
+    vector of this length are left out (``parse_word_vectors`` also returns them).
     """
-    parts = F.split(F.regexp_replace(F.col("value"), r"\s+$", ""), " ")
-    rows = spark.read.text(path).select(parts.alias("p"))
-    rows = rows.filter(F.size("p") > 2) if dim is None else rows.filter(F.size("p") == dim + 1)
-    vec = F.expr("transform(slice(p, 2, size(p) - 1), x -> try_cast(x AS float))")
-    return rows.select(F.col("p")[0].alias("word"), vec.alias("vec"))
+    lines = spark.read.text(path)
+    if dim is None:
+        first = lines.first()
+        head = (first["value"].split() if first else [])
+        if len(head) != 2 or not all(x.isdigit() for x in head):
+            raise ValueError("the file has no 'count dim' header: give dim")
+        dim = int(head[1])
+    return parse_word_vectors(lines, dim)[0]
 
 
 def write_word_vectors_text(vectors: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -141,7 +141,8 @@ def test_end_to_end_stages_written_and_consistent(spark):
 
     root = _fresh()
     raw = derive.raw_corpus(spark, SF_SMALL)
-    out = stages.encode_raw_corpus(raw, spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
+    embeddings = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    out = stages.encode_raw_corpus(raw, lambda words: derive.word_vectors(words, embeddings))
     io.write_split(corpus.candidate_kind(raw), f"{root}/split")
     io.write_tokens(out["tokens"], f"{root}/tokens")
     io.write_vocab(out["vocab"], f"{root}/vocab")
