@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORDS = 8  # a bitmap has 64 * WORDS bits unless said otherwise
+WORDS = 4  # a bitmap has 64 * WORDS bits unless said otherwise
 
 
 def enough(overlap: Column, n: Column, m: Column, percent: int) -> Column:
