@@ -17,6 +17,8 @@ lines; a null id sorts first. Other columns are kept, an empty table gives an em
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ def shingles(norm: Column, k: int) -> Column:
     """Sorted distinct hashes of the word shingles of a text whose words are parted by single spaces."""
     words = F.split(norm, " ")
     # the array of words stands in a one-element array, so that it is split once and not for each shingle
-    return F.get(F.transform(F.array(words), lambda w: F.array_sort(F.array_distinct(F.transform(
+    return F.get(F.transform(F.array(words), lambda w: F.sort_array(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.xxhash64(F.slice(w, i, F.lit(k))))))), F.lit(0))
 
 
@@ -49,9 +51,11 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
     """(pos, key, norm): place, words as 128-bit hash, and words of every line of at least ``min_words`` words."""
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    norm = F.trim(F.regexp_replace(F.lower("line"), WHITE, " "))
+    line = F.lower("line")
+    uneven = reduce(lambda a, b: a | b, [F.contains("line", F.lit(x)) for x in ("  ", "\t", "\r", "\v", "\f")])
+    norm = F.trim(F.when(uneven, F.regexp_replace(line, WHITE, " ")).otherwise(line))
     rows = rows.select(F.struct("doc_id", "h", "line_no").alias("pos"), norm.alias("norm"))
-    rows = rows.filter(F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) >= min_words - 1)
+    rows = rows.filter(F.substring_index("norm", " ", min_words - 1) != F.col("norm"))  # min_words - 1 spaces or more
     return rows.select("pos", F.struct(F.xxhash64("norm").alias("k1"), F.xxhash64("norm", F.lit(1)).alias("k2")).alias("key"), "norm")
 
 
@@ -70,7 +74,7 @@ def later_lines(lines: DataFrame, shingle: int, percent: int, broadcast_rows: in
     # Order by rarity: tokens of one line come first, then the shared ones by count and hash.
     each = sets.select("key", F.explode("tokens").alias("token"))
     counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    ordered = each.join(counts, "token").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"))
+    ordered = each.join(counts, "token").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own"))
     prefix = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
     index = (sets.select("key", "pos", "n", "bits").join(ordered, "key")
              .select("key", "pos", "n", "bits", prefix.alias("p"), (F.col("n") - F.size("own")).alias("alone"), F.posexplode("own").alias("i", "t"))

@@ -45,7 +45,7 @@ def index_signatures(reps: DataFrame, pair_from: int, triple_from: int) -> DataF
     entries = reps.select("node", F.posexplode("zone").alias("rank", "token"))
     shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     own = (entries.join(shared, "token").groupBy("node")
-           .agg(F.array_sort(F.collect_list(F.struct("rank", "token", "df"))).alias("own")))
+           .agg(F.sort_array(F.collect_list(F.struct("rank", "token", "df"))).alias("own")))
 
     def of_class(low: int, high: int | None) -> Column:
         return F.filter("own", lambda e: (e["df"] > low) & (F.lit(True) if high is None else e["df"] <= high))
