@@ -1,17 +1,18 @@
 """Quality rules by n-gram perplexity: a modified Kneser-Ney model for each language, and bands of perplexity.
 
 The model's symbols are characters: a word is read with ``order`` - 1 start marks and an end mark, and every n-gram ends
-inside its word. Tasks count the n-grams of their distinct words, Spark sums the counts over all texts, derives
-continuation counts, context totals and the three discounts for each language and order, and interpolates the
-probabilities order by order. For scoring, the model is laid out as sorted arrays of n-gram hashes with log-probability
-and back-off weight. It grows with the text's variety; beyond ``max_entries`` n-grams the highest order is pruned by the
-smallest count that fits, as usual for such models, so what is broadcast has a bound.
+inside its word. Tasks count the n-grams of their distinct words and Spark sums the counts over all texts. The counts of
+a language then give continuation counts, discounts and interpolated probabilities, as sorted arrays of hashes with
+log-probabilities and back-off weights. The model grows with the text's variety; beyond ``max_entries`` n-grams the
+highest order is pruned by the smallest count that fits, as usual for such models, so what one task gathers and what is
+broadcast have a bound.
 
 A document's score is its mean negative log-probability per symbol. For each language, quartiles of the scores of all
 documents that pass the base rule give the band [lower, upper] outside which documents are rejected.
 
 Null text has no words and fails the base rule; a null language is a language of its own; repeated rows are scored row
-by row and an empty table gives an empty table. A language too small to have spread keeps what is at its median.
+by row and an empty table gives an empty table. A language none of whose n-grams stands twice
+scores 0, and one too small to have spread keeps what is at its median.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 from math import log
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,78 +115,48 @@ def discounts(n: dict[int, int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), i + 0.95) for i, d in enumerate(ds))
 
 
-def estimate(counts: DataFrame, order: int, min_count: int = 2) -> list[DataFrame]:
-    """For each order 0..n: (lang, gram, p, bow), interpolated; ``bow`` is the back-off weight after the gram.
+@dataclass
+class HashArrays:
+    """One language. For each order the sorted hashes of n-grams with their log-probabilities, and for each length the
+    sorted hashes of contexts with their log back-off weights."""
 
-    N-grams of the highest order counted less than ``min_count`` times are left out, after they have entered the
-    discounts: what only one text says must not vouch for that text.
-    """
-    levels = {order: counts.filter(F.col("n") >= min_count)}
-    for m in range(order - 1, 0, -1):  # continuation counts: distinct characters in front
-        levels[m] = levels[m + 1].groupBy("lang", F.substring("gram", 2, m).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-    seen = None
-    for m, level in (levels | {order: counts}).items():
-        part = level.groupBy("lang", F.lit(m).alias("m"), F.least("n", F.lit(5)).alias("c")).agg(F.count(F.lit(1)).alias("k"))
-        seen = part if seen is None else seen.union(part)
-    of: dict[tuple[str, int], dict[int, int]] = {}
-    for r in seen.collect():  # five rows at most for each language and order
-        of.setdefault((r["lang"], r["m"]), {})[r["c"]] = r["k"]
-    spark = counts.sparkSession
-    rows = [(lang, m, *discounts(n)) for (lang, m), n in of.items()] or [("", 1, 0.5, 0.75, 1.0)]
-    ds = F.broadcast(spark.createDataFrame(rows, "lang string, m int, d1 double, d2 double, d3 double"))
-    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    out: list[DataFrame] = []
-    lower = None
-    for m in range(1, order + 1):
-        level = levels[m].join(ds.filter(F.col("m") == m).drop("m"), "lang").withColumn("d", d)
-        level = level.withColumn("h", F.substring("gram", 1, m - 1))
-        context = level.groupBy("lang", "h").agg(F.sum("n").alias("total"), F.sum("d").alias("freed"))
-        joined = level.join(context, ["lang", "h"]).withColumn("gamma", F.col("freed") / F.col("total"))
-        if lower is None:
-            p = (F.col("n") - F.col("d")) / F.col("total") + F.col("gamma") / F.lit(float(LETTERS))
-        else:
-            below = lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below"))
-            joined = joined.withColumn("suffix", F.substring("gram", 2, m - 1)).join(below, ["lang", "suffix"])
-            p = (F.col("n") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("below")
-        lower = joined.select("lang", "gram", p.alias("p")).checkpoint()
-        bows = context.select("lang", F.col("h").alias("gram"), (F.col("freed") / F.col("total")).alias("bow"))
-        if m > 1:
-            out[-1] = out[-1].join(bows, ["lang", "gram"], "full")  # start marks are contexts, never predicted
-        else:
-            first = bows
-        out.append(lower)
-    out[-1] = out[-1].withColumn("bow", F.lit(None).cast("double"))
-    return [first.select("lang", "gram", F.lit(None).cast("double").alias("p"), "bow"), *out]
+    grams: list[tuple[np.ndarray, np.ndarray]]
+    contexts: list[tuple[np.ndarray, np.ndarray]]
 
+    @property
+    def unseen(self) -> float:
+        """Log-probability of a character that no text has."""
+        return float(self.contexts[0][1][0]) - log(LETTERS)
 
-@dataclass
-class HashArrays:
-    """One language: for each order the sorted hashes, log-probabilities and log back-off weights."""
 
-    hashes: list[np.ndarray]
-    logp: list[np.ndarray]
-    bow: list[np.ndarray]
-    unseen: float
+def look_up(table: tuple[np.ndarray, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, found) of hashes in a sorted table; the value is 0 where none is found."""
+    keys, values = table
+    if not len(keys):
+        return np.zeros(len(h)), np.zeros(len(h), bool)
+    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+    hit = keys[at] == h
+    return np.where(hit, values[at], 0.0), hit
 
-    def find(self, m: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys = self.hashes[m]
-        if not len(keys):
-            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        return at, keys[at] == h
 
-    def predicted(self, m: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at, hit = self.find(m, h)
-        return at, hit & ~np.isnan(self.logp[m][at]) if len(self.logp[m]) else hit
+def mix(out: np.ndarray, code: np.ndarray) -> np.ndarray:
+    out = (out ^ code) * np.uint64(0x9E3779B97F4A7C15)
+    return out ^ (out >> np.uint64(29))
 
 
 def hash_windows(codes: np.ndarray, m: int) -> np.ndarray:
     """Hash of the ``m`` code points that end at each place from ``m`` - 1 on."""
     out = np.full(len(codes) - m + 1, m, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(m):
-            out = (out ^ codes[i:len(codes) - m + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
+    for i in range(m):
+        out = mix(out, codes[i:len(codes) - m + 1 + i])
+    return out
+
+
+def hash_rows(codes: np.ndarray) -> np.ndarray:
+    """Hash of each row of code points; equals ``hash_windows`` of the row."""
+    out = np.full(len(codes), codes.shape[1], np.uint64)
+    for column in codes.T:
+        out = mix(out, column)
     return out
 
 
@@ -192,33 +164,58 @@ def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
 
 
-def lay_out(tables: list[DataFrame]) -> dict[str, HashArrays]:
-    """Sorted hash arrays on the driver; the number of entries was bounded before."""
-    parts: dict[str, dict[int, tuple]] = {}
-    for m, table in enumerate(tables):
-        arrow = table.select("lang", "gram", "p", "bow").toArrow()
-        langs = np.array(arrow.column("lang").to_pylist(), object)
-        grams = np.array(arrow.column("gram").to_pylist(), object)
-        p = np.array(arrow.column("p").to_pylist(), float)
-        bow = np.array(arrow.column("bow").to_pylist(), float)
-        for lang in set(langs):
-            own = langs == lang
-            if m:
-                h = hash_windows(codes_of("".join(grams[own])), m)[::m]
-            else:
-                h = np.zeros(int(own.sum()), np.uint64)
-            by = np.argsort(h)
-            parts.setdefault(lang, {})[m] = (h[by], np.log(p[own])[by].astype(np.float32),
-                                             np.nan_to_num(np.log(bow[own]))[by].astype(np.float32))
-    none = (np.empty(0, np.uint64), np.empty(0, np.float32), np.empty(0, np.float32))
-    out = {}
-    for lang, orders in parts.items():
-        rows = [orders.get(m, none) for m in range(len(tables))]
-        root = float(rows[0][2][0]) if len(rows[0][2]) else 0.0
-        out[lang] = HashArrays([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], root - log(LETTERS))
+def estimate(grams: list[str], n: np.ndarray, order: int, of_top: tuple[float, float, float]) -> HashArrays:
+    """Interpolated probabilities of one language from the counts of its highest order, whose discounts are given.
+
+    Lower orders are counted by the distinct characters in front.
+    """
+    codes, counts = {order: codes_of("".join(grams)).reshape(-1, order)}, {order: np.asarray(n, np.int64)}
+    for m in range(order - 1, 0, -1):
+        _, first, counts[m] = np.unique(hash_rows(codes[m + 1][:, 1:]), return_index=True, return_counts=True)
+        codes[m] = codes[m + 1][first, 1:]
+    out = HashArrays([(np.empty(0, np.uint64), np.empty(0))], [])
+    for m in range(1, order + 1):
+        held = np.bincount(np.minimum(counts[m], 5), minlength=6)
+        ds = np.array(of_top if m == order else discounts(dict(enumerate(held.tolist()))))
+        d = ds[np.minimum(counts[m], 3) - 1]
+        contexts, at = np.unique(hash_rows(codes[m][:, :-1]), return_inverse=True)
+        total, freed = np.bincount(at, counts[m]), np.bincount(at, d)
+        below = np.exp(look_up(out.grams[m - 1], hash_rows(codes[m][:, 1:]))[0]) if m > 1 else 1 / LETTERS
+        p = (counts[m] - d) / total[at] + (freed / total)[at] * below
+        h = hash_rows(codes[m])
+        by = np.argsort(h)
+        out.grams.append((h[by], np.log(p[by])))
+        out.contexts.append((contexts, np.log(freed / total)))
     return out
 
 
+def build_models(counts: DataFrame, order: int, min_count: int = 2) -> dict[str, HashArrays]:
+    """language -> model, from (lang, gram, n); a language's n-grams meet in one task, their number was bounded before.
+
+    N-grams counted less than ``min_count`` times are left out, after they have entered the discounts: what only one
+    text says must not vouch for that text.
+    """
+    held: dict[str, dict[int, int]] = {}
+    for r in counts.groupBy("lang", F.least("n", F.lit(5)).alias("c")).count().collect():  # five rows a language at most
+        held.setdefault(r["lang"], {})[r["c"]] = r["count"]
+    of_top = {lang: discounts(n) for lang, n in held.items()}
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        lang = pdf["lang"].iloc[0]
+        model = estimate(pdf["gram"].tolist(), pdf["n"].to_numpy(), order, of_top[lang])
+        rows = [(lang, kind, m, h.tobytes(), v.astype(np.float64).tobytes())
+                for kind, tables in (("gram", model.grams), ("context", model.contexts)) for m, (h, v) in enumerate(tables)]
+        return pd.DataFrame(rows, columns=["lang", "kind", "m", "hashes", "vals"])
+
+    fitted = counts.filter(F.col("n") >= min_count).groupBy("lang").applyInPandas(fit, "lang string, kind string, m int, hashes binary, vals binary")
+    models: dict[str, HashArrays] = {}
+    for r in sorted(fitted.collect(), key=lambda r: r["m"]):
+        model = models.setdefault(r["lang"], HashArrays([], []))
+        of = model.grams if r["kind"] == "gram" else model.contexts
+        of.append((np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["vals"], np.float64).astype(np.float32)))
+    return models
+
+
 def score_words(model: HashArrays, order: int, words: list[str]) -> np.ndarray:
     """Log-probability of each word with its end mark."""
     padded = [START * (order - 1) + w + END for w in words]
@@ -233,12 +230,11 @@ def score_words(model: HashArrays, order: int, words: list[str]) -> np.ndarray:
     total = np.zeros(len(at))
     open_ = np.arange(len(at))
     for m in range(order, 0, -1):
-        found, hit = model.predicted(m, hashes[m][at[open_] - (m - 1)])
-        total[open_[hit]] += model.logp[m][found[hit]]
+        value, hit = look_up(model.grams[m], hashes[m][at[open_] - (m - 1)])
+        total[open_] += value
         open_ = open_[~hit]
-        if m > 1 and len(open_):
-            back, known = model.find(m - 1, hashes[m - 1][at[open_] - (m - 1)])  # the context, without its last symbol
-            total[open_[known]] += model.bow[m - 1][back[known]]
+        if m > 1 and len(open_):  # the context, without its last symbol
+            total[open_] += look_up(model.contexts[m - 1], hashes[m - 1][at[open_] - (m - 1)])[0]
     total[open_] += model.unseen
     firsts = np.concatenate([[0], np.cumsum(lengths - (order - 1))[:-1]])
     return np.add.reduceat(total, firsts)
@@ -287,7 +283,7 @@ def score_documents(docs: DataFrame, order: int = 5, min_count: int = 2, max_ent
         if total > max_entries:
             cutoff = max(cutoff, r["n"] + 1)
             break
-    models = lay_out(estimate(counts, order, cutoff))
+    models = build_models(counts, order, cutoff)
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
