@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A provided table, spread over the cores when its file has fewer splits than that."""
     from corpusprep.sources.io import spread_input
 
-    return spread_input(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spread_input(spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism)
 
 
 def _s(name: str) -> Column:

@@ -14,42 +14,25 @@ ENCODED_SCHEMA = ("qid struct<question_id:string,cand:int>, ctx1_ids array<int>,
 DICTIONARY_SCHEMA = "idx int, word string, vec array<float>"
 
 
-MIN_PARTITIONS_CONF = "corpusprep.minInputPartitions"
-SPREAD_MIN_BYTES_CONF = "corpusprep.spreadMinBytes"
-SPREAD_MIN_BYTES = 64 * 1024
+def spread_input(df: DataFrame, partitions: int) -> DataFrame:
+    """Deal the rows of a single-file input out over ``partitions`` tasks; other inputs are returned unchanged.
 
-
-def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over at least ``min_partitions`` tasks when the scan yields fewer splits.
-
-    The text rules are CPU-bound per row. A large input (many files or row groups) already
-    has more splits than cores and is returned unchanged, without a shuffle; a file with one
-    row group would otherwise be tokenised by a single task. Inputs below
-    ``corpusprep.spreadMinBytes`` (Catalyst's size estimate, 64 KB by default) stay as they
-    are: one task handles them faster than a shuffle. The default target is
-    ``corpusprep.minInputPartitions`` or else the default parallelism.
+    The text rules are CPU-bound per row, and a file of one row group would be tokenised by a
+    single task. Inputs of several files have splits of their own and are never shuffled.
     """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or int(spark.conf.get(MIN_PARTITIONS_CONF, "0") or 0) \
-            or spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session exposes no plan internals
-        return df
-    if splits >= target:
-        return df
-    floor = int(spark.conf.get(SPREAD_MIN_BYTES_CONF, str(SPREAD_MIN_BYTES)))
-    return df if size < floor else df.repartition(target)
+    return df.repartition(partitions) if len(df.inputFiles()) == 1 else df
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", nested: bool = False,
-                spread: bool = True) -> DataFrame:
-    """Raw records with an explicit schema (flat, or the nested reference layout flattened by S10)."""
+                spread: int | None = None) -> DataFrame:
+    """Raw records with an explicit schema (flat, or the nested reference layout flattened by S10).
+
+    The read has no exchange; ``spread`` deals a single-file input out over so many tasks.
+    """
     schema = NESTED_SCHEMA if nested else RAW_SCHEMA
     df = spark.read.schema(schema).format(fmt).load(path)
     if spread:
-        df = spread_input(df)
+        df = spread_input(df, spread)
     return flatten_record(df) if nested else df
 
 

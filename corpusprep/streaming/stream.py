@@ -37,13 +37,13 @@ def tokenise_stream(raw: DataFrame, sink_path: str, checkpoint_location: str, la
 
 def encode_stream(tokens: DataFrame, dictionary: DataFrame, sink_path: str, checkpoint_location: str,
                   available_now: bool = False) -> StreamingQuery:
-    """Encode each micro-batch of token records against ``dictionary`` and append to ``sink_path``.
+    """Encode each micro-batch of token records against ``dictionary`` into its own folder of ``sink_path``.
 
-    A micro-batch that is retried after a failure rewrites the same records; the sink's
-    readers deduplicate on ``qid`` if exactly-once output is needed.
+    A micro-batch that is retried after a failure overwrites its folder ``batch_id=n``, so no
+    record is written twice; reading ``sink_path`` gives ``batch_id`` as a column.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        encode_corpus(batch, dictionary).write.mode("append").parquet(sink_path)
+        encode_corpus(batch, dictionary).write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
 
     writer = (tokens.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_location))
