@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from corpusprep.session import ensure_checkpoint_dir
 
 from . import setjoin
-from .common import BoundedCache, text_or_empty
+from .common import BoundedCache, stored, text_or_empty
 
 ODD = 0x9E3779B97F4A7C15
+SKETCH_BITS = 8192
 
 
 class Shingler:
@@ -61,8 +62,7 @@ def node_of(tokens: np.ndarray) -> int:
     return int.from_bytes(blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def bitmap(tokens: np.ndarray) -> np.ndarray:
-    bits = 64 * setjoin.WORDS
+def bitmap(tokens: np.ndarray, bits: int = 64 * setjoin.WORDS) -> np.ndarray:
     odd = np.bincount((tokens >> 7) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
@@ -73,7 +73,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _sets(docs: DataFrame, k: int, percent: int, whole: bool) -> DataFrame:
-    """(doc_id, node, n) with ``tokens``, or with the prefix ``zone`` and ``bits``."""
+    """(doc_id, node, n) with ``tokens`` and ``sketch``, or with the prefix ``zone`` and ``bits``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(k)
         for batch in batches:
@@ -82,13 +82,14 @@ def _sets(docs: DataFrame, k: int, percent: int, whole: bool) -> DataFrame:
                 sets = [shingler.tokens(t) for t in part.column(1).to_pylist()]
                 cols = [part.column(0), pa.array([node_of(s) for s in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int64())]
                 if whole:
-                    yield pa.RecordBatch.from_arrays([*cols, _lists(sets)], names=["doc_id", "node", "n", "tokens"])
+                    yield pa.RecordBatch.from_arrays([*cols, _lists(sets), _lists([bitmap(s, SKETCH_BITS) for s in sets])],
+                                                     names=["doc_id", "node", "n", "tokens", "sketch"])
                     continue
                 zones = [s[:len(s) - -(-len(s) * percent // 100) + 4] if len(s) * (100 - percent) >= percent else s[:0] for s in sets]
                 yield pa.RecordBatch.from_arrays([*cols, _lists(zones), _lists([bitmap(s) for s in sets])],
                                                  names=["doc_id", "node", "n", "zone", "bits"])
 
-    extra = "tokens array<long>" if whole else "zone array<long>, bits array<long>"
+    extra = "tokens array<long>, sketch array<long>" if whole else "zone array<long>, bits array<long>"
     return docs.mapInArrow(run, f"doc_id long, node long, n long, {extra}")
 
 
@@ -112,7 +113,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, pai
             chosen = F.broadcast(chosen)
         texts = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["first"]), "left_semi")
         whole = _sets(texts, shingle, percent, whole=True).join(nodes, "node", "left_semi").dropDuplicates(["node"])
-        return setjoin.verify(pairs, whole.select("node", "tokens").checkpoint(), percent).checkpoint()
+        return setjoin.verify(pairs, stored(whole.drop("doc_id")), percent).checkpoint()
 
     near = links(setjoin.pivot_pairs(index, percent))
     first = setjoin.components(near)

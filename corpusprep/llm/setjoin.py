@@ -88,11 +88,19 @@ def bucket_pairs(index: DataFrame, percent: int, apart: str) -> DataFrame:
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets (node, tokens) are similar enough."""
-    x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    overlap = F.size(F.array_intersect("x", "y")).cast("long")
-    return pairs.join(x, "a").join(y, "b").filter(enough(overlap, F.size("x"), F.size("y"), percent)).select("a", "b")
+    """The pairs whose sets (node, n, tokens, sketch) are similar enough.
+
+    The sketches, wide bitmaps of a fixed size, rule out most pairs of large sets before the sets are sent.
+    """
+    def side(of: str, node: str) -> DataFrame:
+        return sets.select(F.col("node").alias(node), F.col("n").alias(f"n_{node}"), F.col(of).alias(f"{of}_{node}"))
+
+    differing = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    likely = (pairs.join(side("sketch", "a"), "a").join(side("sketch", "b"), "b")
+              .filter(enough(F.floor((F.col("n_a") + F.col("n_b") - differing) / 2), F.col("n_a"), F.col("n_b"), percent)).select("a", "b"))
+    overlap = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
+    return (likely.join(side("tokens", "a"), "a").join(side("tokens", "b"), "b")
+            .filter(enough(overlap, F.col("n_a"), F.col("n_b"), percent)).select("a", "b"))
 
 
 def components(links: DataFrame) -> DataFrame:
