@@ -98,11 +98,11 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, pai
     """(doc_id, n_shingles, component_id) of every row: the smallest id reachable by links of ``percent`` or more."""
     ensure_checkpoint_dir(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    sets = _sets(rows, shingle, percent, whole=False).checkpoint()
+    sets = stored(_sets(rows, shingle, percent, whole=False))
     # Sets too small to have a similar but different partner have an empty prefix.
-    reps = (sets.filter(F.size("zone") > 0).groupBy("node")
-            .agg(F.first("n").alias("n"), F.first("zone").alias("zone"), F.first("bits").alias("bits")))
-    index = setjoin.index_signatures(reps, pair_from, triple_from).checkpoint()
+    reps = stored(sets.filter(F.size("zone") > 0).groupBy("node")
+                  .agg(F.first("n").alias("n"), F.first("zone").alias("zone"), F.first("bits").alias("bits")))
+    index = stored(setjoin.index_signatures(reps, pair_from, triple_from, broadcast_rows))
     ids = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -110,9 +110,9 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, pai
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().checkpoint()
         chosen = nodes.join(ids, "node").select("first").distinct()
         if nodes.count() <= broadcast_rows:
-            chosen = F.broadcast(chosen)
+            chosen, nodes = F.broadcast(chosen), F.broadcast(nodes)
         texts = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["first"]), "left_semi")
-        whole = _sets(texts, shingle, percent, whole=True).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+        whole = _sets(texts, shingle, percent, whole=True).join(nodes, "node", "left_semi")
         return setjoin.verify(pairs, stored(whole.drop("doc_id")), percent).checkpoint()
 
     near = links(setjoin.pivot_pairs(index, percent))

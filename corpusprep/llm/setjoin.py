@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 WORDS = 4  # a bitmap has 64 * WORDS bits unless said otherwise
 
 
@@ -34,7 +36,7 @@ def may_match(a: str, b: str, percent: int, words: int = WORDS) -> Column:
     return length & position & enough(F.floor((n + m - differing) / 2), n, m, percent)
 
 
-def index_signatures(reps: DataFrame, pair_from: int, triple_from: int) -> DataFrame:
+def index_signatures(reps: DataFrame, pair_from: int, triple_from: int, broadcast_rows: int) -> DataFrame:
     """(sig, node, n, rank, bits) from rows of (node, n, zone, bits); ``zone`` is a prefix, extended by three tokens.
 
     Tokens of one set are dropped. The others fall into classes by their number of sets: up to ``pair_from`` a token is a
@@ -43,7 +45,9 @@ def index_signatures(reps: DataFrame, pair_from: int, triple_from: int) -> DataF
     the classes are.
     """
     entries = reps.select("node", F.posexplode("zone").alias("rank", "token"))
-    shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
+    if shared.count() <= broadcast_rows:  # else both sides are shuffled
+        shared = F.broadcast(shared)
     own = (entries.join(shared, "token").groupBy("node")
            .agg(F.sort_array(F.collect_list(F.struct("rank", "token", "df"))).alias("own")))
 
@@ -90,7 +94,8 @@ def bucket_pairs(index: DataFrame, percent: int, apart: str) -> DataFrame:
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets (node, n, tokens, sketch) are similar enough.
 
-    The sketches, wide bitmaps of a fixed size, rule out most pairs of large sets before the sets are sent.
+    The sketches, wide bitmaps of a fixed size, rule out most pairs of large sets before the sets are sent. A node may
+    have several rows.
     """
     def side(of: str, node: str) -> DataFrame:
         return sets.select(F.col("node").alias(node), F.col("n").alias(f"n_{node}"), F.col(of).alias(f"{of}_{node}"))
@@ -100,7 +105,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
               .filter(enough(F.floor((F.col("n_a") + F.col("n_b") - differing) / 2), F.col("n_a"), F.col("n_b"), percent)).select("a", "b"))
     overlap = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
     return (likely.join(side("tokens", "a"), "a").join(side("tokens", "b"), "b")
-            .filter(enough(overlap, F.col("n_a"), F.col("n_b"), percent)).select("a", "b"))
+            .filter(enough(overlap, F.col("n_a"), F.col("n_b"), percent)).select("a", "b").distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
