@@ -320,6 +320,9 @@ def judge(docs: DataFrame, spread: float = 10.0, least: float = 0.005, **options
              .select("lang", F.col("q")[1].alias("median"),
                      F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(least)).alias("down"),
                      F.greatest(F.col("q")[2] - F.col("q")[1], F.lit(least)).alias("up")))
+    bands = bands.checkpoint()
+    if bands.count() <= 10_000:  # a row for each language; else joined by a shuffle
+        bands = F.broadcast(bands)
     judged = scored.join(bands, "lang", "left").withColumns({
         "lower": F.col("median") - spread * F.col("down"), "upper": F.col("median") + spread * F.col("up")})
     inside = F.coalesce(F.col("score").between(F.col("lower"), F.col("upper")), F.lit(True))
