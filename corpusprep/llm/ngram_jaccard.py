@@ -93,7 +93,7 @@ def _sets(docs: DataFrame, k: int, percent: int, whole: bool) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id long, node long, n long, {extra}")
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, pair_from: int = 1024, triple_from: int = 16384,
+def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, pair_from: int = 4096, triple_from: int = 32768,
                        id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the smallest id reachable by links of ``percent`` or more."""
     ensure_checkpoint_dir(docs.sparkSession)

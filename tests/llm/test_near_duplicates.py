@@ -23,7 +23,7 @@ def family(n, words=60, edits=2):
     return out
 
 
-@pytest.mark.parametrize("k,percent,pairs,triples", [(3, 90, 1024, 16384), (3, 90, 2, 5), (5, 80, 3, 8)])
+@pytest.mark.parametrize("k,percent,pairs,triples", [(3, 90, 4096, 32768), (3, 90, 2, 5), (5, 80, 3, 8)])
 def test_components_equal_brute_force(spark, k, percent, pairs, triples):
     docs = documents(spark, SF_SMALL, EDGES + family(40) + ["shared passage of ten words stands in many texts " + t for t in EDGES[4:9]])
     docs = docs.withColumns({"n": F.lit(1), "node": F.lit("clash"), "component_id": F.lit("clash")}).cache()
