@@ -3,9 +3,9 @@
 The model's symbols are characters: a word is read with ``order`` - 1 start marks and an end mark, and every n-gram ends
 inside its word. Tasks count the n-grams of their distinct words and Spark sums the counts over all texts. The counts of
 a language then give continuation counts, discounts and interpolated probabilities, as sorted arrays of hashes with
-log-probabilities and back-off weights. The model grows with the text's variety; beyond ``max_entries`` n-grams the
-highest order is pruned by the smallest count that fits, as usual for such models, so what one task gathers and what is
-broadcast have a bound.
+log-probabilities and back-off weights. The model grows with the text's variety: up to ``max_entries`` n-grams it is
+broadcast; a larger one stays a table, its probabilities come from aggregates and joins by n-gram and context, and the
+distinct words are scored by joins. Both give the same scores and no n-gram is left out for the size of the input.
 
 A document's score is its mean negative log-probability per symbol. For each language, quartiles of the scores of all
 documents that pass the base rule give the band [lower, upper] outside which documents are rejected.
@@ -17,6 +17,7 @@ scores 0, and one too small to have spread keeps what is at its median.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.session import ensure_checkpoint_dir
 
-from .common import text_or_empty
+from .common import stored, text_or_empty
 
 START, END = "\x02", "\x03"
 SYMBOLS = "#*$%&|<>"
@@ -189,16 +190,21 @@ def estimate(grams: list[str], n: np.ndarray, order: int, of_top: tuple[float, f
     return out
 
 
+def discounts_of(counts: DataFrame) -> dict[str, tuple[float, float, float]]:
+    """language -> discounts, from rows of (lang, n)."""
+    held: dict[str, dict[int, int]] = {}
+    for r in counts.groupBy("lang", F.least("n", F.lit(5)).alias("c")).count().collect():  # five rows a language at most
+        held.setdefault(r["lang"], {})[r["c"]] = r["count"]
+    return {lang: discounts(n) for lang, n in held.items()}
+
+
 def build_models(counts: DataFrame, order: int, min_count: int = 2) -> dict[str, HashArrays]:
     """language -> model, from (lang, gram, n); a language's n-grams meet in one task, their number was bounded before.
 
     N-grams counted less than ``min_count`` times are left out, after they have entered the discounts: what only one
     text says must not vouch for that text.
     """
-    held: dict[str, dict[int, int]] = {}
-    for r in counts.groupBy("lang", F.least("n", F.lit(5)).alias("c")).count().collect():  # five rows a language at most
-        held.setdefault(r["lang"], {})[r["c"]] = r["count"]
-    of_top = {lang: discounts(n) for lang, n in held.items()}
+    of_top = discounts_of(counts)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         lang = pdf["lang"].iloc[0]
@@ -276,15 +282,14 @@ def score_documents(docs: DataFrame, order: int = 5, min_count: int = 2, max_ent
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"),
                        F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), text_or_empty(text_col).alias("text"))
     counts = count_grams(rows, order).checkpoint()
-    held = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).count().orderBy(F.desc("n")).collect()  # 1000 rows at most
-    total, cutoff = 0, min_count
-    for r in held:
-        total += r["count"]
-        if total > max_entries:
-            cutoff = max(cutoff, r["n"] + 1)
-            break
-    models = build_models(counts, order, cutoff)
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    if counts.filter(F.col("n") >= min_count).count() > max_entries:
+        return score_by_joins(measure(rows, {}, order).drop("score"), rows, counts, order, min_count)
+    return measure(rows, build_models(counts, order, min_count), order)
+
+
+def measure(rows: DataFrame, models: dict[str, HashArrays], order: int) -> DataFrame:
+    """Counts of the base rule and the scores by ``models``."""
+    shared = rows.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value, order)
@@ -305,6 +310,84 @@ def score_documents(docs: DataFrame, order: int = 5, min_count: int = 2, max_ent
     return rows.mapInArrow(run, SCORES)
 
 
+# --- models too large to broadcast ----------------------------------------------------------------------------------
+
+def gram_scores(counts: DataFrame, order: int, min_count: int) -> DataFrame:
+    """(lang, gram, lp): the log-probability of the last character of every n-gram of (lang, gram, n), also of those
+    that are left out of the model. Languages without a model have no rows.
+
+    A key of these aggregates and joins has at most as many rows as there are characters.
+    """
+    spark = counts.sparkSession
+    shorter = F.expr("substring(gram, 2)")
+    levels, asked = {order: counts.filter(F.col("n") >= min_count)}, {order: counts.select("lang", "gram")}
+    for m in range(order - 1, 0, -1):
+        levels[m] = stored(levels[m + 1].groupBy("lang", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")))
+        asked[m] = stored(asked[m + 1].select("lang", shorter.alias("gram")).distinct())
+    below = None
+    for m in range(1, order + 1):
+        of = discounts_of(counts if m == order else levels[m])
+        ds = F.broadcast(spark.createDataFrame([(lang, *d) for lang, d in of.items()], "lang string, d1 double, d2 double, d3 double"))
+        d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        context = F.expr(f"left(gram, {m - 1})").alias("context")
+        level = levels[m].join(ds, "lang").select("lang", "gram", "n", d.alias("d"))
+        contexts = level.groupBy("lang", context).agg(F.sum("n").alias("total"), F.sum("d").alias("freed"))
+        rows = (asked[m].join(level, ["lang", "gram"], "left").withColumn("context", context)
+                .join(contexts, ["lang", "context"], "left" if m > 1 else "inner"))
+        rest = F.lit(1 / LETTERS)
+        if m > 1:
+            rows = rows.withColumn("rest", shorter).join(below.select("lang", F.col("gram").alias("rest"), F.col("p").alias("rest_p")), ["lang", "rest"])
+            rest = F.col("rest_p")
+        p = F.coalesce((F.col("n") - F.col("d")) / F.col("total"), F.lit(0.0)) + F.coalesce(F.col("freed") / F.col("total"), F.lit(1.0)) * rest
+        below = stored(rows.select("lang", "gram", p.alias("p")))
+    return below.select("lang", "gram", F.log("p").alias("lp"))
+
+
+def dealt_join(many: DataFrame, table: DataFrame, keys: list[str], salt: Column, rows: int = 100_000) -> DataFrame:
+    """``many`` joined with the rows of ``table``, unique by ``keys``; a key of more than ``rows`` rows meets in several tasks."""
+    hot = (many.groupBy(*keys).agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > rows)
+           .select(*keys, F.ceil(F.col("_k") / rows).alias("_parts"))).checkpoint()
+    some = F.broadcast(hot)  # at most one for each ``rows`` rows
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    dealt = many.join(some, keys, "left").withColumn("_salt", F.pmod(salt, parts)).drop("_parts")
+    copies = table.join(some, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
+    return dealt.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
+def score_by_joins(measured: DataFrame, rows: DataFrame, counts: DataFrame, order: int, min_count: int) -> DataFrame:
+    """``measured`` with the scores, from a model that stays a table. The distinct words of a language are scored once."""
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                out = [(lang, doc, h, w.decode("utf-8"), n)
+                       for lang, doc, h, text in zip(*(c.to_pylist() for c in whole.slice(at, 256).columns))
+                       for w, n in Counter(words_of(text.lower())).items()]
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)],
+                                                 names=["lang", "doc_id", "h", "word", "n"])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lang, word in zip(*(c.to_pylist() for c in whole.columns)):
+                w = START * (order - 1) + word + END
+                grams = Counter(w[i:i + order] for i in range(len(w) - order + 1))
+                key = hashlib.md5(word.encode("utf-8")).hexdigest()
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array([key] * len(grams)), pa.array(list(grams)),
+                                                  pa.array(list(grams.values()), pa.int64())], names=["lang", "w", "gram", "n"])
+
+    said = stored(rows.select("lang", "doc_id", "h", "text").mapInArrow(words, "lang string, doc_id long, h long, word string, n long"))
+    parts = stored(said.select("lang", "word").distinct().mapInArrow(split, "lang string, w string, gram string, n long"))
+    known = dealt_join(parts, gram_scores(counts, order, min_count), ["lang", "gram"], F.xxhash64("w"))
+    known = stored(known.groupBy("lang", "w").agg(F.sum(F.col("n") * F.col("lp")).alias("lp")))
+    said = said.select("lang", "doc_id", "h", F.md5("word").alias("w"), "n", (F.col("n") * (F.length("word") + 1)).alias("symbols"))
+    # Rows repeated under one id and text add alike to both sums.
+    scores = (dealt_join(said, known, ["lang", "w"], F.xxhash64("doc_id", "h")).groupBy("lang", "doc_id", "h")
+              .agg((-F.sum(F.col("n") * F.col("lp")) / F.sum("symbols")).alias("score"))
+              .withColumnsRenamed({"lang": "_lang", "doc_id": "_id", "h": "_h"}))
+    joined = measured.join(scores, (F.col("lang") == F.col("_lang")) & (F.col("h") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    return joined.select(*measured.columns, F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
 

@@ -125,3 +125,17 @@ def test_held_out_labels(spark):
     judged = kn.judge(docs.select("doc_id", "text", "lang")).join(labels, "doc_id").filter("NOT base_failed").toPandas()
     assert judged[judged.quality == 1].kept.mean() > 0.97
     assert judged[judged.quality == 0].kept.mean() < judged[judged.quality == 1].kept.mean()
+
+
+def test_scores_do_not_depend_on_the_size_of_the_model(spark):
+    """A model too large to broadcast keeps all n-grams, also those of a small language beside a large one."""
+    docs = documents(spark, SF_SMALL, EDGES).filter("doc_id < 40").withColumn("lang", F.when(F.col("doc_id") == -5, F.lit(None)).otherwise(F.col("lang")))
+    small = [(9_000, "tere maailm tere maailm", "et"), (9_001, "tere", "et"), (9_002, "xyz", "qq"), (None, "tere maa", "et")]
+    docs = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(small, "doc_id long, text string, lang string"))
+    docs = docs.unionByName(docs.filter("doc_id < 5")).cache()
+    broadcast, joined = ([tuple(r) for r in kn.score_documents(docs, max_entries=n).collect()] for n in (10**9, 20))
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert len(broadcast) == len(joined) == docs.count()
+    for a, b in zip(sorted(broadcast, key=order), sorted(joined, key=order)):
+        assert a[:-1] == b[:-1] and abs(a[-1] - b[-1]) < 1e-4
+    assert all(r[-1] > 0 for r in joined if r[0] in (9_000, 9_001, None))
