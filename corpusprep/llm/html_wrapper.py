@@ -3,15 +3,17 @@
 A page is a stream of tag and text tokens. Adjacent equal blocks of one page fold into repeated groups; the streams of a
 host are then aligned one after the other, and every mismatch is resolved: a block that one side repeats becomes a
 repeated group, a block that one side lacks becomes an optional group, texts become slots. The result is a union-free
-regular expression, the host's wrapper. A slot is named by the elements around it. Over a host's pages a slot whose text
-never changes belongs to the template; a slot that changes holds data.
+regular expression, the host's wrapper.
 
-The text of a page is what stands in its slots inside ``article`` or ``main``, outside menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments. A page without such slots gives its other slots, without those
-that the host's wrapper knows as template text.
+Each page is then matched against its host's wrapper, which tells the slot of each of its texts. A slot is a place in
+the wrapper, labelled by the elements around it: content inside ``article`` or ``main``, dropped inside menus, headers,
+footers, sidebars, notices, adverts, forms and reader comments, free elsewhere. A free slot whose text never changes over
+a host's pages belongs to the template; the others hold data. The text of a page is what stands in its content slots, or,
+in a page without them, in its free slots that hold data. Texts of a page that the wrapper does not cover have their
+label as slot.
 
-All pages take part. A task keeps counts of its distinct folded streams; a host's distinct streams are merged in salted
-buckets first and the few bucket wrappers after that, so a host with a third of all pages never meets in one task.
+All pages take part. A host's distinct folded streams are merged as a tree, in groups of about ``width`` a round, so a
+host with a third of all pages never meets in one task.
 Null html is empty, a null URL is the host '', repeated rows are extracted row by row, an empty table gives an empty
 table; of the input only the named columns are read.
 """
@@ -24,6 +26,7 @@ import json
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -31,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import stored
+
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 INLINE = set("a abbr b bdi bdo big br cite code data dfn em font i img ins del kbd label mark q s samp small span strike "
              "strong sub sup time tt u var wbr".split())
@@ -140,8 +145,8 @@ def fold(items: list, widest: int = 32) -> list:
                     out.append(["+", items[i:i + width]])
                     i += n * width
                     seen = True
-                elif n > 1:  # a repeated group next to itself
-                    out.append(items[i])
+                elif n > 1:  # a repeated group next to itself, or an optional one, which may stand more than once
+                    out.append(_once(items[i]))
                     i += n
                     seen = True
                 else:
@@ -153,6 +158,11 @@ def fold(items: list, widest: int = 32) -> list:
     return items
 
 
+def _once(group: list) -> list:
+    """One group for several equal groups in a row."""
+    return group if group[0] == "+" else ["?", group[1] if len(group[1]) == 1 and group[1][0][0] == "+" else [["+", group[1]]]]
+
+
 def _take_groups(items: list, other: list) -> list:
     """Blocks of ``items`` that ``other`` repeats become repeated groups (a tag mismatch resolved as an iterator)."""
     for group in [x for x in other if isinstance(x, list) and x[0] == "+"]:
@@ -194,18 +204,21 @@ def align(wrapper: list, stream: list) -> list:
             for x, y, at in zip(flat[i:j], b[k:m], range(i, j)):
                 both = ["+", align(x[1], y[1])] if isinstance(x, list) and x[0] == "+" and x != y else x
                 if was_optional(at):
-                    if out and isinstance(out[-1], list) and out[-1][0] == "?" and at and owner[at] == owner[at - 1]:
+                    if at > i and owner[at] == owner[at - 1]:
                         out[-1] = ["?", out[-1][1] + [both]]
                     else:
                         optional([both])
                 else:
                     out.append(both)
         else:
-            optional(flat[i:j])
+            for _, run in groupby(range(i, j), lambda at: owner[at] if was_optional(at) else -1):  # groups stay apart
+                optional([flat[at] for at in run])
             optional(b[k:m] if op != "delete" else [])
     unique: list = []
-    for x in out:  # an optional group stands once in a row
-        if not (unique and unique[-1] == x and isinstance(x, list)):
+    for x in out:  # a group stands once in a row
+        if isinstance(x, list) and unique and unique[-1] in (x, _once(x)):
+            unique[-1] = _once(x)
+        else:
             unique.append(x)
     return unique
 
@@ -226,44 +239,82 @@ def as_expression(items: list) -> str:
 
 # --- Spark ----------------------------------------------------------------------------------------------------------
 
-STATS = "host string, kind string, key string, n long, low string, high string"
+def compile_wrapper(wrapper: str) -> list[tuple]:
+    """Steps that match a wrapper (JSON): ("token", token), ("either", step, step) or ("end",)."""
+    steps: list[tuple] = []
+
+    def emit(items: list) -> None:
+        for x in items:
+            if isinstance(x, str):
+                steps.append(("token", x))
+            elif x[0] == "?":
+                at = len(steps)
+                steps.append(())
+                emit(x[1])
+                steps[at] = ("either", at + 1, len(steps))
+            else:
+                at = len(steps)
+                emit(x[1])
+                steps.append(("either", at, len(steps) + 1))
+
+    emit(json.loads(wrapper))
+    steps.append(("end",))
+    return steps
+
+
+def match(steps: list[tuple], stream: list[str]) -> list[int] | None:
+    """For each text of the stream its slot, the number of the step that took it; None if the wrapper does not cover it.
+
+    Each step is tried once at each place, so the time is at most their product.
+    """
+    n, tried, open_ = len(stream), set(), [(0, 0, None)]
+    while open_:
+        at, i, taken = open_.pop()
+        while True:
+            step = steps[at]
+            if step[0] == "token":
+                if i == n or stream[i] != step[1]:
+                    break
+                if step[1] == "#":
+                    taken = (at, taken)
+                at, i = at + 1, i + 1
+            elif step[0] == "either":
+                if (at, i) in tried:
+                    break
+                tried.add((at, i))
+                open_.append((step[2], i, taken))
+                at = step[1]
+            elif i == n:
+                out = []
+                while taken:
+                    out.append(taken[0])
+                    taken = taken[1]
+                return out[::-1]
+            else:
+                break
+    return None
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: counts of folded streams, and for each slot the pages, least and greatest digest of its text."""
-    counts: dict[tuple[str, str, str], list] = {}
+    """Per task: distinct folded streams of each host."""
+    found: set[tuple[str, str]] = set()
     folded: dict[bytes, str] = {}
 
     def flush() -> pa.RecordBatch:
-        rows = [(*k, *v) for k, v in counts.items()]
-        counts.clear()
-        cols = list(zip(*rows)) if rows else [()] * 6
-        kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)],
-                                          names=["host", "kind", "key", "n", "low", "high"])
+        rows = list(found)
+        found.clear()
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(2)], names=["host", "key"])
 
     for batch in batches:
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            stream, blocks = read_page(source)
+            stream, _ = read_page(source)
             digest = hashlib.md5("\n".join(stream).encode()).digest()
             if digest not in folded:
                 if len(folded) > 20_000:
                     folded.clear()
                 folded[digest] = json.dumps(fold(stream))
-            texts: dict[str, str] = {}
-            for slot, kind, text in blocks:
-                if kind == FREE:
-                    texts[slot] = texts.get(slot, "") + "\n" + text
-            entries = [("shape", folded[digest], "")] + [
-                ("slot", s, hashlib.md5(t.encode()).hexdigest()) for s, t in texts.items()]
-            for kind, key, value in entries:
-                row = counts.get((host, kind, key))
-                if row is None:
-                    counts[host, kind, key] = [1, value, value]
-                else:
-                    row[0] += 1
-                    row[1], row[2] = min(row[1], value), max(row[2], value)
-        if len(counts) > 50_000:
+            found.add((host, folded[digest]))
+        if len(found) > 50_000:
             yield flush()
     yield flush()
 
@@ -272,32 +323,51 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", buckets: int = 16) -> DataFrame:
-    """(host, wrapper, template_slots): the wrapper as JSON, and the slots with one text on three pages or more."""
+def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", width: int = 32,
+                   broadcast_rows: int = 1_000_000) -> DataFrame:
+    """(host, wrapper): the wrapper as JSON, merged in rounds of groups of about ``width`` streams or wrappers."""
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    stats = (rows.mapInArrow(_gather, STATS).groupBy("host", "kind", "key")
-             .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).checkpoint())
     kind = T.StructType([T.StructField("host", T.StringType()), T.StructField("key", T.StringType())])
 
     def merged(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"host": [pdf["host"].iloc[0]], "key": [merge_wrappers(list(pdf["key"]))]})
 
-    shapes = stats.filter("kind = 'shape'").select("host", "key", F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
-    parts = shapes.groupBy("host", "bucket").applyInPandas(merged, kind)
-    whole = parts.groupBy("host").applyInPandas(merged, kind).withColumnRenamed("key", "wrapper")
-    fixed = (stats.filter((F.col("kind") == "slot") & (F.col("n") >= 3) & (F.col("low") == F.col("high")))
-             .groupBy("host").agg(F.collect_list("key").alias("template_slots")))  # a few slots of a template
-    return whole.join(fixed, "host", "left").withColumn("template_slots", F.coalesce("template_slots", F.array()))
+    done, parts = None, rows.mapInArrow(_gather, "host string, key string").distinct().checkpoint()
+    while True:
+        sizes = parts.groupBy("host").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+        hosts, most = sizes.agg(F.count(F.lit(1)), F.max("n")).first()
+        some = F.broadcast(sizes) if hosts <= broadcast_rows else sizes
+        sized = parts.join(some, "host")
+        single = sized.filter("n = 1").select("host", "key")
+        done = single if done is None else done.unionByName(single)
+        if (most or 0) <= 1:
+            return done.withColumnRenamed("key", "wrapper")
+        bucket = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / width))
+        parts = (sized.filter("n > 1").select("host", "key", bucket.alias("bucket"))
+                 .groupBy("host", "bucket").applyInPandas(merged, kind).checkpoint())
 
 
 def _read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     kind = pa.struct([("text", pa.string()), ("free", pa.list_(pa.struct([("slot", pa.string()), ("text", pa.string())])))])
-    for sources in batches:
+    compiled: dict[str, list[tuple]] = {}
+    known: dict[tuple[str, bytes], list | None] = {}
+    for pages in batches:
         out = []
-        for source in sources.to_pylist():
-            _, blocks = read_page(source)
-            main = [t for _, k, t in blocks if k == CONTENT]
-            free = [] if main else [{"slot": s, "text": t} for s, k, t in blocks if k == FREE]
+        for source, wrapper in zip(pages.field(0).to_pylist(), pages.field(1).to_pylist()):
+            stream, blocks = read_page(source)
+            if wrapper not in compiled:
+                if len(compiled) > 1_000:
+                    compiled.clear()
+                compiled[wrapper] = compile_wrapper(wrapper)
+            key = (wrapper, hashlib.md5("\n".join(stream).encode()).digest())
+            if key not in known:
+                if len(known) > 20_000:
+                    known.clear()
+                known[key] = match(compiled[wrapper], stream)
+            places = known[key] or [""] * len(blocks)
+            slots = [(f"{place}:{label}", k, t) for place, (label, k, t) in zip(places, blocks)]
+            main = [t for _, k, t in slots if k == CONTENT]
+            free = [] if main else [{"slot": s, "text": t} for s, k, t in slots if k == FREE]
             out.append({"text": "\n".join(main), "free": free})
         yield pa.array(out, kind)
 
@@ -306,6 +376,15 @@ BLOCK = T.StructType([T.StructField("slot", T.StringType()), T.StructField("text
 READ = F.arrow_udf(_read, T.StructType([T.StructField("text", T.StringType()), T.StructField("free", T.ArrayType(BLOCK))]))
 
 
+def template_slots(read: DataFrame) -> DataFrame:
+    """(host, template_slots) from pages (host, free): the slots with one text on three pages or more."""
+    each = read.filter(F.size("free") > 0).withColumn("page", F.monotonically_increasing_id()).select("host", "page", F.posexplode("free").alias("i", "b"))
+    texts = (each.groupBy("host", "page", F.col("b.slot").alias("slot"))
+             .agg(F.md5(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("i", "b.text"))), lambda x: x["text"]))).alias("t")))
+    slots = texts.groupBy("host", "slot").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))
+    return slots.filter("n >= 3 AND low = high").groupBy("host").agg(F.collect_list("slot").alias("template_slots"))  # a few slots of a template
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
             broadcast_bytes: int = 8 << 20, salts: int = 32) -> DataFrame:
     """(id, url, text, wrapper) for every page; ``wrapper`` is the expression of the page's host.
@@ -314,16 +393,21 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     salt, so that a hot host is dealt out over ``salts`` tasks.
     """
     wrappers = infer_wrappers(pages, url_col, html_col).checkpoint()
-    page = READ(F.coalesce(F.col(html_col), F.lit("")))
-    read = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"),
-                        page.alias("p"))
-    size = wrappers.agg(F.sum(F.length("wrapper") + F.length(F.array_join("template_slots", ",")) + 64)).first()[0] or 0
-    if size <= broadcast_bytes:
-        joined = read.join(F.broadcast(wrappers), "host", "left")
-    else:
-        salted = wrappers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = (read.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
-                  .join(salted, ["host", "salt"], "left").drop("salt"))
+
+    def with_host(rows: DataFrame, of_host: DataFrame, size) -> DataFrame:
+        if (of_host.agg(F.sum(size + 64)).first()[0] or 0) <= broadcast_bytes:
+            return rows.join(F.broadcast(of_host), "host", "left")
+        salted = of_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return (rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
+                .join(salted, ["host", "salt"], "left").drop("salt"))
+
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"),
+                        F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    page = READ(F.struct("html", "wrapper"))
+    read = stored(with_host(rows, wrappers, F.length("wrapper")).select("page_id", "url", "host", page.alias("p"))
+                  .select("page_id", "url", "host", "p.text", "p.free"))
+    fixed = wrappers.join(template_slots(read), "host", "left").withColumn("template_slots", F.coalesce("template_slots", F.array())).checkpoint()
+    joined = with_host(read, fixed, F.length("wrapper") + F.length(F.array_join("template_slots", ",")))
     slots = F.coalesce("template_slots", F.array())
-    rest = F.array_join(F.transform(F.filter("p.free", lambda b: ~F.array_contains(slots, b["slot"])), lambda b: b["text"]), "\n")
-    return joined.select("page_id", "url", F.when(F.size("p.free") > 0, rest).otherwise(F.col("p.text")).alias("text"), "wrapper")
+    rest = F.array_join(F.transform(F.filter("free", lambda b: ~F.array_contains(slots, b["slot"])), lambda b: b["text"]), "\n")
+    return joined.select("page_id", "url", F.when(F.size("free") > 0, rest).otherwise(F.col("text")).alias("text"), "wrapper")

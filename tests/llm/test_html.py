@@ -55,3 +55,26 @@ def test_order_of_pages_does_not_matter():
     import json
     shapes = [json.dumps(hw.fold(hw.read_page(x)[0])) for x in ("<p>a</p>", "<p>a</p><p>b</p>", "<h1>t</h1><p>a</p>")]
     assert len({hw.merge_wrappers(list(s)) for s in (shapes, shapes[::-1], shapes + shapes)}) == 1
+
+
+def test_slots_are_places_of_the_aligned_wrapper(spark):
+    """Two slots of equal element names are told apart by the wrapper, also beside an optional block."""
+    def page(i):
+        more = f"<ul><li>point {i}</li></ul>" if i % 2 else ""
+        return f"<div><p>Welcome to our site</p><h2>Title {i}</h2>{more}<p>Story {i}</p></div>"
+    pages = spark.createDataFrame([(i, f"http://h.x/{i}", page(i)) for i in range(6)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in hw.extract(pages).collect()} == {
+        i: f"Title {i}\n" + (f"point {i}\n" if i % 2 else "") + f"Story {i}" for i in range(6)}
+
+
+def test_tree_of_small_groups_covers_every_page(spark):
+    parts = ["<h1>t</h1>", "<ul><li>a</li></ul>", "<table><tr><td>x</td></tr></table>", "<blockquote>q</blockquote>"]
+    sources = ["<p>a</p>" + "".join(x for k, x in enumerate(parts) if i >> k & 1) + "<hr>" for i in range(16)]
+    pages = spark.createDataFrame([(f"http://h.x/{i}", s) for i, s in enumerate(sources)], "url string, html string")
+    rows = hw.infer_wrappers(pages, width=3).collect()
+    assert len(rows) == 1
+    steps = hw.compile_wrapper(rows[0]["wrapper"])
+    for source in sources:
+        stream, blocks = hw.read_page(source)
+        assert len(hw.match(steps, stream)) == len(blocks)
+    assert hw.match(steps, ["<div>", "#", "</div>"]) is None
