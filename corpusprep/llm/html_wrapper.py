@@ -8,7 +8,7 @@ regular expression, the host's wrapper.
 Each page is then matched against its host's wrapper, which tells the slot of each of its texts. A slot is a place in
 the wrapper, labelled by the elements around it: content inside ``article`` or ``main``, dropped inside menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments, free elsewhere. A free slot whose text never changes over
-a host's pages belongs to the template; the others hold data. The text of a page is what stands in its content slots, or,
+a host's pages, at least three of which differ elsewhere, belongs to the template; the others hold data. The text of a page is what stands in its content slots, or,
 in a page without them, in its free slots that hold data. Texts of a page that the wrapper does not cover have their
 label as slot.
 
@@ -377,8 +377,12 @@ READ = F.arrow_udf(_read, T.StructType([T.StructField("text", T.StringType()), T
 
 
 def template_slots(read: DataFrame) -> DataFrame:
-    """(host, template_slots) from pages (host, free): the slots with one text on three pages or more."""
-    each = read.filter(F.size("free") > 0).withColumn("page", F.monotonically_increasing_id()).select("host", "page", F.posexplode("free").alias("i", "b"))
+    """(host, template_slots) from pages (host, free): the slots with one text on three pages or more whose other slots differ.
+
+    Pages with the same texts in the same slots, such as copies, count once, so any two that share a text differ elsewhere.
+    """
+    distinct = read.filter(F.size("free") > 0).groupBy("host", F.md5(F.to_json("free")).alias("page")).agg(F.first("free").alias("free"))
+    each = distinct.select("host", "page", F.posexplode("free").alias("i", "b"))
     texts = (each.groupBy("host", "page", F.col("b.slot").alias("slot"))
              .agg(F.md5(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("i", "b.text"))), lambda x: x["text"]))).alias("t")))
     slots = texts.groupBy("host", "slot").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))

@@ -78,3 +78,11 @@ def test_tree_of_small_groups_covers_every_page(spark):
         stream, blocks = hw.read_page(source)
         assert len(hw.match(steps, stream)) == len(blocks)
     assert hw.match(steps, ["<div>", "#", "</div>"]) is None
+
+
+def test_copies_of_a_page_do_not_make_its_text_a_template(spark):
+    odd = spark.createDataFrame([(-i - 1, u, h) for i, (u, h, _) in enumerate(PAGES)] + [
+        (100 + i, f"http://near.x/{i}", f"<!-- {i} --><div><p>only</p><h2>page</h2></div>") for i in range(4)], "page_id long, url string, html string")
+    want = {-i - 1: t for i, (_, _, t) in enumerate(PAGES)} | {100 + i: "only\npage" for i in range(4)}
+    rows = hw.extract(odd.unionByName(odd).unionByName(odd).unionByName(odd)).collect()
+    assert len(rows) == 4 * len(want) and {(r["page_id"], r["text"]) for r in rows} == set(want.items())
