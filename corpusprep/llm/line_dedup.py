@@ -3,7 +3,8 @@
 A line's tokens are its distinct shingles of five words (lower-cased, between white space), hashed to 64 bits. A line of
 at least five words is removed if an earlier one, in order of (document id, line number), has the same words or a
 Jaccard similarity of ``percent`` or more; whether the earlier line is itself removed doesn't matter, so the result
-does not depend on the order of work. Blank and shorter lines stay.
+does not depend on the order of work. With ``short_lines`` a shorter line has one token, its whole words, and is removed
+if an earlier line has the same words; without it shorter lines stay. Blank lines stay.
 
 1. Lines with equal words become one line at its first place.
 2. Reduction: similar lines share one of their n - ceil(t n) + 1 lowest hashes; lines that share none have no match.
@@ -47,6 +48,10 @@ def bitmap(tokens: Column) -> Column:
     return F.array(*[part(w) for w in range(BITMAP_WORDS)])
 
 
+def has_words(norm: Column, n: int) -> Column:
+    return F.substring_index(norm, " ", n - 1) != norm  # n - 1 spaces or more
+
+
 def lines_of(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """(pos, key, norm): place, words as 128-bit hash, and words of every line of at least ``min_words`` words."""
     text = F.col(text_col)
@@ -55,7 +60,7 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
     uneven = reduce(lambda a, b: a | b, [F.contains("line", F.lit(x)) for x in ("  ", "\t", "\r", "\v", "\f")])
     norm = F.trim(F.when(uneven, F.regexp_replace(line, WHITE, " ")).otherwise(line))
     rows = rows.select(F.struct("doc_id", "h", "line_no").alias("pos"), norm.alias("norm"))
-    rows = rows.filter(F.substring_index("norm", " ", min_words - 1) != F.col("norm"))  # min_words - 1 spaces or more
+    rows = rows.filter(has_words(F.col("norm"), min_words) if min_words > 1 else F.col("norm") != "")
     return rows.select("pos", F.struct(F.xxhash64("norm").alias("k1"), F.xxhash64("norm", F.lit(1)).alias("k2")).alias("key"), "norm")
 
 
@@ -98,12 +103,12 @@ def later_lines(lines: DataFrame, shingle: int, percent: int, broadcast_rows: in
 
 
 def dedup_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
-                broadcast_rows: int = 200_000) -> DataFrame:
+                broadcast_rows: int = 200_000, short_lines: bool = False) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, and ``n_removed_lines``."""
     ensure_checkpoint_dir(docs.sparkSession)
-    lines = lines_of(docs, id_col, text_col, shingle)
+    lines = lines_of(docs, id_col, text_col, 1 if short_lines else shingle)
     distinct = stored(lines.groupBy("key").agg(F.min("pos").alias("pos"), F.first("norm").alias("norm"), F.count(F.lit(1)).alias("copies")))
-    later = stored(later_lines(distinct.select("key", "pos", "norm"), shingle, percent, broadcast_rows).withColumn("gone", F.lit(True)))
+    later = stored(later_lines(distinct.filter(has_words(F.col("norm"), shingle)).select("key", "pos", "norm"), shingle, percent, broadcast_rows).withColumn("gone", F.lit(True)))
     verdict = distinct.select("key", F.col("pos").alias("first"), "copies").join(later, "key", "left").filter("gone OR copies > 1")
     hit = (lines.select("key", "pos").join(verdict, "key").filter(F.col("gone").isNotNull() | (F.col("pos") != F.col("first"))))
     by_doc = stored(hit.groupBy("pos.doc_id", "pos.h").agg(F.collect_set("pos.line_no").alias("_removed")).withColumnsRenamed({"doc_id": "_id", "h": "_h"}))

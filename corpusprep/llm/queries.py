@@ -96,7 +96,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its text after line dedup, its length and the number of lines taken out."""
-    docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), short_lines=True)
     return docs.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), "n_removed_lines")
 
 

@@ -4,7 +4,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from corpusprep.llm import line_dedup, ngram_jaccard, setjoin
+from corpusprep.llm import line_dedup, ngram_jaccard, queries, setjoin
 
 from .fixtures import EDGES, SPACE, documents, jaccard_components
 
@@ -93,3 +93,20 @@ def test_line_dedup_is_native(spark):
     docs = documents(spark, SF_SMALL)
     plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeats_of_short_lines_are_removed(spark):
+    docs = spark.createDataFrame([(1, "Read more\n\none two three four five six\nread  MORE\nthree words here\n\n"), (2, "\tread more\nother\n \nthree words"),
+                                  (3, "other"), (3, "other"), (None, "Other\nx"), (4, None)], "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["text"], r["n_removed_lines"]) for r in line_dedup.dedup_lines(docs, short_lines=True).collect() if r["doc_id"] != 4)
+    assert got == [(0, "Other\nx", 0), (1, "Read more\n\none two three four five six\nthree words here\n\n", 1), (2, " \nthree words", 2),
+                   (3, "", 1), (3, "", 1)]
+    query = queries.QUERIES["op10_line_dedup"](spark, SF_SMALL).collect()
+    short, seen = 0, set()
+    for r in sorted(query, key=lambda r: r["doc_id"]):
+        for words in (tuple(line.lower().split()) for line in (r["text"] or "").split("\n")):
+            if 0 < len(words) < 5:
+                short += 1
+                assert words not in seen
+                seen.add(words)
+    assert short
