@@ -1,8 +1,9 @@
 """Personal data by fixed patterns and by bootstrapped contextual extraction, in DataFrame functions only.
 
 Base spans come from fixed expressions (email, ip, card, phone). For the method, every identifier-like token (with a
-digit or an at sign) is a candidate instance; the words and marks to its left are its lexical pattern. Seeds are the
-base spans and strings of an unmistakable form (long hexadecimal secrets). Pattern and instance nodes of the resulting
+digit or an at sign) of any length that touches no base span is a candidate instance, and so is every base span as a
+whole. The three words and marks to its left, whatever they are, are its lexical pattern (two where the text has no more).
+Seeds are the base spans and strings of an unmistakable form (long hexadecimal secrets). Pattern and instance nodes of the resulting
 graph score each other for some rounds: a pattern's confidence in a kind is the mean score of its distinct instances, an
 instance's score is one minus the product of its patterns' doubts. Patterns with enough distinct instances and a high
 confidence mark all their other instances, seen before or not, as identifiers of that kind.
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from .common import text_or_empty
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
+LEFT = 256
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 # kind -> (cheap test, leftmost non-overlapping matches). Possessive runs and the look-behinds keep every match of the
 # plain expression and spare the attempts that must fail inside a run.
@@ -35,17 +37,24 @@ SECRET = r"^(?=.*[0-9])(?=.*[a-fA-F])[0-9a-fA-F]{32,64}$"
 
 
 def located(text: Column, pattern: str) -> Column:
-    """Matches of ``pattern`` in order, as array of (start, value): what stands between them is measured and summed."""
+    """Matches of ``pattern`` in order, as array of (start, value, left): what stands between them is measured and summed.
+
+    ``left`` is the end of the text before a match, at most ``LEFT`` characters, with runs of white space as one space.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,value:string,left:string>>").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast("array<struct<start:int,value:string,left:string>>").alias("out"))
+
+    def tail(*parts: Column) -> Column:
+        return F.right(F.regexp_replace(F.concat(*parts), r"\s+", " "), F.lit(LEFT))
+
     pairs = F.zip_with(matches, between, lambda m, b: F.struct(m.alias("m"), b.alias("b")))
     return F.aggregate(
         F.filter(pairs, lambda p: p["m"].isNotNull()), start,
         lambda s, p: F.struct(
-            (s["at"] + F.length(p["b"]) + F.length(p["m"])).alias("at"),
+            (s["at"] + F.length(p["b"]) + F.length(p["m"])).alias("at"), tail(s["tail"], p["b"], p["m"]).alias("tail"),
             F.concat(s["out"], F.array(F.struct((s["at"] + F.length(p["b"])).alias("start"), p["m"].alias("value"),
-                                                F.right(p["b"], F.lit(64)).alias("left")))).alias("out")),
+                                                tail(s["tail"], p["b"]).alias("left")))).alias("out")),
         lambda s: s["out"])
 
 
@@ -60,21 +69,31 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column) -> Column:
-    """All base spans in order of start, then kind as listed in ``BASE``."""
+def base_instances(text: Column) -> Column:
+    """All base spans in order of start, then kind as listed in ``BASE``, with the text to their left."""
     def of(kind: str, rank: int, pattern: str) -> Column:
         return F.transform(F.filter(located(text, pattern), lambda m: _valid(kind, m["value"])), lambda m: F.struct(
             m["start"].alias("start"), F.lit(rank).alias("rank"), (m["start"] + F.length(m["value"])).alias("end"),
-            F.lit(kind).alias("kind"), m["value"].alias("value")))
+            F.lit(kind).alias("kind"), m["value"].alias("value"), m["left"].alias("left")))
 
-    kinds = [F.when(text.rlike(test), of(kind, rank, pattern)).otherwise(F.array().cast(SPAN))
+    kinds = [F.when(text.rlike(test), of(kind, rank, pattern)).otherwise(F.array().cast(SPAN.replace("value:string", "value:string,left:string")))
              for rank, (kind, (test, pattern)) in enumerate(BASE.items())]
     return F.array_sort(F.concat(*kinds))
 
 
-def pattern_of(left: Column) -> Column:
-    """The last three words or marks before a candidate; null where there are fewer than two."""
-    tokens = F.regexp_extract_all(F.lower(left), F.lit(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"), F.lit(0))
+def base_spans(text: Column) -> Column:
+    return F.transform(base_instances(text), lambda b: F.struct(*[b[c].alias(c) for c in ("start", "rank", "end", "kind", "value")]))
+
+
+def pattern_of(text: Column, start: Column, left: Column) -> Column:
+    """The last three words or marks before a candidate; null where there are fewer than two.
+
+    ``left`` serves if it is all the text before ``start`` or has a fourth token, so that the third is not cut.
+    """
+    def tokens_of(t: Column) -> Column:
+        return F.regexp_extract_all(F.lower(t), F.lit(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"), F.lit(0))
+
+    tokens = F.when((F.length(left) < LEFT) | (F.size(tokens_of(left)) > 3), tokens_of(left)).otherwise(tokens_of(F.substring(text, F.lit(1), start)))
     return F.when(F.size(tokens) >= 2, F.array_join(F.slice(tokens, F.greatest(F.size(tokens) - 2, F.lit(1)), 3), " "))
 
 
@@ -105,16 +124,22 @@ def find_personal_data(docs: DataFrame, rounds: int = 3, min_instances: int = 5,
     # One key for equal (id, text) rows: their spans are equal, so the rows need not be told apart.
     key = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), text))
     keyed = docs.withColumns({"base": base_spans(text), "_key": key})
-    found = located(text, CANDIDATE)
-    rows = (docs.filter(text.rlike("[0-9@]")).select(key.alias("_key"), base_spans(text).alias("base"), found.alias("c"))
-            .select("_key", "base", F.explode("c").alias("c")).filter(F.length("c.value") >= 6)
-            .select("_key", F.col("c.start").alias("start"), F.col("c.value").alias("value"),
-                    pattern_of(F.col("c.left")).alias("pattern"), "base")
-            .filter(F.col("pattern").isNotNull()))
+    base = base_instances(text)
+
+    def node(kind: Column, m: Column) -> Column:
+        return F.struct(kind.alias("in_base"), m["start"].alias("start"), m["value"].alias("value"),
+                        pattern_of(text, m["start"], m["left"]).alias("pattern"))
+
+    def untouched(m: Column) -> Column:
+        end = m["start"] + F.length(m["value"])
+        return ~F.exists("base", lambda b: (b["start"] < end) & (b["end"] > m["start"]))
+
+    nodes = F.concat(F.transform("base", lambda b: node(b["kind"], b)),
+                     F.transform(F.filter(located(text, CANDIDATE), untouched), lambda m: node(F.lit(None).cast("string"), m)))
+    rows = (docs.filter(text.rlike("[0-9@]")).select(key.alias("_key"), F.col(text_col), base.alias("base"))
+            .select("_key", F.explode(nodes).alias("c")).select("_key", "c.*").filter(F.col("pattern").isNotNull()))
     end = F.col("start") + F.length("value")
-    touching = F.filter("base", lambda b: (b["start"] < end) & (b["end"] > F.col("start")))
-    rows = (rows.withColumn("in_base", F.get(touching, F.lit(0))["kind"])
-            .withColumn("seed", F.coalesce("in_base", F.when(F.col("value").rlike(SECRET), F.lit("secret"))))
+    rows = (rows.withColumn("seed", F.coalesce("in_base", F.when(F.col("value").rlike(SECRET), F.lit("secret"))))
             .select("_key", "start", "value", "pattern", "in_base", "seed").checkpoint())
     accepted = bootstrap(rows.select("pattern", F.md5(F.lower("value")).alias("instance"), "seed"),
                          rounds, min_instances, min_confidence)

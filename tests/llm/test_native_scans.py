@@ -101,3 +101,20 @@ def test_native_plans(spark):
     for name in ("op4_license", "op8_chat", "op3_pii"):
         plan = queries.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow", plan), name
+
+
+def test_contexts_of_lists_short_and_grouped_identifiers(spark):
+    """The context is the text to the left, also behind another identifier; base spans are whole instances."""
+    phones = [f"record {i} call\t   desk: +1 (017) 555-77{i:02d} today" for i in range(12)]
+    cells = [f"id,key,{hashlib.sha1(str(i).encode()).hexdigest()},x{i},end" for i in range(12)]
+    texts = phones + ["my call desk: 7b9 now", "a " * 9 + "word" * 99 + " call desk: z4"] + cells + ["id,key,n0t,x77,end"]
+    docs = spark.createDataFrame(enumerate(texts), "doc_id long, text string")
+    found = {r["doc_id"]: [(s["kind"], s["value"]) for s in r["spans"]] for r in pii_bootstrap.find_personal_data(docs).collect()}
+    assert all(found[i] == [("phone", f"+1 (017) 555-77{i:02d}")] for i in range(12))
+    assert found[12] == [("phone", "7b9")] and found[13] == [("phone", "z4")]
+    assert ("secret", "n0t") in found[26]
+    lists = spark.createDataFrame([(0, "first a1 , b22 ; " + "long" * 200 + " c3")], "doc_id long, text string")
+    text = F.col("text")
+    got = lists.select(F.transform(pii_bootstrap.located(text, pii_bootstrap.CANDIDATE), lambda m: F.struct(
+        m["value"].alias("v"), pii_bootstrap.pattern_of(text, m["start"], m["left"]).alias("p"))).alias("c")).first()["c"]
+    assert [(c["v"], c["p"]) for c in got] == [("a1", None), ("b22", "first a1 ,"), ("c3", "b22 ; " + "long" * 200)]
