@@ -9,7 +9,8 @@ verified: enough of the question's and of the answer's word pairs must stand in
 (or what follows an ``Answer:``).
 
 The index is broadcast in shards of at most ``shard_chars`` characters of item text; more items mean more passes over the
-texts, not a larger broadcast. Null or empty texts and items match nothing, repeated rows are reported once per id and
+texts, not a larger broadcast. Mean length and window come from all items, so shards do not change a result. A document
+is removed by its id, null being an id like others, and the hash of its text. Null or empty texts and items match nothing, repeated rows are reported once per id and
 item, empty tables give no pairs, and only the named columns are read.
 """
 
@@ -33,7 +34,7 @@ from .common import text_or_empty
 
 # Lower-case runs of ASCII letters, digits, underscores and characters above U+007F, as UTF-8: other bytes part words.
 PARTING = bytes(b if b >= 0x80 or chr(b).isalnum() or b == 0x5F else 0x20 for b in range(256))
-PAIRS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
+PAIRS = "doc_id long, h long, item_id long, score double, question_overlap double, answer_overlap double"
 BLOCK = 16
 
 
@@ -168,33 +169,47 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary())], names=["w"])
 
 
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = [len(words_of(t)) for t in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], names=["n"])
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.5, question_share: float = 0.6, answer_share: float = 0.6,
                shard_chars: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap): the best verified passage of each document and item.
 
     ``items`` has ``item_id`` and ``text``.
     """
+    pairs = _leaks(docs, items, threshold, question_share, answer_share, shard_chars, id_col, text_col)
+    best = F.max(F.struct("score", "question_overlap", "answer_overlap"))
+    return pairs.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+
+
+def _leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.5, question_share: float = 0.6, answer_share: float = 0.6,
+           shard_chars: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every verified passage, with the id and a hash of the text of its document."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"),
+                       text_or_empty(text_col).alias("text"))
     test = items.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).filter("text != ''")
     size = test.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, ceil(size / shard_chars))
     found = []
     counts = test.select("text").mapInArrow(_distinct_words, "w binary").groupBy("w").agg(F.count(F.lit(1)).alias("df"))
-    n_items = test.count()
+    lengths = test.select("text").mapInArrow(_lengths, "n long")
+    n_items, total, longest = lengths.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
+    mean = (total or 0) / max(1, n_items) or 1.0
     for shard in range(shards):
         part = test.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
         own = [(r["item_id"], r["text"]) for r in part.collect()]  # at most about shard_chars characters
         words = spark.createDataFrame([(w,) for w in {w for _, t in own for w in words_of(t)}] or [(b"",)], "w binary")
         df = {bytes(r["w"]): r["df"] for r in counts.join(F.broadcast(words), "w").collect()}
-        lengths = [len(words_of(t)) for _, t in own]
-        mean = sum(lengths) / max(1, len(lengths)) or 1.0
         index = Index(own, df, max(n_items, 1), mean)
+        index.longest = longest or 0
         found.append(_query(rows, index, term_frequency(rows, list(index.postings)), threshold, question_share, answer_share))
-    pairs = reduce(DataFrame.unionByName, found)
-    best = F.max(F.struct("score", "question_overlap", "answer_overlap"))
-    return pairs.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+    return reduce(DataFrame.unionByName, found)
 
 
 def term_frequency(rows: DataFrame, terms: list[bytes]) -> dict[bytes, int]:
@@ -246,7 +261,7 @@ def _query(rows: DataFrame, index: Index, frequency: dict[bytes, int], threshold
         step, most = max(1, ix.longest), ix.most
         for batch in batches:
             out: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, h, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = words_of(text)
                 for i in windows(words, step, *essential):
                     passage = words[i * step:(i + 2) * step]
@@ -258,17 +273,20 @@ def _query(rows: DataFrame, index: Index, frequency: dict[bytes, int], threshold
                     for item, score in hits:
                         asked, answered = (share(p, pairs, alone) for p in ix.parts[item])
                         if asked >= question_share and answered >= answer_share:
-                            out.append((doc, ix.ids[item], score, asked, answered))
-            cols = list(zip(*out)) if out else [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+                            out.append((doc, h, ix.ids[item], score, asked, answered))
+            cols = list(zip(*out)) if out else [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)],
                                              names=[f.split()[0] for f in PAIRS.split(", ")])
 
     return rows.mapInArrow(run, PAIRS)
 
 
-def remove_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 1_000_000, **options) -> DataFrame:
+def remove_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 1_000_000, text_col: str = "text",
+                 **options) -> DataFrame:
     """``docs`` without the documents in which a test item was verified."""
-    leaked = find_leaks(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("_leaked")).distinct().checkpoint()
+    leaked = (_leaks(docs, items, id_col=id_col, text_col=text_col, **options)
+              .select(F.col("doc_id").alias("_leaked"), F.col("h").alias("_h")).distinct().checkpoint())
     some = F.broadcast(leaked) if leaked.count() <= broadcast_rows else leaked
-    return docs.join(some, docs[id_col] == some["_leaked"], "left_anti")
+    same = (F.xxhash64(docs[text_col]) == some["_h"]) & docs[id_col].cast("long").eqNullSafe(some["_leaked"])
+    return docs.join(some, same, "left_anti")

@@ -83,3 +83,14 @@ def test_verbatim_items_are_found_and_removed(spark):
     assert bm.remove_leaks(docs, items.limit(0)).count() == docs.count()
     assert bm.find_leaks(docs.limit(0), items).collect() == []
     assert bm.remove_leaks(docs.unionByName(docs), items, broadcast_rows=0).count() == 2 * len(left)
+
+
+def test_null_ids_and_shards_do_not_change_the_result(spark):
+    docs, items, texts = inputs(spark)
+    rows = [(None, texts[0]), (None, "a text of its own"), (None, None), (7_000, texts[1]), (7_000, "another text under that id")]
+    some = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (1_000_000, 0):
+        assert sorted(r["text"] or "" for r in bm.remove_leaks(some, items, broadcast_rows=limit).collect()) == [
+            "", "a text of its own", "another text under that id"]
+    one, many = ({(r["doc_id"], r["item_id"]): r[2:] for r in bm.find_leaks(docs, items, 0.3, shard_chars=n).collect()} for n in (1 << 24, 500))
+    assert one.keys() == many.keys() and all(abs(x - y) < 1e-9 for k in one for x, y in zip(one[k], many[k]))
