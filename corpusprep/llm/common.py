@@ -30,7 +30,17 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a Parquet table in the shared checkpoint folder and read again: lineage ends, columns stay apart."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``stored`` that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class BoundedCache(dict):

@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 from corpusprep.llm import (
     bm25_decontam,
     chat_format,
+    collocations,
     html_wrapper,
     kneser_ney,
     license_index,
     line_dedup,
+    merkle,
     ngram_jaccard,
     pii_bootstrap,
     sp_backtrack,
     token_count,
+    url_filter,
 )
-from corpusprep.llm.common import table
+from corpusprep.llm.common import ascii_lower, table
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +103,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), "n_removed_lines")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    found = merkle.manifest(docs, tampered)
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, URL_RULES, url_filter.labelled_table(spark)).select("page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_quality, op3_pii, op4_license, op5_decontam, op6_html, op7_token_count, op8_chat, op9_sentencepiece,
-    op10_line_dedup)}
+    op10_line_dedup, op11_merkle, op12_url_filter, op13_collocations)}
 
 ORACLE_SQL = {
     "op8_chat": r"""
