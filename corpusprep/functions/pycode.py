@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusprep.functions.pynames import stored_names
 from corpusprep.functions.text import _c, filter_wide, let, snake_case, split_words
 
 # Patterns that must equal the reference's variable heuristics.
@@ -24,8 +25,16 @@ FOR_TARGETS_GROUPED = r"for\s+([_a-zA-Z][_a-zA-Z0-9]*+\s*(?:,\s*+[_a-zA-Z][_a-zA
 # (``a = b = 1``); a ``=`` followed by another ``=`` is a comparison, not an assignment.
 CHAINED_TARGETS = rf"^((?:{TARGET_LIST}=(?!\s*+=)\s*+)++)"
 
-# Lexer over the cleaned one-line form; alternatives are tried left to right.
-CODE_LEXEME = r"""'[^']*'|"[^"]*"|#.*|\d\w*|\w+|[^\s\w]"""
+# The public number syntax of Python's lexer (no dots: the clean-up parts them).
+DIGITS = r"[0-9](?:_?[0-9])*+"
+NUMBER = (rf"{DIGITS}(?:[eE]{DIGITS})?[jJ]|{DIGITS}[eE]{DIGITS}|0[xX](?:_?[0-9a-fA-F])++|0[bB](?:_?[01])++|0[oO](?:_?[0-7])++|"
+          r"0(?:_?0)*+|[1-9](?:_?[0-9])*+")
+# Lexer over the cleaned one-line form; alternatives are tried left to right. The clean-up puts a space
+# behind a backslash, so an escaped quote reads ``\ '``.
+CODE_LEXEME = rf"""'(?:[^'\\]++|\\ ?[^ ])*+'|"(?:[^"\\]++|\\ ?[^ ])*+"|#.*|{NUMBER}|\w+|[^\s\w]"""
+# The reading in which the parted backslash escapes nothing.
+CODE_LEXEME_UNESCAPED = rf"""'[^']*'|"[^"]*"|#.*|{NUMBER}|\w+|[^\s\w]"""
+OPENERS, CLOSERS = ["(", "[", "{"], [")", "]", "}"]
 
 
 def python_clean(col) -> Column:
@@ -80,17 +89,23 @@ def python_vars(clean, all_matches: bool = False) -> Column:
     return let(_c(clean), names)
 
 
-def python_lexemes(clean) -> Column:
-    """S60 (first half): the raw lexemes of the cleaned line."""
-    return F.regexp_extract_all(_c(clean), F.lit(CODE_LEXEME), 0)
+def python_lexemes(clean, escapes: bool = True) -> Column:
+    """S60 (first half): the raw lexemes of the cleaned line; a quote that nothing closes stands alone."""
+    return F.regexp_extract_all(_c(clean), F.lit(CODE_LEXEME if escapes else CODE_LEXEME_UNESCAPED), 0)
 
 
-def python_code_tokens(col, append_newline: bool = True, all_matches: bool = False) -> Column:
+def python_code_tokens(col, append_newline: bool = True, all_matches: bool = False, escapes: bool = True, stored: bool = False) -> Column:
     """Raw Python code to tokens.
 
     Strings and numbers become ``string``/``number``, assigned names ``var``, comments are
-    dropped, and a final ``newline`` closes any line with code (S60, S64, S48, S17).
+    dropped, and a final ``newline`` closes a line with code (S60, S64, S48, S17). A line whose
+    brackets don't balance is cut off by the lexer before its end, so it has no ``newline`` (S65).
+    ``escapes=False`` lets a backslash escape nothing; ``stored`` takes the names from the raw
+    code's statements (``pynames.stored_names``) instead of the line heuristics.
     """
+    def count(lexemes: Column, of: list[str]) -> Column:
+        return F.size(F.filter(lexemes, lambda t: t.isin(of)))
+
     def tokens(s: Column) -> Column:
         # The lexer makes every other punctuation mark a one-character lexeme, so a lexeme
         # that starts with a quote and is longer than one character is a whole string.
@@ -102,11 +117,15 @@ def python_code_tokens(col, append_newline: bool = True, all_matches: bool = Fal
             .otherwise(t)))
         def finish(body: Column) -> Column:
             if append_newline:
-                body = F.when(F.size(body) > 0, F.concat(body, F.array(F.lit("NEWLINE")))).otherwise(body)
+                whole = (F.size(body) > 0) & (count(body, OPENERS) == count(body, CLOSERS))
+                body = F.when(whole, F.concat(body, F.array(F.lit("NEWLINE")))).otherwise(body)
             words = F.split(snake_case(F.array_join(body, " ")), " ")
             return F.filter(words, lambda w: F.trim(w) != "")
 
         return let(F.filter(kinds, lambda t: t.isNotNull()), finish)
 
+    def names(clean: Column) -> Column:
+        return stored_names(col, aliases=False) if stored else python_vars(clean, all_matches)
+
     return let(python_clean(col), lambda clean: let(
-        F.struct(python_vars(clean, all_matches).alias("names"), python_lexemes(clean).alias("lex")), tokens))
+        F.struct(names(clean).alias("names"), python_lexemes(clean, escapes).alias("lex")), tokens))

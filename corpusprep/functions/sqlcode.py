@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusprep.functions.fold import bracket_depths
 from corpusprep.functions.text import DECIMAL, _c, filter_wide, let, snake_case, split_words, strip_ws
 
 FAILED_CODE = "-1000"
@@ -96,9 +97,40 @@ def sql_sanitise(clean) -> Column:
     return let(F.lower(strip_ws(clean)), body)
 
 
+# Lexer of raw SQL text for the structure of brackets: strings (a doubled quote stands for one), quoted names, comments.
+RAW_SQL_LEXEME = (r"'(?:[^']++|'')*+'|" r'"(?:[^"]++|"")*+"|`[^`]*+`|\[[^\[\]]*+\]|--[^\n]*+|/\*(?:[^*]++|\*(?!/))*+\*/|\w++|[^\s\w]')
+
+
+def subquery_groups(col) -> Column:
+    """``array<struct(start, end, depth)>`` of the parenthesised groups that hold ``select`` at their own level.
+
+    ``start`` and ``end`` are the lexeme numbers of the parentheses, ``depth`` is 1 for an outermost group. The depth is a
+    running sum over the lexemes of the raw text; strings, quoted names and comments are one lexeme each, so nothing in them
+    counts. A parenthesis without its partner forms no group.
+    """
+    def groups(lexemes: Column, depths: Column) -> Column:
+        def close(i: Column, depth: Column) -> Column:
+            later = F.slice(depths, i + 2, F.size(depths))  # the group ends where the depth falls below its own
+            return F.array_position(F.transform(later, lambda d: d < depth), True).cast("int") + i
+
+        opened = F.filter(F.transform(lexemes, lambda t, i: F.when(t == "(", i)), lambda i: i.isNotNull())
+        each = F.transform(opened, lambda i: F.struct(i.alias("start"), close(i, F.get(depths, i)).alias("end"), F.get(depths, i).alias("depth")))
+
+        def own_select(g: Column) -> Column:
+            inner = F.slice(F.arrays_zip(lexemes.alias("t"), depths.alias("d")), g["start"] + 2, g["end"] - g["start"] - 1)
+            return F.exists(inner, lambda x: (x["t"] == "select") & (x["d"] == g["depth"]))
+
+        return F.filter(each, lambda g: (g["end"] > g["start"]) & own_select(g))
+
+    def with_depths(lexemes: Column) -> Column:
+        return let(bracket_depths(lexemes, ("(",), (")",)), lambda d: groups(lexemes, d))
+
+    return let(F.regexp_extract_all(F.lower(_c(col)), F.lit(RAW_SQL_LEXEME), 0), with_depths)
+
+
 def subquery_count(col) -> Column:
-    """Number of parenthesised groups that open with ``select``."""
-    return F.size(F.regexp_extract_all(F.lower(_c(col)), F.lit(r"\(\s*select\b"), 0))
+    """Number of parenthesised groups that hold a ``select`` of their own."""
+    return F.size(subquery_groups(col))
 
 
 def string_pattern_tokens(lit: Column, regex: bool = True) -> Column:

@@ -8,6 +8,8 @@ with it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,32 @@ def python_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("id"), code.alias("code"))
 
 
+def python_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, code)``: one Python snippet per order for the lexer and the names it stores, ten shapes by ``o_orderkey % 10``."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    k, c, st = _s("o_orderkey"), _s("o_custkey"), F.col("o_orderstatus")
+
+    def code(form: str) -> Column:
+        """``form`` with the order's number, customer and status in the places ``{k}``, ``{c}`` and ``{s}``."""
+        parts = [F.lit(p) if i % 2 == 0 else {"k": k, "c": c, "s": st}[p] for i, p in enumerate(re.split(r"\{([kcs])\}", form))]
+        return F.concat(*parts)
+
+    shapes = [
+        r"""note_{c} = 'it\'s ' + {k} + "a\"b = {s}" """,
+        "(a_{c}, [b, *rest]) = {k}, [2]\nlast = first = rest[0]",
+        "print('{s} is open\nx = {k}",
+        "del z{c}, w[{k}], (u, v.t)\nprint(d['e = f'])",
+        "import numpy as np\nwith open('{s}') as h{c}, lock(k=1) as (p, q): line = h.read({k})",
+        "rows = [x for x, (y, z) in items[{k}] if x != 'for q in r']\ncount_{c} += sum(i for i in rows)",
+        "text = '''m = {k}\nn = 2''' ; pat = r'\\d+'  # o = 1\nfor i, j in text: s[i] = j",
+        "size_{c}: int = {k}\n*head, tail = parts\nif (n := 3) >= tail: m = n == 4",
+        "x{c} = 3rd + 0x1F + 1e5 + 007 + 2j # y = {k}",
+        "a.b[{c}] = f(k={k}, *v); g = lambda u=1: u\nreturn [s\n, (t",
+    ]
+    shape = F.element_at(F.array(*map(code, shapes)), (F.col("o_orderkey") % 10 + 1).cast("int"))
+    return o.select(F.col("o_orderkey").alias("id"), shape.alias("code"))
+
+
 def sql_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, code)``: one SQL snippet per part, six shapes by ``p_partkey % 6`` (one cleans to nothing)."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
@@ -73,6 +101,22 @@ def sql_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("p_partkey").alias("id"), code.alias("code"))
 
 
+def sql_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, code)``: one SQL text with nested brackets per part, six shapes by ``p_partkey % 6``."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    key, size = _s("p_partkey"), _s("p_size")
+    shapes = [
+        F.concat(F.lit("SELECT (SELECT max(a) FROM t WHERE b IN (SELECT c FROM u WHERE d = "), size, F.lit(")) FROM v")),
+        F.concat(F.lit("SELECT '( select 1', \"(select\" FROM t -- (select "), key, F.lit("\nWHERE x = (y + "), size, F.lit(")")),
+        F.concat(F.lit("INSERT INTO t (a, b) (SELECT c, (d + "), size, F.lit(") FROM u) ON CONFLICT (a) DO UPDATE SET b = (SELECT "), key, F.lit(")")),
+        F.concat(F.lit("SELECT f((SELECT 1)), ((SELECT "), size, F.lit("), 'it''s (') /* (select */ FROM t")),
+        F.concat(F.lit("SELECT a FROM t WHERE (b = (SELECT "), key, F.lit(" FROM u) AND (c = '"), F.col("p_brand"), F.lit("'")),
+        F.concat(F.lit(") SELECT 1) FROM (SELECT ["), F.col("p_brand"), F.lit(" (select] FROM selected (x)) q WHERE (WITH w AS (SELECT 2) SELECT 3) > "), size),
+    ]
+    shape = F.element_at(F.array(*shapes), (F.col("p_partkey") % 6 + 1).cast("int"))
+    return p.select(F.col("p_partkey").alias("id"), shape.alias("code"))
+
+
 def contraction_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, text)``: one sentence with contractions per customer."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")

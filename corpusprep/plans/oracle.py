@@ -178,7 +178,9 @@ def py_vars_all(clean):
     return f"list_sort(list_distinct(list_concat({eq_names}, {fo_names})))"
 
 
-PY_LEX = r"""'[^']*'|"[^"]*"|#.*|\d\w*|\w+|[^\s\w]"""
+PY_NUMBER = (r"[0-9](?:_?[0-9])*(?:[eE][0-9](?:_?[0-9])*)?[jJ]|[0-9](?:_?[0-9])*[eE][0-9](?:_?[0-9])*|0[xX](?:_?[0-9a-fA-F])+|"
+             r"0[bB](?:_?[01])+|0[oO](?:_?[0-7])+|0(?:_?0)*|[1-9](?:_?[0-9])*")
+PY_LEX = r"""'(?:[^'\\]|\\ ?[^ ])*'|"(?:[^"\\]|\\ ?[^ ])*"|#.*|""" + PY_NUMBER + r"""|\w+|[^\s\w]"""
 
 
 def py_kinds(clean_col, vars_col):
@@ -190,7 +192,9 @@ def py_kinds(clean_col, vars_col):
 
 
 def py_finish(k):
-    body = f"(CASE WHEN len({k}) > 0 THEN list_append({k}, 'NEWLINE') ELSE {k} END)"
+    opened = f"len(list_filter({k}, lambda t: t IN ('(', '[', '{{')))"
+    closed = f"len(list_filter({k}, lambda t: t IN (')', ']', '}}')))"
+    body = f"(CASE WHEN len({k}) > 0 AND {opened} = {closed} THEN list_append({k}, 'NEWLINE') ELSE {k} END)"
     return f"list_filter(string_split({snake(J(body))}, ' '), lambda w: trim(w) <> '')"
 
 
@@ -290,6 +294,61 @@ PY_SNIPPETS = f"""SELECT o_orderkey AS id, CASE o_orderkey % 4
        || ''')'
 END AS code FROM orders"""
 
+PY_STATEMENTS = rf"""SELECT o_orderkey AS id, CASE o_orderkey % 10
+  WHEN 0 THEN 'note_' || o_custkey || ' = ''it\''s '' + ' || o_orderkey || ' + "a\"b = ' || o_orderstatus || '" '
+  WHEN 1 THEN '(a_' || o_custkey || ', [b, *rest]) = ' || o_orderkey || ', [2]' || {NL} || 'last = first = rest[0]'
+  WHEN 2 THEN 'print(''' || o_orderstatus || ' is open' || {NL} || 'x = ' || o_orderkey
+  WHEN 3 THEN 'del z' || o_custkey || ', w[' || o_orderkey || '], (u, v.t)' || {NL} || 'print(d[''e = f''])'
+  WHEN 4 THEN 'import numpy as np' || {NL} || 'with open(''' || o_orderstatus || ''') as h' || o_custkey
+       || ', lock(k=1) as (p, q): line = h.read(' || o_orderkey || ')'
+  WHEN 5 THEN 'rows = [x for x, (y, z) in items[' || o_orderkey || '] if x != ''for q in r'']' || {NL} || 'count_' || o_custkey
+       || ' += sum(i for i in rows)'
+  WHEN 6 THEN 'text = ''''''m = ' || o_orderkey || {NL} || 'n = 2'''''' ; pat = r''\d+''  # o = 1' || {NL} || 'for i, j in text: s[i] = j'
+  WHEN 7 THEN 'size_' || o_custkey || ': int = ' || o_orderkey || {NL} || '*head, tail = parts' || {NL} || 'if (n := 3) >= tail: m = n == 4'
+  WHEN 8 THEN 'x' || o_custkey || ' = 3rd + 0x1F + 1e5 + 007 + 2j # y = ' || o_orderkey
+  ELSE 'a.b[' || o_custkey || '] = f(k=' || o_orderkey || ', *v); g = lambda u=1: u' || {NL} || 'return [s' || {NL} || ', (t'
+END AS code FROM orders"""
+
+# Lexemes of raw code; without look-ahead a triple-quoted string is written as characters with one or two quotes between them.
+PY_RAW_LEX = (r"""[rRbBuUfF]{0,2}(?:'''(?:[^'\\]|\\[\s\S]|'[^'\\]|''[^'\\])*'''|'(?:[^'\\\n]|\\[\s\S])*'|"(?:[^"\\\n]|\\[\s\S])*")|#[^\n]*|\\\n|\n|"""
+              r"0[xX][0-9a-fA-F_]+|0[bB][01_]+|0[oO][0-7_]+|(?:[0-9][0-9_]*(?:\.[0-9_]*)?|\.[0-9][0-9_]*)(?:[eE][-+]?[0-9][0-9_]*)?[jJ]?|"
+              r"[\p{L}_][\p{L}\p{N}_]*|\*\*=|//=|<<=|>>=|\.\.\.|->|:=|\*\*|//|<<|>>|[-+*/%&|^@=<>!]=|\S")
+PY_WORDS = ("False None True and as assert async await break class continue def del elif else except finally for from global if import in "
+            "is lambda nonlocal not or pass raise return try while with yield")
+PY_NAME = f"word AND NOT list_contains(string_split({L(PY_WORDS)}, ' '), t)"
+PY_BLOCK = "head IN ('if', 'for', 'with', 'while')"
+PY_LEXED = f"unnest(regexp_extract_all(code || chr(10), {L(PY_RAW_LEX)})) AS t, unnest(range(len(regexp_extract_all(code || chr(10), {L(PY_RAW_LEX)})))) AS i"
+
+# Names stored by statements, with windows over the unnested lexemes: depth and open calls by running sums, lines and
+# statements by counted ends, targets by the last assignment sign of a statement, scopes of for and as by their next end.
+PY_STORED_NAMES = f"""WITH src AS ({PY_STATEMENTS}),
+code AS (SELECT * FROM (SELECT id, {PY_LEXED} FROM src) WHERE t NOT LIKE '#%' AND NOT starts_with(t, chr(92))),
+kind AS (SELECT *, regexp_matches(t, '^[a-zA-Z_]') AND NOT regexp_matches(t, {L('''['"]$''')}) AS word, t IN ('(', '[', '{{') AS op,
+                t IN (')', ']', '}}') AS cl, lag(t) OVER w AS prev, lead(t) OVER w AS nxt FROM code WINDOW w AS (PARTITION BY id ORDER BY i)),
+named AS (SELECT *, {PY_NAME} AS name, lag({PY_NAME} OR cl OR regexp_matches(t, {L('''['"]$|^[.]?[0-9]''')})) OVER w AS behind
+          FROM kind WINDOW w AS (PARTITION BY id ORDER BY i)),
+deep AS (SELECT *, sum(op::INT - cl::INT) OVER w AS d, sum(op::INT - cl::INT) OVER w + cl::INT AS lvl, op AND coalesce(behind, false) AS call
+         FROM named WINDOW w AS (PARTITION BY id ORDER BY i)),
+matched AS (SELECT *, coalesce(cl AND lag(call) OVER (PARTITION BY id, lvl, op OR cl ORDER BY i), false) AS uncall FROM deep),
+calls AS (SELECT *, sum(call::INT - uncall::INT) OVER w AS used, sum((t IN (chr(10), ';') AND d = 0)::INT) OVER w - (t IN (chr(10), ';') AND d = 0)::INT AS line
+          FROM matched WINDOW w AS (PARTITION BY id ORDER BY i)),
+heads AS (SELECT *, first_value(t) OVER (PARTITION BY id, line ORDER BY i) AS head FROM calls),
+colons AS (SELECT *, sum((t = 'lambda' AND d = 0)::INT) OVER w AS lambdas, t = ':' AND d = 0 AS colon, sum((t = ':' AND d = 0)::INT) OVER w AS colon_no
+           FROM heads WINDOW w AS (PARTITION BY id, line ORDER BY i)),
+stmts AS (SELECT *, {PY_BLOCK} AND colon_no - colon::INT > 0 AS tail FROM colons),
+signs AS (SELECT *, d = 0 AND lambdas = 0 AND (t IN ('+=', '-=') OR (colon AND NOT {PY_BLOCK})) AS last_sign FROM stmts),
+ends AS (SELECT *, max(CASE WHEN last_sign OR d = 0 AND lambdas = 0 AND t = '=' THEN i END) OVER w AS sign_at, min(CASE WHEN last_sign THEN i END) OVER w AS last_at
+         FROM signs WINDOW w AS (PARTITION BY id, line, tail)),
+scopes AS (SELECT *, max(CASE WHEN t IN ('for', 'as') THEN i END) OVER (PARTITION BY id ORDER BY i) AS f FROM ends),
+opened AS (SELECT s.id, s.i AS f, s.used AS fused,
+                  min(CASE WHEN e.d = s.d AND (CASE WHEN s.t = 'for' THEN e.t = 'in' ELSE e.t IN (',', ':', chr(10)) END) THEN e.i END) AS stop
+           FROM scopes s JOIN scopes e ON s.id = e.id AND e.i > s.i WHERE s.t IN ('for', 'as') GROUP BY s.id, s.i, s.used),
+names AS (SELECT s.id, s.t FROM scopes s LEFT JOIN opened o ON s.id = o.id AND s.f = o.f
+          WHERE s.name AND coalesce(s.prev, '') <> '.' AND (s.nxt = ':=' OR s.nxt NOT IN ('.', '[', '(') AND (
+             s.used = 0 AND s.i < s.sign_at AND (s.last_at IS NULL OR s.i < s.last_at) AND NOT coalesce(s.i < o.stop, false)
+             OR s.used = 0 AND s.head = 'del' OR s.i < o.stop AND s.used = o.fused)))
+SELECT src.id, coalesce(string_agg(DISTINCT t, ' ' ORDER BY t), '') AS names FROM src LEFT JOIN names ON src.id = names.id GROUP BY src.id"""
+
 SQL_SNIPPETS = """SELECT p_partkey AS id, CASE p_partkey % 6
   WHEN 0 THEN 'SELECT p.p_name, COUNT(*) FROM part p WHERE p.p_size = ' || p_size || ' AND p.p_brand LIKE '''
        || p_brand || '%'' GROUP BY p.p_name'
@@ -304,6 +363,27 @@ SQL_SNIPPETS = """SELECT p_partkey AS id, CASE p_partkey % 6
   ELSE ':: @'
 END AS code FROM part"""
 
+SQL_NESTED = """SELECT p_partkey AS id, CASE p_partkey % 6
+  WHEN 0 THEN 'SELECT (SELECT max(a) FROM t WHERE b IN (SELECT c FROM u WHERE d = ' || p_size || ')) FROM v'
+  WHEN 1 THEN 'SELECT ''( select 1'', "(select" FROM t -- (select ' || p_partkey || chr(10) || 'WHERE x = (y + ' || p_size || ')'
+  WHEN 2 THEN 'INSERT INTO t (a, b) (SELECT c, (d + ' || p_size || ') FROM u) ON CONFLICT (a) DO UPDATE SET b = (SELECT ' || p_partkey || ')'
+  WHEN 3 THEN 'SELECT f((SELECT 1)), ((SELECT ' || p_size || '), ''it''''s ('') /* (select */ FROM t'
+  WHEN 4 THEN 'SELECT a FROM t WHERE (b = (SELECT ' || p_partkey || ' FROM u) AND (c = ''' || p_brand || ''''
+  ELSE ') SELECT 1) FROM (SELECT [' || p_brand || ' (select] FROM selected (x)) q WHERE (WITH w AS (SELECT 2) SELECT 3) > ' || p_size
+END AS code FROM part"""
+
+# Lexemes of raw SQL; the end of a comment is found without look-ahead.
+SQL_RAW_LEX = r"""'(?:[^']|'')*'|"(?:[^"]|"")*"|`[^`]*`|\[[^\[\]]*\]|--[^\n]*|/\*(?:[^*]|\*[^/])*\*/|\w+|[^\s\w]"""
+# Depth by running sums, less the unmatched closers so far; a group ends at the next closer of its depth.
+SUBQUERY_SPANS = f"""WITH src AS ({SQL_NESTED}),
+lex AS (SELECT id, unnest(regexp_extract_all(lower(code), {L(SQL_RAW_LEX)})) AS t, unnest(range(len(regexp_extract_all(lower(code), {L(SQL_RAW_LEX)})))) AS i FROM src),
+sums AS (SELECT *, sum((t = '(')::INT - (t = ')')::INT) OVER w AS s FROM lex WINDOW w AS (PARTITION BY id ORDER BY i)),
+deep AS (SELECT *, s - least(0, min(s) OVER (PARTITION BY id ORDER BY i)) AS d FROM sums),
+ends AS (SELECT o.id, o.i AS start, o.d AS depth, min(c.i) AS "end" FROM deep o JOIN deep c ON o.id = c.id AND c.i > o.i AND c.t = ')' AND c.d = o.d - 1
+         WHERE o.t = '(' GROUP BY o.id, o.i, o.d)
+SELECT e.id, e.start, e."end", e.depth::BIGINT AS depth FROM ends e
+WHERE EXISTS (SELECT 1 FROM deep x WHERE x.id = e.id AND x.i > e.start AND x.i < e."end" AND x.t = 'select' AND x.d = e.depth)"""
+
 CONTRACTION_TEXT = """SELECT c_custkey AS id, c_name || ' can"t say it"s ' || c_mktsegment
   || '. They"re sure I"m here, she"d say we"ll go; there"s ' || c_nationkey || ' boss"s, It"S fine, it''s that''s here''s'
   AS text FROM customer"""
@@ -523,6 +603,10 @@ FROM dt LEFT JOIN j ON j.doc_id = dt.doc_id GROUP BY dt.doc_id""",
     "python_vars": f"SELECT id, {J(py_vars('c'))} AS vars FROM (SELECT id, {py_clean('code')} AS c FROM ({PY_SNIPPETS}))",
     "python_vars_all": f"SELECT id, {J(py_vars_all('c'))} AS vars FROM (SELECT id, {py_clean('code')} AS c "
                        f"FROM ({PY_SNIPPETS}))",
+    "python_stored_names": PY_STORED_NAMES,
+    "python_lexemes": f"SELECT id, array_to_string(list_transform(regexp_extract_all(code, {L(PY_RAW_LEX)}), lambda t: replace(t, {NL}, '~')), ' | ') "
+                      f"AS lexemes FROM ({PY_STATEMENTS})",
+    "python_statement_tokens": f"SELECT id, {J('toks')} AS tokens FROM ({py_token_select(PY_STATEMENTS)})",
     "python_code_tokens": f"SELECT id, {J('toks')} AS tokens FROM ({py_token_select(PY_SNIPPETS)})",
     "sql_clean": f"SELECT id, {sql_clean('code')} AS clean FROM ({SQL_SNIPPETS})",
     "sql_sanitise": f"SELECT id, coalesce({sql_sanitise(sql_clean('code'))}, '-1000') AS sanitised FROM ({SQL_SNIPPETS})",
@@ -537,6 +621,7 @@ FROM dt LEFT JOIN j ON j.doc_id = dt.doc_id GROUP BY dt.doc_id""",
         "SELECT san.id, coalesce(string_agg(CASE WHEN kind = 'STRING' THEN " + string_patterns("tok") +
         " END, ' | ' ORDER BY pos), '') AS patterns FROM san LEFT JOIN named ON named.id = san.id "
         "WHERE san.s IS NOT NULL GROUP BY san.id"),
+    "subquery_spans": SUBQUERY_SPANS,
     "subquery_count": f"SELECT id, CAST(len(regexp_extract_all(lower(code), {L(r'\(\s*select\b')})) AS BIGINT) AS n "
                       f"FROM ({SQL_SNIPPETS})",
     "sql_code_tokens": _sql_named(f"SELECT id, {J('toks')} AS tokens, ok AS code_ok FROM ({SQL_TOKEN_RESULT})"),

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.functions import pycode, sqlcode, text
+from corpusprep.functions import pycode, pynames, sqlcode, text
 from corpusprep.operators import corpus, encode, lemma, repl, vectors, vocab
 from corpusprep.operators.tokenise import tokenise_corpus
 from corpusprep.plans import derive, stages
@@ -110,6 +110,19 @@ def q_python_code_tokens(spark, sf_dir):
     return derive.python_snippets(spark, sf_dir).select("id", _j(pycode.python_code_tokens("code")).alias("tokens"))
 
 
+def q_python_stored_names(spark, sf_dir):
+    return derive.python_statements(spark, sf_dir).select("id", _j(pynames.stored_names("code")).alias("names"))
+
+
+def q_python_lexemes(spark, sf_dir):
+    lexemes = F.transform(pynames.raw_lexemes("code"), lambda t: F.replace(t, F.lit("\n"), F.lit("~")))
+    return derive.python_statements(spark, sf_dir).select("id", F.array_join(lexemes, " | ").alias("lexemes"))
+
+
+def q_python_statement_tokens(spark, sf_dir):
+    return derive.python_statements(spark, sf_dir).select("id", _j(pycode.python_code_tokens("code")).alias("tokens"))
+
+
 def _sql_sanitised(spark, sf_dir):
     return derive.sql_snippets(spark, sf_dir).select(
         "id", sqlcode.sql_sanitise(sqlcode.sql_clean("code")).alias("s"))
@@ -151,6 +164,11 @@ def q_subquery_count(spark, sf_dir):
     return derive.sql_snippets(spark, sf_dir).select("id", sqlcode.subquery_count("code").cast("long").alias("n"))
 
 
+def q_subquery_spans(spark, sf_dir):
+    spans = derive.sql_nested(spark, sf_dir).select("id", F.explode(sqlcode.subquery_groups("code")).alias("g"))
+    return spans.select("id", *[F.col(f"g.{c}").cast("long").alias(c) for c in ("start", "end", "depth")])
+
+
 def q_sql_code_tokens(spark, sf_dir):
     s = derive.sql_snippets(spark, sf_dir).select("id", sqlcode.sql_code_parse("code").alias("p"))
     return s.select("id", _j("p.tokens").alias("tokens"), F.col("p.ok").alias("code_ok"))
@@ -348,6 +366,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "python_vars": q_python_vars,
     "python_vars_all": q_python_vars_all,
     "python_code_tokens": q_python_code_tokens,
+    "python_stored_names": q_python_stored_names,
+    "python_lexemes": q_python_lexemes,
+    "python_statement_tokens": q_python_statement_tokens,
     "sql_clean": q_sql_clean,
     "sql_sanitise": q_sql_sanitise,
     "sql_kinds": q_sql_kinds,
@@ -355,6 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_rename": q_sql_rename,
     "sql_string_patterns": q_sql_string_patterns,
     "subquery_count": q_subquery_count,
+    "subquery_spans": q_subquery_spans,
     "sql_code_tokens": q_sql_code_tokens,
     "repl_flags": q_repl_flags,
     "repl_layout": q_repl_layout,
