@@ -1,14 +1,13 @@
-"""Interactive-prompt repair of code snippets.
+"""Interactive-prompt repair of code snippets (S35, S36, S66-S69), inside the row.
 
-A snippet becomes a long line table ``(_row, id, ln, line)``; ``_row`` numbers the records, so
-snippets that share an id stay apart. The records are hash-partitioned by ``_row`` once, before
-the explode, so the line windows (partitioned by ``_row``) and the fold back (grouped by it)
-reuse that partitioning and add no further exchange.
+A snippet is an array of lines with their prompt flags. Runs of prompt lines and of plain lines are islands: an island starts
+where the array's neighbours differ, so islands, blocks and the repaired code are array functions of the row. No line is
+exploded, nothing is shuffled, and a snippet's other columns stay where they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import let, strip_ws
@@ -66,61 +65,80 @@ def repl_layout(code) -> Column:
     return layout_of_flags(repl_flags(code))
 
 
-def repl_lines(df: DataFrame, id_col: str, code_col: str) -> DataFrame:
-    """Long line table with flags, layout, kept text and island number per line."""
-    records = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"),
-                        F.split(F.col(code_col), "\n").alias("lines")).repartition("_row")
-    # Flags once per line: the array feeds both the snippet's layout and the exploded lines.
-    flagged = records.select("_row", "id", "lines", F.transform("lines", prompt_flag).alias("flags"))
-    lines = flagged.select(
-        "_row", "id", layout_of_flags(F.array_join(F.col("flags").cast("array<string>"), "")).alias("layout"),
-        F.posexplode(F.arrays_zip(F.col("lines").alias("line"), F.col("flags").alias("flag"))).alias("ln", "_lf"))
-    lines = lines.select("_row", "id", "layout", "ln", F.col("_lf.line").alias("line"), F.col("_lf.flag").alias("flag"))
-    w = Window.partitionBy("_row").orderBy("ln")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    prompt = F.col("flag") != 0
-    first_prompt = F.min(F.when(prompt, F.col("ln"))).over(whole)
-    last_prompt_flag = F.last(F.when(prompt, F.col("flag")), ignorenulls=True).over(before)
-    text = F.when(prompt, strip_prompt("line", "flag")).otherwise(F.col("line"))
-    keep = (F.when(F.col("layout") == "typical", (F.col("ln") < first_prompt) | prompt)
-            .otherwise(prompt | (F.coalesce(last_prompt_flag, F.lit(0)) != OUT_FLAG)))
-    starts = F.when((F.col("ln") == 0) | (prompt != F.lag(prompt).over(w)), 1).otherwise(0)
-    return lines.select("_row", "id", "layout", "ln", "line", "flag", text.alias("text"), keep.alias("keep"),
-                        F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("island"),
-                        F.max(F.col("ln")).over(whole).alias("last_ln"))
+def _lines(code: Column) -> Column:
+    """``struct(lines, flags, layout)`` of a snippet; null code gives null."""
+    def flagged(lines: Column) -> Column:
+        return let(F.transform(lines, prompt_flag), lambda flags: F.struct(
+            lines.alias("lines"), flags.alias("flags"), layout_of_flags(F.array_join(flags.cast("array<string>"), "")).alias("layout")))
 
+    return let(F.split(code, "\n"), flagged)
 
-def repl_repair(df: DataFrame, id_col: str = "id", code_col: str = "code") -> DataFrame:
-    """``(id, layout, repaired)``; snippets without prompts are returned unchanged."""
-    lines = repl_lines(df, id_col, code_col)
-    kept = F.when(F.col("keep"), F.struct("ln", F.concat("text", F.lit("\n")).alias("t")))
-    folded = lines.groupBy("_row", "id", "layout").agg(
-        F.array_sort(F.collect_list(kept)).alias("parts"),
-        F.array_sort(F.collect_list(F.struct("ln", "line"))).alias("raw"))
-    repaired = F.when(F.col("layout") == "none", F.array_join(F.col("raw.line"), "\n")) \
-        .otherwise(F.array_join(F.col("parts.t"), ""))
-    return folded.select("id", "layout", repaired.alias("repaired"))
 
+def _islands(s: Column) -> Column:
+    """``array<struct(at, size, plain, text, before)>``: runs of prompt or of plain lines.
 
-def repl_blocks(df: DataFrame, id_col: str = "id", code_col: str = "code") -> DataFrame:
-    """S35 + S36: ``(id, block_no, block)``, the code blocks between prompt and output runs.
+    ``at`` counts lines from 0, ``text`` holds the lines without their prompts and ``before`` the flag in front of the run.
+    """
+    flags = s["flags"]
+
+    def begins(i: Column) -> Column:
+        return (i == 0) | ((F.get(flags, i) == 0) != (F.get(flags, i - 1) == 0))
+
+    def island(starts: Column) -> Column:
+        def one(at: Column, k: Column) -> Column:
+            size = F.coalesce(F.get(starts, k + 1), F.size(flags)) - at
+            pairs = F.zip_with(F.slice(s["lines"], at + 1, size), F.slice(flags, at + 1, size), strip_prompt)
+            return F.struct(at.alias("at"), size.alias("size"), (F.get(flags, at) == 0).alias("plain"), pairs.alias("text"),
+                            F.coalesce(F.get(flags, at - 1), F.lit(0)).alias("before"))
+
+        return F.transform(starts, one)
+
+    return let(F.filter(F.sequence(F.lit(0), F.size(flags) - 1), begins), island)
+
+
+def repaired_code(code) -> Column:
+    """``struct(layout, repaired)``; code without prompts is unchanged.
+
+    Typical layout: the plain lines in front of the first prompt and all prompt lines stay. Atypical layout: plain lines go
+    that follow an ``Out`` line (S36).
+    """
+    def repair(s: Column) -> Column:
+        def stays(i: Column) -> Column:
+            return ~i["plain"] | F.when(s["layout"] == "typical", i["at"] == 0).otherwise(i["before"] != OUT_FLAG)
+
+        kept = F.flatten(F.transform(F.filter(_islands(s), stays), lambda i: i["text"]))
+        repaired = F.array_join(F.transform(kept, lambda line: F.concat(line, F.lit("\n"))), "")
+        return F.struct(s["layout"].alias("layout"), F.when(s["layout"] == "none", F.array_join(s["lines"], "\n")).otherwise(repaired).alias("repaired"))
+
+    return let(_lines(_c(code)), repair)
+
+
+def code_blocks(code) -> Column:
+    """S35 + S36: the code blocks between prompt and output runs.
 
     Typical layout: a leading plain block is kept even if blank; other runs are kept when
     not blank. Atypical layout: as typical without the leading rule, and the last run is
     dropped (the reference never flushes it). No prompts: one block, the code unchanged.
     """
-    lines = repl_lines(df, id_col, code_col)
-    islands = lines.groupBy("_row", "id", "layout", "island").agg(
-        F.array_sort(F.collect_list(F.struct("ln", "text"))).alias("rows"),
-        F.min("ln").alias("first_ln"), F.max("ln").alias("end_ln"), F.first("last_ln").alias("last_ln"),
-        F.min("flag").alias("min_flag"))
-    joined = F.array_join(F.col("rows.text"), "\n")
-    block = F.when(F.col("layout") == "none", joined).otherwise(strip_ws(joined))
-    leading = (F.col("first_ln") == 0) & (F.col("min_flag") == 0)
-    keep = (F.when(F.col("layout") == "none", F.lit(True))
-            .when(F.col("layout") == "typical", leading | (block != ""))
-            .otherwise((block != "") & (F.col("end_ln") < F.col("last_ln"))))
-    kept = islands.filter(keep).select("_row", "id", "island", block.alias("block"))
-    w = Window.partitionBy("_row").orderBy("island")
-    return kept.select("id", (F.row_number().over(w) - 1).alias("block_no"), "block")
+    def blocks(s: Column) -> Column:
+        def block(i: Column) -> Column:
+            return F.struct(strip_ws(F.array_join(i["text"], "\n")).alias("text"), (i["plain"] & (i["at"] == 0)).alias("leading"),
+                            (i["at"] + i["size"] == F.size(s["flags"])).alias("last"))
+
+        def stays(b: Column) -> Column:
+            return F.when(s["layout"] == "typical", b["leading"] | (b["text"] != "")).otherwise((b["text"] != "") & ~b["last"])
+
+        kept = F.transform(F.filter(F.transform(_islands(s), block), stays), lambda b: b["text"])
+        return F.when(s["layout"] == "none", F.array(F.array_join(s["lines"], "\n"))).otherwise(kept)
+
+    return let(_lines(_c(code)), blocks)
+
+
+def repl_repair(df: DataFrame, id_col: str = "id", code_col: str = "code") -> DataFrame:
+    """``(id, layout, repaired)`` of every snippet."""
+    return df.select(F.col(id_col).alias("id"), repaired_code(code_col).alias("r")).select("id", "r.layout", "r.repaired")
+
+
+def repl_blocks(df: DataFrame, id_col: str = "id", code_col: str = "code") -> DataFrame:
+    """S35 + S36: ``(id, block_no, block)``, one row for each block of a snippet."""
+    return df.select(F.col(id_col).alias("id"), F.posexplode(code_blocks(code_col)).alias("block_no", "block"))

@@ -37,12 +37,13 @@ def test_scan_prunes_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 
-def test_repl_uses_one_shuffle(spark):
+def test_repl_needs_no_shuffle(spark):
     df = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit(">>> x = "), F.col("o_custkey").cast("string"),
                                                   F.lit("\nout")).alias("code"))
-    plan = _executed(repl.repl_blocks(df))
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    for out in (repl.repl_blocks(df), repl.repl_repair(df)):
+        plan = _executed(out)
+        assert "Exchange" not in plan and "Window" not in plan
 
 
 def test_lookup_broadcasts_small_dictionary(spark):
