@@ -7,7 +7,7 @@ of its entries; what is no possible extension counts under the empty word) and,
 largest count of a phrase that adds one word to a shorter one.
 
 A phrase is never more frequent than the phrases inside it, so a stripe of a longer prefix holds only what the shorter ones
-allow: words that are frequent enough, then pairs. The frequent words and pairs reach the tasks as a bit filter of bounded
+allow: words that are frequent enough, then pairs, then triples. These reach the tasks as a bit filter of bounded
 size; a filter lets too much through at worst, and the exact counts decide afterwards. By the same rule a candidate that any
 longer one covers is covered by one that is longer by one word.
 
@@ -21,6 +21,7 @@ the two named columns are read. A text is cut only between chunks, never inside:
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ STRIPES = "lang string, prefix string, slice int, next array<string>, count arra
 MERGED = "lang string, prefix string, total long, next array<string>, count array<long>"
 WORD_SLICES = 1024  # slices of a language's stripe of the empty prefix
 MAX_FILTER_BITS = 1 << 28
+LOOKUP_BYTES = 32 << 20  # a larger table of counts is joined by shuffle
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -123,7 +125,8 @@ class Stripes:
         """``heads``: word numbers of each prefix; ``slices`` and ``lang`` (a word of the language) by prefix; entries by prefix."""
         if not len(prefix):
             return
-        part = (self.hash[nxt] % slices[prefix].astype(np.uint64)).astype(np.int32)
+        many = slices[prefix]  # slices count from 1, a whole stripe is 0
+        part = np.where(many > 1, 1 + (self.hash[nxt] % many.astype(np.uint64)).astype(np.int64), 0).astype(np.int32)
         if part.any():
             order = np.lexsort((part, prefix))
             prefix, nxt, count, part = prefix[order], nxt[order], count[order], part[order]
@@ -167,32 +170,30 @@ def pairs_level(chunk: Chunk, bits: np.ndarray, wide: dict) -> Iterator[pa.Recor
     yield from out.rows([np.arange(len(good))], prefix, nxt, count, slices, np.arange(len(good)))
 
 
-def longer_levels(chunk: Chunk, bits: np.ndarray, wide: dict) -> Iterator[pa.RecordBatch]:
-    """Stripes of prefixes of two and three words whose pairs are frequent."""
+def longer_level(chunk: Chunk, bits: np.ndarray, wide: dict, size: int) -> Iterator[pa.RecordBatch]:
+    """Stripes of frequent prefixes of ``size`` words, two or more."""
     out = Stripes(chunk)
     v = len(chunk.words)
     w = chunk.numbers()
-    nxt = _following(w, 1)
-    both = np.flatnonzero((w > 0) & (nxt > 0))
-    keys, number = np.unique(w[both] * v + nxt[both], return_inverse=True)
-    good = in_filter(bits, pair_hash(out.hash[keys // v], out.hash[keys % v]))
-    pair = np.full(len(w), -1)
-    pair[both] = np.where(good[number], number, -1)
-    fits = pair >= 0
-    first, second = keys // v, keys % v
-    slices = np.ones(len(keys), np.int64)
+    gram, hashes, heads = w, out.hash, [np.arange(v)]
+    for k in range(1, size):  # number the distinct phrases of k + 1 words; -1 where a cut is inside
+        after = _following(w, k)
+        at = np.flatnonzero((gram > 0 if k == 1 else gram >= 0) & (after > 0))
+        keys, number = np.unique(gram[at] * v + after[at], return_inverse=True)
+        heads = [*[h[keys // v] for h in heads], keys % v]
+        hashes = pair_hash(hashes[keys // v], out.hash[keys % v])
+        gram = np.full(len(w), -1)
+        gram[at] = number
+    good = in_filter(bits, hashes)
+    fits = gram >= 0
+    fits[fits] = good[gram[fits]]
+    slices = np.ones(len(good), np.int64)
     if wide:
-        slices[good] = [wide.get((chunk.langs[a], chunk.words[a] + b" " + chunk.words[b]), 1) for a, b in zip(first[good], second[good])]
-
+        lang = [chunk.langs[i] for i in heads[0]]
+        slices[good] = [wide.get((lang[i], b" ".join([chunk.words[h[i]] for h in heads])), 1) for i in np.flatnonzero(good)]
     at = np.flatnonzero(fits)
-    prefix, after, count = _counted(pair[at], np.where(_following(fits, 1), _following(w, 2), 0)[at], v)
-    yield from out.rows([first, second], prefix, after, count, slices, first)
-
-    at = np.flatnonzero(fits & _following(fits, 1))
-    triples, number = np.unique(pair[at] * v + _following(w, 2)[at], return_inverse=True)
-    prefix, after, count = _counted(number, np.where(_following(fits, 2), _following(w, 3), 0)[at], v)
-    head = triples // v
-    yield from out.rows([first[head], second[head], triples % v], prefix, after, count, slices[head], first[head])
+    prefix, after, count = _counted(gram[at], np.where(_following(fits, 1), _following(w, size), 0)[at], v)
+    yield from out.rows(heads, prefix, after, count, slices, heads[0])
 
 
 def stripes(docs: DataFrame, level: Callable, chunk_words: int, bits=None, wide: dict | None = None) -> DataFrame:
@@ -294,13 +295,14 @@ def bit_filter(grams: DataFrame, number: int) -> np.ndarray:
         for batch in batches:
             heads = [lang.encode() + b"\0" for lang in batch.column(0).to_pylist()]
 
-            def hashes(col: int) -> np.ndarray:
-                return np.fromiter((xxhash.xxh3_64_intdigest(h + w) for h, w in zip(heads, batch.column(col).cast(pa.binary()).to_pylist())),
-                                   np.uint64, len(heads))
-
-            h = hashes(2)
-            if len(heads) and batch.column(1)[0].as_py() != "":
-                h = pair_hash(hashes(1), h)
+            phrases = [p.split(b" ") if p else [] for p in batch.column(1).cast(pa.binary()).to_pylist()]
+            phrases = [[*p, w] for p, w in zip(phrases, batch.column(2).cast(pa.binary()).to_pylist())]  # all of one length
+            h = None
+            for k in range(len(phrases[0]) if phrases else 0):
+                word = np.fromiter((xxhash.xxh3_64_intdigest(head + p[k]) for head, p in zip(heads, phrases)), np.uint64, len(heads))
+                h = word if h is None else pair_hash(h, word)
+            if h is None:
+                continue
             at = h & np.uint64(bits - 1)
             np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
         used = np.flatnonzero(words)
@@ -328,7 +330,7 @@ def scored(grams: DataFrame, totals: DataFrame, words: DataFrame, scale: int) ->
     """(lang, phrase, a, l, r, score) of phrases of two words and more: the cut of the lowest score."""
     phrase = F.concat_ws(" ", "prefix", "next")
     known = words.select(F.col("next").alias("phrase"), "lang", "a").union(grams.select(phrase, "lang", "a"))
-    known = known.select(_key(F.col("lang"), F.col("phrase")).alias("part"), F.col("a").alias("f"))
+    known = known.select(_key(F.col("lang"), F.col("phrase")).alias("_part"), F.col("a").alias("f"))
     part = F.col("part")
 
     def piece(w: Column, start: Column, length: Column) -> Column:
@@ -340,9 +342,9 @@ def scored(grams: DataFrame, totals: DataFrame, words: DataFrame, scale: int) ->
             .select("lang", F.array_join("w", " ").alias("phrase"), "a", "total", F.size("w").alias("size"), F.explode(cuts).alias("c"))
             .select("lang", "phrase", "a", "total", (F.col("c.k") == F.col("size") - 1).alias("last"), "c.k", "c.left", "c.right"))
     # The first part of the last cut is the stripe's prefix, whose total the stripe holds.
-    each = left_lookup(each.withColumn("part", _key(F.col("lang"), F.col("right"))), known.withColumnRenamed("part", "_part"), "part", "_part").withColumnRenamed("f", "r")
+    each = left_lookup(each.withColumn("part", _key(F.col("lang"), F.col("right"))), known, "part", "_part", LOOKUP_BYTES).withColumnRenamed("f", "r")
     lasts, others = each.filter("last").withColumn("l", F.col("total")), each.filter(~F.col("last"))
-    others = left_lookup(others.withColumn("part", _key(F.col("lang"), F.col("left"))), known.withColumnRenamed("part", "_part"), "part", "_part").withColumnRenamed("f", "l")
+    others = left_lookup(others.withColumn("part", _key(F.col("lang"), F.col("left"))), known.withColumnRenamed("_part", "_other"), "part", "_other", LOOKUP_BYTES).withColumnRenamed("f", "l")
     both = lasts.unionByName(others).drop(part)
     wide = "decimal(20,0)"
     score = F.expr(f"({scale} * cast(a as {wide})) div (cast(l as {wide}) + cast(r as {wide}))")
@@ -373,13 +375,16 @@ def collocations(docs: DataFrame, min_count: int = 30, cover_percent: int = 80,
     number = totals.agg(F.sum("n")).first()[0] or 0
     words = stored(grams_of(first))
     frequent = spark.sparkContext.broadcast(bit_filter(words, words.count()))
-    second = stored(merge_stripes(stripes(rows, pairs_level, chunk_words, frequent, wide_of(words, number)), min_count, keep_all=False))
-    pairs = stored(grams_of(second))
-    frequent = spark.sparkContext.broadcast(bit_filter(pairs, pairs.count()))
-    third = stored(merge_stripes(stripes(rows, longer_levels, chunk_words, frequent, wide_of(pairs, number)), min_count, keep_all=False))
+    longer = [stored(merge_stripes(stripes(rows, pairs_level, chunk_words, frequent, wide_of(words, number)), min_count, keep_all=False))]
+    for size in range(2, LONGEST):
+        last = stored(grams_of(longer[-1]))
+        frequent = spark.sparkContext.broadcast(bit_filter(last, last.count()))
+        level = partial(longer_level, size=size)
+        longer.append(stored(merge_stripes(stripes(rows, level, chunk_words, frequent, wide_of(last, number)), min_count, keep_all=False)))
+        release(last)
     release(first)
 
-    longer = second.unionByName(third)
+    longer = reduce(DataFrame.unionByName, longer)
     grams = grams_of(longer)
     prefixes = longer.groupBy("lang", "prefix").agg(F.sum("total").alias("total"))
     rest = F.concat_ws(" ", F.expr("substring(prefix, instr(prefix, ' ') + 1)"), "next")
@@ -388,7 +393,7 @@ def collocations(docs: DataFrame, min_count: int = 30, cover_percent: int = 80,
     kept = (scored(grams, prefixes, words, scale).join(covers, ["lang", "phrase"], "left")
             .filter(F.col("longer").isNull() | F.expr(f"100 * cast(longer as decimal(20,0)) < {cover_percent} * cast(a as decimal(20,0))")))
     best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(256))).orderBy(*best)
-    few = kept.withColumn("place", F.row_number().over(some)).filter(F.col("place") <= top)
-    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).filter(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    for parts in (1024, 32, 1):  # no task sees more than 32 * top rows of a language
+        some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(parts))).orderBy(*best)
+        kept = kept.withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= top)
+    return kept.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -125,12 +125,14 @@ def grow(first: DataFrame, height: int) -> list[DataFrame]:
     return levels
 
 
-def paths(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+def paths(levels: list[DataFrame], tops: DataFrame | None = None) -> DataFrame:
     """Rows (g, row, node, path) of the first nodes: ``path`` has their siblings from the bottom up, then those in ``tops`` (g, path)."""
     up = None
     for k in range(len(levels) - 1, -1, -1):
         level = levels[k]
-        done = level.filter("n = 1").join(tops, "g").select("g", "at", "slots", "path")
+        done = level.filter("n = 1")
+        done = done.withColumn("path", F.array().cast(STEP)) if tops is None else done.join(tops, "g")
+        done = done.select("g", "at", "slots", "path")
         if up is not None:
             going = level.filter("n > 1").join(up, ["g", "at"]).select("g", "at", "slots", "path")
             done = done.unionByName(going)
@@ -178,7 +180,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None, id_col: str = "doc
     upper = grow(base, height_of(many))
     if upper:
         root = upper[-1].select(F.col("node").alias("root"))
-        top_paths = paths(upper, base.limit(1).select("g", F.array().cast(STEP).alias("path"))).select("row.g", F.col("node").alias("subroot"), "path")
+        top_paths = paths(upper).select("row.g", F.col("node").alias("subroot"), "path")
     else:
         root = tops.select(F.col("node").alias("root"))
         top_paths = tops.select("g", F.col("node").alias("subroot"), F.array().cast(STEP).alias("path"))

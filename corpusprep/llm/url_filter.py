@@ -22,6 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusprep.functions.text import let
 from corpusprep.session import ensure_checkpoint_dir
 
 from .common import ascii_lower, stored
@@ -85,9 +86,13 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column
 def features(host: Column, path: Column, buckets: int = BUCKETS) -> Column:
     """Sorted distinct buckets of the n-grams of host and path; none for an empty host."""
     def grams(text: Column, seed: int) -> Column:
-        each = [F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i, n=n: F.pmod(
-            F.xxhash64(F.substr(text, i, F.lit(n)), F.lit(seed)), F.lit(buckets)).cast("int"))).otherwise(F.array().cast("array<int>")) for n in GRAMS]
-        return F.concat(*each)
+        def of(chars: Column, n: int) -> Column:
+            starts = F.sequence(F.lit(0), F.size(chars) - n)
+            gram = F.transform(starts, lambda i: F.pmod(F.xxhash64(F.concat(*[F.get(chars, i + k) for k in range(n)]), F.lit(seed)), F.lit(buckets)).cast("int"))
+            return F.when(F.size(chars) >= n, gram).otherwise(F.array().cast("array<int>"))
+
+        # Characters once as an array: a place within a long text is found without a walk to it.
+        return let(F.regexp_extract_all(text, F.lit("(?s)."), 0), lambda chars: F.concat(*[of(chars, n) for n in GRAMS]))
 
     ends = F.concat(F.lit("."), F.translate(host, "-", "."), F.lit("."))  # words of a name begin and end alike
     return F.when(host == "", F.array().cast("array<int>")).otherwise(F.array_sort(F.array_distinct(F.concat(grams(ends, 1), grams(F.translate(path, "123456789", "000000000"), 2)))))

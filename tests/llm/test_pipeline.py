@@ -60,5 +60,5 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = entry.queries().keys()
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
     assert "corpusprep.llm" in sys.modules and not any("llm" in m for m in vars(sys.modules["corpusprep"]).get("__all__", []))
