@@ -26,8 +26,18 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores in front as no column of ``df`` is called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a Parquet table in the shared checkpoint folder and read again: lineage ends, columns stay apart."""
+    # Shuffle files live until the driver's collector finds their plan unused; between two tables it is asked to look.
+    df.sparkSession._jvm.System.gc()
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)

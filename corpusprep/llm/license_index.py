@@ -20,7 +20,7 @@ from math import ceil, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, text_or_empty
+from .common import ascii_lower, free_name, text_or_empty
 
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -97,6 +97,7 @@ def scan_licenses(docs: DataFrame, templates: list[Template] = TEMPLATES, per_te
     places. A template needs the share ``votes`` of its index words at their places, and its key phrase.
     """
     index = rare_words(docs, templates, per_template, text_col)
+    own = free_name(docs, "words")
     postings: dict[str, list[tuple[int, int]]] = {}
     for t, (template, rare) in enumerate(zip(templates, index)):
         for p, w in enumerate(template.words):
@@ -117,18 +118,18 @@ def scan_licenses(docs: DataFrame, templates: list[Template] = TEMPLATES, per_te
         at = (F.shiftright(proposal, 8) - F.lit(64)).cast("int")
         t = F.element_at(library, (proposal.bitwiseAND(F.lit(255)) + 1).cast("int"))
         start = at + t["key_at"]
-        in_place = F.filter(t["places"], lambda x: F.get("_words", at + x["p"]) == x["w"])
-        key_stands = (start >= 0) & (F.array_join(F.slice("_words", F.greatest(start, F.lit(0)) + 1, t["key_words"]), " ") == t["key"])
+        in_place = F.filter(t["places"], lambda x: F.get(own, at + x["p"]) == x["w"])
+        key_stands = (start >= 0) & (F.array_join(F.slice(own, F.greatest(start, F.lit(0)) + 1, t["key_words"]), " ") == t["key"])
         found = F.struct(t["label"].alias("label"), t["base"].alias("base"), start.cast("long").alias("start"),
                          (F.size(in_place) / F.size(t["places"])).alias("score"))
         return F.when(key_stands & (F.size(F.filter(in_place, lambda x: x["indexed"])) >= t["need"]), found)
 
     # A proposal packs (word + 64, template) into one integer, so that equal ones are dropped by hashing.
-    hits = F.filter(F.transform("_words", lambda w, i: F.struct(w.alias("w"), i.cast("long").alias("i"))),
+    hits = F.filter(F.transform(own, lambda w, i: F.struct(w.alias("w"), i.cast("long").alias("i"))),
                     lambda h: F.array_contains(rare, h["w"]))
     proposals = F.array_distinct(F.flatten(F.transform(hits, lambda h: F.transform(
         F.element_at(lookup, h["w"]), lambda q: F.shiftleft(h["i"] - q["p"] + F.lit(64), 8) + q["t"]))))
     nothing = F.array().cast("array<struct<label:string,base:boolean,start:bigint,score:double>>")
-    found = F.when(F.arrays_overlap("_words", rare), F.filter(F.transform(proposals, match), lambda m: m.isNotNull())).otherwise(nothing)
-    return (docs.withColumn("_words", words_of(text_or_empty(text_col)))
-            .withColumns({"n_words": F.size("_words").cast("long"), "found": found}).drop("_words"))
+    found = F.when(F.arrays_overlap(own, rare), F.filter(F.transform(proposals, match), lambda m: m.isNotNull())).otherwise(nothing)
+    return (docs.withColumn(own, words_of(text_or_empty(text_col)))
+            .withColumns({"n_words": F.size(own).cast("long"), "found": found}).drop(own))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.session import ensure_checkpoint_dir
 
-from .common import stored
+from .common import free_name, release, stored
 from .setjoin import enough, may_match
 
 WHITE = r"[\x20\x09-\x0D]+"
@@ -69,9 +69,11 @@ def later_lines(lines: DataFrame, shingle: int, percent: int, broadcast_rows: in
     tokens = shingles(F.col("norm"), shingle)
     ceil = F.floor((F.size("tokens") * percent + 99) / 100).cast("int")
     lowest = lines.select("key", tokens.alias("tokens")).select("key", F.slice("tokens", 1, F.size("tokens") - ceil + 1).alias("zone"))
-    entries = stored(lowest).select("key", F.explode("zone").alias("token"))
+    lowest = stored(lowest)
+    entries = lowest.select("key", F.explode("zone").alias("token"))
     shared = entries.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low != high").select("token")
     left = stored(entries.join(shared, "token").select("key").distinct())
+    release(lowest)
     some = F.broadcast(left) if left.count() <= broadcast_rows else left
     sets = stored(lines.join(some, "key", "left_semi").select("key", "pos", tokens.alias("tokens"))
                   .withColumns({"n": F.size("tokens").cast("long"), "bits": bitmap(F.col("tokens"))}))
@@ -86,6 +88,7 @@ def later_lines(lines: DataFrame, shingle: int, percent: int, broadcast_rows: in
              .withColumn("rank", F.col("alone") + F.col("i")).filter(F.col("rank") < F.col("p"))
              .select(F.col("t.token").alias("sig"), "key", "pos", "n", "rank", "bits"))
     index = stored(index)
+    release(left)
     first = index.groupBy("sig").agg(F.min_by(F.struct("key", "pos", "n", "rank", "bits"), "pos").alias("f"), F.count(F.lit(1)).alias("k"))
     first = first.filter("k > 1").select("sig", "f.*")
     x, y = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
@@ -99,7 +102,9 @@ def later_lines(lines: DataFrame, shingle: int, percent: int, broadcast_rows: in
 
     removed = stored(similar(index, first))
     rest = index.join(removed, "key", "left_anti")
-    return removed.union(similar(rest, index))
+    more = stored(similar(rest, index))
+    release(index, sets)
+    return removed.union(more)
 
 
 def dedup_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
@@ -111,12 +116,14 @@ def dedup_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     later = stored(later_lines(distinct.filter(has_words(F.col("norm"), shingle)).select("key", "pos", "norm"), shingle, percent, broadcast_rows).withColumn("gone", F.lit(True)))
     verdict = distinct.select("key", F.col("pos").alias("first"), "copies").join(later, "key", "left").filter("gone OR copies > 1")
     hit = (lines.select("key", "pos").join(verdict, "key").filter(F.col("gone").isNotNull() | (F.col("pos") != F.col("first"))))
-    by_doc = stored(hit.groupBy("pos.doc_id", "pos.h").agg(F.collect_set("pos.line_no").alias("_removed")).withColumnsRenamed({"doc_id": "_id", "h": "_h"}))
-    small = F.broadcast(by_doc) if by_doc.count() <= broadcast_rows else by_doc
+    by_doc = stored(hit.groupBy("pos.doc_id", "pos.h").agg(F.collect_set("pos.line_no").alias("removed")))
+    own = free_name(docs, "lines")  # one column under a name that the input doesn't use
+    by_doc_lines = by_doc.select(F.struct("doc_id", "h", "removed").alias(own))
+    small = F.broadcast(by_doc_lines) if by_doc.count() <= broadcast_rows else by_doc_lines
+    text, removed = docs[text_col], F.col(own)["removed"]
+    joined = docs.join(small, (F.xxhash64(text) == F.col(own)["h"]) & docs[id_col].eqNullSafe(F.col(own)["doc_id"]), "left")
     text = F.col(text_col)
-    joined = docs.withColumn("_key", F.xxhash64(text)).join(
-        small, (F.col("_key") == F.col("_h")) & F.col(id_col).eqNullSafe(F.col("_id")), "left")
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("_removed", i)), "\n")
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains(removed, i)), "\n")
     return joined.withColumns({
-        text_col: F.when(F.col("_removed").isNull(), text).otherwise(kept),
-        "n_removed_lines": F.coalesce(F.size("_removed"), F.lit(0)).cast("long")}).drop("_key", "_id", "_h", "_removed")
+        text_col: F.when(removed.isNull(), text).otherwise(kept),
+        "n_removed_lines": F.coalesce(F.size(removed), F.lit(0)).cast("long")}).drop(own)

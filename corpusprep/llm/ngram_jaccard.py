@@ -23,13 +23,13 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.session import ensure_checkpoint_dir
 
 from . import setjoin
-from .common import BoundedCache, stored, text_or_empty
+from .common import BoundedCache, free_name, release, stored, text_or_empty
 
 ODD = 0x9E3779B97F4A7C15
 SKETCH_BITS = 8192
@@ -73,37 +73,42 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _sets(docs: DataFrame, k: int, percent: int, whole: bool) -> DataFrame:
-    """(doc_id, node, n) with ``tokens`` and ``sketch``, or with the prefix ``zone`` and ``bits``."""
+    """(doc_id, h, node, n) of rows (doc_id, text, h), with ``tokens`` and ``sketch``, or with the prefix ``zone`` and ``bits``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(k)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 sets = [shingler.tokens(t) for t in part.column(1).to_pylist()]
-                cols = [part.column(0), pa.array([node_of(s) for s in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int64())]
+                cols = [part.column(0), part.column(2), pa.array([node_of(s) for s in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int64())]
                 if whole:
                     yield pa.RecordBatch.from_arrays([*cols, _lists(sets), _lists([bitmap(s, SKETCH_BITS) for s in sets])],
-                                                     names=["doc_id", "node", "n", "tokens", "sketch"])
+                                                     names=["doc_id", "h", "node", "n", "tokens", "sketch"])
                     continue
                 zones = [s[:len(s) - -(-len(s) * percent // 100) + 4] if len(s) * (100 - percent) >= percent else s[:0] for s in sets]
                 yield pa.RecordBatch.from_arrays([*cols, _lists(zones), _lists([bitmap(s) for s in sets])],
-                                                 names=["doc_id", "node", "n", "zone", "bits"])
+                                                 names=["doc_id", "h", "node", "n", "zone", "bits"])
 
     extra = "tokens array<long>, sketch array<long>" if whole else "zone array<long>, bits array<long>"
-    return docs.mapInArrow(run, f"doc_id long, node long, n long, {extra}")
+    return docs.mapInArrow(run, f"doc_id long, h long, node long, n long, {extra}")
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, pair_from: int = 4096, triple_from: int = 32768,
-                       id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: the smallest id reachable by links of ``percent`` or more."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
+
+
+def _labelled(rows: DataFrame, shingle: int, percent: int, pair_from: int, triple_from: int, broadcast_rows: int) -> DataFrame:
+    """(doc_id, h, node, n, label) of rows (doc_id, text, h): ``label`` is the smallest node that links lead to, null without words."""
+    ensure_checkpoint_dir(rows.sparkSession)
     sets = stored(_sets(rows, shingle, percent, whole=False))
     # Sets too small to have a similar but different partner have an empty prefix.
     reps = stored(sets.filter(F.size("zone") > 0).groupBy("node")
                   .agg(F.first("n").alias("n"), F.first("zone").alias("zone"), F.first("bits").alias("bits")))
-    index = stored(setjoin.index_signatures(reps, pair_from, triple_from, broadcast_rows))
-    ids = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
+    index = setjoin.index_signatures(reps, pair_from, triple_from, broadcast_rows)
+    nodes_of = stored(sets.select("doc_id", "h", "node", "n"))
+    release(reps, sets)
+    ids = nodes_of.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
 
     def links(pairs: DataFrame) -> DataFrame:
         pairs = pairs.checkpoint()
@@ -112,27 +117,54 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, pai
         if nodes.count() <= broadcast_rows:
             chosen, nodes = F.broadcast(chosen), F.broadcast(nodes)
         texts = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["first"]), "left_semi")
-        whole = _sets(texts, shingle, percent, whole=True).join(nodes, "node", "left_semi")
-        return setjoin.verify(pairs, stored(whole.drop("doc_id")), percent).checkpoint()
+        whole = stored(_sets(texts, shingle, percent, whole=True).join(nodes, "node", "left_semi").drop("doc_id", "h"))
+        found = setjoin.verify(pairs, whole, percent).checkpoint()
+        release(whole)
+        return found
 
     near = links(setjoin.pivot_pairs(index, percent))
     first = setjoin.components(near)
     apart = index.join(first, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rest = links(setjoin.bucket_pairs(apart, percent, "label"))
+    release(index)
     labels = first if rest.isEmpty() else setjoin.components(near.union(rest))
-    named = ids.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    by_node = named.join(least, "label").select("node", "component_id")
-    return (sets.select("doc_id", "node", F.col("n").alias("n_shingles")).join(by_node, "node", "left")
+    own = F.when(F.col("n") > 0, F.coalesce("label", "node"))
+    return nodes_of.join(labels, "node", "left").select("doc_id", "h", "node", "n", own.alias("label"))
+
+
+def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, pair_from: int = 4096, triple_from: int = 32768,
+                       id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row: the smallest id reachable by links of ``percent`` or more."""
+    found = _labelled(_rows(docs, id_col, text_col), shingle, percent, pair_from, triple_from, broadcast_rows)
+    # First by node, so that a large component is one row for each distinct text before its smallest id is looked for.
+    by_node = found.filter("n > 0").groupBy("node", "label").agg(F.min("doc_id").alias("first"))
+    least = by_node.groupBy("label").agg(F.min("first").alias("component_id"))
+    named = by_node.join(least, "label").select("node", "component_id")
+    return (found.select("doc_id", "node", F.col("n").alias("n_shingles")).join(named, "node", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id; of rows repeated under one id, one stays."""
-    found = jaccard_components(docs, id_col=id_col, **options).checkpoint()
-    later = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_later")).distinct()
-    kept = docs.join(later, docs[id_col] == later["_later"], "left_anti")
-    again = found.filter("n_shingles > 0").groupBy("doc_id", "component_id").count().filter("count > 1")
-    if again.isEmpty():
-        return kept
-    return kept.dropDuplicates([id_col, "text"])
+def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, pair_from: int = 4096, triple_from: int = 32768,
+             id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """``docs`` with one row of each group of similar texts, that of the smallest id (null last, then by text hash).
+
+    A row is known by its id and text, so another text under the same id stays unless its own group has an earlier row. Rows
+    without words stay; of rows equal in id and text one stays.
+    """
+    found = stored(_labelled(_rows(docs, id_col, text_col), shingle, percent, pair_from, triple_from, broadcast_rows))
+    per_text = found.filter("n > 0").groupBy("label", "doc_id", "h").agg(F.count(F.lit(1)).alias("copies"))
+    first = per_text.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "copies")).alias("p"))
+    first = stored(first.select("label", "p.doc_id", "p.h", "p.copies"))
+    later = per_text.select("doc_id", "h").exceptAll(first.select("doc_id", "h"))
+    again = first.filter("copies > 1").select("doc_id", "h")
+    gone = stored(later.unionByName(again))
+    own = free_name(docs, "row")
+
+    def same(listed: DataFrame) -> tuple[DataFrame, Column]:
+        listed = listed.select(F.struct("doc_id", "h").alias(own))
+        if listed.count() <= broadcast_rows:
+            listed = F.broadcast(listed)
+        return listed, docs[id_col].cast("long").eqNullSafe(listed[own]["doc_id"]) & (F.xxhash64(text_or_empty(text_col)) == listed[own]["h"])
+
+    kept = docs.join(*same(gone), "left_anti")
+    return kept.unionByName(docs.join(*same(again), "left_semi").dropDuplicates([id_col, text_col]))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import free_name, text_or_empty
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 LEFT = 256
@@ -123,7 +123,8 @@ def find_personal_data(docs: DataFrame, rounds: int = 3, min_instances: int = 5,
     text = text_or_empty(text_col)
     # One key for equal (id, text) rows: their spans are equal, so the rows need not be told apart.
     key = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), text))
-    keyed = docs.withColumns({"base": base_spans(text), "_key": key})
+    of, found = free_name(docs, "of"), free_name(docs, "found")  # helper columns under names that the input doesn't use
+    keyed = docs.withColumns({"base": base_spans(text), of: key})
     base = base_instances(text)
 
     def node(kind: Column, m: Column) -> Column:
@@ -145,10 +146,10 @@ def find_personal_data(docs: DataFrame, rounds: int = 3, min_instances: int = 5,
                          rounds, min_instances, min_confidence)
     extra = rows.filter(F.col("in_base").isNull()).join(accepted, "pattern").select(
         "_key", F.struct(F.col("start"), F.lit(len(BASE)).alias("rank"), end.alias("end"), F.col("kind"), F.col("value")).alias("s"))
-    by_doc = extra.groupBy("_key").agg(F.collect_set("s").alias("_extra"))
-    joined = keyed.drop("spans").join(by_doc, "_key", "left")
-    spans = F.array_sort(F.concat("base", F.coalesce(F.col("_extra").cast(SPAN), F.array().cast(SPAN))))
-    return joined.withColumn("spans", spans).drop("_key", "_extra")
+    by_doc = extra.groupBy(F.col("_key").alias(of)).agg(F.collect_set("s").alias(found))
+    joined = keyed.drop("spans").join(by_doc, of, "left")
+    spans = F.array_sort(F.concat("base", F.coalesce(F.col(found).cast(SPAN), F.array().cast(SPAN))))
+    return joined.withColumn("spans", spans).drop(of, found)
 
 
 def span_digest(spans: Column) -> Column:

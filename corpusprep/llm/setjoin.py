@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import release, stored
 
 WORDS = 4  # a bitmap has 64 * WORDS bits unless said otherwise
 
@@ -46,9 +46,8 @@ def index_signatures(reps: DataFrame, pair_from: int, triple_from: int, broadcas
     """
     entries = reps.select("node", F.posexplode("zone").alias("rank", "token"))
     shared = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
-    if shared.count() <= broadcast_rows:  # else both sides are shuffled
-        shared = F.broadcast(shared)
-    own = (entries.join(shared, "token").groupBy("node")
+    few = F.broadcast(shared) if shared.count() <= broadcast_rows else shared  # else both sides are shuffled
+    own = (entries.join(few, "token").groupBy("node")
            .agg(F.sort_array(F.collect_list(F.struct("rank", "token", "df"))).alias("own")))
 
     def of_class(low: int, high: int | None) -> Column:
@@ -69,7 +68,9 @@ def index_signatures(reps: DataFrame, pair_from: int, triple_from: int, broadcas
     sigs = own.select("node", single.alias("single"), of_class(pair_from, triple_from).alias("two"),
                       of_class(triple_from, None).alias("three")).select("node", F.concat("single", pairs, triples).alias("sigs"))
     exploded = sigs.select("node", F.explode("sigs").alias("s")).select("node", "s.sig", "s.rank")
-    return exploded.join(reps.select("node", "n", "bits"), "node").select("sig", "node", "n", "rank", "bits")
+    index = stored(exploded.join(reps.select("node", "n", "bits"), "node").select("sig", "node", "n", "rank", "bits"))
+    release(shared)
+    return index
 
 
 def pivot_pairs(index: DataFrame, percent: int) -> DataFrame:

@@ -26,13 +26,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BoundedCache, text_or_empty
+from .common import BoundedCache, free_name, text_or_empty
 from .merges import merge
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
+class Model:
+    """The pieces as they are broadcast, and one encoder for each Python process that reads them."""
+
+    def __init__(self, model_file: str):
+        self.pieces = load_pieces(model_file)
+        self.made = None
+
+    def __getstate__(self):
+        return {"pieces": self.pieces, "made": None}
+
+    def encoder(self) -> BacktrackEncoder:
+        """The process's encoder; its caches outlast a task where Spark reuses the process."""
+        if self.made is None:
+            self.made = BacktrackEncoder(*self.pieces)
+        return self.made
+
+
 def load_pieces(model_file: str) -> tuple[dict[str, tuple[int, float]], list[str], int]:
     """(piece -> (id, score) of ordinary pieces, all pieces by id, id of byte 0) of a byte-fallback BPE model."""
     sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -57,7 +74,7 @@ class BacktrackEncoder:
         for p in plain:
             self.automaton.add_word(p, p)
         self.automaton.make_automaton()
-        self.chunks = BoundedCache(self._chunk)
+        self.chunks = BoundedCache(self._chunk, 1 << 18)
 
     def _rank(self, pair: tuple[str, str], default: float) -> float:
         return self.ranks.get(pair[0] + pair[1], default)
@@ -76,7 +93,16 @@ class BacktrackEncoder:
         out: list[str] = []
         pos = 0
         stable, fits, longest = self.stable, self.fits, self.automaton.iter_long
-        piece = next(longest(text))[1]
+        # The longest pieces one behind the other, as far as they fit; mostly that is the whole text.
+        last = ""
+        for _, piece in longest(text):
+            if not stable[piece] or (last and not fits[last, piece]):
+                break
+            out.append(piece)
+            last = piece
+        else:
+            return out
+        pos = sum(map(len, out))
         while True:
             while piece and not (alive[pos + len(piece)] and stable[piece] and (not out or fits[out[-1], piece])):
                 piece = self.shorter[piece]
@@ -142,12 +168,12 @@ class BacktrackEncoder:
 def encode_decode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: str = "ids",
                   decoded_col: str = "decoded") -> DataFrame:
     """Add the ids (array of int) and the text decoded from them to ``docs``; ``model_file`` is read on the driver."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model_file))
+    shared = docs.sparkSession.sparkContext.broadcast(Model(model_file))
     kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())])
 
     @F.arrow_udf(kind)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = BacktrackEncoder(*shared.value)
+        encoder = shared.value.encoder()
         for texts in batches:
             done = [encoder.encode(t) for t in texts.to_pylist()]
             offsets = pa.array([0, *accumulate(len(d[0]) // 4 for d in done)], pa.int32())
@@ -156,5 +182,6 @@ def encode_decode(docs: DataFrame, model_file: str, text_col: str = "text", ids_
             ids = pa.ListArray.from_arrays(offsets, flat, type=pa.list_(kept))
             yield pa.StructArray.from_arrays([ids, pa.array([d[1] for d in done], pa.string())], ["ids", "decoded"])
 
-    out = docs.withColumn("_encoded", run(text_or_empty(text_col)))
-    return out.withColumns({ids_col: F.col("_encoded.ids"), decoded_col: F.col("_encoded.decoded")}).drop("_encoded")
+    own = free_name(docs, "encoded")
+    out = docs.withColumn(own, run(text_or_empty(text_col)))
+    return out.withColumns({ids_col: F.col(own)["ids"], decoded_col: F.col(own)["decoded"]}).drop(own)

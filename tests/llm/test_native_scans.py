@@ -29,7 +29,7 @@ SECRETS = [f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}"' for i in ran
 
 
 def test_base_spans_equal_plain_expressions(spark):
-    docs = documents(spark, SF_SMALL, EDGES + PRIVATE).withColumns({"base": F.lit(1), "key": F.lit(2)})
+    docs = documents(spark, SF_SMALL, EDGES + PRIVATE).withColumns({"base": F.lit(1), "key": F.lit(2), "_key": F.lit(3), "_extra": F.lit(4), "of": F.lit(5), "found": F.lit(6)})
     for r in pii_bootstrap.find_personal_data(docs).collect():
         text = r["text"] or ""
         want = sorted((m.start(), i, m.end(), k) for i, (k, p) in enumerate(PATTERNS.items())
@@ -53,7 +53,7 @@ def test_contexts_find_identifiers_without_a_fixed_form(spark):
 def test_licences_equal_plain_search(spark):
     extra = EDGES + ["Under the MIT License, under the-mit license. Apache License, Version 2 cc by nc CC BY-NC", "license " * 5_000,
                      "K cc byİ nc cc by nc Kmit license", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"]
-    docs = documents(spark, SF_SMALL, extra).withColumns({"found": F.lit(1), "n_words": F.lit("x")})
+    docs = documents(spark, SF_SMALL, extra).withColumns({"found": F.lit(1), "n_words": F.lit("x"), "_words": F.lit(2), "words": F.lit(3)})
     phrases = {t.label: t.words for t in license_index.TEMPLATES if t.base}
     for r in license_index.scan_licenses(docs).collect():
         words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(r["text"] or ""))

@@ -50,6 +50,33 @@ def test_keep_one_of_each_group(spark):
     assert ngram_jaccard.keep_one(docs.limit(0)).count() == 0
 
 
+def test_keep_one_with_shared_and_null_ids(spark):
+    """A row is known by its id and text: another text under the same id stays, null ids come last in their group."""
+    a, b = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, a), (5, a), (5, b), (None, a), (None, a), (None, "quite another text"), (None, "quite another text"), (7, None), (7, None), (8, " "), (9, b + " z"), (9, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"row": F.lit(1), "h": F.lit(2), "label": F.lit("clash")})
+    for broadcast_rows in (1_000_000, -1):
+        kept = ngram_jaccard.keep_one(docs, broadcast_rows=broadcast_rows)
+        assert kept.columns == docs.columns
+        got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()))
+        assert got == sorted([(1, a), (5, b), (0, "quite another text"), (7, ""), (7, ""), (8, " ")])
+
+
+def test_keep_one_equals_brute_force(spark):
+    texts = family(30) + EDGES
+    rows = [(random.choice([None, *range(20)]), random.choice(texts)) for _ in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = jaccard_components(list(enumerate(t for _, t in rows)), 5, 80)
+    want = {}
+    for n, (i, t) in enumerate(rows):
+        if groups[n][0]:
+            want.setdefault(groups[n][1], set()).add((i is None, i or 0))
+    got = [tuple(r) for r in ngram_jaccard.keep_one(docs).collect()]
+    blank = [r for n, r in enumerate(rows) if not groups[n][0]]
+    assert sorted((i is None, i or 0) for i, t in got) == sorted([min(g) for g in want.values()] + [(i is None, i or 0) for i, _ in blank])
+    assert all(r in rows for r in got)
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["label"] for r in setjoin.components(links).collect()}
@@ -71,7 +98,8 @@ def kept_lines(rows, k=5, percent=80):
 
 def test_line_dedup_equals_brute_force(spark):
     extra = EDGES + ["\n".join(family(8, 30, 3)), "a b c d e\nA  b c d e\n\na b c d\na b c d", "tie " * 6 + "\n" + "tie " * 7]
-    docs = documents(spark, SF_SMALL, extra).filter("doc_id < 120").withColumns({"line": F.lit(1), "key": F.lit(2)}).cache()
+    docs = documents(spark, SF_SMALL, extra).filter("doc_id < 120").withColumns({"line": F.lit(1), "key": F.lit(2), "_id": F.lit(3), "_h": F.lit(4), "_key": F.lit(5),
+                                                                                "_removed": F.lit(6), "lines": F.lit(7), "h": F.lit(8)}).cache()
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     keep, all_lines = kept_lines(rows)
     for r in line_dedup.dedup_lines(docs).collect():
