@@ -21,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and documents of which nothing is left; ``n_chars`` follows the text."""
-    kept = line_dedup.dedup_lines(docs)
+    kept = line_dedup.dedup_lines(docs, short_lines=True)
     emptied = (F.col("n_removed_lines") > 0) & (F.trim(F.col("text")) == "")
     return kept.filter(~emptied | F.col("text").isNull()).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
