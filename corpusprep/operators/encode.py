@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import let
-from corpusprep.operators.lookup import BROADCAST_LIMIT_BYTES, SALT_BUCKETS, left_lookup
+from corpusprep.operators.lookup import BROADCAST_LIMIT_BYTES, SALT_BUCKETS, by_record, left_lookup
 from corpusprep.operators.vectors import PAD, UNK
 
 # Encoded lengths of ctx1, ctx2, code, query; the code cap and the code
@@ -68,8 +68,9 @@ def encode_tokens(df: DataFrame, key: str, tokens: str, dictionary: DataFrame, k
     arr = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
     if keep is not None:
         arr = F.slice(arr, 1, keep)
-    # The number comes first, in a projection of its own: beside the explode it would number tokens.
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    # The records are partitioned before the explode, so the fold below needs no exchange.
+    numbered = by_record(df.select(key, arr.alias("_tokens")))
+    arr = F.col("_tokens")
     long = numbered.select("_row", key, F.posexplode_outer(arr).alias("pos", "token"))
     looked = lookup_ids(long, dictionary, "token", unk, limit_bytes)
     entry = F.when(F.col("token").isNotNull(), _packed(F.col("pos"), F.col("idx")))
@@ -84,18 +85,17 @@ def encode_corpus(df: DataFrame, dictionary: DataFrame, lengths: dict | None = N
 
     The four fields are stacked into one long table so a single lookup join serves all of
     them; arrays are cut to the positions that can reach the output before the explode
-    (the text rule only prepends, so later tokens can never appear); ids are folded back by
-    ``qid`` with a map-side-combined ``collect_list`` of at most 575 entries per record.
-    Records are numbered first, so records that share a ``qid`` stay apart; the input should be
-    a stored table.
+    (the text rule only prepends, so later tokens can never appear). The cut records are
+    numbered, so records that share a ``qid`` stay apart, and partitioned by that number before
+    the explode; the ids, at most 575 a record, are folded back without an exchange. The input
+    should be a stored table.
     """
     n = dict(LENGTHS, **(lengths or {}))
     fields = [("ctx1", "ctx1_tokens", n["ctx1"]), ("ctx2", "ctx2_tokens", n["ctx2"]),
               ("code", "code_tokens", min(cap, n["code"])), ("query", "query_tokens", n["query"])]
-    stacked = df.withColumn("_row", F.monotonically_increasing_id()).select("_row", "qid", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("field"),
-                 F.slice(F.coalesce(F.col(src), F.array().cast("array<string>")), 1, keep).alias("toks"))
-        for i, (_, src, keep) in enumerate(fields)])).alias("f"))
+    cut = df.select("qid", *[F.slice(F.coalesce(F.col(src), F.array().cast("array<string>")), 1, keep).alias(src) for _, src, keep in fields])
+    stacked = by_record(cut).select("_row", "qid", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("field"), F.col(src).alias("toks")) for i, (_, src, _) in enumerate(fields)])).alias("f"))
     long = stacked.select("_row", "qid", F.col("f.field").alias("field"),
                           F.posexplode_outer("f.toks").alias("pos", "token"))
     looked = lookup_ids(long, dictionary, "token", unk, limit_bytes)

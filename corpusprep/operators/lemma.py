@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.operators.lookup import BROADCAST_LIMIT_BYTES, SALT_BUCKETS, left_lookup
+from corpusprep.operators.lookup import BROADCAST_LIMIT_BYTES, SALT_BUCKETS, by_record, left_lookup
 
 
 def lemma_join(df: DataFrame, lemmas: DataFrame | None, key: str, tokens: str,
@@ -19,7 +19,7 @@ def lemma_join(df: DataFrame, lemmas: DataFrame | None, key: str, tokens: str,
     """
     if lemmas is None:
         return df.select(key, tokens)
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    numbered = by_record(df.select(key, tokens))
     long = numbered.select("_row", key, F.posexplode_outer(tokens).alias("pos", "token"))
     side = lemmas.select(F.col("token").alias("_tok"), "lemma")
     joined = left_lookup(long, side, "token", "_tok", limit_bytes, salt_buckets)

@@ -4,12 +4,14 @@ import random
 import re
 import string
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusprep.functions import sqlcode, text
-from corpusprep.operators import corpus, encode, repl, vectors
+from corpusprep.operators import corpus, encode, lemma, repl, vectors
+from corpusprep.operators.lookup import left_lookup, measured_size
 from corpusprep.operators.numbering import dense_number
 from corpusprep.operators.tokenise import tokenise_corpus
 from corpusprep.plans import derive
@@ -55,6 +57,39 @@ def test_lookup_broadcasts_small_dictionary(spark):
     assert "BroadcastHashJoin" not in plan or "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
 
 
+def test_lookup_and_fold_share_a_partitioning(spark):
+    """One exchange, of whole records in front of the explode; none between the lookup and the fold."""
+    d = spark.createDataFrame([(4, "a"), (5, "b")], "idx int, word string")
+    toks = spark.createDataFrame([(1, ["a", "b", "c"]), (2, []), (3, None)], "id long, t array<string>")
+    records = spark.createDataFrame([((("q", 1)), ["a"], ["b"], ["c"], ["a", "a"])],
+                                    "qid struct<question_id:string,cand:int>, ctx1_tokens array<string>, ctx2_tokens array<string>, code_tokens array<string>, query_tokens array<string>")
+    lemmas = spark.createDataFrame([("a", "b")], "token string, lemma string")
+    for out in (encode.encode_tokens(toks, "id", "t", d), encode.encode_corpus(records, d), lemma.lemma_join(toks, lemmas, "id", "t")):
+        plan = _executed(out)
+        final = plan.split("== Initial Plan ==")[0]
+        assert len(re.findall(r"Exchange hashpartitioning", final)) == 1 and "Generate" in final
+        assert final.index("Generate") < final.index("Exchange hashpartitioning")  # the exchange lies below the explode
+
+
+def test_lookup_bucket_by_bucket(spark):
+    words = spark.createDataFrame([(f"w{i}", i) for i in range(500)], "word string, idx int")
+    long = spark.createDataFrame([(i, f"w{i * 7 % 800}") for i in range(900)] + [(901, None)], "id int, token string")
+    size = measured_size(words)
+    want = sorted(map(tuple, left_lookup(long, words, "token", "word").collect()))
+    for limit in (size // 2, size // 3, size // 50, 0):
+        got = left_lookup(long, words, "token", "word", limit)
+        assert got.columns == ["id", "token", "idx"] and sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    plan = _executed(left_lookup(long, words, "token", "word", size // 3))
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") >= 3
+
+
+def test_measured_size_counts_arrays_and_refuses_the_unknown(spark):
+    arrays = spark.createDataFrame([("a", [1.0] * 100)], "word string, vec array<float>")
+    assert measured_size(arrays) > 800
+    with pytest.raises(TypeError):
+        measured_size(spark.createDataFrame([({"a": 1},)], "m map<string,int>"))
+
+
 def test_dense_number_is_contiguous_across_partitions(spark):
     words = [f"w{random.Random(5).random():.6f}{i}" for i in range(3000)]
     df = spark.createDataFrame([(w,) for w in words], "word string")
