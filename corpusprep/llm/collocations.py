@@ -41,7 +41,7 @@ _SEPARATORS = b".,;:!?\n\v\f\r"
 BYTES = bytes(CUT[0] if b in _SEPARATORS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 LONGEST = 4
 ODD1, ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-STRIPES = "lang string, prefix string, slice int, next array<string>, count array<long>"
+STRIPES = "lang string, prefix string, slice int, next array<string>, count array<int>"  # a chunk's counts are small
 MERGED = "lang string, prefix string, total long, next array<string>, count array<long>"
 WORD_SLICES = 1024  # slices of a language's stripe of the empty prefix
 MAX_FILTER_BITS = 1 << 28
@@ -79,11 +79,12 @@ class Chunk:
         if table is None:
             table = self.tables[lang] = Words(lang, self)
         words = words_of(text)
-        self.parts += [np.fromiter(map(table.__getitem__, words), np.int64, len(words)), np.zeros(1, np.int64)]
+        self.parts += [np.fromiter(map(table.__getitem__, words), np.int32, len(words)), np.zeros(1, np.int32)]
         self.size += len(words)
 
     def numbers(self) -> np.ndarray:
-        return np.concatenate(self.parts)
+        self.parts = [np.concatenate(self.parts)]
+        return self.parts[0]
 
     def hashes(self) -> np.ndarray:
         heads = {lang: lang.encode() + b"\0" for lang in self.tables}
@@ -109,7 +110,7 @@ def _following(a: np.ndarray, n: int) -> np.ndarray:
 
 
 def _counted(prefix: np.ndarray, nxt: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, counts = np.unique(prefix * limit + nxt, return_counts=True)
+    keys, counts = np.unique(prefix.astype(np.int64) * limit + nxt, return_counts=True)
     return keys // limit, keys % limit, counts
 
 
@@ -140,7 +141,7 @@ class Stripes:
             yield pa.RecordBatch.from_arrays([
                 self.langs.take(pa.array(lang[of])), text, pa.array(part[s]),
                 pa.ListArray.from_arrays(offsets, self.words.take(pa.array(nxt[s[0]:end]))),
-                pa.ListArray.from_arrays(offsets, pa.array(count[s[0]:end]))], names=["lang", "prefix", "slice", "next", "count"])
+                pa.ListArray.from_arrays(offsets, pa.array(count[s[0]:end], pa.int32()))], names=["lang", "prefix", "slice", "next", "count"])
 
 
 def words_level(chunk: Chunk, bits: np.ndarray | None, wide: dict) -> Iterator[pa.RecordBatch]:
@@ -179,10 +180,10 @@ def longer_level(chunk: Chunk, bits: np.ndarray, wide: dict, size: int) -> Itera
     for k in range(1, size):  # number the distinct phrases of k + 1 words; -1 where a cut is inside
         after = _following(w, k)
         at = np.flatnonzero((gram > 0 if k == 1 else gram >= 0) & (after > 0))
-        keys, number = np.unique(gram[at] * v + after[at], return_inverse=True)
+        keys, number = np.unique(gram[at].astype(np.int64) * v + after[at], return_inverse=True)
         heads = [*[h[keys // v] for h in heads], keys % v]
         hashes = pair_hash(hashes[keys // v], out.hash[keys % v])
-        gram = np.full(len(w), -1)
+        gram = np.full(len(w), -1, np.int32)
         gram[at] = number
     good = in_filter(bits, hashes)
     fits = gram >= 0
@@ -225,7 +226,7 @@ def _merged(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Arra
     lists = rows.column("next").combine_chunks()
     coded = pc.list_flatten(lists).dictionary_encode()
     codes, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
-    counts = pc.list_flatten(rows.column("count").combine_chunks()).to_numpy(zero_copy_only=False)
+    counts = pc.list_flatten(rows.column("count").combine_chunks()).to_numpy(zero_copy_only=False).astype(np.int64)
     key = np.repeat(run, pc.list_value_length(lists).to_numpy(zero_copy_only=False)) * max(len(words), 1) + codes
     order = np.argsort(key, kind="stable")
     key = key[order]
@@ -276,7 +277,8 @@ def merge_stripes(rows: DataFrame, min_count: int, keep_all: bool) -> DataFrame:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            out, pending = merged(table if pending is None else pa.concat_tables([pending.cast(table.schema), table]), False)
+            counted = table.set_column(4, "count", table.column("count").cast(pa.list_(pa.int64())))
+            out, pending = merged(counted if pending is None else pa.concat_tables([pending.cast(counted.schema), counted]), False)
             if out is not None:
                 yield from out.to_batches()
         if pending is not None:
@@ -353,7 +355,7 @@ def scored(grams: DataFrame, totals: DataFrame, words: DataFrame, scale: int) ->
 
 
 def collocations(docs: DataFrame, min_count: int = 30, cover_percent: int = 80, top: int = 2000, scale: int = 2_000_000, text_col: str = "text",
-                 lang_col: str = "lang", chunk_words: int = 1 << 20, wide_from: int = 1 << 20) -> DataFrame:
+                 lang_col: str = "lang", chunk_words: int = 1 << 22, wide_from: int = 1 << 20) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases of two to four words.
 
     ``a``, ``l`` and ``r`` are the occurrences of the phrase and of the two parts of its worst cut, ``n`` the language's

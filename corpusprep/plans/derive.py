@@ -147,6 +147,36 @@ def prompt_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.collect_list("entry")).getField("line"), "\n").alias("code"))
 
 
+def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, value)``: one JSON line per customer, six shapes by ``c_custkey % 6``, four of them no records."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    k = _s("c_custkey")
+    good = F.concat(F.lit('{"qid": {"question_id": "'), k, F.lit('", "cand": 1}, "lang": "sql", "query": "'), F.col("c_name"), F.lit('"}'))
+    shapes = [
+        good,
+        F.substring(good, 1, 30),
+        F.concat(F.lit('{"qid": {"question_id": "'), k, F.lit('", "cand": "many"}, "query": "x"}')),
+        F.concat(F.lit('{"lang": "sql", "query": "'), F.col("c_mktsegment"), F.lit('"}')),
+        F.lit("  "),
+        F.concat(F.lit('{"more": [1], "query": null, "qid": {"cand": 2, "question_id": "'), k, F.lit('"}}')),
+    ]
+    return c.select(F.col("c_custkey").alias("id"), F.element_at(F.array(*shapes), (F.col("c_custkey") % 6 + 1).cast("int")).alias("value"))
+
+
+def vector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(value)``: one word2vec line of two numbers per part, five shapes by ``p_partkey % 5``, three of them no vectors."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    k, size = _s("p_partkey"), _s("p_size")
+    shapes = [
+        F.concat(F.lit("w"), k, F.lit(" "), size, F.lit(".5 -1")),
+        F.concat(F.lit("w"), k, F.lit(" "), size),
+        F.concat(F.lit("two words"), k, F.lit(" 0.25 "), size),
+        F.concat(F.lit("w"), k, F.lit(" "), size, F.lit(" x1")),
+        F.concat(size, F.lit(" "), size),
+    ]
+    return p.select(F.element_at(F.array(*shapes), (F.col("p_partkey") % 5 + 1).cast("int")).alias("value"))
+
+
 def raw_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw question/context/code records from ``conversations``.
 

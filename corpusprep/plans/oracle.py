@@ -621,6 +621,15 @@ FROM dt LEFT JOIN j ON j.doc_id = dt.doc_id GROUP BY dt.doc_id""",
         "SELECT san.id, coalesce(string_agg(CASE WHEN kind = 'STRING' THEN " + string_patterns("tok") +
         " END, ' | ' ORDER BY pos), '') AS patterns FROM san LEFT JOIN named ON named.id = san.id "
         "WHERE san.s IS NOT NULL GROUP BY san.id"),
+    "parse_records": """SELECT CAST(c_custkey AS VARCHAR) AS question_id, CASE WHEN c_custkey % 6 = 0 THEN 1 ELSE 2 END::BIGINT AS cand,
+        CASE WHEN c_custkey % 6 = 0 THEN 'sql' END AS lang, CASE WHEN c_custkey % 6 = 0 THEN c_name END AS "query" FROM customer WHERE c_custkey % 6 IN (0, 5)""",
+    "record_rejects": """SELECT CASE c_custkey % 6
+          WHEN 1 THEN left('{"qid": {"question_id": "' || c_custkey || '", "cand": 1}, "lang": "sql", "query": "' || c_name || '"}', 30)
+          WHEN 2 THEN '{"qid": {"question_id": "' || c_custkey || '", "cand": "many"}, "query": "x"}'
+          ELSE '{"lang": "sql", "query": "' || c_mktsegment || '"}' END AS line,
+        CASE WHEN c_custkey % 6 = 3 THEN 'no question' ELSE 'broken' END AS reason FROM customer WHERE c_custkey % 6 IN (1, 2, 3)""",
+    "vector_rejects": """SELECT CASE p_partkey % 5 WHEN 1 THEN 'w' || p_partkey || ' ' || p_size WHEN 3 THEN 'w' || p_partkey || ' ' || p_size || ' x1'
+          ELSE p_size || ' ' || p_size END AS line FROM part WHERE p_partkey % 5 IN (1, 3) OR p_partkey % 5 = 4 AND p_size <> 2""",
     "subquery_spans": SUBQUERY_SPANS,
     "subquery_count": f"SELECT id, CAST(len(regexp_extract_all(lower(code), {L(r'\(\s*select\b')})) AS BIGINT) AS n "
                       f"FROM ({SQL_SNIPPETS})",

@@ -16,6 +16,7 @@ from corpusprep.operators import corpus, encode, lemma, repl, vectors, vocab
 from corpusprep.operators.tokenise import tokenise_corpus
 from corpusprep.plans import derive, stages
 from corpusprep.plans.derive import table
+from corpusprep.sources import io
 
 
 def _round4(x: Column) -> Column:
@@ -337,6 +338,19 @@ def q_corpus_report(spark, sf_dir):
     return stages.corpus_report(out)
 
 
+def q_parse_records(spark, sf_dir):
+    rows = io.parse_records(derive.record_lines(spark, sf_dir)).rows
+    return rows.select(*_qid_cols(), "lang", "query")
+
+
+def q_record_rejects(spark, sf_dir):
+    return io.parse_records(derive.record_lines(spark, sf_dir)).rejects
+
+
+def q_vector_rejects(spark, sf_dir):
+    return io.parse_word_vectors(derive.vector_lines(spark, sf_dir), 2)[1]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_strict_python": _doc_rule(lambda c: text.filter_strict(c, "python")),
     "filter_strict_sql": _doc_rule(lambda c: text.filter_strict(c, "sql")),
@@ -382,6 +396,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repl_layout": q_repl_layout,
     "repl_repair": q_repl_repair,
     "repl_blocks": q_repl_blocks,
+    "parse_records": q_parse_records,
+    "record_rejects": q_record_rejects,
+    "vector_rejects": q_vector_rejects,
     "flatten_record": q_flatten_record,
     "tokenise_corpus": q_tokenise_corpus,
     "candidate_counts": q_candidate_counts,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,15 +29,48 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", nested: bo
                 spread: int | None = None) -> DataFrame:
     """Raw records with an explicit schema (flat, or the nested reference layout flattened by S10).
 
-    The read has no exchange; ``spread`` deals a single-file input out over so many tasks.
+    The read has no exchange; ``spread`` deals a single-file input out over so many tasks. A broken
+    line of a text format fails the job (``read_corpus_checked`` returns broken lines as rows).
     """
     schema = NESTED_SCHEMA if nested else RAW_SCHEMA
-    df = spark.read.schema(schema).format(fmt).load(path)
+    reader = spark.read.schema(schema).format(fmt)
+    df = (reader.option("mode", "FAILFAST") if fmt in ("json", "csv") else reader).load(path)
     if spread:
         df = spread_input(df, spread)
     return flatten_record(df) if nested else df
 
 
+class Checked(NamedTuple):
+    """Good rows and the lines that could not be read."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def parse_records(lines: DataFrame, nested: bool = False, value: str = "value") -> Checked:
+    """JSON lines to records and ``rejects (line, reason)``; blank lines are neither.
+
+    A line is a reject if it is no JSON object, if a field has another type than the schema's, or if it names no question
+    (``qid`` or its ``question_id``), so that no record of nulls stands for a broken line. Every non-blank line is in one of
+    the two tables.
+    """
+    schema = NESTED_SCHEMA if nested else RAW_SCHEMA
+    parsed = F.from_json(F.col(value), f"{schema}, _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    rows = lines.filter(F.trim(F.coalesce(F.col(value), F.lit(""))) != "").select(F.col(value).alias("line"), parsed.alias("r"))
+    # The parser stops behind the first object; as an array's only element the line must be that object and nothing else.
+    alone = F.coalesce(F.json_array_length(F.concat(F.lit("["), F.col("line"), F.lit("]"))) == 1, F.lit(False))
+    reason = (F.when(F.col("r").isNull() | F.col("r._broken").isNotNull() | ~alone, F.lit("broken"))
+              .when(F.col("r.qid.question_id").isNull(), F.lit("no question")))
+    rows = rows.withColumn("reason", reason)
+    good = rows.filter(F.col("reason").isNull()).select("r.*").drop("_broken")
+    return Checked(flatten_record(good) if nested else good, rows.filter(F.col("reason").isNotNull()).select("line", "reason"))
+
+
+def read_corpus_checked(spark: SparkSession, path: str, nested: bool = False) -> Checked:
+    """S1 for JSON lines with broken ones: ``Checked(rows, rejects)``, the file being read once for each."""
+    return parse_records(spark.read.text(path), nested)
+
+
 def write_split(df_with_kind: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Single and multiple candidates in one write, one folder per ``candidate_kind``."""
     df_with_kind.write.mode(mode).partitionBy("candidate_kind").parquet(path)
@@ -72,20 +107,27 @@ def parse_word_vectors(lines: DataFrame, dim: int, value: str = "value") -> tupl
     return rows.filter(good).select("word", "vec"), rows.filter(~good).select("line")
 
 
+def _header_dim(lines: DataFrame) -> int:
+    first = lines.first()
+    head = (first["value"].split() if first else [])
+    if len(head) != 2 or not all(x.isdigit() for x in head):
+        raise ValueError("the file has no 'count dim' header: give dim")
+    return int(head[1])
+
+
+def read_word_vectors_checked(spark: SparkSession, path: str, dim: int | None = None) -> Checked:
+    """S4 with the lines that are no vector of this length: ``Checked(rows, rejects)``."""
+    lines = spark.read.text(path)
+    return Checked(*parse_word_vectors(lines, _header_dim(lines) if dim is None else dim))
+
+
 def read_word_vectors(spark: SparkSession, path: str, dim: int | None = None) -> DataFrame:
     """word2vec text (``count dim`` header, then ``word v1 ... vdim`` per line) to ``(word, vec)``.
 
     Without ``dim`` the header's is used. The file is read in parallel splits; lines that are no
-    vector of this length are left out (``parse_word_vectors`` also returns them).
+    vector of this length are left out (``read_word_vectors_checked`` returns them, too).
     """
-    lines = spark.read.text(path)
-    if dim is None:
-        first = lines.first()
-        head = (first["value"].split() if first else [])
-        if len(head) != 2 or not all(x.isdigit() for x in head):
-            raise ValueError("the file has no 'count dim' header: give dim")
-        dim = int(head[1])
-    return parse_word_vectors(lines, dim)[0]
+    return read_word_vectors_checked(spark, path, dim).rows
 
 
 def write_word_vectors_text(vectors: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.operators import corpus, vectors
@@ -160,3 +161,27 @@ def test_end_to_end_stages_written_and_consistent(spark):
     assert enc.count() == tokens.count() == raw.count()
     assert enc.filter(F.exists("code_ids", lambda x: x >= len(ids))).count() == 0
     assert spark.read.parquet(f"{root}/labels").count() == io.read_split(spark, f"{root}/split", "single").count()
+
+
+def test_broken_lines_come_back_as_rows(spark, tmp_path):
+    path = str(tmp_path / "lines.json")
+    good = '{"qid": {"question_id": "1", "cand": 2}, "query": "q"}'
+    bad = ['{"qid": {"question_id"', "[1]", "null", "word", '{"qid": {"question_id": "1", "cand": "x"}}', '{"query": "q"}', '{"qid": null}', good + good[:5], good + good, good + ", " + good]
+    with open(path, "w") as f:
+        f.write("\n".join([good, "", *bad, "   ", good]) + "\n")
+    rows, rejects = io.read_corpus_checked(spark, path)
+    assert [(r["qid"]["question_id"], r["query"], r["lang"]) for r in rows.collect()] == [("1", "q", None)] * 2
+    assert sorted(r["line"] for r in rejects.collect() if r["reason"]) == sorted(bad)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        io.read_corpus(spark, path, fmt="json").collect()
+    nested = '{"qid": {"question_id": "1", "cand": 0}, "ctx": [["a"], ["b"]], "code": [["c"]], "query": ["q"]}'
+    found = io.parse_records(spark.createDataFrame([(nested,), ("{",)], "value string"), nested=True)
+    assert [tuple(r)[1:] for r in found.rows.collect()] == [("a", "b", "c", "q")] and found.rejects.count() == 1
+
+
+def test_malformed_vector_lines_come_back_as_rows(spark, tmp_path):
+    path = str(tmp_path / "vectors.txt")
+    with open(path, "w") as f:
+        f.write("3 2\na 1 2\nb 1\nc d 1 2\ne x 2\n\n")
+    rows, rejects = io.read_word_vectors_checked(spark, path)
+    assert sorted(r["word"] for r in rows.collect()) == ["a", "c d"] and sorted(r["line"] for r in rejects.collect()) == ["b 1", "e x 2"]
