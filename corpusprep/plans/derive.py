@@ -216,6 +216,32 @@ def word_vectors(vocab: DataFrame, embeddings: DataFrame) -> DataFrame:
     return paired.join(emb, "vec_id", "inner").select("word", "vec_id", "vec")
 
 
+def tag_tables(vocab: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``emissions``, ``transitions`` and ``lemmas`` by rules on the endings of a vocabulary's words.
+
+    Classes are a, n, r and v. Words of one letter have no emission.
+    """
+    w = F.col("word")
+    size = F.length("word")
+    scores = {
+        "a": F.when(w.endswith("e") | w.endswith("al"), F.lit(-8)),
+        "n": -10 - size % 3,
+        "r": F.when(w.endswith("ly"), F.lit(-3)),
+        "v": F.when(w.endswith("ing") | w.endswith("ed"), F.lit(-6)).when(size % 2 == 0, F.lit(-11)),
+    }
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("class"), s.cast("long").alias("score")) for c, s in scores.items()]))
+    emissions = vocab.filter(size > 1).select(w.alias("token"), each.alias("e")).select("token", "e.class", "e.score").filter("score IS NOT NULL")
+    spark = vocab.sparkSession
+    names = ["a", "n", "r", "v"]
+    pairs = [(p, c, -(1 + (3 * i + 2 * k) % 7)) for i, p in enumerate([*names, None]) for k, c in enumerate(names)]
+    transitions = spark.createDataFrame(pairs, "previous string, class string, score long")
+    base = F.when(w.endswith("s") & (size > 3), F.struct(F.lit("n").alias("class"), F.expr("left(word, length(word) - 1)").alias("lemma")))
+    base = (base.when(w.endswith("ing") & (size > 5), F.struct(F.lit("v").alias("class"), F.expr("left(word, length(word) - 3)").alias("lemma")))
+            .when(w.endswith("on"), F.struct(F.lit(None).cast("string").alias("class"), F.expr("left(word, length(word) - 2)").alias("lemma"))))
+    lemmas = vocab.select(w.alias("token"), base.alias("b")).filter("b IS NOT NULL").select("token", "b.class", "b.lemma")
+    return emissions, transitions, lemmas
+
+
 def document_vocab(spark: SparkSession, sf_dir: str, dialect: str = "python") -> DataFrame:
     """Vocabulary of the query tokens of ``documents``."""
     from corpusprep.functions.text import query_tokens

@@ -567,6 +567,41 @@ OLD_DICT = f"SELECT CAST(row_number() OVER (ORDER BY word) + 3 AS BIGINT) AS idx
 NEW_FOUND = (f"SELECT d.word FROM ({DOC_VOCAB}) d JOIN ({VT}) v ON v.word = d.word "
              f"WHERE d.word NOT IN (SELECT word FROM ({OLD_FOUND}))")
 
+TAG_NAMES = ["a", "n", "r", "v"]
+
+
+def _tag_step(k: int) -> tuple[str, str]:
+    """Best sum into class k and its path, from the columns of the token before; the earlier class wins a tie."""
+    sums = [f"v.s_{p} - {1 + (3 * i + 2 * k) % 7}" for i, p in enumerate(TAG_NAMES)]
+    best = f"greatest({', '.join(sums)})"
+    path = "CASE " + " ".join(f"WHEN {s} = {best} THEN v.p_{p}" for s, p in zip(sums, TAG_NAMES)) + " END"
+    return f"{best} + t.e_{TAG_NAMES[k]}", f"{path} || '{TAG_NAMES[k]}'"
+
+
+# Best class sequences, token by token: one column of sums and one of paths for each class.
+LEMMA_POS_JOIN = f"""WITH RECURSIVE turns AS (SELECT conv_id || '/' || turn AS id, {query_tokens('text', 'python')} AS toks FROM conversations),
+words AS (SELECT id, unnest(toks) AS w, unnest(range(len(toks))) AS i FROM turns),
+tok AS (SELECT id, w, i,
+    CASE WHEN length(w) = 1 THEN 0 WHEN w LIKE '%e' OR w LIKE '%al' THEN -8 END AS e_a,
+    CASE WHEN length(w) = 1 THEN 0 ELSE -10 - length(w) % 3 END AS e_n,
+    CASE WHEN length(w) = 1 THEN 0 WHEN w LIKE '%ly' THEN -3 END AS e_r,
+    CASE WHEN length(w) = 1 THEN 0 WHEN w LIKE '%ing' OR w LIKE '%ed' THEN -6 WHEN length(w) % 2 = 0 THEN -11 END AS e_v FROM words),
+vit AS (
+    SELECT id, i, {', '.join(f"CAST(e_{c} - {1 + (12 + 2 * k) % 7} AS BIGINT) AS s_{c}" for k, c in enumerate(TAG_NAMES))}, {', '.join(f"'{c}' AS p_{c}" for c in TAG_NAMES)}
+    FROM tok WHERE i = 0
+    UNION ALL
+    SELECT t.id, t.i, {', '.join(f"CAST({_tag_step(k)[0]} AS BIGINT)" for k in range(4))}, {', '.join(_tag_step(k)[1] for k in range(4))}
+    FROM vit v JOIN tok t ON t.id = v.id AND t.i = v.i + 1),
+done AS (SELECT id, CASE {' '.join(f"WHEN s_{c} = greatest(s_a, s_n, s_r, s_v) THEN p_{c}" for c in TAG_NAMES)} END AS classes
+         FROM vit QUALIFY row_number() OVER (PARTITION BY id ORDER BY i DESC) = 1),
+base AS (SELECT words.id, i, CASE
+        WHEN w LIKE '%s' AND length(w) > 3 THEN CASE WHEN classes[i + 1] = 'n' THEN left(w, length(w) - 1) ELSE w END
+        WHEN w LIKE '%ing' AND length(w) > 5 THEN CASE WHEN classes[i + 1] = 'v' THEN left(w, length(w) - 3) ELSE w END
+        WHEN w LIKE '%on' THEN left(w, length(w) - 2) ELSE w END AS t FROM words JOIN done ON words.id = done.id)
+SELECT turns.id, coalesce(string_agg(t, ' ' ORDER BY i), '') AS tokens, coalesce(any_value(classes), '') AS classes
+FROM turns LEFT JOIN base ON turns.id = base.id LEFT JOIN done ON turns.id = done.id GROUP BY turns.id"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "filter_strict_python": doc_rule(lambda x: filt(x, "python", False)),
     "filter_strict_sql": doc_rule(lambda x: filt(x, "sql", False)),
@@ -630,6 +665,13 @@ FROM dt LEFT JOIN j ON j.doc_id = dt.doc_id GROUP BY dt.doc_id""",
         CASE WHEN c_custkey % 6 = 3 THEN 'no question' ELSE 'broken' END AS reason FROM customer WHERE c_custkey % 6 IN (1, 2, 3)""",
     "vector_rejects": """SELECT CASE p_partkey % 5 WHEN 1 THEN 'w' || p_partkey || ' ' || p_size WHEN 3 THEN 'w' || p_partkey || ' ' || p_size || ' x1'
           ELSE p_size || ' ' || p_size END AS line FROM part WHERE p_partkey % 5 IN (1, 3) OR p_partkey % 5 = 4 AND p_size <> 2""",
+    "lemma_pos_join": LEMMA_POS_JOIN,
+    "new_words_prefiltered": f"""SELECT DISTINCT w AS word FROM (SELECT unnest({query_tokens('text', 'python')}) AS w FROM conversations)
+        WHERE w NOT IN (SELECT unnest({query_tokens('text', 'python')}) FROM documents)""",
+    "roundtrip_diff_by_digest": """WITH b AS (SELECT doc_id, lang, "source", n_chars FROM documents),
+        a AS (SELECT doc_id, CASE WHEN doc_id % 97 = 5 THEN NULL ELSE lang END AS lang, "source", n_chars FROM documents WHERE doc_id % 101 <> 7
+              UNION ALL SELECT * FROM b WHERE doc_id % 211 = 3)
+        (SELECT *, 'before' AS side FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) UNION ALL (SELECT *, 'after' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b))""",
     "subquery_spans": SUBQUERY_SPANS,
     "subquery_count": f"SELECT id, CAST(len(regexp_extract_all(lower(code), {L(r'\(\s*select\b')})) AS BIGINT) AS n "
                       f"FROM ({SQL_SNIPPETS})",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.functions import pycode, pynames, sqlcode, text
-from corpusprep.operators import corpus, encode, lemma, repl, vectors, vocab
+from corpusprep.operators import corpus, encode, lemma, repl, tagging, vectors, vocab
 from corpusprep.operators.tokenise import tokenise_corpus
 from corpusprep.plans import derive, stages
 from corpusprep.plans.derive import table
@@ -93,6 +93,13 @@ def q_lemma_join(spark, sf_dir):
     return lemma.lemma_join(toks, table_, "doc_id", "t").select("doc_id", _j("t").alias("tokens"))
 
 
+def q_lemma_pos_join(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select(
+        F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), text.query_tokens("text").alias("t")).checkpoint(eager=True)
+    tables = derive.tag_tables(vocab.build_vocab(turns, fields=["t"]).checkpoint(eager=True))
+    return tagging.lemma_pos_join(turns, "id", "t", *tables).select("id", _j("t").alias("tokens"), F.array_join("classes", "").alias("classes"))
+
+
 def q_python_clean(spark, sf_dir):
     return derive.python_snippets(spark, sf_dir).select("id", pycode.python_clean("code").alias("clean"))
 
@@ -254,6 +261,18 @@ def q_roundtrip_diff(spark, sf_dir):
     return vocab.roundtrip_diff(py, sq)
 
 
+def q_new_words_prefiltered(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select(text.query_tokens("text").alias("t"))
+    return vocab.new_words(turns, derive.document_vocab(spark, sf_dir), fields=["t"], prefilter=True)
+
+
+def q_roundtrip_diff_by_digest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    changed = docs.filter("doc_id % 101 <> 7").withColumn("lang", F.when(F.col("doc_id") % 97 == 5, F.lit(None)).otherwise(F.col("lang")))
+    again = docs.filter("doc_id % 211 = 3")
+    return vocab.roundtrip_diff_by_digest(docs, changed.unionByName(again))
+
+
 def q_word_vectors(spark, sf_dir):
     v = _DocStage(spark, sf_dir).vectors
     return v.select("word", F.col("vec_id").cast("long").alias("vec_id"), F.size("vec").cast("long").alias("dim"),
@@ -376,6 +395,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "context_tokens_python": _doc_tokens(lambda c: text.context_tokens(c, "python")),
     "context_tokens_sql": _doc_tokens(lambda c: text.context_tokens(c, "sql")),
     "lemma_join": q_lemma_join,
+    "lemma_pos_join": q_lemma_pos_join,
     "python_clean": q_python_clean,
     "python_vars": q_python_vars,
     "python_vars_all": q_python_vars_all,
@@ -410,6 +430,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vocab_union": q_vocab_union,
     "new_words": q_new_words,
     "roundtrip_diff": q_roundtrip_diff,
+    "new_words_prefiltered": q_new_words_prefiltered,
+    "roundtrip_diff_by_digest": q_roundtrip_diff_by_digest,
     "word_vectors": q_word_vectors,
     "unit_vectors": q_unit_vectors,
     "found_words": q_found_words,
