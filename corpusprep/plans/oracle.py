@@ -741,3 +741,4 @@ UNION ALL SELECT 'dictionary', CAST(count(*) + 4 AS BIGINT) FROM cfound
 UNION ALL SELECT 'failed_words', CAST((SELECT count(*) FROM cw) - count(*) AS BIGINT) FROM cfound
 UNION ALL SELECT 'encoded', CAST(count(*) AS BIGINT) FROM enc""",
 }
+ORACLE_SQL["run_report"] = ORACLE_SQL["corpus_report"]

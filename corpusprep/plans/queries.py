@@ -6,6 +6,7 @@ scalars (arrays rendered as space-joined strings) so results compare across engi
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from corpusprep.operators import corpus, encode, lemma, repl, tagging, vectors,
 from corpusprep.operators.tokenise import tokenise_corpus
 from corpusprep.plans import derive, stages
 from corpusprep.plans.derive import table
+from corpusprep.session import ensure_checkpoint_dir
 from corpusprep.sources import io
 
 
@@ -370,6 +372,11 @@ def q_vector_rejects(spark, sf_dir):
     return io.parse_word_vectors(derive.vector_lines(spark, sf_dir), 2)[1]
 
 
+def q_run_report(spark, sf_dir):
+    folder = f"{ensure_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+    return stages.write_run(derive.raw_corpus(spark, sf_dir), _paired(spark, sf_dir), folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_strict_python": _doc_rule(lambda c: text.filter_strict(c, "python")),
     "filter_strict_sql": _doc_rule(lambda c: text.filter_strict(c, "sql")),
@@ -445,4 +452,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_code": q_encode_code,
     "encode_corpus": q_encode_corpus,
     "corpus_report": q_corpus_report,
+    "run_report": q_run_report,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusprep.operators import corpus, encode, vectors, vocab
@@ -73,6 +73,43 @@ def corpus_report(stage: dict) -> DataFrame:
     return out
 
 
+def write_run(raw: DataFrame, word_vectors: DataFrame | Callable[[DataFrame], DataFrame], folder: str, seed: int = 7,
+              lang: str | None = None) -> DataFrame:
+    """Run and write every stage below ``folder``, and return the report (S29) without a pass of its own.
+
+    Written are ``candidates`` (question_id, n_candidates), ``tokens``, ``vocab``, ``dictionary``, ``failed`` and ``encoded``.
+    The counts are observed by the jobs that write the tables, so each row is counted once, as it passes; a stage reads what
+    its predecessor wrote. The result is a small local table; it starts no job.
+    """
+    from corpusprep.sources import io
+
+    spark = raw.sparkSession
+    ensure_checkpoint_dir(spark)
+    counts: dict[str, int] = {}
+
+    def observed(df: DataFrame, write: Callable[[DataFrame], None], **exprs) -> None:
+        seen = Observation()
+        write(df.observe(seen, *[F.coalesce(e, F.lit(0)).cast("long").alias(k) for k, e in exprs.items()]))
+        counts.update(seen.get)
+
+    one = F.count(F.lit(1))
+    many = F.col("n_candidates") > 1
+    observed(corpus.candidate_counts(raw), lambda df: df.write.parquet(f"{folder}/candidates"),
+             single=F.sum(F.when(~many, 1).otherwise(0)), multiple=F.sum(F.when(many, F.col("n_candidates")).otherwise(0)),
+             questions_multiple=F.sum(F.when(many & F.col("question_id").isNotNull(), 1).otherwise(0)))
+    observed(tokenise_corpus(raw, lang), lambda df: io.write_tokens(df, f"{folder}/tokens"), records=one,
+             code_failed=F.sum(F.when(~F.col("code_ok"), 1).otherwise(0)))
+    tokens = io.read_tokens(spark, f"{folder}/tokens")
+    observed(vocab.build_vocab(tokens), lambda df: io.write_vocab(df, f"{folder}/vocab"), vocab=one)
+    words = io.read_vocab(spark, f"{folder}/vocab")
+    vecs = word_vectors(words) if callable(word_vectors) else word_vectors
+    observed(vectors.build_dictionary(words, vecs, seed=seed), lambda df: io.write_dictionary(df, f"{folder}/dictionary"), dictionary=one)
+    observed(vectors.failed_words(words, vecs), lambda df: io.write_vocab(df, f"{folder}/failed"), failed_words=one)
+    encoded = encode.encode_corpus(tokens, io.read_dictionary(spark, f"{folder}/dictionary"))
+    observed(encoded, lambda df: io.write_encoded(df, f"{folder}/encoded"), encoded=one)
+    return spark.createDataFrame(sorted(counts.items()), "metric string, value long")
+
+
 def convert_vectors(spark, text_path: str, out_path: str, dim: int | None = None) -> DataFrame:
     """word2vec text -> unit-length vectors -> parquet; returns the written table."""
     from corpusprep.sources import io

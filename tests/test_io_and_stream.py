@@ -185,3 +185,19 @@ def test_malformed_vector_lines_come_back_as_rows(spark, tmp_path):
         f.write("3 2\na 1 2\nb 1\nc d 1 2\ne x 2\n\n")
     rows, rejects = io.read_word_vectors_checked(spark, path)
     assert sorted(r["word"] for r in rows.collect()) == ["a", "c d"] and sorted(r["line"] for r in rejects.collect()) == ["b 1", "e x 2"]
+
+
+def test_a_written_run_reports_without_a_pass(spark, tmp_path):
+    from conftest import SF_SMALL
+    from corpusprep.plans import stages
+
+    raw = derive.raw_corpus(spark, SF_SMALL)
+    pairs = lambda words: derive.word_vectors(words, spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
+    report = stages.write_run(raw, pairs, str(tmp_path / "run"))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.startswith("LocalTableScan") or "Scan ExistingRDD" in plan and "FileScan" not in plan
+    got = {r["metric"]: r["value"] for r in report.collect()}
+    want = {r["metric"]: r["value"] for r in stages.corpus_report(stages.encode_raw_corpus(raw, pairs)).collect()}
+    assert got == want
+    assert io.read_encoded(spark, str(tmp_path / "run" / "encoded")).count() == got["encoded"] == raw.count()
+    assert io.read_dictionary(spark, str(tmp_path / "run" / "dictionary")).count() == got["dictionary"]
