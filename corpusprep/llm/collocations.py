@@ -2,9 +2,10 @@
 
 A stripe belongs to a prefix of zero to three words and counts the words that follow it: ``next -> count``. Each task builds
 the stripes of a bounded chunk of text with numpy, Spark shuffles them by (language, prefix), and a sorted stream merges the
-stripes of one prefix elementwise. One merged stripe holds the prefix's extensions (its entries), the prefix's total (the sum
-of its entries; what is no possible extension counts under the empty word) and, read from the side of the longer phrases, the
-largest count of a phrase that adds one word to a shorter one.
+stripes of one prefix elementwise. The merged stripes hold everything asked for: a prefix's extensions are its entries, its
+total is the entry of its own last word (for words, the stripe of the empty prefix, whose sum is the language's number of
+words), and the largest count of a phrase that adds one word to a shorter one is the largest entry of its stripe or of a
+stripe that its words end.
 
 A phrase is never more frequent than the phrases inside it, so a stripe of a longer prefix holds only what the shorter ones
 allow: words that are frequent enough, then pairs, then triples. These reach the tasks as a bit filter of bounded
@@ -72,7 +73,7 @@ class Chunk:
     """The numbered words of some texts, a cut behind each text."""
 
     def __init__(self):
-        self.words, self.langs, self.tables, self.parts, self.size = [b""], [""], {}, [], 0
+        self.words, self.langs, self.tables, self.parts, self.size = [b""], [""], {}, [], 0  # number 0 is the cut
 
     def add(self, lang: str, text: bytes) -> None:
         table = self.tables.get(lang)
@@ -163,8 +164,9 @@ def pairs_level(chunk: Chunk, bits: np.ndarray, wide: dict) -> Iterator[pa.Recor
     good[0] = False
     w = chunk.numbers()
     w = np.where(good[w], w, 0)
-    at = np.flatnonzero(w)
-    prefix, nxt, count = _counted(w[at], _following(w, 1)[at], len(good))
+    nxt = _following(w, 1)
+    at = np.flatnonzero((w > 0) & (nxt > 0))
+    prefix, nxt, count = _counted(w[at], nxt[at], len(good))
     slices = np.ones(len(good), np.int64)
     if wide:
         slices[:] = [wide.get((lang, word), 1) for lang, word in zip(chunk.langs, chunk.words)]
@@ -192,8 +194,8 @@ def longer_level(chunk: Chunk, bits: np.ndarray, wide: dict, size: int) -> Itera
     if wide:
         lang = [chunk.langs[i] for i in heads[0]]
         slices[good] = [wide.get((lang[i], b" ".join([chunk.words[h[i]] for h in heads])), 1) for i in np.flatnonzero(good)]
-    at = np.flatnonzero(fits)
-    prefix, after, count = _counted(gram[at], np.where(_following(fits, 1), _following(w, size), 0)[at], v)
+    at = np.flatnonzero(fits & _following(fits, 1))  # a longer phrase is frequent only if its last part is, too
+    prefix, after, count = _counted(gram[at], _following(w, size)[at], v)
     yield from out.rows(heads, prefix, after, count, slices, heads[0])
 
 
@@ -239,7 +241,7 @@ def merge_stripes(rows: DataFrame, min_count: int, keep_all: bool) -> DataFrame:
     """Merged stripes: each (language, prefix, slice) with its total and its entries of ``min_count`` or more.
 
     The rows of one key follow each other in their task, so one key's entries are held at a time. A stripe without such an
-    entry is left out unless ``keep_all`` or it is a slice of a wider one, whose total still counts.
+    entry is left out unless ``keep_all``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending = None
@@ -260,8 +262,7 @@ def merge_stripes(rows: DataFrame, min_count: int, keep_all: bool) -> DataFrame:
             of, code, sums = of[done], code[done], sums[done]
             total = np.zeros(runs, np.int64)
             np.add.at(total, of, sums)
-            blank = pc.equal(words, "").to_numpy(zero_copy_only=False)
-            good = (sums >= min_count) & ~blank[code]
+            good = sums >= min_count
             offsets = np.r_[0, np.cumsum(np.bincount(of[good], minlength=runs))]
             keys = table.take(pa.array(first[:runs]))
             out = pa.table([keys.column("lang"), keys.column("prefix"), pa.array(total),
@@ -269,8 +270,7 @@ def merge_stripes(rows: DataFrame, min_count: int, keep_all: bool) -> DataFrame:
                             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(sums[good]))],
                            names=["lang", "prefix", "total", "next", "count"])
             if not keep_all:
-                part = keys.column("slice").combine_chunks().to_numpy(zero_copy_only=False)
-                out = out.filter(pa.array((np.diff(offsets) > 0) | (part > 0)))
+                out = out.filter(pa.array(np.diff(offsets) > 0))
             return out, rest
 
         for batch in batches:
@@ -328,26 +328,21 @@ def _key(lang: Column, phrase: Column) -> Column:
     return F.concat(phrase, F.lit("\t"), lang)  # no word holds a tab
 
 
-def scored(grams: DataFrame, totals: DataFrame, words: DataFrame, scale: int) -> DataFrame:
+def scored(grams: DataFrame, words: DataFrame, scale: int) -> DataFrame:
     """(lang, phrase, a, l, r, score) of phrases of two words and more: the cut of the lowest score."""
     phrase = F.concat_ws(" ", "prefix", "next")
     known = words.select(F.col("next").alias("phrase"), "lang", "a").union(grams.select(phrase, "lang", "a"))
     known = known.select(_key(F.col("lang"), F.col("phrase")).alias("_part"), F.col("a").alias("f"))
-    part = F.col("part")
-
     def piece(w: Column, start: Column, length: Column) -> Column:
         return F.array_join(F.slice(w, start, length), " ")
 
     w = F.col("w")
     cuts = F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda k: F.struct(k.alias("k"), piece(w, F.lit(1), k).alias("left"), piece(w, k + 1, F.size(w) - k).alias("right")))
-    each = (grams.join(totals, ["lang", "prefix"]).withColumn("w", F.split(phrase, " "))
-            .select("lang", F.array_join("w", " ").alias("phrase"), "a", "total", F.size("w").alias("size"), F.explode(cuts).alias("c"))
-            .select("lang", "phrase", "a", "total", (F.col("c.k") == F.col("size") - 1).alias("last"), "c.k", "c.left", "c.right"))
-    # The first part of the last cut is the stripe's prefix, whose total the stripe holds.
+    each = (grams.withColumn("w", F.split(phrase, " ")).select("lang", F.array_join("w", " ").alias("phrase"), "a", F.explode(cuts).alias("c"))
+            .select("lang", "phrase", "a", "c.k", "c.left", "c.right"))
     each = left_lookup(each.withColumn("part", _key(F.col("lang"), F.col("right"))), known, "part", "_part", LOOKUP_BYTES).withColumnRenamed("f", "r")
-    lasts, others = each.filter("last").withColumn("l", F.col("total")), each.filter(~F.col("last"))
-    others = left_lookup(others.withColumn("part", _key(F.col("lang"), F.col("left"))), known.withColumnRenamed("_part", "_other"), "part", "_other", LOOKUP_BYTES).withColumnRenamed("f", "l")
-    both = lasts.unionByName(others).drop(part)
+    other = known.withColumnRenamed("_part", "_other")
+    both = left_lookup(each.withColumn("part", _key(F.col("lang"), F.col("left"))), other, "part", "_other", LOOKUP_BYTES).withColumnRenamed("f", "l")
     wide = "decimal(20,0)"
     score = F.expr(f"({scale} * cast(a as {wide})) div (cast(l as {wide}) + cast(r as {wide}))")
     best = both.groupBy("lang", "phrase", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("c"))
@@ -388,11 +383,10 @@ def collocations(docs: DataFrame, min_count: int = 30, cover_percent: int = 80,
 
     longer = reduce(DataFrame.unionByName, longer)
     grams = grams_of(longer)
-    prefixes = longer.groupBy("lang", "prefix").agg(F.sum("total").alias("total"))
     rest = F.concat_ws(" ", F.expr("substring(prefix, instr(prefix, ' ') + 1)"), "next")
     inner = grams.filter(F.instr("prefix", " ") > 0).select("lang", F.col("a").alias("longer"), F.explode(F.array("prefix", rest)).alias("phrase"))
     covers = inner.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
-    kept = (scored(grams, prefixes, words, scale).join(covers, ["lang", "phrase"], "left")
+    kept = (scored(grams, words, scale).join(covers, ["lang", "phrase"], "left")
             .filter(F.col("longer").isNull() | F.expr(f"100 * cast(longer as decimal(20,0)) < {cover_percent} * cast(a as decimal(20,0))")))
     best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     for parts in (1024, 32, 1):  # no task sees more than 32 * top rows of a language

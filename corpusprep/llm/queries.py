@@ -25,6 +25,7 @@ from corpusprep.llm import (
     url_filter,
 )
 from corpusprep.llm.common import ascii_lower, table
+from corpusprep.llm.oracle import COLLOCATIONS, MERKLE
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,6 +129,8 @@ QUERIES = {f.__name__: f for f in (
     op10_line_dedup, op11_merkle, op12_url_filter, op13_collocations)}
 
 ORACLE_SQL = {
+    "op11_merkle": MERKLE,
+    "op13_collocations": COLLOCATIONS,
     "op8_chat": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
