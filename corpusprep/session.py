@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,7 @@ def get_spark(app: str = "corpusprep", master: str | None = None, shuffle_partit
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -64,3 +66,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="corpusprep-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return folder
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once a SparkContext, so that its functions are found from any folder.
+
+    The driver zips the package's sources and Spark distributes the archive; it is not needed where ``--py-files`` or the
+    workers' ``PYTHONPATH`` already name the package.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: artifacts are added by the client
+        return
+    if getattr(sc, "_corpusprep_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="corpusprep-zip-"), "corpusprep.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    sc._corpusprep_shipped = True
