@@ -105,7 +105,7 @@ def _labelled(rows: DataFrame, shingle: int, percent: int, pair_from: int, tripl
     # Sets too small to have a similar but different partner have an empty prefix.
     reps = stored(sets.filter(F.size("zone") > 0).groupBy("node")
                   .agg(F.first("n").alias("n"), F.first("zone").alias("zone"), F.first("bits").alias("bits")))
-    index = setjoin.index_signatures(reps, pair_from, triple_from, broadcast_rows)
+    index = setjoin.index_signatures(reps, pair_from, triple_from, broadcast_rows, percent)
     nodes_of = stored(sets.select("doc_id", "h", "node", "n"))
     release(reps, sets)
     ids = nodes_of.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))

@@ -36,19 +36,20 @@ def may_match(a: str, b: str, percent: int, words: int = WORDS) -> Column:
     return length & position & enough(F.floor((n + m - differing) / 2), n, m, percent)
 
 
-def index_signatures(reps: DataFrame, pair_from: int, triple_from: int, broadcast_rows: int) -> DataFrame:
+def index_signatures(reps: DataFrame, pair_from: int, triple_from: int, broadcast_rows: int, percent: int) -> DataFrame:
     """(sig, node, n, rank, bits) from rows of (node, n, zone, bits); ``zone`` is a prefix, extended by three tokens.
 
     Tokens of one set are dropped. The others fall into classes by their number of sets: up to ``pair_from`` a token is a
     signature by itself, up to ``triple_from`` pairs of such tokens are, above that triples. The prefix of length p
-    leaves at most p - 1 tokens unmatched, the extension by three keeps one single, pair or triple in common whatever
-    the classes are.
+    leaves at most p - 1 tokens unmatched, the extension by three keeps four tokens in common, hence one single, pair or
+    triple whatever the classes are. A link of fewer than four common tokens joins two sets of which ``percent`` is fewer
+    than four (possible below 80 percent); such sets have each of their tokens as a signature besides.
     """
-    entries = reps.select("node", F.posexplode("zone").alias("rank", "token"))
+    entries = reps.select("node", "n", F.posexplode("zone").alias("rank", "token"))
     shared = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
     few = F.broadcast(shared) if shared.count() <= broadcast_rows else shared  # else both sides are shuffled
     own = (entries.join(few, "token").groupBy("node")
-           .agg(F.sort_array(F.collect_list(F.struct("rank", "token", "df"))).alias("own")))
+           .agg(F.sort_array(F.collect_list(F.struct("rank", "token", "df"))).alias("own"), F.first("n").alias("n")))
 
     def of_class(low: int, high: int | None) -> Column:
         return F.filter("own", lambda e: (e["df"] > low) & (F.lit(True) if high is None else e["df"] <= high))
@@ -60,7 +61,8 @@ def index_signatures(reps: DataFrame, pair_from: int, triple_from: int, broadcas
     def later(of: Column, i: Column) -> Column:
         return F.slice(of, i + 2, F.size(of))
 
-    single = F.transform(of_class(0, pair_from), lambda e: sig(e, e["token"]))
+    few_common = F.col("n") * percent <= 300
+    single = F.transform(F.filter("own", lambda e: few_common | (e["df"] <= pair_from)), lambda e: sig(e, e["token"]))
     two, three = F.col("two"), F.col("three")
     pairs = F.flatten(F.transform(two, lambda a, i: F.transform(later(two, i), lambda b: sig(a, a["token"], b["token"]))))
     triples = F.flatten(F.transform(three, lambda a, i: F.flatten(F.transform(later(three, i), lambda b, k: F.transform(

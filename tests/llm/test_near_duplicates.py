@@ -32,6 +32,17 @@ def test_components_equal_brute_force(spark, k, percent, pairs, triples):
     assert got == jaccard_components([(r["doc_id"], r["text"]) for r in docs.collect()], k, percent)
 
 
+@pytest.mark.parametrize("percent", [50, 70])
+def test_links_of_few_common_tokens(spark, percent):
+    """Small sets link below 80 percent, too, whatever the classes of their tokens are."""
+    random.seed(percent)
+    texts = [" ".join(random.sample("abcdefgh", random.randint(1, 6))) for _ in range(60)] + ["x y z", "x y z w", "x y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for pair_from, triple_from in ((1, 3), (2, 4)):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_jaccard.jaccard_components(docs, 1, percent, pair_from, triple_from).collect()}
+        assert got == jaccard_components(list(enumerate(texts)), 1, percent)
+
+
 def test_components_of_repeated_rows_null_ids_and_nothing(spark):
     text = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(2, text), (2, text), (None, text), (7, text + " more"), (9, None)], "doc_id long, text string")
