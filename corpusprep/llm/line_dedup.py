@@ -34,10 +34,11 @@ BITMAP_WORDS = 2
 
 def shingles(norm: Column, k: int) -> Column:
     """Sorted distinct hashes of the word shingles of a text whose words are parted by single spaces."""
-    words = F.split(norm, " ")
-    # the array of words stands in a one-element array, so that it is split once and not for each shingle
-    return F.get(F.transform(F.array(words), lambda w: F.sort_array(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.xxhash64(F.slice(w, i, F.lit(k))))))), F.lit(0))
+    words = F.transform(F.split(norm, " "), lambda w: F.xxhash64(w))
+    # the hashed words stand in a one-element array, so that each word is hashed once and not for each shingle
+    windows = F.get(F.transform(F.array(words), lambda w: F.transform(
+        F.slice(w, F.lit(1), F.size(w) - (k - 1)), lambda x, i: F.xxhash64(x, *[F.get(w, i + j) for j in range(1, k)]))), F.lit(0))
+    return F.sort_array(F.array_distinct(windows))
 
 
 def bitmap(tokens: Column) -> Column:
@@ -71,7 +72,7 @@ def later_lines(lines: DataFrame, shingle: int, percent: int, broadcast_rows: in
     lowest = lines.select("key", tokens.alias("tokens")).select("key", F.slice("tokens", 1, F.size("tokens") - ceil + 1).alias("zone"))
     lowest = stored(lowest)
     entries = lowest.select("key", F.explode("zone").alias("token"))
-    shared = entries.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low != high").select("token")
+    shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("token")  # a line has a token once
     left = stored(entries.join(shared, "token").select("key").distinct())
     release(lowest)
     some = F.broadcast(left) if left.count() <= broadcast_rows else left
