@@ -69,43 +69,47 @@ def later_lines(lines: DataFrame, shingle: int, percent: int, broadcast_rows: in
     """The keys of distinct lines (key, pos, norm) that are similar to a line at an earlier place."""
     tokens = shingles(F.col("norm"), shingle)
     ceil = F.floor((F.size("tokens") * percent + 99) / 100).cast("int")
-    lowest = lines.select("key", tokens.alias("tokens")).select("key", F.slice("tokens", 1, F.size("tokens") - ceil + 1).alias("zone"))
-    lowest = stored(lowest)
-    entries = lowest.select("key", F.explode("zone").alias("token"))
+    # Numbers stand for the keys from here on: rows of tokens are most of what is shuffled.
+    lowest = stored(lines.select("key", F.monotonically_increasing_id().alias("line"), tokens.alias("tokens"))
+                    .select("key", "line", F.slice("tokens", 1, F.size("tokens") - ceil + 1).alias("zone")))
+    entries = lowest.select("line", F.explode("zone").alias("token"))
     shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("token")  # a line has a token once
-    left = stored(entries.join(shared, "token").select("key").distinct())
+    left = stored(lowest.select("key", "line").join(entries.join(shared, "token").select("line").distinct(), "line", "left_semi"))
     release(lowest)
     some = F.broadcast(left) if left.count() <= broadcast_rows else left
-    sets = stored(lines.join(some, "key", "left_semi").select("key", "pos", tokens.alias("tokens"))
+    sets = stored(lines.join(some, "key").select("line", "pos", tokens.alias("tokens"))
                   .withColumns({"n": F.size("tokens").cast("long"), "bits": bitmap(F.col("tokens"))}))
 
     # Order by rarity: tokens of one line come first, then the shared ones by count and hash.
-    each = sets.select("key", F.explode("tokens").alias("token"))
+    each = sets.select("line", F.explode("tokens").alias("token"))
     counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    ordered = each.join(counts, "token").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own"))
+    # Sent by line before they are collected: lists of one token each would be longer than the rows.
+    ordered = (each.join(counts, "token").select("line", "df", "token").repartition("line")
+               .groupBy("line").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own")))
     prefix = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
-    index = (sets.select("key", "pos", "n", "bits").join(ordered, "key")
-             .select("key", "pos", "n", "bits", prefix.alias("p"), (F.col("n") - F.size("own")).alias("alone"), F.posexplode("own").alias("i", "t"))
+    index = (sets.select("line", "pos", "n", "bits").join(ordered, "line")
+             .select("line", "pos", "n", "bits", prefix.alias("p"), (F.col("n") - F.size("own")).alias("alone"), F.posexplode("own").alias("i", "t"))
              .withColumn("rank", F.col("alone") + F.col("i")).filter(F.col("rank") < F.col("p"))
-             .select(F.col("t.token").alias("sig"), "key", "pos", "n", "rank", "bits"))
+             .select(F.col("t.token").alias("sig"), "line", "pos", "n", "rank", "bits"))
     index = stored(index)
-    release(left)
-    first = index.groupBy("sig").agg(F.min_by(F.struct("key", "pos", "n", "rank", "bits"), "pos").alias("f"), F.count(F.lit(1)).alias("k"))
+    first = index.groupBy("sig").agg(F.min_by(F.struct("line", "pos", "n", "rank", "bits"), "pos").alias("f"), F.count(F.lit(1)).alias("k"))
     first = first.filter("k > 1").select("sig", "f.*")
-    x, y = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
+    x, y = sets.select(F.col("line").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("line").alias("b"), F.col("tokens").alias("y"))
 
     def similar(later: DataFrame, earlier: DataFrame) -> DataFrame:
         pairs = later.alias("a").join(earlier.alias("b"), (F.col("a.sig") == F.col("b.sig")) & (F.col("b.pos") < F.col("a.pos"))
                                       & may_match("a", "b", percent, BITMAP_WORDS))
-        pairs = pairs.select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).distinct()
+        pairs = pairs.select(F.col("a.line").alias("a"), F.col("b.line").alias("b")).distinct()
         overlap = F.size(F.array_intersect("x", "y")).cast("long")
-        return pairs.join(x, "a").join(y, "b").filter(enough(overlap, F.size("x"), F.size("y"), percent)).select(F.col("a").alias("key")).distinct()
+        return pairs.join(x, "a").join(y, "b").filter(enough(overlap, F.size("x"), F.size("y"), percent)).select(F.col("a").alias("line")).distinct()
 
     removed = stored(similar(index, first))
-    rest = index.join(removed, "key", "left_anti")
+    rest = index.join(removed, "line", "left_anti")
     more = stored(similar(rest, index))
     release(index, sets)
-    return removed.union(more)
+    keys = stored(left.join(removed.union(more), "line", "left_semi").select("key"))
+    release(left, removed, more)
+    return keys
 
 
 def dedup_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
@@ -114,7 +118,7 @@ def dedup_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     ensure_checkpoint_dir(docs.sparkSession)
     lines = lines_of(docs, id_col, text_col, 1 if short_lines else shingle)
     distinct = stored(lines.groupBy("key").agg(F.min("pos").alias("pos"), F.first("norm").alias("norm"), F.count(F.lit(1)).alias("copies")))
-    later = stored(later_lines(distinct.filter(has_words(F.col("norm"), shingle)).select("key", "pos", "norm"), shingle, percent, broadcast_rows).withColumn("gone", F.lit(True)))
+    later = later_lines(distinct.filter(has_words(F.col("norm"), shingle)).select("key", "pos", "norm"), shingle, percent, broadcast_rows).withColumn("gone", F.lit(True))
     verdict = distinct.select("key", F.col("pos").alias("first"), "copies").join(later, "key", "left").filter("gone OR copies > 1")
     hit = (lines.select("key", "pos").join(verdict, "key").filter(F.col("gone").isNotNull() | (F.col("pos") != F.col("first"))))
     by_doc = stored(hit.groupBy("pos.doc_id", "pos.h").agg(F.collect_set("pos.line_no").alias("removed")))
