@@ -65,8 +65,8 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
     return rows.select("pos", F.struct(F.xxhash64("norm").alias("k1"), F.xxhash64("norm", F.lit(1)).alias("k2")).alias("key"), "norm")
 
 
-def later_lines(lines: DataFrame, shingle: int, percent: int, broadcast_rows: int) -> DataFrame:
-    """The keys of distinct lines (key, pos, norm) that are similar to a line at an earlier place."""
+def sets_to_compare(lines: DataFrame, shingle: int, percent: int, broadcast_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Token sets and (key, line) of those distinct lines (key, pos, norm) that share one of their lowest hashes with another."""
     tokens = shingles(F.col("norm"), shingle)
     ceil = F.floor((F.size("tokens") * percent + 99) / 100).cast("int")
     # Numbers stand for the keys from here on: rows of tokens are most of what is shuffled.
@@ -79,7 +79,11 @@ def later_lines(lines: DataFrame, shingle: int, percent: int, broadcast_rows: in
     some = F.broadcast(left) if left.count() <= broadcast_rows else left
     sets = stored(lines.join(some, "key").select("line", "pos", tokens.alias("tokens"))
                   .withColumns({"n": F.size("tokens").cast("long"), "bits": bitmap(F.col("tokens"))}))
+    return sets, left
 
+
+def later_lines(sets: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+    """The keys of the lines that are similar to a line at an earlier place; both tables are released."""
     # Order by rarity: tokens of one line come first, then the shared ones by count and hash.
     each = sets.select("line", F.explode("tokens").alias("token"))
     counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
@@ -118,8 +122,11 @@ def dedup_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     ensure_checkpoint_dir(docs.sparkSession)
     lines = lines_of(docs, id_col, text_col, 1 if short_lines else shingle)
     distinct = stored(lines.groupBy("key").agg(F.min("pos").alias("pos"), F.first("norm").alias("norm"), F.count(F.lit(1)).alias("copies")))
-    later = later_lines(distinct.filter(has_words(F.col("norm"), shingle)).select("key", "pos", "norm"), shingle, percent, broadcast_rows).withColumn("gone", F.lit(True))
-    verdict = distinct.select("key", F.col("pos").alias("first"), "copies").join(later, "key", "left").filter("gone OR copies > 1")
+    places = stored(distinct.select("key", F.col("pos").alias("first"), "copies"))
+    sets, left = sets_to_compare(distinct.filter(has_words(F.col("norm"), shingle)).select("key", "pos", "norm"), shingle, percent, broadcast_rows)
+    release(distinct)  # the words of the lines take most of the disk
+    later = later_lines(sets, left, percent).withColumn("gone", F.lit(True))
+    verdict = places.join(later, "key", "left").filter("gone OR copies > 1")
     hit = (lines.select("key", "pos").join(verdict, "key").filter(F.col("gone").isNotNull() | (F.col("pos") != F.col("first"))))
     by_doc = stored(hit.groupBy("pos.doc_id", "pos.h").agg(F.collect_set("pos.line_no").alias("removed")))
     own = free_name(docs, "lines")  # one column under a name that the input doesn't use
