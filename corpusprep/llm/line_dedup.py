@@ -103,13 +103,16 @@ def later_lines(sets: DataFrame, left: DataFrame, percent: int) -> DataFrame:
     def similar(later: DataFrame, earlier: DataFrame) -> DataFrame:
         pairs = later.alias("a").join(earlier.alias("b"), (F.col("a.sig") == F.col("b.sig")) & (F.col("b.pos") < F.col("a.pos"))
                                       & may_match("a", "b", percent, BITMAP_WORDS))
-        pairs = pairs.select(F.col("a.line").alias("a"), F.col("b.line").alias("b")).distinct()
+        # stored, so that the shuffled index leaves the disk before the sets are sent
+        pairs = stored(pairs.select(F.col("a.line").alias("a"), F.col("b.line").alias("b")).distinct())
         overlap = F.size(F.array_intersect("x", "y")).cast("long")
-        return pairs.join(x, "a").join(y, "b").filter(enough(overlap, F.size("x"), F.size("y"), percent)).select(F.col("a").alias("line")).distinct()
+        found = stored(pairs.join(x, "a").join(y, "b").filter(enough(overlap, F.size("x"), F.size("y"), percent)).select(F.col("a").alias("line")).distinct())
+        release(pairs)
+        return found
 
-    removed = stored(similar(index, first))
+    removed = similar(index, first)
     rest = index.join(removed, "line", "left_anti")
-    more = stored(similar(rest, index))
+    more = similar(rest, index)
     release(index, sets)
     keys = stored(left.join(removed.union(more), "line", "left_semi").select("key"))
     release(left, removed, more)
