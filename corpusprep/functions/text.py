@@ -8,6 +8,8 @@ ways; ``dialect`` is ``"python"`` or ``"sql"``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,6 +81,17 @@ BRACKETS = {
 WORD_OR_PUNCT = r"\w+|[^\s\w]"
 WORD_OR_PUNCT_UNICODE = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
 
+# The marks that are tokens, by dialect and width (query tokens leave out parentheses).
+MARKS = {
+    ("python", False): r"""['"]""",
+    ("sql", False): r"""['"]""",
+    ("python", True): r"""[()#/,'=><"\\?.*+\[\]^{}]""",
+    ("sql", True): r"""[()#/,'=><"?.*+\[\]^{}]""",
+}
+BEYOND_ASCII = r"[^\x00-\x7F]+"
+# Capitals that snake_case sets an underscore before, both its rules at once.
+CAMEL = r"[A-Z](?:(?<=[a-z\d][A-Z])|(?<=[A-Z]{2})(?=[a-z]))"
+
 DECIMAL = r"\d++(?:\.\d++)++"  # possessive: no recursion on long rows
 QUOTED = r'"[^"]+"'
 HEX = r"0[xX][A-Fa-f0-9]+"
@@ -185,23 +198,11 @@ def strip_dots(col) -> Column:
     return F.regexp_replace(_c(col), r"\.+\z", "")
 
 
-def normalize_line(col, dialect: str = "python", quote: str = '"', for_tokens: bool = False) -> Column:
-    """S46-S50 in the order of the line rule.
-
-    ``for_tokens=True`` is for callers that split the result into words next (S51 drops all
-    whitespace): the Python dialect then skips squeezing and trimming, and the SQL dialect
-    keeps only the trim that decides which trailing dots S50 sees. The tokens are the same.
-    """
-    c = expand_contractions(col, dialect, quote)
-    if not for_tokens:
-        c = squeeze_space(c, dialect)
-    elif dialect == "sql":
-        c = strip_ws(c)
-    c = snake_case(c)
-    c = strip_brackets(c, dialect)
-    if dialect == "sql":
-        return strip_dots(c)
-    return c if for_tokens else strip_ws(c)
+def normalize_line(col, dialect: str = "python", quote: str = '"') -> Column:
+    """S46-S50 in the order of the line rule."""
+    c = squeeze_space(expand_contractions(col, dialect, quote), dialect)
+    c = strip_brackets(snake_case(c), dialect)
+    return strip_dots(c) if dialect == "sql" else strip_ws(c)
 
 
 def split_words(col, unicode: bool = False) -> Column:
@@ -239,19 +240,6 @@ def tag_digit_words(col) -> Column:
     return F.regexp_replace(_c(col), DIGIT_WORD, "TAGOER")
 
 
-def _tag_lower_case(col) -> Column:
-    """S52-S55 on lower-case text, writing the tags lower-case (same tokens as tag + lower)."""
-    def digits(v: Column) -> Column:
-        v = F.regexp_replace(v, DECIMAL, "tagint")
-        v = F.regexp_replace(v, QUOTED, "tagstr")
-        v = F.regexp_replace(v, HEX, "tagint")
-        v = F.regexp_replace(v, INTEGER, " tagint ")
-        return F.regexp_replace(v, DIGIT_WORD, "tagoer")
-
-    return let(_c(col), lambda v: F.when(v.rlike("[0-9]"), digits(v)).otherwise(
-        F.when(F.instr(v, '"') > 0, F.regexp_replace(v, QUOTED, "tagstr")).otherwise(v)))
-
-
 def tag_all(col) -> Column:
     """S52-S55 in rule order.
 
@@ -285,20 +273,41 @@ def drop_parens(arr) -> Column:
     return F.filter(_c(arr), lambda w: (F.instr(w, "(") == 0) & (F.instr(w, ")") == 0))
 
 
-def _line_words(col, dialect: str, quote: str) -> Column:
-    """S46-S56 for text that is split into tokens: the line rule yields lower-case text."""
-    line = normalize_line(col, dialect, quote, for_tokens=True)
-    return F.split(_tag_lower_case(split_words(line)), " ")
+def _line_tokens(col, dialect: str, quote: str, wide: bool) -> Column:
+    """S44-S56 and the dropping of blanks (query text: of parentheses, too) for text that is split into tokens.
+
+    The tokens are read once, from text in which the characters that the filter drops still stand: none of them is a token,
+    and like the space that the filter writes they keep their neighbours apart. Only what a rule could take for something
+    else goes first: characters beyond ASCII (lower case may be ASCII) and bars. S55 finds nothing after S51: the dots stand
+    alone and S54 has taken all digits. The tokens are those of ``sentence_words(normalize_line(filter_chars(...)))``.
+    """
+    kept = re.compile(rf"{MARKS[_check(dialect), wide]}|[0-9A-Za-z_()-]")
+
+    def squeeze_runs(v: Column) -> Column:
+        return F.when((F.instr(v, "--") > 0) | (F.instr(v, "__") > 0), F.regexp_replace(v, r"([-_])\1+", "$1")).otherwise(v)
+
+    c = let(_c(col), lambda v: F.when(F.octet_length(v) == F.char_length(v), v).otherwise(F.regexp_replace(v, BEYOND_ASCII, " ")))
+    for q in {"|", *(q for q in quote if not kept.match(q))}:  # a quote that the filter drops expands nothing
+        c = F.replace(c, F.lit(q), F.lit(" "))
+    c = expand_contractions(let(c, squeeze_runs), dialect, quote)
+    if dialect == "sql" and wide:  # the trim decides which trailing dots S50 sees
+        c = F.rtrim(c, F.lit("".join(chr(i) for i in range(128) if not kept.match(chr(i)))))
+    c = F.lower(F.replace(F.regexp_replace(c, CAMEL, "_$0"), F.lit("-"), F.lit("_")))
+    brackets = BRACKETS[dialect if wide else "sql"]  # the strict filter has dropped what the Python rule excepts
+    c = let(c, lambda v: F.when(F.instr(v, "(") > 0, F.regexp_replace(v, brackets, "")).otherwise(v))
+    if dialect == "sql" and wide:
+        c = strip_dots(c)
+    c = let(c, lambda v: F.when(F.instr(v, '"') > 0, F.regexp_replace(v, '"[^"]*"', " tagstr ")).otherwise(v))
+    c = let(c, lambda v: F.when(F.instr(v, "0x") > 0, F.regexp_replace(v, HEX, "tagint")).otherwise(v))
+    return F.regexp_extract_all(F.regexp_replace(c, "[0-9]+", " tagint "), F.lit(rf"\w+|{MARKS[dialect, wide]}"), 0)
 
 
 def query_tokens(col, dialect: str = "python", quote: str = '"') -> Column:
     """Query text to tokens (pre-lemma)."""
-    words = _line_words(filter_strict(col, dialect), dialect, quote)
-    return F.filter(words, lambda w: (F.trim(w) != "") & (F.instr(w, "(") == 0) & (F.instr(w, ")") == 0))
+    return _line_tokens(col, dialect, quote, wide=False)
 
 
 def context_tokens(col, dialect: str = "python", quote: str = '"') -> Column:
     """S58 + S19: context text to tokens; the missing-context marker passes through."""
     c = _c(col)
-    words = drop_blank(_line_words(filter_wide(c, dialect), dialect, quote))
-    return F.when(c == MISSING_CONTEXT, F.array(F.lit(MISSING_CONTEXT))).otherwise(words)
+    return F.when(c == MISSING_CONTEXT, F.array(F.lit(MISSING_CONTEXT))).otherwise(_line_tokens(c, dialect, quote, wide=True))

@@ -196,6 +196,19 @@ def test_composite_shortcuts_equal_rule_by_rule_chain(spark, texts):
                 assert r["c"] == r["d"], (dialect, r["t"])
 
 
+def test_tokens_are_read_in_one_pass(spark):
+    rows = ["it's 0x1Fg, \u212aing|\"m \"\" (a|b) HTTPServer a--b", "abc. (x)", "abc.;", "x \"1 (2) 3\" y1.5z", "(^)", "\u00e9t\u00e9 I|\"m", None, ""]
+    df = spark.createDataFrame([(t,) for t in rows], "t string")
+    for dialect in ("python", "sql"):
+        for fn, narrow in ((text.query_tokens, text.filter_strict), (text.context_tokens, text.filter_wide)):
+            tokens = df.select("t", fn("t", dialect).alias("a"))
+            plan = tokens._jdf.queryExecution().optimizedPlan().toString()
+            assert "array_join" not in plan and "split(" not in plan  # not joined, tagged and split again
+            rules = text.drop_blank(text.sentence_words(text.normalize_line(narrow("t", dialect), dialect)))
+            for r in tokens.withColumn("b", text.drop_parens(rules) if fn is text.query_tokens else rules).collect():
+                assert r["a"] == r["b"], (dialect, r["t"])
+
+
 def test_split_with_a_hot_question_uses_aggregate_and_join(spark):
     # One question holds a third of all records.
     rows = [(("hot", i), i) for i in range(3000)] + [((f"q{i // 2}", i), i) for i in range(6000)]
