@@ -124,8 +124,10 @@ def python_code_tokens(col, append_newline: bool = True, all_matches: bool = Fal
 
         return let(F.filter(kinds, lambda t: t.isNotNull()), finish)
 
-    def names(clean: Column) -> Column:
-        return stored_names(col, aliases=False) if stored else python_vars(clean, all_matches)
+    def kinds_of(clean: Column, names: Column) -> Column:
+        return let(F.struct(names.alias("names"), python_lexemes(clean, escapes).alias("lex")), tokens)
 
-    return let(python_clean(col), lambda clean: let(
-        F.struct(names(clean).alias("names"), python_lexemes(clean, escapes).alias("lex")), tokens))
+    if stored:
+        return let(F.struct(python_clean(col).alias("clean"), stored_names(col, aliases=False).alias("names")),
+                   lambda s: kinds_of(s["clean"], s["names"]))
+    return let(python_clean(col), lambda clean: kinds_of(clean, python_vars(clean, all_matches)))

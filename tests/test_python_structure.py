@@ -51,6 +51,15 @@ def test_stored_names_of_null_unparsable_and_long_code(spark):
     assert got[0] is None and isinstance(got[1], list) and len(got[2]) == 3000 and got[3] == []
 
 
+def test_stored_names_fold_each_lexeme_once(spark):
+    rows = {"x\t=\v1": ["x"], "été, b.ñ = '\té = 2'": ["été"], "s = r\"\"\"a\n\tb = 1\"\"\"; ٣ = 4": ["s"], "名 += \\\n\t1 # c = d": ["名"], "\t": [], "": []}
+    df = spark.createDataFrame([(c,) for c in [*rows, None]], "code string")
+    names = df.select("code", pynames.stored_names("code").alias("n"))
+    plan = names._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan and plan.count("regexp_extract_all") == 1  # no fold of structs, one lexer
+    assert {r["code"]: r["n"] for r in names.collect()} == rows | {None: None}
+
+
 TOKENS = {
     r"'it\'s' + y": "string + y newline",
     r'"a\"b" + c': "string + c newline",
