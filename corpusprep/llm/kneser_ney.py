@@ -91,13 +91,15 @@ def count_grams(docs: DataFrame, order: int, flush_at: int = 300_000) -> DataFra
                      pa.array(list(counter.values()), pa.int64())], names=["lang", "gram", "n"])
             grams.clear()
 
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words.setdefault(lang, Counter()).update(words_of(text.lower()))
-                if sum(map(len, words.values())) > flush_at:
-                    split()
-            if sum(map(len, grams.values())) > flush_at * 2:
-                yield from rows()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):  # few texts at a time as Python strings
+                batch = whole.slice(at, 256)
+                for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    words.setdefault(lang, Counter()).update(words_of(text.lower()))
+                    if sum(map(len, words.values())) > flush_at:
+                        split()
+                if sum(map(len, grams.values())) > flush_at * 2:
+                    yield from rows()
         split()
         yield from rows()
 

@@ -7,9 +7,9 @@ positions from which no encoding continues, so that no position fails twice. Run
 one score, and characters outside the vocabulary (byte pieces) are settled on their own.
 
 No piece holds a space mark behind another character (checked when the model is loaded), so the text is cut before each
-run of marks and the chunks are encoded independently; a bounded cache remembers frequent chunks. Null text is empty
-(no ids), repeated rows are encoded row by row, an empty table gives an empty table, and columns of the input named like
-an output are replaced. The pieces and scores are broadcast; their number is the model's vocabulary, whatever the data.
+run of marks and the chunks are encoded independently; a bounded cache remembers the ids of frequent chunks, and the text
+is decoded from the ids of the whole row. Null text is empty (no ids), repeated rows are encoded row by row, an empty
+table gives an empty table, and columns of the input named like an output are replaced. The pieces and scores are broadcast; their number is the model's vocabulary, whatever the data.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from .merges import merge
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
+SLICE = 256
 
 
 class Model:
@@ -74,7 +75,10 @@ class BacktrackEncoder:
         for p in plain:
             self.automaton.add_word(p, p)
         self.automaton.make_automaton()
-        self.chunks = BoundedCache(self._chunk, 1 << 18)
+        self.chunks = BoundedCache(self._chunk)
+        # What each id stands for; a byte beyond ASCII is the surrogate that Python writes as this byte.
+        self.shown = [*names]
+        self.shown[byte0:byte0 + 256] = [chr(b if b < 128 else 0xDC00 + b) for b in range(256)]
 
     def _rank(self, pair: tuple[str, str], default: float) -> float:
         return self.ranks.get(pair[0] + pair[1], default)
@@ -117,15 +121,14 @@ class BacktrackEncoder:
                 piece = out.pop()
                 pos -= len(piece)
 
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        """(ids as packed 32-bit integers, decoded text) of a chunk: marks, then characters that are no mark."""
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids, as packed 32-bit integers, of a chunk: marks, then characters that are no mark."""
         if not chunk.startswith(MARK):
             chunk = MARK + chunk  # the cache's key of the usual chunk leaves its one mark out
         body = chunk.lstrip(MARK)
         marks = len(chunk) - len(body)
         if marks == 1 and self.chars.issuperset(body):
-            plain = self._known(chunk)
-            return array("i", [self.ids[p] for p in plain]).tobytes(), "".join(plain).replace(MARK, " ")
+            return array("i", [self.ids[p] for p in self._known(chunk)]).tobytes()
         pieces: list[str | int] = []
         known = MARK
         for c in body:
@@ -141,18 +144,12 @@ class BacktrackEncoder:
         if marks > 1:  # all pieces of marks come after every other merge
             rest = pieces[0] == MARK
             pieces[:rest] = self._remerge(MARK * (marks - 1 + rest))
-        ids = array("i", [p if isinstance(p, int) else self.ids[p] for p in pieces])
-        return ids.tobytes(), self.decode_chunk(ids)
-
-    def decode_chunk(self, ids) -> str:
-        """Text of ids that end at a character: byte pieces joined as UTF-8, marks turned into spaces."""
-        out = bytearray()
-        for i in ids:
-            if self.byte0 <= i < self.byte0 + 256:
-                out.append(i - self.byte0)
-            else:
-                out += self.names[i].encode("utf-8")
-        return out.decode("utf-8", "replace").replace(MARK, " ")
+        return array("i", [p if isinstance(p, int) else self.ids[p] for p in pieces]).tobytes()
+
+    def decode(self, ids: bytes) -> str:
+        """Text of packed ids: byte pieces joined as UTF-8, marks turned into spaces."""
+        out = "".join(map(self.shown.__getitem__, array("i", ids))).replace(MARK, " ")
+        return out if out.isascii() else out.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """(packed ids, decoded text); decoding drops the space that encoding puts in front."""
@@ -161,8 +158,20 @@ class BacktrackEncoder:
         words = text.split(" ")
         if MARK in text or "" in words:
             words = CHUNK.findall(MARK + text.replace(" ", MARK))
-        done = list(map(self.chunks.__getitem__, words))
-        return b"".join([d[0] for d in done]), "".join([d[1] for d in done])[1:]
+        ids = b"".join(map(self.chunks.__getitem__, words))
+        return ids, self.decode(ids)[1:]
+
+
+def encoded(encoder: BacktrackEncoder, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """(ids, decoded) of texts; a batch is taken in slices, so that few of its texts and results are Python objects at a time."""
+    for whole in batches:
+        for at in range(0, len(whole), SLICE):
+            done = [encoder.encode(t) for t in whole.slice(at, SLICE).to_pylist()]
+            offsets = pa.array([0, *accumulate(len(d[0]) // 4 for d in done)], pa.int32())
+            flat = pa.Array.from_buffers(pa.int32(), offsets[-1].as_py(), [None, pa.py_buffer(b"".join([d[0] for d in done]))])
+            kept = pa.field("element", pa.int32(), nullable=False)
+            ids = pa.ListArray.from_arrays(offsets, flat, type=pa.list_(kept))
+            yield pa.StructArray.from_arrays([ids, pa.array([d[1] for d in done], pa.string())], ["ids", "decoded"])
 
 
 def encode_decode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: str = "ids",
@@ -173,14 +182,7 @@ def encode_decode(docs: DataFrame, model_file: str, text_col: str = "text", ids_
 
     @F.arrow_udf(kind)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = shared.value.encoder()
-        for texts in batches:
-            done = [encoder.encode(t) for t in texts.to_pylist()]
-            offsets = pa.array([0, *accumulate(len(d[0]) // 4 for d in done)], pa.int32())
-            flat = pa.Array.from_buffers(pa.int32(), offsets[-1].as_py(), [None, pa.py_buffer(b"".join([d[0] for d in done]))])
-            kept = pa.field("element", pa.int32(), nullable=False)
-            ids = pa.ListArray.from_arrays(offsets, flat, type=pa.list_(kept))
-            yield pa.StructArray.from_arrays([ids, pa.array([d[1] for d in done], pa.string())], ["ids", "decoded"])
+        yield from encoded(shared.value.encoder(), batches)
 
     own = free_name(docs, "encoded")
     out = docs.withColumn(own, run(text_or_empty(text_col)))

@@ -1,8 +1,10 @@
 import json
 import random
+import tracemalloc
 from array import array
 
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 import tokenizers
 from conftest import SF_SMALL
@@ -74,3 +76,23 @@ def test_spark_results(spark):
         n = len(LIBRARY.encode(r["text"] or "", add_special_tokens=False).ids)
         assert (r["n_tokens"], r["over_limit"], r["n_bytes"]) == (n, n > 100, len((r["text"] or "").encode()))
     assert sp_backtrack.encode_decode(docs.limit(0), PIECES).count() == token_count.count_tokens(docs.limit(0), WORDS).count() == 0
+
+
+def test_a_large_batch_is_not_held_whole():
+    """Spark sends 10,000 rows at a time; their texts, ids and decoded texts must not stand in a worker all at once."""
+    texts = pa.array(["one two three " * 100] * 10_000)
+    ids = PROCESSOR.encode(texts[0].as_py())
+    tracemalloc.start()
+    n = 0
+    for out in sp_backtrack.encoded(ENCODER, iter([texts, texts.slice(0, 0), texts.slice(0, 1)])):
+        n += len(out)
+        assert out[0].as_py() == {"ids": ids, "decoded": PROCESSOR.decode(ids)} and out[-1] == out[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 10_001 and peak < 6_000_000, peak
+
+
+def test_the_cache_holds_ids_only():
+    """A decoded text beside the ids of every cached chunk took more room than the ids."""
+    ENCODER.encode("cache of ids")
+    assert ENCODER.chunks["cache"] == array("i", PROCESSOR.encode("cache")).tobytes()
