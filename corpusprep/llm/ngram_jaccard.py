@@ -2,8 +2,9 @@
 
 Tokens are word shingles, hashed to 64 bits; the hash is the global order. Texts with equal sets are one node. A node's
 prefix (its lowest n - ceil(t n) + 1 tokens, extended by three) is indexed: rare tokens singly, frequent ones as pairs,
-very frequent ones as triples, so that a passage shared by many texts does not bring all of them together. Candidates of
-a bucket pass length, positional and bitmap filters inside the join and are verified on the whole sets.
+very frequent ones as triples, so that a passage shared by many texts does not bring all of them together. Large sets, which
+share single tokens by chance and are too large for the bitmaps, have pairs of neighbours of a longer prefix instead.
+Candidates of a bucket pass length, positional and bitmap filters inside the join and are verified on the whole sets.
 
 Two rounds keep large groups of copies linear: first every node meets the first node of each of its buckets; links join
 nodes to components; then only pairs from different components are looked at. Every link between different components
@@ -67,13 +68,29 @@ def bitmap(tokens: np.ndarray, bits: int = 64 * setjoin.WORDS) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def neighbours(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """A hash for each two tokens that follow each other in the prefix that similar sets need to have one in common.
+
+    Let A have x tokens that B lacks and B y that A lacks. Of the gaps between the common tokens at most x + y hold another
+    token, so one of the first x + y + 1 is free: its two tokens are neighbours in both sets, the second at place
+    2x + y + 2 of A at most. As x <= (1 - t) n - t y, that is no more than 2 (1 - t) n + 2 for t >= 1/2.
+    """
+    z = tokens[:len(tokens) * (100 - percent) // 50 + 2].view(np.uint64)
+    return (z[:-1] * np.uint64(ODD) + (z[1:] ^ (z[1:] >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = pa.array([0, *accumulate(map(len, arrays))], pa.int32())
     return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int64), *arrays])))
 
 
 def _sets(docs: DataFrame, k: int, percent: int, whole: bool) -> DataFrame:
-    """(doc_id, h, node, n) of rows (doc_id, text, h), with ``tokens`` and ``sketch``, or with the prefix ``zone`` and ``bits``."""
+    """(doc_id, h, node, n) of rows (doc_id, text, h), with ``tokens`` and ``sketch``, or with ``zone``, ``near`` and ``bits``.
+
+    ``zone`` is the prefix of a small set, ``near`` the neighbours of a large one; sets that may be similar to both have both.
+    """
+    large = setjoin.large_from(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(k)
         for batch in batches:
@@ -85,11 +102,12 @@ def _sets(docs: DataFrame, k: int, percent: int, whole: bool) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([*cols, _lists(sets), _lists([bitmap(s, SKETCH_BITS) for s in sets])],
                                                      names=["doc_id", "h", "node", "n", "tokens", "sketch"])
                     continue
-                zones = [s[:len(s) - -(-len(s) * percent // 100) + 4] if len(s) * (100 - percent) >= percent else s[:0] for s in sets]
-                yield pa.RecordBatch.from_arrays([*cols, _lists(zones), _lists([bitmap(s) for s in sets])],
-                                                 names=["doc_id", "h", "node", "n", "zone", "bits"])
+                zones = [s[:len(s) - -(-len(s) * percent // 100) + 4] if len(s) * (100 - percent) >= percent and len(s) < large else s[:0] for s in sets]
+                near = [neighbours(s, percent) if len(s) * 100 >= large * percent else s[:0] for s in sets]
+                yield pa.RecordBatch.from_arrays([*cols, _lists(zones), _lists(near), _lists([bitmap(s) for s in sets])],
+                                                 names=["doc_id", "h", "node", "n", "zone", "near", "bits"])
 
-    extra = "tokens array<long>, sketch array<long>" if whole else "zone array<long>, bits array<long>"
+    extra = "tokens array<long>, sketch array<long>" if whole else "zone array<long>, near array<long>, bits array<long>"
     return docs.mapInArrow(run, f"doc_id long, h long, node long, n long, {extra}")
 
 
@@ -103,8 +121,8 @@ def _labelled(rows: DataFrame, shingle: int, percent: int, pair_from: int, tripl
     ensure_checkpoint_dir(rows.sparkSession)
     sets = stored(_sets(rows, shingle, percent, whole=False))
     # Sets too small to have a similar but different partner have an empty prefix.
-    reps = stored(sets.filter(F.size("zone") > 0).groupBy("node")
-                  .agg(F.first("n").alias("n"), F.first("zone").alias("zone"), F.first("bits").alias("bits")))
+    reps = stored(sets.filter((F.size("zone") > 0) | (F.size("near") > 0)).groupBy("node")
+                  .agg(*[F.first(c).alias(c) for c in ("n", "zone", "near", "bits")]))
     index = setjoin.index_signatures(reps, pair_from, triple_from, broadcast_rows, percent)
     nodes_of = stored(sets.select("doc_id", "h", "node", "n"))
     release(reps, sets)

@@ -36,19 +36,28 @@ def may_match(a: str, b: str, percent: int, words: int = WORDS) -> Column:
     return length & position & enough(F.floor((n + m - differing) / 2), n, m, percent)
 
 
+def large_from(percent: int) -> int:
+    """Size from which sets are indexed by neighbours: beyond it sets that differ in half of a bitmap may still be similar."""
+    return 12 * WORDS * (100 + percent) // (100 - percent) if 60 <= percent < 100 else 1 << 62
+
+
 def index_signatures(reps: DataFrame, pair_from: int, triple_from: int, broadcast_rows: int, percent: int) -> DataFrame:
-    """(sig, node, n, rank, bits) from rows of (node, n, zone, bits); ``zone`` is a prefix, extended by three tokens.
+    """(sig, node, n, rank, bits) from rows of (node, n, zone, near, bits); ``zone`` is a prefix, extended by three tokens.
 
     Tokens of one set are dropped. The others fall into classes by their number of sets: up to ``pair_from`` a token is a
     signature by itself, up to ``triple_from`` pairs of such tokens are, above that triples. The prefix of length p
     leaves at most p - 1 tokens unmatched, the extension by three keeps four tokens in common, hence one single, pair or
     triple whatever the classes are. A link of fewer than four common tokens joins two sets of which ``percent`` is fewer
-    than four (possible below 80 percent); such sets have each of their tokens as a signature besides.
+    than four (possible below 80 percent); such sets have each of their tokens as a signature besides. What is in ``near``
+    is a signature as it is, where two sets have it.
     """
     entries = reps.select("node", "n", F.posexplode("zone").alias("rank", "token"))
     shared = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
-    few = F.broadcast(shared) if shared.count() <= broadcast_rows else shared  # else both sides are shuffled
-    own = (entries.join(few, "token").groupBy("node")
+
+    def few(counted: DataFrame) -> DataFrame:
+        return F.broadcast(counted) if counted.count() <= broadcast_rows else counted  # else both sides are shuffled
+
+    own = (entries.join(few(shared), "token").groupBy("node")
            .agg(F.sort_array(F.collect_list(F.struct("rank", "token", "df"))).alias("own"), F.first("n").alias("n")))
 
     def of_class(low: int, high: int | None) -> Column:
@@ -70,8 +79,11 @@ def index_signatures(reps: DataFrame, pair_from: int, triple_from: int, broadcas
     sigs = own.select("node", single.alias("single"), of_class(pair_from, triple_from).alias("two"),
                       of_class(triple_from, None).alias("three")).select("node", F.concat("single", pairs, triples).alias("sigs"))
     exploded = sigs.select("node", F.explode("sigs").alias("s")).select("node", "s.sig", "s.rank")
+    near = reps.select("node", F.posexplode("near").alias("rank", "sig"))
+    again = stored(near.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("sig"))
+    exploded = exploded.unionByName(near.join(few(again), "sig"))
     index = stored(exploded.join(reps.select("node", "n", "bits"), "node").select("sig", "node", "n", "rank", "bits"))
-    release(shared)
+    release(shared, again)
     return index
 
 

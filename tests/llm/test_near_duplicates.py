@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
@@ -43,6 +44,59 @@ def test_links_of_few_common_tokens(spark, percent):
         assert got == jaccard_components(list(enumerate(texts)), 1, percent)
 
 
+def long_texts(n, words=1500, vocabulary=200):
+    return [" ".join(f"w{random.randrange(vocabulary)}" for _ in range(words)) for _ in range(n)]
+
+
+def edited(text, edits):
+    words = text.split()
+    for i in random.sample(range(len(words)), edits):
+        words[i] = f"x{random.randrange(10**6)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
+def test_long_texts_link_as_by_brute_force(spark, k, percent):
+    """Sizes on both sides of the one from which sets have neighbours, links of just enough and not enough."""
+    random.seed(k)
+    large = ngram_jaccard.setjoin.large_from(percent)
+    texts = []
+    for words in (large * percent // 100 + 5, large - 20, large + k, 3 * large):
+        base = long_texts(1, words)[0]
+        most = words * (100 - percent) // (100 + percent) // k  # edits that a link bears
+        texts += [base, *[edited(base, round(most * share)) for share in (0.2, 0.9, 1.0, 1.1)], base + " " + " ".join(base.split()[::-1][:words // 12])]
+        texts += [" ".join(base.split()[:words * percent // 100 + i]) for i in (-2, 2, 6)]
+    random.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_jaccard.jaccard_components(docs, k, percent).collect()}
+    assert got == jaccard_components(list(enumerate(texts)), k, percent)
+
+
+def test_similar_large_sets_have_neighbours_in_common():
+    rng = np.random.default_rng(3)
+    for percent in (60, 80, 90, 97):
+        for _ in range(200):
+            n = int(rng.integers(200, 3000))
+            a = np.unique(rng.integers(-2**63, 2**63 - 1, n))
+            part = rng.random()
+            lost = int(len(a) * (100 - percent) / (100 + percent) * 2 * part) if part < 0.5 else len(a) * (100 - percent) // 100
+            b = rng.permutation(a)[lost:]
+            more = max(0, len(b) * 100 // percent - len(a))
+            b = np.unique(np.r_[b, rng.integers(-2**63, 2**63 - 1, more)])
+            both = len(np.intersect1d(a, b))
+            assert 100 * both >= percent * (len(a) + len(b) - both)
+            assert len(np.intersect1d(ngram_jaccard.neighbours(a, percent), ngram_jaccard.neighbours(b, percent)))
+
+
+def test_long_texts_of_chance_matches_are_no_candidates(spark):
+    random.seed(8)
+    docs = spark.createDataFrame(list(enumerate(long_texts(40, words=3000))), "doc_id long, text string")
+    sets = ngram_jaccard._sets(ngram_jaccard._rows(docs, "doc_id", "text"), 3, 90, whole=False).cache()
+    index = setjoin.index_signatures(sets, 4096, 32768, 1000, 90)
+    apart = index.withColumn("label", F.col("node"))
+    assert setjoin.bucket_pairs(apart, 90, "label").count() <= 2
+
+
 def test_components_of_repeated_rows_null_ids_and_nothing(spark):
     text = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(2, text), (2, text), (None, text), (7, text + " more"), (9, None)], "doc_id long, text string")
