@@ -111,8 +111,25 @@ def _following(a: np.ndarray, n: int) -> np.ndarray:
 
 
 def _counted(prefix: np.ndarray, nxt: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, counts = np.unique(prefix.astype(np.int64) * limit + nxt, return_counts=True)
-    return keys // limit, keys % limit, counts
+    """Distinct (prefix, next) in order, with their counts; in place and in 32 bits, as a chunk's arrays are most of a task's memory."""
+    keys = prefix.astype(np.int64)
+    keys *= limit
+    keys += nxt
+    keys.sort()
+    start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+    counts = np.diff(np.r_[start, len(keys)]).astype(np.int32)
+    keys = keys[start]
+    return (keys // limit).astype(np.int32), (keys % limit).astype(np.int32), counts
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and each key's place among them."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.r_[True, keys[1:] != keys[:-1]][:len(keys)]
+    place = np.empty(len(keys), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return keys[new], place
 
 
 class Stripes:
@@ -127,9 +144,10 @@ class Stripes:
         """``heads``: word numbers of each prefix; ``slices`` and ``lang`` (a word of the language) by prefix; entries by prefix."""
         if not len(prefix):
             return
-        many = slices[prefix]  # slices count from 1, a whole stripe is 0
-        part = np.where(many > 1, 1 + (self.hash[nxt] % many.astype(np.uint64)).astype(np.int64), 0).astype(np.int32)
-        if part.any():
+        part = np.zeros(len(prefix), np.int32)  # slices count from 1, a whole stripe is 0
+        cut = np.flatnonzero((slices > 1)[prefix])
+        if len(cut):
+            part[cut] = 1 + (self.hash[nxt[cut]] % slices[prefix[cut]].astype(np.uint64)).astype(np.int32)
             order = np.lexsort((part, prefix))
             prefix, nxt, count, part = prefix[order], nxt[order], count[order], part[order]
         start = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])])
@@ -166,7 +184,8 @@ def pairs_level(chunk: Chunk, bits: np.ndarray, wide: dict) -> Iterator[pa.Recor
     w = np.where(good[w], w, 0)
     nxt = _following(w, 1)
     at = np.flatnonzero((w > 0) & (nxt > 0))
-    prefix, nxt, count = _counted(w[at], nxt[at], len(good))
+    w, nxt = w[at], nxt[at]
+    prefix, nxt, count = _counted(w, nxt, len(good))
     slices = np.ones(len(good), np.int64)
     if wide:
         slices[:] = [wide.get((lang, word), 1) for lang, word in zip(chunk.langs, chunk.words)]
@@ -178,16 +197,22 @@ def longer_level(chunk: Chunk, bits: np.ndarray, wide: dict, size: int) -> Itera
     out = Stripes(chunk)
     v = len(chunk.words)
     w = chunk.numbers()
-    gram, hashes, heads = w, out.hash, [np.arange(v)]
+    gram, hashes, heads = w, out.hash, [np.arange(v, dtype=np.int32)]
     for k in range(1, size):  # number the distinct phrases of k + 1 words; -1 where a cut is inside
         after = _following(w, k)
         at = np.flatnonzero((gram > 0 if k == 1 else gram >= 0) & (after > 0))
-        keys, number = np.unique(gram[at].astype(np.int64) * v + after[at], return_inverse=True)
-        heads = [*[h[keys // v] for h in heads], keys % v]
-        hashes = pair_hash(hashes[keys // v], out.hash[keys % v])
+        keys = gram[at].astype(np.int64)
+        keys *= v
+        keys += after[at]
+        keys, number = _numbered(keys)
+        first, last = (keys // v).astype(np.int32), (keys % v).astype(np.int32)
+        heads = [*[h[first] for h in heads], last]
+        hashes = pair_hash(hashes[first], out.hash[last])
         gram = np.full(len(w), -1, np.int32)
         gram[at] = number
+        del keys, number, first, last, after, at
     good = in_filter(bits, hashes)
+    del hashes
     fits = gram >= 0
     fits[fits] = good[gram[fits]]
     slices = np.ones(len(good), np.int64)
@@ -195,7 +220,10 @@ def longer_level(chunk: Chunk, bits: np.ndarray, wide: dict, size: int) -> Itera
         lang = [chunk.langs[i] for i in heads[0]]
         slices[good] = [wide.get((lang[i], b" ".join([chunk.words[h[i]] for h in heads])), 1) for i in np.flatnonzero(good)]
     at = np.flatnonzero(fits & _following(fits, 1))  # a longer phrase is frequent only if its last part is, too
-    prefix, after, count = _counted(gram[at], _following(w, size)[at], v)
+    after, gram = _following(w, size)[at], gram[at]
+    del fits, at
+    prefix, after, count = _counted(gram, after, v)
+    del gram
     yield from out.rows(heads, prefix, after, count, slices, heads[0])
 
 

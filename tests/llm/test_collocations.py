@@ -2,8 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from functools import partial
 
+import numpy as np
 from conftest import SF_CHECK, SF_SMALL
 from pyspark.sql import functions as F
 
@@ -66,3 +69,20 @@ def test_large_counts_are_exact(spark):
     words = spark.createDataFrame([("en", "", "x", a + 1), ("en", "", "y", 3 * a)], "lang string, prefix string, next string, a long")
     r = collocations.scored(grams, words, 2_000_000).first()
     assert r["score"] == 2_000_000 * a // (a + 1 + 3 * a) and (r["l"], r["r"]) == (a + 1, 3 * a)
+
+
+def test_memory_of_a_chunk_is_bounded_by_its_words():
+    """numpy's peak while a chunk's longer stripes are counted, in bytes a word."""
+    rng = np.random.default_rng(1)
+    chunk = collocations.Chunk()
+    for _ in range(50):
+        chunk.add("en", b" ".join(b"w%d" % i for i in rng.integers(0, 3000, 4000)))
+    everything = np.full(1, ~np.uint64(0), np.uint64)
+    for level, most in ((partial(collocations.longer_level, size=2), 210), (collocations.pairs_level, 64)):
+        chunk.numbers()
+        tracemalloc.start()
+        rows = sum(batch.num_rows for batch in level(chunk, everything, {}))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows
+        assert peak <= most * chunk.size
